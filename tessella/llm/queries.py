@@ -7,17 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessella.llm.exact_dedup import exact_dedup
+from tessella.llm.packing import pack
 from tessella.llm.token_counts import token_counts
+from tessella.llm.token_output import token_output
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("in_history")
 
 
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
@@ -30,7 +40,12 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_exact_dedup": op2_exact_dedup, "op10_token_counts": op10_token_counts}
+    return {
+        "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_exact_dedup": op2_exact_dedup,
+        "op3_token_output": op3_token_output,
+        "op10_token_counts": op10_token_counts,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
