@@ -77,7 +77,7 @@ def fold(doc_id: str = "doc_id", n: int = 3):
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of ``batch`` with about ``limit`` bytes of text each, one row at least."""
     col = batch.column(batch.schema.get_field_index(column))
-    sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.list_value_length(col) if pa.types.is_list(col.type) else pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
     start = held = 0
     for i, size in enumerate(sizes):
         if held and held + size > limit:

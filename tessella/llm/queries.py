@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessella.llm.exact_dedup import exact_dedup
+from tessella.llm.lm_scoring import score
+from tessella.llm.media import media_columns
 from tessella.llm.packing import pack
 from tessella.llm.token_counts import token_counts
 from tessella.llm.token_output import token_output
@@ -28,6 +30,14 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(documents(spark, sf_dir))
 
 
+def op4_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(documents(spark, sf_dir))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
@@ -44,6 +54,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_token_output": op3_token_output,
+        "op4_matroska_media": op4_matroska_media,
+        "op9_lm_scoring": op9_lm_scoring,
         "op10_token_counts": op10_token_counts,
     }
 
