@@ -46,6 +46,11 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return out
 
 
+def reread(df: DataFrame) -> DataFrame:
+    """The same table as a plan of its own, for joins with itself."""
+    return df.sparkSession.read.schema(df.schema).parquet(df._tessella_path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessella.llm import language_id, toxicity
 from tessella.llm.exact_dedup import exact_dedup
+from tessella.llm.jaccard import jaccard_components
 from tessella.llm.lm_scoring import score
 from tessella.llm.media import media_columns
 from tessella.llm.packing import pack
@@ -34,6 +36,18 @@ def op4_matroska_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(documents(spark, sf_dir))
 
@@ -55,6 +69,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": op2_exact_dedup,
         "op3_token_output": op3_token_output,
         "op4_matroska_media": op4_matroska_media,
+        "op5_language_id": op5_language_id,
+        "op7_toxicity": op7_toxicity,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_token_counts": op10_token_counts,
     }
