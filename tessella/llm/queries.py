@@ -12,6 +12,7 @@ from tessella.llm.jaccard import jaccard_components
 from tessella.llm.lm_scoring import score
 from tessella.llm.media import media_columns
 from tessella.llm.packing import pack
+from tessella.llm.subwords import piece_round_trip
 from tessella.llm.token_counts import token_counts
 from tessella.llm.token_output import token_output
 
@@ -40,6 +41,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_round_trip(documents(spark, sf_dir))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -70,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_output": op3_token_output,
         "op4_matroska_media": op4_matroska_media,
         "op5_language_id": op5_language_id,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_toxicity": op7_toxicity,
         "op8_jaccard_join": op8_jaccard_join,
         "op9_lm_scoring": op9_lm_scoring,
