@@ -48,3 +48,12 @@ def top_k(v: Column, k: int) -> Column:
 def pad_to(v: Column, size: int) -> Column:
     """Exactly ``size`` elements, zeros at the end."""
     return F.slice(F.concat(v, F.array_repeat(F.lit(0).cast("float"), size)), 1, size)
+
+
+def stride(v: Column, step: int, size: int) -> Column:
+    """Every ``step``-th element, then cut or padded with zeros to ``size``."""
+    return pad_to(F.filter(v, lambda x, i: i % step == 0), size)
+
+
+def join_vectors(*vectors: Column) -> Column:
+    return F.concat(*vectors)

@@ -42,3 +42,14 @@ def best_of(names: list[str], values: list[Column], largest: bool = True) -> Col
     for v in values[1:]:
         missing |= v.isNull()
     return F.when(~missing, out)
+
+
+def elapsed_seconds(c: Column) -> Column:
+    """Seconds of a process time ``[[days-]hours:]minutes:seconds``; null for anything else."""
+    part = lambda i: F.coalesce(F.regexp_extract(c, r"^(?:(?:(\d+)-)?(\d+):)?(\d+):(\d+)$", i).try_cast("long"), F.lit(0))
+    return F.when(c.rlike(r"^(?:(?:\d+-)?\d+:)?\d+:\d+$"), ((part(1) * 24 + part(2)) * 60 + part(3)) * 60 + part(4))
+
+
+def eta_seconds(done: Column, total: Column, elapsed: Column) -> Column:
+    """Seconds left at the rate so far; null before anything is done."""
+    return ratio(elapsed * (total - done), done)

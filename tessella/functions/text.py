@@ -191,3 +191,19 @@ def rewrite_prefix(c: Column, old: str, new: str) -> Column:
 def bucket_and_key(c: Column) -> Column:
     """``struct(bucket, key)`` of ``gs://bucket/key``."""
     return F.struct(F.regexp_extract(c, "^gs://([^/]+)/?", 1).alias("bucket"), F.regexp_extract(c, "^gs://[^/]+/?(.*)$", 1).alias("key"))
+
+
+def swap_suffix(c: Column, suffix: str) -> Column:
+    """A file name with another suffix in place of its last one."""
+    return F.concat(F.regexp_replace(c, r"\.[^./]*$", ""), F.lit(suffix))
+
+
+def frame_name(c: Column, index: Column) -> Column:
+    """The picture of one frame of a clip: ``stem_f007.png``."""
+    return F.concat(F.regexp_replace(F.regexp_extract(c, "([^/]*)$", 1), r"\.[^.]*$", ""), F.format_string("_f%03d.png", index))
+
+
+def up_to(c: Column, marker: str) -> Column:
+    """The text up to and with the first ``marker``; null where it is absent."""
+    at = F.locate(marker, c)
+    return F.when(at > 0, F.substr(c, F.lit(1), at + (len(marker) - 1)))

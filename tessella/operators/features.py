@@ -95,3 +95,14 @@ def fit_pca(rows: DataFrame, features: list[str], k: int):
     train = rows.filter(F.col("split") == "train")
     size = max(2, min(k, train.count() - 1, len(features)))
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_raw"), StandardScaler(withMean=True, withStd=False, inputCol="_raw", outputCol="_centred"), PCA(k=size, inputCol="_centred", outputCol="components")]).fit(train)
+
+
+def leave_one_out(wide: DataFrame, columns: list[str]) -> DataFrame:
+    """Per task the other tasks as features: ``study_id, split, task_col, y, features`` for studies that have the task."""
+    rows = [F.struct(F.lit(c).alias("task_col"), F.col(c).cast("double").alias("y"), F.array(*[F.col(o).cast("double") for o in columns if o != c]).alias("features")) for c in columns]
+    return wide.select("study_id", "split", F.explode(F.array(*rows)).alias("_t")).select("study_id", "split", "_t.*").filter(F.col("y").isNotNull())
+
+
+def concat_modalities(a: DataFrame, b: DataFrame, key: str = "study_id") -> DataFrame:
+    """Studies of both tables with their feature arrays joined end to end."""
+    return a.join(b.select(key, F.col("features").alias("_more")), key).withColumn("features", F.concat("features", "_more")).drop("_more")

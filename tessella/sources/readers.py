@@ -83,3 +83,22 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
 def log_text(c):
     """A log detail on one line without commas."""
     return F.translate(F.regexp_replace(c, r"[\r\n]+", " "), ",", ";")
+
+
+def missing_artifacts(spark: SparkSession, paths: list[str], strict: bool = False) -> list[str]:
+    """The required files that are not there; an error when ``strict``."""
+    missing = [p for p in paths if not exists(spark, p)]
+    if missing and strict:
+        raise FileNotFoundError(", ".join(missing))
+    return missing
+
+
+def snapshot(spark: SparkSession, files: list[str], target: str) -> DataFrame:
+    """Copy small report files to a folder, all or none; ``source, target, length`` of each."""
+    missing_artifacts(spark, files, strict=True)
+    hadoop, conf, rows = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration(), []
+    for f in files:
+        source, to = hadoop.Path(f), hadoop.Path(f"{target}/{f.rsplit('/', 1)[-1]}")
+        hadoop.FileUtil.copy(source.getFileSystem(conf), source, to.getFileSystem(conf), to, False, conf)
+        rows.append((f, to.toString(), to.getFileSystem(conf).getFileStatus(to).getLen()))
+    return spark.createDataFrame(rows, "source string, target string, length long")

@@ -159,3 +159,24 @@ def test_incremental_ingest(spark, tmp_path):
     spark.range(3, 8).write.parquet(f"{source}/b")
     run()
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(8))
+
+
+def test_small_helpers(spark, tmp_path):
+    assert values(spark, lambda c: text.swap_suffix(c, ".npz"), ["a/b.dcm", "x"]) == ["a/b.npz", "x.npz"]
+    assert values(spark, lambda c: text.frame_name(c, F.lit(7)), ["a/b.npz"]) == ["b_f007.png"]
+    assert values(spark, lambda c: text.up_to(c, "/files/"), ["g/files/p1/files/", "none"]) == ["g/files/", None]
+    assert values(spark, numeric.elapsed_seconds, ["01:02", "1:01:02", "2-00:00:01", "x", None]) == [62, 3662, 172801, None, None]
+    assert values(spark, lambda c: arrays.stride(c, 2, 4), [[1.0, 2.0, 3.0]], "array<float>") == [[1.0, 3.0, 0.0, 0.0]]
+    (tmp_path / "r.md").write_text("x")
+    assert readers.missing_artifacts(spark, [str(tmp_path / "r.md"), str(tmp_path / "q")]) == [str(tmp_path / "q")]
+    assert readers.snapshot(spark, [str(tmp_path / "r.md")], str(tmp_path / "to")).first()["length"] == 1
+    with pytest.raises(FileNotFoundError):
+        readers.snapshot(spark, [str(tmp_path / "q")], str(tmp_path / "to"))
+
+
+def test_leave_one_out(spark):
+    wide = spark.createDataFrame([(1, "train", 1.0, 2.0, None), (2, "test", None, 3.0, 4.0)], "study_id long, split string, a double, b double, c double")
+    got = {(r["study_id"], r["task_col"]): (r["y"], r["features"]) for r in features.leave_one_out(wide, ["a", "b", "c"]).collect()}
+    assert got == {(1, "a"): (1.0, [2.0, None]), (1, "b"): (2.0, [1.0, None]), (2, "b"): (3.0, [None, 4.0]), (2, "c"): (4.0, [None, 3.0])}
+    both = features.concat_modalities(features.leave_one_out(wide, ["a", "b"]).drop("task_col"), spark.createDataFrame([(1, [9.0])], "study_id long, features array<double>"))
+    assert sorted(r["features"] for r in both.collect()) == [[1.0, 9.0], [2.0, 9.0]]
