@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a Python task works on at a time; bounds a task's memory.
 SLICE_BYTES = 4 << 20
+_caches: dict[str, Callable[[], None]] = {}
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -111,11 +112,34 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
     return df.mapInArrow(run, schema)
 
 
+def filter_slices(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]], column: str = "text") -> DataFrame:
+    """The rows of ``df`` that ``keep`` tells of each text slice; the other columns travel along."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, column):
+                yield part.filter(pa.array(keep(part), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t if t is not None else "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def claim_worker(owner: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Called where an operator turns to its caches; ``clear`` empties them.
+
+    A Python worker outlives its tasks and may serve several operators in turn,
+    so the caches of all others are emptied first.
+    """
+    if owner not in _caches or len(_caches) > 1:
+        for name in _caches.keys() - {owner}:
+            _caches.pop(name)()
+    _caches[owner] = clear
+
+
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF
 

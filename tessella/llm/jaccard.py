@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import attach_groups, map_slices, materialize, release, reread, texts_of
+from tessella.llm.common import attach_groups, claim_worker, map_slices, materialize, release, reread, texts_of
 
 SHINGLE, PERCENT, EXTENSION, BLOCK = 5, 80, 0.1, 2000
 _MASK = (1 << 48) - 1
@@ -62,6 +62,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     Words are lower-cased (A-Z) and lie between ASCII white space, as ``bytes``
     splits them.
     """
+    claim_worker("jaccard", _words.clear)
     if len(_words) > 400_000:
         _words.clear()
     parts = [t.encode().lower().split() for t in texts]

@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import fold, map_slices, texts_of
+from tessella.llm.common import claim_worker, filter_slices, fold, map_slices, texts_of
 
 #: Rows of each language that are fitted on, at most; languages, by their number of rows, at most.
 SAMPLE, LANGUAGES = 1000, 256
-ORDER, DISCOUNT, CACHE_ENTRIES, UNDETERMINED = 4, 0.75, 400_000, "und"
+ORDER, DISCOUNT, CACHE_ENTRIES, WORDS_AT_ONCE, UNDETERMINED = 4, 0.75, 200_000, 10_000, "und"
 #: Rejection: this many calibrated deviations above the mean cross-entropy and nearer to that of random letters, for texts of some length.
 REJECT_DEVIATIONS, LEAST_CHARACTERS = 6.0, 40
 _WORD = re.compile(r"[^\W\d_]+")
@@ -144,7 +144,7 @@ class Identifier:
         table = self.__dict__.get("table", np.zeros((0, self.model.n)))
         if new:
             memory.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
-            table = np.concatenate([table, self.model.log2(new)])
+            table = np.concatenate([table, *(self.model.log2(new[i : i + WORDS_AT_ONCE]) for i in range(0, len(new), WORDS_AT_ONCE))])
         if "table" in self.__dict__:
             self.table = table
         size = np.array([sum(map(len, p)) + len(p) for p in parts], np.int64)
@@ -154,6 +154,7 @@ class Identifier:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
         """Language, score, bits per character and rejection of each text."""
+        claim_worker("language_id")
         bits, size, letters = self.bits([t or "" for t in texts])
         out: list[tuple[str, float, float | None, bool]] = []
         best = bits.argmin(axis=1) if self.languages else np.zeros(len(texts), int)
@@ -209,11 +210,4 @@ def identify(docs: DataFrame, fitted: Identifier | None = None) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without rejected texts; one pass, the other columns travel along."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
-
-    def run(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            keep = [not p[3] for p in sent.value.predict(batch.column(at).to_pylist())]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return filter_slices(docs, lambda b: [not p[3] for p in sent.value.predict(b.column(b.schema.get_field_index("text")).to_pylist())])

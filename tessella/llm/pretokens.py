@@ -16,6 +16,8 @@ import numpy as np
 import public_tokenizers
 import regex
 
+from tessella.llm.common import claim_worker
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE_ENTRIES = 700_000
 #: Longer keys leave the caches after their batch.
@@ -145,6 +147,7 @@ _encoders: dict[str, CachedEncoder] = {}
 
 def encoder(path: str) -> CachedEncoder:
     """This worker's encoder for a tokenizer file; it outlives a task."""
+    claim_worker("pretokens", lambda: [e.cache.clear() for e in _encoders.values()])
     if path not in _encoders:
         _encoders[path] = CachedEncoder(path)
     return _encoders[path]

@@ -27,7 +27,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tessella.llm.common import map_slices, texts_of
+from tessella.llm.common import claim_worker, map_slices, texts_of
 
 MODEL, META, CACHE_ENTRIES, LONG = "piece_bpe_32k.model", "▁", 400_000, 64
 _STRETCH = re.compile(f"{META}*[^{META}]+|{META}+")
@@ -195,6 +195,7 @@ _machines: dict[str, Transducer] = {}
 
 
 def transducer(path: str) -> Transducer:
+    claim_worker("subwords", _machines.clear)
     if path not in _machines:
         _machines[path] = Transducer(path)
     return _machines[path]

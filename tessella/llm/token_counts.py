@@ -17,7 +17,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from tessella.llm.common import map_slices, texts_of
+from tessella.llm.common import claim_worker, map_slices, texts_of
 from tessella.llm.pretokens import Cached
 
 TOKENIZER = "word_bpe_49k.json"
@@ -105,6 +105,7 @@ _counters: dict[str, _Counter] = {}
 
 
 def counter(path: str) -> _Counter:
+    claim_worker("token_counts", lambda: [c.cache.clear() for c in _counters.values()])
     if path not in _counters:
         _counters[path] = _Counter(path)
     return _counters[path]

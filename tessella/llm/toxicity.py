@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import fold, map_slices, materialize, texts_of
+from tessella.llm.common import claim_worker, filter_slices, fold, map_slices, materialize, texts_of
 
 #: Labelled rows fitted on, voters, and features of the classifier, at most each.
 SAMPLE, VOTERS, FEATURES = 12_000, 160, 700
@@ -129,6 +129,10 @@ class Scorer:
             out.update(i for i in patterns[p][: min(n, 3)] if i >= 0)
         return out
 
+    def scores(self, batch: pa.RecordBatch) -> list[float]:
+        claim_worker("toxicity")
+        return [self.score(t) for t in texts_of(batch)]
+
     def score(self, text: str) -> float:
         z = self.intercept + sum(self.weights[i] for i in sorted(self.hits(text)))
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
@@ -188,7 +192,7 @@ def score(docs: DataFrame, labels: DataFrame, fitted: Scorer | None = None) -> D
     sent = docs.sparkSession.sparkContext.broadcast(fitted or fit(docs, labels))  # bounded by FEATURES
 
     def run(batch: pa.RecordBatch) -> dict:
-        scores = [sent.value.score(t) for t in texts_of(batch)]
+        scores = sent.value.scores(batch)
         return {"doc_id": batch.column(0), "held_out": batch.column(1), "score": scores, "predicted": [int(s >= THRESHOLD) for s in scores]}
 
     return map_slices(docs.select("doc_id", (fold() == 1).alias("held_out"), "text"), run, "doc_id long, held_out boolean, score double, predicted int")
@@ -197,10 +201,4 @@ def score(docs: DataFrame, labels: DataFrame, fitted: Scorer | None = None) -> D
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the texts predicted toxic; one pass, the other columns travel along."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-
-    def run(batches):
-        for batch in batches:
-            keep = [sent.value.score(t) < THRESHOLD for t in texts_of(batch)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    return filter_slices(docs, lambda b: [s < THRESHOLD for s in sent.value.scores(b)])

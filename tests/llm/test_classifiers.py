@@ -116,3 +116,24 @@ def test_logistic_separates():
     x = np.array([[0, 1], [0, 0], [1, 0], [1, 1]] * 50, np.float32)
     w, b = T.logistic(x, x[:, 0].astype(float))
     assert 1 / (1 + math.exp(-(w[0] + b))) > 0.9 > 0.1 > 1 / (1 + math.exp(-b))
+
+
+def test_filters_go_slice_by_slice(spark):
+    from tessella.llm.common import filter_slices
+
+    rows = spark.createDataFrame([(i, "x" * (i % 3) * 1_500_000, None) for i in range(9)], "doc_id long, text string, note string").coalesce(1)
+    kept = filter_slices(rows, lambda b: [v > 0 for v in b.column(0).to_pylist()] if b.num_rows <= 5 else [])
+    assert kept.columns == rows.columns and sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == list(range(1, 9))
+
+
+def test_a_worker_keeps_one_operators_caches():
+    from tessella.llm.common import claim_worker
+
+    one, two = {1: 1}, {2: 2}
+    claim_worker("one", one.clear)
+    claim_worker("one", one.clear)
+    assert one
+    claim_worker("two", two.clear)
+    assert two and not one
+    claim_worker("one", one.clear)
+    assert not two
