@@ -1,42 +1,46 @@
 """Language-model scores by deleted interpolation.
 
 A text is a sequence of words and one end.  As in the add-one base score, the
-events are the known words and one unknown type.  A word that makes up
-``1 / HOT_WORDS`` of all words or more is a symbol of its own; all others share
-the symbol *rare*, within which a word has its own share of counts and the
-unknown type has as many as there are words seen once.  The sequence of symbols
-is modelled by maximum-likelihood estimates of trigrams, bigrams, unigrams and
-a uniform floor.  Their weights depend on a bucket of the context's frequency
-and come from expectation-maximisation on counts that were held out of the
-estimates (a tenth of the training documents); then both parts are counted
-together.
-
-The corpus is gathered as tables of distinct words and n-grams, summed in each
-task before they are shuffled.  At most ``HOT_WORDS`` words are hot, so their
-table is broadcast; the other words of each document are joined with the word
-table.  N-grams that make up ``1 / KEPT_NGRAMS`` of all or more are kept, which
-bounds their tables likewise; estimates are taken over what is kept.
+events are the words of the training documents and one unknown type, which has
+as many counts as there are words seen once.  The sequence is modelled by
+maximum-likelihood estimates of trigrams, bigrams, unigrams and a uniform floor.
+Their weights depend on a bucket of the context's frequency and come from
+expectation-maximisation on counts that were held out of the estimates (a tenth
+of the training documents); then both parts are counted together.
+
+All n-grams of all words are counted; none is dropped or merged.  The corpus is
+cut into slices of bounded text.  Each slice gives its distinct n-grams, by hash,
+with their counts, so an n-gram has one row a slice at most, however frequent it
+is.  The rows of an n-gram meet by its hash; sums go back only to the slices of
+n-grams that occur in several, as the others are known where they occur.  A
+context's total is the count of the n-gram that it is.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
-from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import fold, map_slices, materialize, texts_of
+from tessella.llm.common import fold, map_slices, materialize, release, texts_of
 
-HOT_WORDS, KEPT_NGRAMS, ORDER, BUCKETS, EM_STEPS, HELD_OUT = 100_000, 1 << 20, 3, 32, 6, 10
-#: Symbols that are no word; hot words follow.
-START, RARE, END, FIRST_WORD = 0, 1, 2, 3
-_BITS = 17
+#: HOT_WORDS is the number of words whose hash a Python worker remembers.
+HOT_WORDS, ORDER, BUCKETS, EM_STEPS, HELD_OUT = 100_000, 3, 32, 6, 10
+#: What a document is used for.
+SCORED, ESTIMATED, HELD = 0, 1, 2
+_START = np.uint64(0x9E3779B97F4A7C15)
+_TAGS = [np.uint64(t) for t in (0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)]
+#: The estimates that a bucket's contexts have: all have the floor and unigrams.
+_HALF = BUCKETS // 2
+_AVAILABLE = np.ones((BUCKETS, ORDER + 1))
+_AVAILABLE[0, 2:] = _AVAILABLE[:_HALF, 3] = 0
 
 
 def tokens(text: str) -> list[bytes]:
@@ -44,151 +48,242 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+@lru_cache(maxsize=HOT_WORDS)
 def word_key(word: bytes) -> int:
     """A signed 64-bit hash, the same on every machine."""
     h = xxhash.xxh64_intdigest(word)
     return h - (1 << 64) if h >> 63 else h
 
 
-def word_table(docs: DataFrame, train_mod: int, scored: int) -> DataFrame:
-    """``word, key, n_all, n_est, n_held``: counts in all documents and in the two training parts."""
+#: The end of a text; no word has white space.
+END = word_key(b"\n")
 
-    def count(batch: pa.RecordBatch) -> dict:
-        every, est, held = Counter(), Counter(), Counter()
-        for remainder, deep, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch), strict=True):
-            words = tokens(text)
-            every.update(words)
-            if remainder != scored:
-                (est if deep else held).update(words)
-        words = list(every)
-        return {"word": words, "n_all": [every[w] for w in words], "n_est": [est[w] for w in words], "n_held": [held[w] for w in words]}
 
-    source = docs.select(fold("doc_id", train_mod).alias("fold"), (fold("doc_id", train_mod * HELD_OUT) >= train_mod).alias("deep"), "text")
-    rows = map_slices(source, count, "word binary, n_all long, n_est long, n_held long")
-    return rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n_all", "n_est", "n_held")])
+def symbols_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The word keys of all texts, an end after each, and the number of symbols of each text."""
+    words = [[*tokens(t), b"\n"] for t in texts]
+    coded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
+    keys = np.array([word_key(w) for w in coded.dictionary.to_pylist()], np.int64)
+    return keys[coded.indices.to_numpy()], np.array([len(ws) for ws in words], np.int64)
 
 
-def hot_table(words: DataFrame, n_all: int) -> dict[bytes, tuple[int, int]]:
-    """``word -> (symbol, training count)`` of the words that are hot in all documents; HOT_WORDS many at most.
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9FB21C651E98DF25) + b
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ x >> np.uint64(shift)) * np.uint64(factor)
+    return x ^ x >> np.uint64(31)
 
-    A word that is hot but seen less than twice in the training part is rare; it
-    stays in the table, so that its rows meet no join.
-    """
-    hot = words.filter(F.col("n_all") * HOT_WORDS >= n_all).select("word", (F.col("n_est") + F.col("n_held")).alias("n")).orderBy("word").toArrow().to_pylist()
-    return {r["word"]: (FIRST_WORD + i if r["n"] > 1 else RARE, r["n"]) for i, r in enumerate(hot)}
+
+def _before(values: np.ndarray, n: np.ndarray, first) -> np.ndarray:
+    """Each text's values moved on by one; ``first`` comes before them."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[np.cumsum(n) - n] = first
+    return out
 
 
-def symbols_of(text: str, hot: dict[bytes, tuple[int, int]]) -> list[int]:
-    rare = (RARE, 0)
-    return [*(hot.get(w, rare)[0] for w in tokens(text)), END]
+def _hashes(flat: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (event x order) of the n-grams that end at each symbol and of their contexts."""
+    event = flat.astype(np.int64).view(np.uint64)
+    one = _before(event, n, _START)
+    two = _before(one, n, _START)
+    contexts = np.empty((len(event), ORDER), np.uint64)
+    contexts[:, 0] = _TAGS[0]
+    contexts[:, 1] = _mix(np.full_like(event, _TAGS[1]), one)
+    contexts[:, 2] = _mix(_mix(np.full_like(event, _TAGS[2]), two), one)
+    return _mix(contexts, event[:, None]).view(np.int64), contexts.view(np.int64)
 
 
 def ngram_keys(symbols: list[list[int]]) -> np.ndarray:
-    """Keys (event x order) of the n-grams that end at each symbol; a key packs order, context and event exactly."""
+    """The n-grams (event x order) that end at each symbol, as pairs of hashes: context, whole."""
     n = np.array([len(s) for s in symbols], np.int64)
-    flat = np.fromiter((x for s in symbols for x in s), np.int64, int(n.sum()))
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
-    keys, packed = np.empty((len(flat), ORDER), np.int64), flat.copy()
-    for k in range(ORDER):
-        if k:
-            before = np.full(len(flat), START, np.int64)
-            before[k:] = np.where(place[k:] >= k, flat[:-k], START)
-            packed |= before << _BITS * k
-        keys[:, k] = packed | k << 60
-    return keys
-
-
-def ngram_counts(docs: DataFrame, hot, train_mod: int, scored: int) -> DataFrame:
-    """``key, n_est, n_held`` of the n-grams of the training documents; ``hot`` is a broadcast."""
-
-    def count(batch: pa.RecordBatch) -> dict:
-        deep = batch.column(0).to_pylist()
-        symbols = [symbols_of(t, hot.value) for t in texts_of(batch)]
-        unique, at = np.unique(ngram_keys(symbols).ravel(), return_inverse=True)
-        est = np.repeat(np.repeat(deep, [len(s) for s in symbols]), ORDER)
-        total, n_est = np.bincount(at, minlength=len(unique)), np.bincount(at[est], minlength=len(unique))
-        return {"key": unique, "n_est": n_est, "n_held": total - n_est}
-
-    source = docs.filter(fold("doc_id", train_mod) != scored).select((fold("doc_id", train_mod * HELD_OUT) >= train_mod).alias("deep"), "text")
-    rows = map_slices(source, count, "key long, n_est long, n_held long")
-    return rows.groupBy("key").agg(F.sum("n_est").alias("n_est"), F.sum("n_held").alias("n_held"))
+    keys, contexts = _hashes(np.fromiter((x for s in symbols for x in s), np.int64, int(n.sum())), n)
+    out = np.empty(keys.shape, [("context", np.int64), ("key", np.int64)])
+    out["context"], out["key"] = contexts, keys
+    return out
+
+
+def mixed(counts: np.ndarray, totals: np.ndarray, unknown: float, uniform: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each event's estimates (uniform, then by order) and the bucket of its context's frequency.
+
+    ``counts`` and ``totals`` are of its n-grams and their contexts (event x
+    order); an event without a count is of the unknown type.
+    """
+    out = np.empty((len(counts), ORDER + 1))
+    out[:, 0] = uniform
+    out[:, 1:] = counts / np.maximum(totals, 1)
+    out[:, 1] = np.where(counts[:, 0] > 0, counts[:, 0], unknown) / np.maximum(totals[:, 0] + unknown, 1)
+    long, short = totals[:, ORDER - 1], totals[:, ORDER - 2]
+    level = np.minimum(np.log2(1 + np.where(long > 0, long, short)).astype(np.int64), _HALF - 1)
+    return out, level + _HALF * (long > 0)
+
+
+def log10_of(p: np.ndarray, bucket: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.log10((p * weights[bucket]).sum(axis=1))
+
+
+def uses_of(p: np.ndarray, bucket: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Expected uses of each estimate, by bucket."""
+    share = p * weights[bucket]
+    share /= share.sum(axis=1, keepdims=True)
+    return np.stack([np.bincount(bucket, share[:, j], BUCKETS) for j in range(ORDER + 1)], axis=1)
+
+
+def first_weights() -> np.ndarray:
+    return _AVAILABLE / _AVAILABLE.sum(axis=1, keepdims=True)
 
 
 class Mixture:
-    """Maximum-likelihood estimates of n-grams as sorted arrays, and mixture weights by bucket."""
+    """The same mixture over a table of n-grams in memory."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, n_symbols: int):
-        order = np.argsort(keys)
-        self.keys, counts = keys[order], counts[order].astype(float)
-        context = self._context(self.keys)
-        self.contexts, at = np.unique(context, return_inverse=True)
-        self.totals = np.bincount(at, counts, len(self.contexts)) if len(keys) else np.zeros(0)
-        self.ml = counts / self.totals[at] if len(keys) else np.zeros(0)
-        self.uniform, self.weights = 1 / n_symbols, np.full((BUCKETS, ORDER + 1), 1 / (ORDER + 1))
-
-    @staticmethod
-    def _context(keys: np.ndarray) -> np.ndarray:
-        """A key without its event, its order kept."""
-        order = keys >> 60
-        return (keys & (1 << 60) - 1) >> _BITS | order << 60
+        order = np.argsort(keys["key"])
+        self.keys, self.counts = keys["key"][order], counts[order].astype(float)
+        self.contexts, at = np.unique(keys["context"][order], return_inverse=True)
+        self.totals = np.bincount(at, self.counts, len(self.contexts))
+        self.uniform, self.weights = 1 / n_symbols, first_weights()
 
     @staticmethod
     def _get(table: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        if not len(table):
-            return np.zeros(keys.shape)
         at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
         return np.where(table[at] == keys, values[at], 0.0)
 
     def estimates(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each event's estimates (uniform, then by order) and the bucket of its context's frequency."""
-        out = np.empty((len(keys), ORDER + 1))
-        out[:, 0] = self.uniform
-        for k in range(ORDER):
-            out[:, k + 1] = self._get(self.keys, self.ml, keys[:, k])
-        half = BUCKETS // 2
-        long, short = (self._get(self.contexts, self.totals, self._context(keys[:, k])) for k in (ORDER - 1, ORDER - 2))
-        level = np.minimum(np.log2(1 + np.where(long > 0, long, short)).astype(np.int64), half - 1)
-        return out, level + half * (long > 0)
+        return mixed(self._get(self.keys, self.counts, keys["key"]), self._get(self.contexts, self.totals, keys["context"]), 0, self.uniform)
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
-        p, bucket = self.estimates(keys)
-        return np.log10((p * self.weights[bucket]).sum(axis=1))
+        return log10_of(*self.estimates(keys), self.weights)
 
     def posterior(self, keys: np.ndarray) -> np.ndarray:
-        """Expected uses of each estimate, by bucket."""
-        p, bucket = self.estimates(keys)
-        share = p * self.weights[bucket]
-        share /= share.sum(axis=1, keepdims=True)
-        return np.stack([np.bincount(bucket, share[:, j], BUCKETS) for j in range(ORDER + 1)], axis=1)
-
-
-def fit(docs: DataFrame, hot, train_mod: int, scored: int) -> Mixture:
-    """The symbol model; ``hot`` is a broadcast of :func:`hot_table`."""
-    spark = docs.sparkSession
-    n_symbols = FIRST_WORD + len(hot.value)
-    grams = materialize(ngram_counts(docs, hot, train_mod, scored), "ngrams")
-    events = grams.filter(F.shiftright("key", 60) == 0).agg(F.sum(F.col("n_est") + F.col("n_held"))).first()[0] or 0
-    kept = grams.filter((F.col("n_est") + F.col("n_held")) * KEPT_NGRAMS >= events).toArrow()  # KEPT_NGRAMS for each order at most
-    keys, est, held = (kept.column(n).to_numpy() for n in ("key", "n_est", "n_held"))
-    model, final = Mixture(keys[est > 0], est[est > 0], n_symbols), Mixture(keys, est + held, n_symbols)
-    tested = docs.filter((fold("doc_id", train_mod) != scored) & (fold("doc_id", train_mod * HELD_OUT) < train_mod))
-    symbols = materialize(map_slices(tested.select("text"), lambda b: {"symbols": [symbols_of(t, hot.value) for t in texts_of(b)]}, "symbols array<int>"), "held_out")
+        return uses_of(*self.estimates(keys), self.weights)
+
+
+def cut(docs: DataFrame, train_mod: int, scored: int) -> DataFrame:
+    """``slice, payload``: bounded parts of the corpus, packed."""
+
+    def pack(batch: pa.RecordBatch) -> dict:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(pa.RecordBatch.from_arrays([c.take(pa.array(range(len(c)), pa.int64())) for c in batch.columns], schema=batch.schema))
+        pack.made += 1
+        return {"slice": [TaskContext.get().partitionId() << 32 | pack.made], "payload": [sink.getvalue().to_pybytes()]}
+
+    pack.made = 0
+    part = F.when(fold("doc_id", train_mod) == scored, SCORED).when(fold("doc_id", train_mod * HELD_OUT) >= train_mod, ESTIMATED).otherwise(HELD)
+    return map_slices(docs.select("doc_id", part.cast("int").alias("part"), "text"), pack, "slice long, payload binary")
+
+
+class Slice:
+    """The n-grams of one slice and their counts in its two training parts."""
+
+    def __init__(self, payload: bytes):
+        batch = pa.ipc.open_stream(payload).read_next_batch()
+        self.doc_id, self.part = batch.column(0), batch.column(1).to_numpy()
+        flat, self.n = symbols_of(texts_of(batch))
+        hashes = _hashes(flat, self.n)[0]
+        self.keys, at = np.unique(hashes.ravel(), return_inverse=True)
+        self.at = at.reshape(hashes.shape)
+        part = np.repeat(self.part, self.n)
+        self.n_est, self.n_held = (np.bincount(self.at[part == p].ravel(), minlength=len(self.keys)) for p in (ESTIMATED, HELD))
+
+
+def shared_counts(slices: DataFrame) -> DataFrame:
+    """``slice, key, n_est, n_held, owner``: counts in all slices, for each n-gram and slice of those that have several."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = "key long, slice long, n_est long, n_held long"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def count(batches):
+        for batch in batches:
+            for i, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = Slice(payload.as_py())
+                out = pa.RecordBatch.from_arrays([pa.array(c) for c in (s.keys, np.full(len(s.keys), i), s.n_est, s.n_held)], schema=arrow)
+                for start in range(0, len(out), 1 << 16):
+                    yield out.slice(start, 1 << 16)
+
+    one = Window.partitionBy("key")
+    return (
+        slices.mapInArrow(count, schema)
+        .select("slice", "key", *[F.sum(c).over(one).alias(c) for c in ("n_est", "n_held")], F.count("slice").over(one).alias("n"), (F.min("slice").over(one) == F.col("slice")).alias("owner"))
+        .filter("n > 1")
+        .drop("n")
+    )
+
+
+def look_up(slices: DataFrame, shared: DataFrame) -> DataFrame:
+    """Each document with the counts of its n-grams, ``c1, c2, c3`` of all training documents.
+
+    Held training documents have those of the estimating part too, ``e1, e2,
+    e3``.  The first row of a slice has the numbers of types, and of types seen
+    once, that no other slice reports.
+    """
+    counts = [*(f"c{k + 1}" for k in range(ORDER)), *(f"e{k + 1}" for k in range(ORDER))]
+    numbers = ("types", "once", "types_est", "once_est")
+    schema = "doc_id long, part int, n_tokens long, n_known long, base double, " + ", ".join([*(f"{c} array<long>" for c in counts), *(f"{c} long" for c in numbers)])
+
+    def fill(left: pa.Table, right: pa.Table) -> pa.Table:
+        s = Slice(left.column("payload")[0].as_py())
+        owner = np.ones(len(s.keys), bool)
+        at = np.searchsorted(s.keys, right.column("key").to_numpy())
+        s.n_est[at], s.n_held[at] = right.column("n_est").to_numpy(), right.column("n_held").to_numpy()
+        owner[at] = right.column("owner").to_numpy(zero_copy_only=False)
+        every = s.n_est + s.n_held
+        word = np.zeros(len(s.keys), bool)
+        word[s.at[:, 0]] = True
+        own = owner & word
+        c, begin = every[s.at], np.cumsum(s.n) - s.n
+        held = s.part == HELD
+        e = s.n_est[s.at[np.repeat(held, s.n)]]
+        ends, held_ends = np.concatenate([[0], np.cumsum(s.n)]), np.concatenate([[0], np.cumsum(np.where(held, s.n, 0))])
+        lists = [pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(np.ascontiguousarray(v[:, k]))) for o, v in ((ends, c), (held_ends, e)) for k in range(ORDER)]
+        said = [(own & (every > 0)).sum(), (own & (every == 1)).sum(), (own & (s.n_est > 0)).sum(), (own & (s.n_est == 1)).sum()]
+        columns = [
+            s.doc_id,
+            pa.array(s.part, pa.int32()),
+            pa.array(s.n),
+            pa.array(np.add.reduceat((c[:, 0] > 0).astype(np.int64), begin)),
+            pa.array(np.add.reduceat(np.log10(c[:, 0] + 1.0), begin)),
+            *lists,
+            *[pa.array([int(x)] + [0] * (len(s.n) - 1), pa.int64()) for x in said],
+        ]
+        return pa.table(columns, names=["doc_id", "part", "n_tokens", "n_known", "base", *counts, *numbers])
+
+    return slices.groupBy("slice").cogroup(shared.groupBy("slice")).applyInArrow(fill, schema)
+
+
+def _numbers(batch: pa.RecordBatch, first: int, n_docs: int, n_all: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts and context totals (event x order) of a batch's documents, and the length of each."""
+    lists = [batch.column(first + k) for k in range(ORDER)]
+    n = pc.list_value_length(lists[0]).to_numpy().astype(np.int64)
+    counts = np.stack([v.flatten().to_numpy() for v in lists], axis=1)
+    totals = np.empty_like(counts)
+    totals[:, 0] = n_all
+    for k in range(1, ORDER):
+        totals[:, k] = _before(counts[:, k - 1], n, n_docs)
+    return counts, totals, n
+
+
+def fit(looked: DataFrame, n_docs: int, n_all: int, unknown: int, types: int) -> np.ndarray:
+    """The weights by bucket, from the held documents; the numbers are of the estimating part."""
+    weights = first_weights()
+    held = looked.filter(F.col("part") == HELD).select("e1", "e2", "e3")
     for _ in range(EM_STEPS):
-        sent = spark.sparkContext.broadcast(model)
 
-        def expect(batch: pa.RecordBatch, sent=sent) -> dict:
-            return {"uses": [sent.value.posterior(ngram_keys(batch.column(0).to_pylist())).ravel().tolist()]}
+        def expect(batch: pa.RecordBatch, weights=weights) -> dict:
+            counts, totals, _ = _numbers(batch, 0, n_docs, n_all)
+            return {"uses": [uses_of(*mixed(counts, totals, unknown, 1 / (types + 1)), weights).ravel().tolist()]}
 
-        sums = map_slices(symbols, expect, "uses array<double>", "symbols").agg(F.array(*[F.sum(F.col("uses")[i]) for i in range(BUCKETS * (ORDER + 1))])).first()
+        sums = map_slices(held, expect, "uses array<double>", "e1").agg(F.array(*[F.sum(F.col("uses")[i]) for i in range(BUCKETS * (ORDER + 1))])).first()
         if sums[0][0] is None:  # nothing was held out
             break
         uses = np.array(sums[0]).reshape(BUCKETS, ORDER + 1)
         # a bucket with little evidence leans to the weights of all
         uses += 10 * uses.sum(axis=0) / max(uses.sum(), 1e-9) + 1e-6
-        model.weights = uses / uses.sum(axis=1, keepdims=True)
-        sent.unpersist()
-    final.weights = model.weights
-    return final
+        uses *= _AVAILABLE
+        weights = uses / uses.sum(axis=1, keepdims=True)
+    return weights
 
 
 def score(docs: DataFrame, train_mod: int = 7, scored: int = 2) -> DataFrame:
@@ -202,70 +297,31 @@ def score(docs: DataFrame, train_mod: int = 7, scored: int = 2) -> DataFrame:
     ignored.  An empty table gives no rows; without training documents all words
     are unknown and the model is uniform.
     """
-    spark = docs.sparkSession
-    words = materialize(word_table(docs, train_mod, scored), "words")
-    count = F.col("n_est") + F.col("n_held")
-    n_words, n_all, v_words, once = words.agg(F.sum(count), F.sum("n_all"), F.count_if(count > 0), F.count_if(count == 1)).first()
-    n_words, n_all = n_words or 0, n_all or 0
-    ends = docs.filter(fold("doc_id", train_mod) != scored).count()
-    total, vocabulary = n_words + ends, v_words + (ends > 0)
-    hot = spark.sparkContext.broadcast(hot_table(words, n_all))
-    model = spark.sparkContext.broadcast(fit(docs, hot, train_mod, scored))
-    unknown = max(once, 1)
-    n_rare = n_words - sum(n for s, n in hot.value.values() if s != RARE) + unknown
-    log_unknown = float(np.log10(unknown / n_rare))
-
-    def by_symbols(batch: pa.RecordBatch) -> dict:
-        table, task, rare_word = hot.value, TaskContext.get().partitionId(), (RARE, None)
-        out: dict[str, list] = {c: [] for c in ("row", "n_tokens", "n_known", "base", "lp", "keys", "times")}
-        symbols = []
-        for text in texts_of(batch, "text"):
-            words = tokens(text)
-            symbols.append([*(table.get(w, rare_word)[0] for w in words), END])
-            times = Counter(words)
-            found = [(*table[w], n) for w, n in times.items() if w in table]
-            rare = [(word_key(w), n) for w, n in times.items() if w not in table]
-            by_symbols.row += 1
-            out["row"].append(task << 40 | by_symbols.row)
-            out["n_tokens"].append(len(words) + 1)
-            out["n_known"].append(sum(n for _, c, n in found if c))
-            out["base"].append(sum(math.log10(c + 1) * n for _, c, n in found))
-            out["lp"].append(sum(math.log10((c or unknown) / n_rare) * n for s, c, n in found if s == RARE))
-            out["keys"].append([k for k, _ in rare])
-            out["times"].append([n for _, n in rare])
-        lp = model.value.log10(ngram_keys(symbols))
-        begin = np.cumsum([0, *map(len, symbols)])[:-1]
-        out["lp"] = (np.array(out["lp"]) + np.add.reduceat(lp, begin)).tolist()
-        return out | {"doc_id": batch.column(0), "held_out": batch.column(1)}
-
-    by_symbols.row = 0
-    schema = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, lp double, keys array<long>, times array<int>"
-    partial = materialize(map_slices(docs.select("doc_id", (fold("doc_id", train_mod) == scored).alias("held_out"), "text"), by_symbols, schema), "partial")
-    rare = partial.select("row", F.explode(F.arrays_zip("keys", "times")).alias("w")).select("row", F.col("w.keys").alias("key"), F.col("w.times").alias("times"))
-
-    def keyed(batch: pa.RecordBatch) -> dict:
-        return {"key": [word_key(w) for w in batch.column(0).to_pylist()], "n": batch.column(1)}
-
-    cold = map_slices(words.filter(F.col("n_all") * HOT_WORDS < n_all).select("word", count.alias("n")), keyed, "key long, n long", "word")
-    n = F.col("n")
-    added = (
-        rare.join(cold, "key")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known2"),
-            F.sum(F.log10(n + 1) * F.col("times")).alias("base2"),
-            F.sum(F.when(n > 0, F.log10(n / F.lit(n_rare))).otherwise(log_unknown) * F.col("times")).alias("lp2"),
-        )
-    )
-    floor = float(np.log10(total + vocabulary + 1))
-    return partial.drop("keys", "times").join(added, "row", "left").select(
+    slices = materialize(cut(docs, train_mod, scored), "slices")
+    looked = materialize(look_up(slices, shared_counts(slices)), "looked")
+    release(slices)
+    sums = looked.agg(
+        *[F.sum(c).alias(c) for c in ("types", "once", "types_est", "once_est")],
+        *[F.sum(F.when(F.col("part").isin(parts), c).otherwise(0)).alias(n) for n, c, parts in (("n", F.col("n_tokens"), [ESTIMATED, HELD]), ("n_est", F.col("n_tokens"), [ESTIMATED]), ("docs", F.lit(1), [ESTIMATED, HELD]), ("docs_est", F.lit(1), [ESTIMATED]))],
+    ).first()
+    types, once, types_est, once_est, total, n_est, n_docs, docs_est = (x or 0 for x in sums)
+    weights = fit(looked, docs_est, n_est, max(once_est, 1), types_est)
+
+    def evaluate(batch: pa.RecordBatch) -> dict:
+        counts, totals, n = _numbers(batch, 4, n_docs, total)
+        lp = log10_of(*mixed(counts, totals, max(once, 1), 1 / (types + 1)), weights)
+        return {c: batch.column(i) for i, c in enumerate(("doc_id", "held_out", "n_tokens", "n_known"))} | {"base": batch.column(7), "score": np.add.reduceat(lp, np.cumsum(n) - n)}
+
+    source = looked.select("doc_id", (F.col("part") == SCORED).alias("held_out"), "n_tokens", "n_known", "c1", "c2", "c3", "base")
+    floor = float(np.log10(total + types + 1))
+    return map_slices(source, evaluate, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double", "c1").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("known2", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
+        "n_known",
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base2", F.lit(0.0)) + F.lit(float(np.log10(ends + 1))) - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-        (F.col("lp") + F.coalesce("lp2", F.lit(0.0))).alias("score"),
+        (F.col("base") - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
+        "score",
     )
 
 

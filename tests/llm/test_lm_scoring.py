@@ -68,3 +68,46 @@ def test_em_raises_held_out_likelihood():
         m.weights = uses / uses.sum(axis=1, keepdims=True)
         assert m.log10(held).sum() >= before - 1e-6
         before = m.log10(held).sum()
+
+
+def test_scores_use_every_ngram(spark):
+    """The scores against the same mixture over all words and n-grams of the corpus in plain Python; a small share of all is enough to count."""
+    rng = np.random.default_rng(1)
+    texts = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) if x < 10**6)) for i in range(300)]
+    part = lambda d: 0 if L.crc_fold(d, 7) == 2 else 1 if L.crc_fold(d, 70) >= 7 else 2
+    rows = {r["doc_id"]: r for r in L.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()}
+
+    def count(parts):
+        grams, ctx, words = Counter(), Counter(), Counter()
+        for d, t in texts:
+            if part(d) in parts:
+                k = [0, 0, *tokens(t)]
+                for i in range(2, len(k)):
+                    words[k[i]] += 1
+                    for o in (1, 2):
+                        grams[o, *k[i - o : i + 1]] += 1
+                        ctx[o, *k[i - o : i]] += 1
+        return grams, ctx, words
+
+    def features(text, counted):
+        grams, ctx, words = counted
+        n, unknown = sum(words.values()), max(sum(c == 1 for c in words.values()), 1)
+        k = [0, 0, *tokens(text)]
+        for i in range(2, len(k)):
+            short, long = ctx[1, k[i - 1]], ctx[2, k[i - 2], k[i - 1]]
+            p = [1 / (len(words) + 1), (words[k[i]] or unknown) / (n + unknown)]
+            p += [grams[1, *k[i - 1 : i + 1]] / short if short else 0, grams[2, *k[i - 2 : i + 1]] / long if long else 0]
+            yield p, min(int(math.log2(1 + (long or short))), 15) + 16 * (long > 0)
+
+    held = [f for d, t in texts if part(d) == 2 for f in features(t, count({1}))]
+    may = np.array([[1, 1, b > 0, b > 15] for b in range(32)], float)
+    weights = may / may.sum(axis=1, keepdims=True)
+    for _ in range(L.EM_STEPS):
+        uses = np.zeros((32, 4))
+        for p, b in held:
+            uses[b] += np.array(p) * weights[b] / (np.array(p) @ weights[b])
+        uses = (uses + 10 * uses.sum(axis=0) / uses.sum() + 1e-6) * may
+        weights = uses / uses.sum(axis=1, keepdims=True)
+    counted = count({1, 2})
+    for d, t in texts:
+        assert abs(rows[d]["score"] - sum(math.log10(np.array(p) @ weights[b]) for p, b in features(t, counted))) < 1e-6
