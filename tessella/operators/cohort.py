@@ -114,8 +114,22 @@ def notes_of(selected: DataFrame, notes: DataFrame) -> DataFrame:
 
 
 def nearest_note(studies: DataFrame, notes: DataFrame, days: int) -> DataFrame:
-    """Each study with the subject's note nearest in time within ``days``; the earlier one at ties."""
-    gap = F.abs(F.unix_micros(F.col("study_datetime").cast("timestamp")) - F.unix_micros(F.col("note_datetime").cast("timestamp")))
-    pairs = studies.join(notes, "subject_id").filter(gap <= days * 86_400_000_000)
-    best = pairs.groupBy("study_id").agg(F.min(F.struct(gap.alias("gap"), "note_datetime", "note_id")).alias("b"))
+    """Each study with the subject's note nearest in time within ``days``; the earlier one at ties.
+
+    Studies meet the notes of their subject and bucket of ``days``, and of the
+    buckets beside it.  The nearest note is the last one up to the study or the
+    first one after it, so both are merged in time order and no pairs are formed.
+    """
+    width = days * 86_400_000_000
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    bucket = F.floor(F.col("_t") / max(width, 1))
+    one_each = notes.groupBy("subject_id", "note_datetime").agg(F.min(F.struct("note_id")).alias("_id")).withColumn("_t", at("note_datetime"))
+    told = one_each.select("subject_id", "_t", F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("_bucket"), F.struct("_t", "note_datetime", "_id.note_id").alias("_note"))
+    asked = studies.select("subject_id", "study_id", at("study_datetime").alias("_t")).withColumn("_bucket", bucket)
+    rows = told.unionByName(asked, allowMissingColumns=True).filter("subject_id IS NOT NULL AND _t IS NOT NULL")
+    group, is_study = Window.partitionBy("subject_id", "_bucket"), F.col("_note").isNull()
+    up_to, back_to = group.orderBy("_t", is_study), group.orderBy(F.desc("_t"), is_study.desc())
+    beside = rows.withColumns({n: F.last("_note", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for n, w in (("_a", up_to), ("_b", back_to))})
+    pairs = beside.filter(is_study).select("study_id", "_t", F.explode(F.array("_a", "_b")).alias("_n")).withColumn("gap", F.abs(F.col("_t") - F.col("_n._t"))).filter(F.col("gap") <= width)
+    best = pairs.groupBy("study_id").agg(F.min(F.struct("gap", "_n.note_datetime", "_n.note_id")).alias("b"))
     return studies.join(best, "study_id", "left").select(*studies.columns, F.col("b.note_id").alias("note_id"), F.col("b.gap").alias("gap_us"))

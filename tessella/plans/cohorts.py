@@ -106,7 +106,7 @@ p AS (SELECT study_id, note_id, abs(epoch_us(study_datetime) - epoch_us(note_dat
 b AS (SELECT *, row_number() OVER (PARTITION BY study_id ORDER BY gap, note_datetime, note_id) AS rn FROM p) SELECT s.study_id, b.note_id, b.gap AS gap_us FROM s LEFT JOIN b ON b.study_id = s.study_id AND rn = 1""")
 def nearest_note_in_time(spark, sf_dir):
     notes = table(spark, sf_dir, "events").select(F.col("event_id").alias("note_id"), F.col("user_id").alias("subject_id"), F.col("ts").alias("note_datetime"))
-    studies = table(spark, sf_dir, "orders").filter("o_custkey <= 150").select(F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("study_id"), (F.col("o_orderdate") + F.expr("INTERVAL 9500 DAY")).alias("study_datetime"))
+    studies = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("study_id"), (F.col("o_orderdate") + F.expr("INTERVAL 9500 DAY")).alias("study_datetime"))
     return cohort.nearest_note(studies, notes, 30).select("study_id", "note_id", "gap_us")
 
 

@@ -180,3 +180,38 @@ def test_leave_one_out(spark):
     assert got == {(1, "a"): (1.0, [2.0, None]), (1, "b"): (2.0, [1.0, None]), (2, "b"): (3.0, [None, 4.0]), (2, "c"): (4.0, [None, 3.0])}
     both = features.concat_modalities(features.leave_one_out(wide, ["a", "b"]).drop("task_col"), spark.createDataFrame([(1, [9.0])], "study_id long, features array<double>"))
     assert sorted(r["features"] for r in both.collect()) == [[1.0, 9.0], [2.0, 9.0]]
+
+
+def test_nearest_note(spark):
+    import datetime
+    import random
+
+    rng, start = random.Random(4), datetime.datetime(2020, 1, 1)
+    when = lambda: start + datetime.timedelta(hours=rng.randrange(0, 4000, 6))
+    notes = [(i, rng.choice([1, 1, 1, 2, None]), rng.choice([when(), when(), when(), None])) for i in range(150)]
+    studies = [(i, rng.choice([1, 1, 2, 3, None]), rng.choice([when(), when(), when(), None])) for i in range(150)]
+    want = {}
+    for i, subject, t in studies:
+        near = [(abs(t - n), n, k) for k, s, n in notes if s == subject and n and abs(t - n) <= datetime.timedelta(3)] if t and subject else []
+        gap, _, note = min(near, default=(None, None, None))
+        want[i] = (note, None if gap is None else gap // datetime.timedelta(microseconds=1))
+    frames = [spark.createDataFrame(rows, f"{n}_id long, subject_id long, {n}_datetime timestamp") for n, rows in (("study", studies), ("note", notes))]
+    got = {r["study_id"]: (r["note_id"], r["gap_us"]) for r in cohort.nearest_note(*frames, 3).collect()}
+    assert got == want
+
+
+def test_nearest_note_forms_no_pairs(spark):
+    times = spark.range(20_000).select(F.lit(1).alias("subject_id"), F.col("id").alias("study_id"), F.timestamp_seconds(F.col("id") % 1000).alias("study_datetime"))
+    out = cohort.nearest_note(times, times.select("subject_id", F.col("study_id").alias("note_id"), F.col("study_datetime").alias("note_datetime")), 1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "(subject_id" not in "".join(line for line in plan.splitlines() if "Join" in line)
+    assert out.filter("gap_us = 0 AND note_id = study_id % 1000").count() == 20_000
+
+
+def test_nearest_note_query_asks_for_all_subjects(spark, tmp_path):
+    """Subjects of any id are searched, beyond those of the smallest tables too."""
+    from tessella.plans import registry
+
+    spark.sql("SELECT CAST(7 AS BIGINT) AS event_id, CAST(151 AS BIGINT) AS user_id, TIMESTAMP '2020-01-02' AS ts").write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql("SELECT CAST(151 AS BIGINT) AS o_custkey, CAST(5 AS BIGINT) AS o_orderkey, TIMESTAMP '2020-01-01' - INTERVAL 9500 DAY AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    assert [tuple(r) for r in registry.queries()["nearest_note_in_time"](spark, str(tmp_path)).collect()] == [(5, 7, 86_400_000_000)]
