@@ -64,6 +64,11 @@ def _h(spark, sf_dir):
     return measurements.harmonise(view(spark, sf_dir, "measurements"))
 
 
+def _n_studies(spark: SparkSession, sf_dir: str) -> int:
+    """The studies of the table, with or without a usable value."""
+    return view(spark, sf_dir, "measurements").agg(F.countDistinct("study_id")).first()[0]
+
+
 def _profile(spark, sf_dir):
     n = view(spark, sf_dir, "measurements").select("study_id").distinct().count()
     return measurements.canonical_profile(_h(spark, sf_dir), n)
@@ -129,7 +134,7 @@ def panel_task_metadata(spark, sf_dir):
     h = _h(spark, sf_dir)
     tasks = measurements.preferred_units(h)
     more = tasks.unionByName(spark.createDataFrame([("no_such_task", "mm")], "canonical_measurement string, preferred_unit string"))
-    out = measurements.supported(measurements.task_metadata(measurements.panel_long(h, tasks), more, 10_000), 2000, 500)
+    out = measurements.supported(measurements.task_metadata(measurements.panel_long(h, tasks), more, _n_studies(spark, sf_dir)), 2000, 500)
     return out.withColumns({c: F.round(c, 6) for c in ("study_coverage_with_value", "missing_rate", "p05", "p50", "p95")})
 
 
@@ -148,13 +153,13 @@ SELECT feature, n_studies, round(n_studies / 14743.0, 6) AS coverage, regexp_mat
 )
 def feature_coverage(spark, sf_dir):
     long = _h(spark, sf_dir).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
-    return features.coverage(long, "feature", 14743, 0.25).withColumn("coverage", F.round("coverage", 6))
+    return features.coverage(long, "feature", _n_studies(spark, sf_dir), 0.25).withColumn("coverage", F.round("coverage", 6))
 
 
 @query(_HARMONISED + ", f AS (SELECT DISTINCT study_id, measurement_clean FROM h WHERE result_numeric IS NOT NULL) SELECT count(DISTINCT measurement_clean) AS n_features, count(*) AS n_cells, round(1 - count(*) / (count(DISTINCT measurement_clean) * 14743.0), 6) AS missing_rate FROM f")
 def feature_missing_rate(spark, sf_dir):
     long = _h(spark, sf_dir).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
-    return features.missing_rate(long, "feature", 14743).withColumn("missing_rate", F.round("missing_rate", 6))
+    return features.missing_rate(long, "feature", _n_studies(spark, sf_dir)).withColumn("missing_rate", F.round("missing_rate", 6))
 
 
 @query(cte("measurements") + rf""" SELECT DISTINCT p_type AS raw, {_text("p_type")} AS v1, trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(p_type)), '[_/]+', ' ', 'g'), '[^a-z0-9%+\-\s]', ' ', 'g'), '\s+', ' ', 'g')) AS v2 FROM part

@@ -215,3 +215,21 @@ def test_nearest_note_query_asks_for_all_subjects(spark, tmp_path):
     spark.sql("SELECT CAST(7 AS BIGINT) AS event_id, CAST(151 AS BIGINT) AS user_id, TIMESTAMP '2020-01-02' AS ts").write.parquet(f"{tmp_path}/events.parquet")
     spark.sql("SELECT CAST(151 AS BIGINT) AS o_custkey, CAST(5 AS BIGINT) AS o_orderkey, TIMESTAMP '2020-01-01' - INTERVAL 9500 DAY AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
     assert [tuple(r) for r in registry.queries()["nearest_note_in_time"](spark, str(tmp_path)).collect()] == [(5, 7, 86_400_000_000)]
+
+
+@pytest.mark.parametrize("name, constant", [("feature_coverage", "14743.0"), ("feature_missing_rate", "14743.0"), ("panel_task_metadata", "10000.0")])
+def test_shares_are_of_the_studies_of_the_table(spark, name, constant):
+    """The query's SQL, which divides by a constant, with the number of studies of the smallest table in its place."""
+    import duckdb
+
+    from tessella.plans import registry
+
+    sf, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in ("lineitem", "orders", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    n = con.execute("SELECT count(DISTINCT l_orderkey) FROM lineitem").fetchone()[0]
+    cursor = con.execute(registry.oracle_sql()[name].replace(constant, f"{n}.0"))
+    names, want = [d[0] for d in cursor.description], cursor.fetchall()
+    got = [tuple(r) for r in registry.queries()[name](spark, sf).select(*names).collect()]
+    plain = lambda rows: sorted(str([float(v) if isinstance(v, (int, float)) else v for v in r]) for r in rows)
+    assert f"{n}.0" != constant and plain(got) == plain(want)
