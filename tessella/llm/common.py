@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 import zlib
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a Python task works on at a time; bounds a task's memory.
 SLICE_BYTES = 4 << 20
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _caches: dict[str, Callable[[], None]] = {}
 _made: list[tuple[SparkSession, str]] = []
 
@@ -22,11 +24,14 @@ _made: list[tuple[SparkSession, str]] = []
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    ``spark.checkpoint.dir`` of the session is used; a local folder is set only
-    where that setting is absent (a local session, as in tests).
+    ``spark.checkpoint.dir`` of the session is used.  A local session without
+    that setting, as in tests, gets a folder of its own; on a cluster executors
+    would not see one, so there its absence is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tessella-")
         spark.sparkContext.setCheckpointDir(shared)
     return shared.rstrip("/")
@@ -36,11 +41,17 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts lineage: a lost executor repeats its own tasks only, and the table is
-    read with column pruning as often as it is needed.
+    read with column pruning as often as it is needed.  Once it is written,
+    nothing reads the shuffles it came from, so Spark may delete their files.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tessella-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     _made.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._tessella_path = path
@@ -94,7 +105,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(start)
 
 
-def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text") -> DataFrame:
+def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` over text slices; ``fn`` maps a slice to columns of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -103,7 +114,7 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 out = fn(part)
                 yield pa.RecordBatch.from_arrays(
                     [v if isinstance(v := out[f.name], pa.Array) and v.type == f.type else pa.array(v, f.type) for f in arrow], schema=arrow

@@ -4,9 +4,10 @@ Only the histogram of piece lengths (as many numbers as a sequence has tokens)
 reaches the driver.  The configuration LP asks for the fewest sequences whose
 length multisets ("configurations") cover the histogram.  It is solved by
 multiplicative weights: each length has a price, a knapsack dynamic program
-finds the configuration of highest price, that configuration is used, and the
-prices of the lengths it covers fall.  The fractional solution is rounded down,
-the rest is solved again, and the last few pieces are placed best-fit.
+finds the configurations of highest price, these are used, and the prices of the
+lengths they cover fall, until all are covered and the dual bound is near.  The
+fractional solution is rounded down, the rest is solved again, and the last few
+pieces are placed best-fit.  This holds at every size of the table.
 
 Pieces learn their sequence from their length and their rank among the pieces
 of that length.  A task numbers its own pieces; the counts by task and length
@@ -27,14 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import map_slices, materialize, texts_of
+from tessella.llm.common import SLICE_BYTES, map_slices, materialize, release
 from tessella.llm.pretokens import encoder
 
 TOKENIZER, END_ID, CAPACITY = "byte_bpe_50k.json", 2, 1024
 
 
-def price_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> Counter:
-    """The multiset of ``lengths`` of highest total price that fits: unbounded knapsack by dynamic programming."""
+def price_configurations(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack by dynamic programming: the highest total price for each room up to ``capacity``, and the length taken there (-1: none)."""
     best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     n_fit = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
@@ -43,40 +44,51 @@ def price_configuration(lengths: np.ndarray, prices: np.ndarray, capacity: int)
             value = best[c - lengths[:k]] + prices[:k]
             if value[i := int(value.argmax())] > best[c]:
                 best[c], take[c] = value[i], i
-    out, c = Counter(), capacity
-    while c > 0:
-        if take[c] < 0:
-            c -= 1
+    return best, take
+
+
+def fill(lengths: np.ndarray, take: np.ndarray, room: int) -> Counter:
+    """The multiset of length indices of highest price in ``room``."""
+    out = Counter()
+    while room > 0:
+        if take[room] < 0:
+            room -= 1
         else:
-            out[int(take[c])] += 1
-            c -= int(lengths[take[c]])
+            out[int(take[room])] += 1
+            room -= int(lengths[take[room]])
     return out
 
 
-def fractional_cover(counts: dict[int, int], capacity: int, rounds: int = 300, rate: float = 0.5) -> tuple[dict[tuple, float], float]:
+def fractional_cover(counts: dict[int, int], capacity: int, turns: int = 8, rate: float = 0.5, gap: float = 0.002, at_once: int = 64) -> tuple[dict[tuple, float], float]:
     """Configurations with amounts that cover ``counts``, and a lower bound on the number of sequences.
 
-    The bound is the best LP dual seen: the total price of all pieces over the
-    highest price of a configuration.
+    Turn by turn each length is covered once more, by the configuration of
+    highest price that holds it; prices fall with what is covered, and are
+    computed anew after ``at_once`` configurations.  The bound is the best LP
+    dual seen: the total price of all pieces over the highest price of a
+    configuration.  The mean of the turns covers everything; turns end when it
+    is within ``gap`` of the bound.
     """
     lengths = np.array(sorted(counts), np.int64)
     need = np.array([counts[i] for i in lengths], float)
-    covered, amounts, bound = np.zeros(len(lengths)), Counter(), 0.0
-    configs: dict[tuple, Counter] = {}
+    covered, amounts, bound, turn = np.zeros(len(lengths)), Counter(), 0.0, 0
     size = lengths / capacity
-    for _ in range(rounds):
-        # long pieces are worth a little more than their share: short ones fill gaps later
-        prices = size * (1 + size / 10) * np.exp(-rate * (covered - covered.min()))
-        c = price_configuration(lengths, prices, capacity)
-        bound = max(bound, float(prices @ need) / sum(prices[i] * a for i, a in c.items()))
-        step = min(need[i] / a for i, a in c.items())
-        key = tuple(sorted(c.items()))
-        configs[key] = c
-        amounts[key] += step
-        for i, a in c.items():
-            covered[i] += step * a / need[i]
-    scale = max(covered.min(), 1.0)
-    return {tuple((int(lengths[i]), a) for i, a in key): v / scale for key, v in amounts.items()}, bound
+    while turn < turns and not (turn and sum(amounts.values()) <= turn * bound * (1 + gap)):
+        turn += 1
+        while len(low := np.flatnonzero(covered < turn - 1e-9)):
+            # long pieces are worth a little more than their share: short ones fill gaps later
+            prices = size * (1 + size / 10) * np.exp(-rate * (covered - covered.min()))
+            best, take = price_configurations(lengths, prices, capacity)
+            bound = max(bound, float(prices @ need) / best[capacity])
+            for i in low[np.argsort(-prices[low], kind="stable")][:at_once].tolist():
+                if covered[i] < turn - 1e-9:
+                    config = fill(lengths, take, capacity - int(lengths[i]))
+                    config[i] += 1
+                    step = (turn - covered[i]) * need[i] / config[i]
+                    amounts[tuple(sorted(config.items()))] += step
+                    for j, a in config.items():
+                        covered[j] += step * a / need[j]
+    return {tuple((int(lengths[i]), a) for i, a in key): v / turn for key, v in amounts.items()}, bound
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Counter:
@@ -107,26 +119,36 @@ def best_fit(counts: dict[int, int], capacity: int) -> Counter:
     return out
 
 
+def rounded(amounts: dict[tuple, float], left: dict[int, int], capacity: int, up: float) -> tuple[list[tuple[tuple, int]], dict[int, int]]:
+    """Full configurations as often as their amount plus ``up``, rounded down, and the pieces that are left."""
+    left, plan = dict(left), []
+    full = {c: x for c, x in amounts.items() if sum(n * a for n, a in c) == capacity}
+    for config, x in sorted(full.items(), key=lambda kv: (max(n for n, _ in kv[0]), kv[1]), reverse=True):
+        times = min([int(x + up + 1e-9), *(left.get(n, 0) // a for n, a in config)])
+        if times > 0:
+            plan.append((config, times))
+            for n, a in config:
+                left[n] -= a * times
+    return plan, {k: v for k, v in left.items() if v}
+
+
 def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, passes: int = 3) -> list[tuple[tuple, int]]:
-    """``(configuration, times)`` that use each piece of the histogram exactly once."""
-    left, plan = {k: int(v) for k, v in counts.items() if v}, []
-    if left.get(capacity):
-        plan.append((((capacity, 1),), left.pop(capacity)))
-    for _ in range(passes):
-        if sum(left.values()) < 4 * len(left) or not left:
-            break
-        amounts, _ = fractional_cover(left, capacity)
-        # only full configurations: pieces of the others stay and fill gaps in later passes
-        full = {c: x for c, x in amounts.items() if sum(n * a for n, a in c) == capacity}
-        for config, x in sorted(full.items(), key=lambda kv: (max(n for n, _ in kv[0]), kv[1]), reverse=True):
-            times = min([int(x), *(left.get(n, 0) // a for n, a in config)])
-            if times > 0:
-                plan.append((config, times))
-                for n, a in config:
-                    left[n] -= a * times
-        left = {k: v for k, v in left.items() if v}
-    plan.extend(best_fit(left, capacity).items())
-    return plan
+    """``(configuration, times)`` that use each piece of the histogram exactly once.
+
+    The amounts of the first solution are rounded in three ways, of which the
+    one with the fewest sequences is taken.  Pieces that a rounding leaves are
+    solved for again where it was downwards, and at last placed best-fit.
+    """
+    left, plans = {k: int(v) for k, v in counts.items() if v}, []
+    whole = [(((capacity, 1),), left.pop(capacity))] if left.get(capacity) else []
+    first = fractional_cover(left, capacity)[0] if left else {}
+    for up in (0.0, 0.5, 1 - 1e-6):
+        plan, rest = rounded(first, left, capacity, up)
+        for _ in range(passes - 1 if not up else 0):
+            more, rest = rounded(fractional_cover(rest, capacity)[0], rest, capacity, up) if rest else ([], rest)
+            plan += more
+        plans.append([*whole, *plan, *best_fit(rest, capacity).items()])
+    return min(plans, key=lambda p: sum(n for _, n in p))
 
 
 def placements(plan: list[tuple[tuple, int]]) -> tuple[np.ndarray, ...]:
@@ -146,39 +168,46 @@ def placements(plan: list[tuple[tuple, int]]) -> tuple[np.ndarray, ...]:
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
     """The pieces of each document with their task and their rank there among pieces of their length."""
-    seen: Counter = Counter()
-    task = [None]
+    seen, task = np.zeros(capacity + 1, np.int64), [None]
 
     def cut(batch: pa.RecordBatch) -> dict:
         here = (TaskContext.get().taskAttemptId(), TaskContext.get().partitionId())
         if task[0] != here:
-            seen.clear()
+            seen[:] = 0
             task[0] = here
-        end, out = np.array([end_id], "<u4").tobytes(), [[] for _ in range(7)]
-        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).of_texts(texts_of(batch)), strict=True):
-            ids += end
-            n = len(ids) // 4
-            start, first = 0, n % capacity or capacity
-            for piece in range(-(-n // capacity)):
-                length = first if piece == 0 else capacity
-                row = (doc_id, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), here[1], seen[length])
-                seen[length] += 1
-                start += length
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-        return dict(zip(("doc_id", "piece", "start", "length", "ids_crc32", "task", "task_rank"), out, strict=True))
-
-    return map_slices(docs.select("doc_id", "text"), cut, "doc_id long, piece int, start long, length long, ids_crc32 long, task long, task_rank long")
+        ids, ends = encoder(path).of_column(batch.column(1), end_id)
+        n = np.diff(np.concatenate([[0], ends]))
+        pieces = -(-n // capacity)
+        own = np.repeat(np.arange(len(n)), pieces)
+        piece = np.arange(len(own)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        # the first piece has what the full ones leave
+        first = (n - (pieces - 1) * capacity)[own]
+        start = np.where(piece == 0, 0, first + (piece - 1) * capacity)
+        length = np.where(piece == 0, first, capacity)
+        data, at = memoryview(ids.astype("<u4", copy=False)).cast("B"), ((ends - n)[own] + start) * 4
+        crc = [zlib.crc32(data[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
+        # ranks among the pieces of a length: those of the task so far, then those before it here
+        order = np.argsort(length, kind="stable")
+        here_first = np.searchsorted(length[order], np.arange(capacity + 1))
+        rank = np.empty(len(length), np.int64)
+        rank[order] = np.arange(len(length)) - here_first[length[order]]
+        rank += seen[length]
+        seen[:] += np.bincount(length, minlength=capacity + 1)
+        return {"doc_id": batch.column(0).take(pa.array(own)), "piece": piece, "start": start, "length": length, "ids_crc32": crc, "task": np.full(len(own), here[1]), "task_rank": rank}
+
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, task_rank long"
+    return map_slices(docs.select("doc_id", "text"), cut, schema, limit=2 * SLICE_BYTES)
 
 
 def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     Documents of up to ``capacity`` tokens (the end id counts) stay whole; a
-    longer one is cut into full sequences after a first piece with the rest.
-    Null text is empty and gives one piece of the end id.  Repeated rows and
-    null ids are packed each for itself.  Other columns are ignored.  An empty
-    table gives no rows.
+    longer one, of any length, is cut into full sequences after a first piece
+    with the rest.  Null text is empty and gives one piece of the end id.
+    Repeated rows and null ids are packed each for itself; which of several
+    pieces of one length goes to which sequence follows the order of the rows in
+    their tasks.  Other columns are ignored.  An empty table gives no rows.
     """
     path = path or public_tokenizers.path(TOKENIZER)
     pieces = materialize(token_pieces(docs, path, end_id, capacity), "pieces")

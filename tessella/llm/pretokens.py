@@ -1,8 +1,10 @@
 """Pre-tokens of two tokenizer files and cached encoding by the tokenizers library.
 
 A pre-token's ids do not depend on its neighbours, so a Python worker encodes
-each distinct pre-token once (with the library) and joins the ids of a text
-from a cache.  A full cache is emptied.  Plain texts (ASCII and Latin letters)
+each distinct pre-token once (with the library).  No pre-token reaches over the
+end of a piece (white space and the word after it) either, so the ids of each
+distinct piece are kept in one array, and those of a column of texts are taken
+from it by position.  A full cache is emptied.  Plain texts (ASCII and Latin letters)
 are split by patterns of the ``re`` module, which are equal to the library's
 there and quicker; all other texts by those of ``regex``.
 """
@@ -11,15 +13,19 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
 
 from tessella.llm.common import claim_worker
+from tessella.llm.words import PieceTable, pieces_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-CACHE_ENTRIES = 700_000
+#: Entries of a cache of pre-tokens; of an encoder's pieces with their ids, and of each of its two generations of pre-tokens.
+CACHE_ENTRIES, CACHED_PIECES, CACHED_IDS, GENERATION = 700_000, 350_000, 2_000_000, 120_000
 #: Longer keys leave the caches after their batch.
 LONG = 64
 
@@ -79,7 +85,12 @@ class Pretokenizer:
         """The library's ids of each pre-token by itself, as little-endian unsigned 32-bit bytes."""
         out = [b""] * len(pretokens)
         easy, joined = [], []
-        for i, p in enumerate(pretokens):
+        every = "".join(pretokens)
+        plain = "<|" not in every and (every.isascii() or _QUICK.fullmatch(every) is not None)
+        if plain:  # no special string and nothing to normalise
+            keep = [bool(p.strip()) for p in pretokens] if self.normalizer else [p[:1] == " " and not p.isspace() for p in pretokens]
+            joined, easy = [i for i, k in enumerate(keep) if k], [i for i, k in enumerate(keep) if not k]
+        for i, p in enumerate(() if plain else pretokens):
             if p in self.special:
                 out[i] = np.array([self.special[p]], "<u4").tobytes()
             elif self.normalizer and not p.isascii() and not _QUICK.fullmatch(p):  # it is normalised already and must not be so twice
@@ -133,7 +144,16 @@ class Cached(Pretokenizer):
 
 
 class CachedEncoder(Cached):
-    """Ids of whole texts as little-endian unsigned 32-bit bytes."""
+    """Ids of whole texts."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.older: dict[str, bytes] = {}
+        self.table = PieceTable(CACHED_PIECES, CACHED_IDS, LONG)
+
+    def clear(self) -> None:
+        self.cache, self.older = {}, {}
+        self.table.clear()
 
     def values(self, pretokens: list[str]) -> list[bytes]:
         return self.ids(pretokens)
@@ -141,13 +161,49 @@ class CachedEncoder(Cached):
     def combine(self, values) -> bytes:
         return b"".join(values)
 
+    def _splits(self, texts: list[str]) -> list[list[str]]:
+        joined = "".join(texts)
+        plain = self._ascii if joined.isascii() else self._quick if _QUICK.fullmatch(joined) else None
+        if "<|" in joined or plain is None:
+            return [self.split(t) for t in texts]
+        return list(map(plain.findall, map(str.lower, texts) if self.normalizer else texts))
+
+    def of_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece; pre-tokens met lately are not encoded again."""
+        texts = [p.decode() for p in pieces]
+        parts: list[list[str]] = [[]] * len(texts)
+        groups: tuple[list[int], ...] = ([], [], [])
+        for i, t in enumerate(texts):
+            groups[0 if t.isascii() else 1 if _QUICK.fullmatch(t) else 2].append(i)
+        for group in groups:
+            for i, part in zip(group, self._splits([texts[i] for i in group]), strict=True):
+                parts[i] = part
+        pretokens = list(chain.from_iterable(parts))
+        if len(self.cache) > GENERATION:
+            self.cache, self.older = {}, self.cache
+        missing = [p for p in dict.fromkeys(pretokens) if p not in self.cache]
+        if self.older:
+            self.cache.update((p, self.older[p]) for p in missing if p in self.older)
+            missing = [p for p in missing if p not in self.older]
+        self.cache.update(zip(missing, self.ids(missing), strict=True))
+        found = map(self.cache.__getitem__, pretokens)
+        out = [b"".join(islice(found, len(p))) for p in parts]
+        for p in missing:
+            if len(p) > LONG:
+                del self.cache[p]
+        return out
+
+    def of_column(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null is empty), after each text ``end_id`` if given, and where each text's ids end."""
+        return self.table.take(*pieces_of(texts), self.of_pieces, end_id)
+
 
 _encoders: dict[str, CachedEncoder] = {}
 
 
 def encoder(path: str) -> CachedEncoder:
     """This worker's encoder for a tokenizer file; it outlives a task."""
-    claim_worker("pretokens", lambda: [e.cache.clear() for e in _encoders.values()])
+    claim_worker("pretokens", lambda: [e.clear() for e in _encoders.values()])
     if path not in _encoders:
         _encoders[path] = CachedEncoder(path)
     return _encoders[path]
