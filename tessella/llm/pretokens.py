@@ -11,6 +11,7 @@ there and quicker; all other texts by those of ``regex``.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from itertools import chain, islice
@@ -25,7 +26,7 @@ from tessella.llm.words import PieceTable, pieces_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Entries of a cache of pre-tokens; of an encoder's pieces with their ids, and of each of its two generations of pre-tokens.
-CACHE_ENTRIES, CACHED_PIECES, CACHED_IDS, GENERATION = 700_000, 350_000, 2_000_000, 120_000
+CACHE_ENTRIES, CACHED_PIECES, CACHED_IDS, GENERATION = 700_000, 450_000, 2_500_000, 120_000
 #: Longer keys leave the caches after their batch.
 LONG = 64
 
@@ -57,6 +58,12 @@ class Pretokenizer:
         self.path = path
         self.tok = Tokenizer.from_file(path)
         self.normalizer = self.tok.normalizer
+        model = json.loads(self.tok.to_str())["model"]
+        if model["type"] != "BPE" or (model.get("end_of_word_suffix") or "") != ("</w>" if self.normalizer else ""):
+            raise ValueError(f"the pre-tokens of {path} are not known here")
+        names = sorted(self.tok.get_vocab(with_added_tokens=True).items(), key=lambda v: v[1])
+        self.edge = np.zeros(names[-1][1] + 1, bool)
+        self.edge[[i for t, i in names if (t.endswith("</w>") if self.normalizer else t.startswith("Ġ"))]] = True
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self._ascii, self._quick, self._any = (_WORD_ASCII, _WORD_QUICK, _WORD_ANY) if self.normalizer else (_BYTE_ASCII, _BYTE_QUICK, _BYTE_ANY)
@@ -102,17 +109,20 @@ class Pretokenizer:
         for i, e in zip(easy, self.tok.encode_batch_fast([pretokens[i] for i in easy], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes()
         # these stay apart in one text: they begin with a space, or white space between them is dropped
-        for at in range(0, len(joined), 2000):
-            group = [pretokens[i] for i in joined[at : at + 2000]]
-            e = self.tok.encode((" " if self.normalizer else "").join(group), add_special_tokens=False)
-            words, data = np.array(e.word_ids), np.array(e.ids, "<u4").tobytes()
-            if len(words) and words[-1] == len(group) - 1:
-                ends = [0, *(np.searchsorted(words, np.arange(len(group)), side="right") * 4).tolist()]
+        groups = [[pretokens[i] for i in joined[at : at + 2000]] for at in range(0, len(joined), 2000)]
+        encoded = self.tok.encode_batch_fast([(" " if self.normalizer else "").join(g) for g in groups], add_special_tokens=False)
+        for at, group, e in zip(range(0, len(joined), 2000), groups, encoded, strict=True):
+            ids = np.array(e.ids, "<u4")
+            # the first token of each has the space, or the last one the mark of a word's end
+            marks = np.flatnonzero(self.edge[ids])
+            if len(marks) == len(group) and len(ids) and (marks[-1] + 1 == len(ids) if self.normalizer else marks[0] == 0):
+                ends = [0, *(4 * marks + 4).tolist()] if self.normalizer else [*(4 * marks).tolist(), 4 * len(ids)]
+                data = ids.tobytes()
                 parts = [data[x:y] for x, y in zip(ends, ends[1:], strict=False)]
             else:
                 parts = [np.array(x.ids, "<u4").tobytes() for x in self.tok.encode_batch_fast(group, add_special_tokens=False)]
-            for i, ids in zip(joined[at:], parts, strict=False):
-                out[i] = ids
+            for i, found in zip(joined[at:], parts, strict=False):
+                out[i] = found
         return out
 
 
@@ -172,9 +182,10 @@ class CachedEncoder(Cached):
         """The ids of each piece; pre-tokens met lately are not encoded again."""
         texts = [p.decode() for p in pieces]
         parts: list[list[str]] = [[]] * len(texts)
-        groups: tuple[list[int], ...] = ([], [], [])
-        for i, t in enumerate(texts):
-            groups[0 if t.isascii() else 1 if _QUICK.fullmatch(t) else 2].append(i)
+        plain = list(map(str.isascii, texts))
+        groups = [[i for i, p in enumerate(plain) if p], [i for i, p in enumerate(plain) if not p]]
+        if not _QUICK.fullmatch("".join(texts[i] for i in groups[1])):
+            groups[1:] = [[i for i in groups[1] if _QUICK.fullmatch(texts[i])], [i for i in groups[1] if not _QUICK.fullmatch(texts[i])]]
         for group in groups:
             for i, part in zip(group, self._splits([texts[i] for i in group]), strict=True):
                 parts[i] = part

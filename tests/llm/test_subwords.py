@@ -21,12 +21,27 @@ def test_ids_equal_the_library(docs):
     alphabet = list("abcdefghijklmnopqrstuvwxyz    .,'-\n\t012éüñßжд漢字😀▁") + ["  ", "the", "ing", "<s>", "</s>", "<0x41>"]
     texts = [r["text"] for r in docs.limit(60).collect()]
     texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 80))) for _ in range(3000)]
-    texts += ["", " ", "x" * 700, *[" " * n + "a" + " " * n for n in (1, 2, 3, 15, 16, 17, 31, 40, 200)], *["▁" * n for n in range(1, 80)]]
+    texts += ["", " ", "x" * 700, *[" " * n + "a" + " " * n for n in (1, 2, 3, 15, 16, 17, 31, 40, 200)], *["▁" * n for n in range(1, 80)], *["a▁" + " " * n + "b ▁" for n in range(5)]]
     machine = transducer(PATH)
     for text, want in zip(texts, library().encode(texts, num_threads=1), strict=True):
         assert np.frombuffer(machine.encode(text), "<u4").tolist() == want, text
 
 
+def test_long_texts_without_spaces_leave_nothing_behind():
+    rnd, machine = random.Random(5), transducer(PATH)
+    texts = ["".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(20_000)), "ab" * 20_000, " " * 30_000, "x" * 9_999]
+    for text, want in zip(texts, library().encode(texts, num_threads=1), strict=True):
+        assert np.frombuffer(machine.encode(text), "<u4").tolist() == want
+    assert all(len(p) <= 64 for p in machine.known.rows) and machine.known.n_flat < 1_000_000
+
+
+def test_a_bar_is_infinite_where_a_merge_crosses_it():
+    machine = transducer(PATH)
+    assert machine.neighbours("t", "h") == np.inf and machine.neighbours("▁th", "e") == np.inf
+    path = machine.shortest_path("▁something")
+    assert all(machine.neighbours(a, b) < np.inf for a, b in zip(path, path[1:], strict=False)) and "".join(path) == "▁something"
+
+
 def test_decoding_equals_the_library(docs):
     texts = [r["text"] for r in docs.limit(60).collect()] + ["é漢😀 x", "  two", "a▁b"]
     sp, machine = library(), transducer(PATH)
