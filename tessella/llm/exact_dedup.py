@@ -4,9 +4,10 @@ A history of distinct digests is kept as an index of shards.  A shard is a
 minimal perfect hash: levels of bit arrays in which each digest owns the first
 bit that no other digest of the shard hits; the rank of that bit is the
 digest's slot.  A slot holds the full 32-byte digest, the winner's doc_id and
-the group's size.  New digests are looked up by slot and compared byte by byte,
-so a digest outside the history is never taken for a member; non-members are
-grouped by themselves.
+the group's size.  All digests, those of the history and new ones, are looked up
+by slot and compared byte by byte, so a digest outside the history is never
+taken for a member.  Members have the winner of their slot, and its size with
+what the new members of the same slot add; non-members are grouped by themselves.
 
 Shuffles carry digests that are already counted per task, never texts, so a
 text with very many copies costs one row per task.
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import attach_groups, materialize
+from tessella.llm.common import attach_groups, materialize, release
 
 #: Distinct digests in one shard of the index, on average.
 SHARD_DIGESTS = 50_000
@@ -110,14 +111,15 @@ def build_index(groups: DataFrame, n_groups: int) -> DataFrame:
 
 
 def look_up(groups: DataFrame, index: DataFrame, n_groups: int) -> DataFrame:
-    """``digest, winner, size, member, old_winner, old_size``: what the index knows of each group.
+    """``groups`` (``digest, old, winner, size``) with ``shard, slot, old_winner, old_size`` of members; ``slot`` is null for others.
 
     ``n_groups`` is the count the index was built for.
     """
 
     def probe(new: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        out = new[["digest", "winner", "size"]].copy()
-        out["member"], out["old_winner"], out["old_size"] = False, pd.array([None] * len(new), "Int64"), pd.array([None] * len(new), "Int64")
+        out = new[["digest", "old", "winner", "size", "shard"]].copy()
+        for c in ("slot", "old_winner", "old_size"):
+            out[c] = pd.array([None] * len(new), "Int64")
         if len(new) and len(shard):
             row, keys = shard.iloc[0], _keys(new["digest"])
             sizes = list(row["level_bits"])
@@ -126,24 +128,19 @@ def look_up(groups: DataFrame, index: DataFrame, n_groups: int) -> DataFrame:
             stored = np.frombuffer(row["digests"], np.uint8).reshape(-1, 32)
             member = slot >= 0
             member[member] = (stored[slot[member]] == keys[member]).all(axis=1)
-            winners, counts = np.frombuffer(row["winners"], np.int64), np.frombuffer(row["sizes"], np.int64)
-            out["member"] = member
-            old = pd.array(winners[np.maximum(slot, 0)], "Int64")
-            old[~member | (winners[np.maximum(slot, 0)] == np.iinfo(np.int64).min)] = pd.NA
-            size = pd.array(counts[np.maximum(slot, 0)], "Int64")
-            size[~member] = pd.NA
-            out["old_winner"], out["old_size"] = old, size
+            at = np.maximum(slot, 0)
+            winner, size = np.frombuffer(row["winners"], np.int64)[at], np.frombuffer(row["sizes"], np.int64)[at]
+            out["slot"] = pd.array(np.where(member, slot, 0), "Int64").copy()
+            out["old_winner"], out["old_size"] = pd.array(winner, "Int64"), pd.array(size, "Int64")
+            out.loc[~member, ["slot", "old_winner", "old_size"]] = pd.NA
+            out.loc[winner == np.iinfo(np.int64).min, "old_winner"] = pd.NA
         return out
 
-    keyed = groups.select(_shard_column(n_groups), "digest", "winner", "size")
-    schema = "digest binary, winner long, size long, member boolean, old_winner long, old_size long"
+    keyed = groups.select(_shard_column(n_groups), "digest", "old", "winner", "size")
+    schema = "digest binary, old boolean, winner long, size long, shard long, slot long, old_winner long, old_size long"
     return keyed.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(probe, schema)
 
 
-def _groups(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("digest").agg(F.min("doc_id").alias("winner"), F.count(F.lit(1)).alias("size"))
-
-
 def exact_dedup(docs: DataFrame, cut: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256, in_history``.
 
@@ -152,23 +149,29 @@ def exact_dedup(docs: DataFrame, cut: int | None = None) -> DataFrame:
     a group wins whichever part it is in.  Null text counts as empty.  A null
     doc_id is never smallest; where a whole group has null ids, ``keep_id`` is
     null and all of it is kept.  Rows that repeat a doc_id and its text share
-    one flag.  Other columns are ignored.  An empty table gives no rows.
+    one flag.  A text of any length is one digest.  Other columns are ignored.
+    An empty table gives no rows.
     """
-    rows = materialize(digests(docs), "digests")
-    n, middle = rows.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", 0.5)).first()
+    n, middle = docs.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", 0.5)).first()
     cut = middle if cut is None else cut
-    old = F.coalesce(F.col("doc_id") <= F.lit(cut), F.lit(False))
-    history = materialize(_groups(rows.filter(old)), "history")
+    rows = materialize(digests(docs).withColumn("old", F.coalesce(F.col("doc_id") <= F.lit(cut), F.lit(False))), "digests")
+    # counted per task before any digest is shuffled
+    groups = materialize(rows.groupBy("digest", "old").agg(F.min("doc_id").alias("winner"), F.count(F.lit(1)).alias("size")), "groups")
+    history = groups.filter("old")
     n_history = history.count()
     index = materialize(build_index(history, n_history), "index", "none")
-    found = materialize(look_up(_groups(rows.filter(~old)), index, n_history), "found")
-    groups = (
-        history.withColumn("in_history", F.lit(True))
-        .unionByName(found.select("digest", F.when(F.col("member"), F.col("old_winner")).otherwise(F.col("winner")).alias("winner"), "size", F.col("member").alias("in_history")))
-        .groupBy("digest")
-        .agg(F.min("winner").alias("keep_id"), F.sum("size").alias("group_size"), F.max("in_history").alias("in_history"))
-    )
-    return attach_groups(rows, groups, "digest", "group_size", n).select(
+    found = materialize(look_up(groups, index, n_history), "found")
+    release(index)
+    # what new members add to a slot; a slot has one new group at most
+    added = found.filter("NOT old AND slot IS NOT NULL").groupBy("shard", "slot").agg(F.sum("size").alias("added"))
+    members = found.filter("slot IS NOT NULL").join(added, ["shard", "slot"], "left")
+    members = members.select("digest", "old", F.col("old_winner").alias("keep_id"), (F.col("old_size") + F.coalesce("added", F.lit(0))).alias("group_size"), F.lit(True).alias("in_history"))
+    others = found.filter("slot IS NULL").select("digest", "old", F.col("winner").alias("keep_id"), F.col("size").alias("group_size"), F.lit(False).alias("in_history"))
+    known = materialize(members.unionByName(others), "known")
+    release(groups)
+    release(found)
+    parts = [attach_groups(rows.filter(side).drop("old"), known.filter(side).drop("old"), "digest", "group_size", n) for side in ("old", "NOT old")]
+    return parts[0].unionByName(parts[1]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "in_history"
     )
 
@@ -176,14 +179,15 @@ def exact_dedup(docs: DataFrame, cut: int | None = None) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text a smaller doc_id has.
 
-    Of rows that share a doc_id and a text one stays; rows without a doc_id are
-    kept only where no other row has their text.
+    One row stays of each group of equal texts: that of the smallest doc_id, or
+    one without a doc_id where no row has one.  Of rows that share a doc_id and,
+    up to white space, a text, the one with the smallest raw text stays; rows
+    that share a doc_id and have different texts are different.  Null text
+    counts as empty.  Other columns travel along, whatever their names.
     """
-    flags = exact_dedup(docs).filter("kept").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    known = docs.join(flags, "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    nameless = docs.filter(F.col("doc_id").isNull())
-    if nameless.isEmpty():
-        return known
-    lone = exact_dedup(docs).filter("doc_id IS NULL AND kept").select("text_sha256").distinct()
-    return known.unionByName(nameless.join(lone, F.sha2(normalized(nameless["text"]).cast("binary"), 256) == lone["text_sha256"], "left_semi"))
+    named = F.concat_ws(":", F.lower(F.hex("_digest")), F.col("_id").cast("string"))
+    stay = exact_dedup(docs).filter("kept").select(F.unhex("text_sha256").alias("_digest"), F.col("doc_id").alias("_id")).select(named.alias("key")).distinct()
+    whole = docs.select(F.struct("*").alias("row"), F.unhex(F.sha2(normalized(F.col("text")).cast("binary"), 256)).alias("_digest"), F.col("doc_id").alias("_id"))
+    found = whole.select("row", named.alias("key")).join(stay, "key")
+    first = Window.partitionBy("key").orderBy(F.col("row.text").asc_nulls_first())
+    return found.withColumn("place", F.row_number().over(first)).filter("place = 1").select("row.*")
