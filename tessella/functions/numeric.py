@@ -16,6 +16,11 @@ def tie_key(ident: Column, seed: int | str) -> Column:
     return F.md5(F.concat(ident.cast("string"), F.lit(f"-{seed}")))
 
 
+def seed_of(c: Column) -> Column:
+    """A 32-bit seed: the first eight hexadecimal digits of the SHA-256 of a text."""
+    return F.conv(F.substring(F.sha2(c.cast("string"), 256), 1, 8), 16, 10).cast("long")
+
+
 def split_of(score: Column, train: float, val: float) -> Column:
     if not (0 < train < 1 and 0 <= val and train + val < 1):
         raise ValueError("fractions must be positive and leave room for a test part")

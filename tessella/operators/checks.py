@@ -30,6 +30,26 @@ def require_rows(df: DataFrame, n: int = 1) -> DataFrame:
     return df
 
 
+def exactly(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of an ordered table; an error where there are fewer."""
+    return require_rows(df.limit(n), n)
+
+
+def join_one_to_one(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
+    """An inner join on keys that may occur once on either side, without the columns of ``b`` that ``a`` has too."""
+    require_unique(a, *keys)
+    require_unique(b, *keys)
+    return a.join(b.select(*keys, *[c for c in b.columns if c not in a.columns]), list(keys))
+
+
+def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
+    """Names that begin with ``prefix``, in the order of the table; an error where there is none."""
+    found = [c for c in df.columns if c.startswith(prefix)]
+    if not found:
+        raise ValueError(f"no column begins with {prefix}")
+    return found
+
+
 def trim_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import text
@@ -36,17 +38,48 @@ def impute_and_scale(rows: DataFrame, columns: list[str]) -> DataFrame:
     return filled.withColumns({c: (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0) for c in used})
 
 
+def moments(rows: DataFrame) -> DataFrame:
+    """``task_col, n, mean, gram`` of ``task_col, features, y``: the mean of the features with ``y`` last, and their centred products.
+
+    A task of Spark adds up its rows batch by batch and passes on one row for
+    each ``task_col``, so a very frequent one is a row a task.
+    """
+    schema = "task_col string, n long, mean array<double>, gram array<double>"
+
+    def merged(a, b):
+        n, step = a[0] + b[0], b[1] - a[1]
+        return n, a[1] + step * (b[0] / n), a[2] + b[2] + np.outer(step, step) * (a[0] * b[0] / n)
+
+    def frame(sums: dict) -> pd.DataFrame:
+        return pd.DataFrame([(t, n, mean, gram.ravel()) for t, (n, mean, gram) in sums.items()], columns=["task_col", "n", "mean", "gram"])
+
+    def add_up(batches):
+        sums: dict = {}
+        for pdf in batches:
+            for task, part in pdf.groupby("task_col", dropna=False):
+                x = np.column_stack([np.stack(part["features"].to_numpy()).astype(float), part["y"].to_numpy(float)])
+                mean = x.mean(axis=0)
+                new = (len(x), mean, (x - mean).T @ (x - mean))
+                sums[task] = merged(sums[task], new) if task in sums else new
+        yield frame(sums)
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [(n, np.asarray(mean), np.asarray(gram).reshape(len(mean), -1)) for n, mean, gram in zip(pdf["n"], pdf["mean"], pdf["gram"], strict=True)]
+        return frame({pdf["task_col"].iloc[0]: reduce(merged, parts)})
+
+    return rows.select("task_col", "features", "y").mapInPandas(add_up, schema).groupBy("task_col").applyInPandas(join, schema)
+
+
 def ridge(rows: DataFrame, features: list[str], target: str, alpha: float = 1.0) -> tuple[np.ndarray, float]:
-    """Weights and intercept of ridge regression from sums over the train rows; only (p + 1)^2 numbers reach the driver."""
+    """Weights and intercept of ridge regression from centred sums over the train rows; only (p + 1)^2 numbers reach the driver."""
     train = rows.filter(F.col("split") == "train").select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)], F.col(target).cast("double").alias("y")).dropna()
-    names = [f"x{i}" for i in range(len(features))] + ["y"]
-    sums = [F.sum(n).alias(f"s_{n}") for n in names] + [F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for i, a in enumerate(names) for b in names[i:]]
-    r = train.agg(F.count(F.lit(1)).alias("n"), *sums).first()
-    n = max(r["n"], 1)
-    mean = np.array([(r[f"s_{c}"] or 0.0) / n for c in names])
-    gram = np.array([[(r[f"{names[min(i, j)]}_{names[max(i, j)]}"] or 0.0) for j in range(len(names))] for i in range(len(names))]) - n * np.outer(mean, mean)
-    w = np.linalg.solve(gram[:-1, :-1] + alpha * np.eye(len(features)), gram[:-1, -1])
-    return w, float(mean[-1] - w @ mean[:-1])
+    whole = moments(train.select(F.lit("").alias("task_col"), F.array(*[f"x{i}" for i in range(len(features))]).alias("features"), "y")).first()
+    if whole is None:
+        return np.zeros(len(features)), 0.0
+    mean, p = np.array(whole["mean"]), len(features)
+    gram = np.array(whole["gram"]).reshape(p + 1, p + 1)
+    w = np.linalg.solve(gram[:p, :p] + alpha * np.eye(p), gram[:p, p])
+    return w, float(mean[p] - w @ mean[:p])
 
 
 def predict_linear(rows: DataFrame, features: list[str], weights: np.ndarray, intercept: float, name: str = "pred") -> DataFrame:
@@ -57,20 +90,36 @@ def predict_linear(rows: DataFrame, features: list[str], weights: np.ndarray, in
 
 
 def ridge_by_task(rows: DataFrame, features: str, alpha: float = 1.0) -> DataFrame:
-    """``task_col, study_id, split, y, pred`` of one ridge model per task over array features; a task is one model's rows."""
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = np.stack(pdf[features].to_numpy()).astype(float), pdf["y"].to_numpy(float)
-        train = (pdf["split"] == "train").to_numpy()
-        out = pdf[["task_col", "study_id", "split", "y"]].copy()
-        if train.sum() < 2:
-            return out.assign(pred=np.nan).astype({"pred": float})
-        mean, sd = x[train].mean(axis=0), x[train].std(axis=0)
-        z = (x - mean) / np.where(sd > 0, sd, 1)
-        w = np.linalg.solve(z[train].T @ z[train] + alpha * np.eye(x.shape[1]), z[train].T @ (y[train] - y[train].mean()))
-        return out.assign(pred=z @ w + y[train].mean())
-
-    return rows.groupBy("task_col").applyInPandas(fit, "task_col string, study_id long, split string, y double, pred double")
+    """``task_col, study_id, split, y, pred`` of one ridge model per task over standardised array features.
+
+    A task with fewer than two train rows has no prediction (NaN).
+    """
+    train = rows.filter("split = 'train'").select("task_col", F.col(features).alias("features"), F.col("y").cast("double").alias("y"))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for task, n, mean, gram in zip(pdf["task_col"], pdf["n"], pdf["mean"], pdf["gram"], strict=True):
+            mean, p = np.asarray(mean), len(mean) - 1
+            gram = np.asarray(gram).reshape(p + 1, p + 1)
+            sd = np.sqrt(np.maximum(np.diag(gram)[:p], 0) / n)
+            sd = np.where(sd > 0, sd, 1)
+            w = np.linalg.solve(gram[:p, :p] / np.outer(sd, sd) + alpha * np.eye(p), gram[:p, p] / sd) / sd
+            if n > 1:
+                out.append((task, w, mean[p] - w @ mean[:p]))
+        return pd.DataFrame(out, columns=["task_col", "_w", "_b"])
+
+    # one small row a task
+    models = moments(train).mapInPandas(lambda batches: map(solve, batches), "task_col string, _w array<double>, _b double")
+    found = rows.join(models, "task_col", "left")
+    dot = F.aggregate(F.zip_with(F.col(features), "_w", lambda x, w: x.cast("double") * w), F.col("_b"), lambda a, x: a + x)
+    return found.select("task_col", "study_id", "split", F.col("y").cast("double").alias("y"), F.coalesce(dot, F.lit(float("nan"))).alias("pred"))
+
+
+def top_coefficients(names: list[str], weights, spark, k: int = 20) -> DataFrame:
+    """``feature, coefficient, rank`` of the ``k`` weights of largest size, the first name at ties."""
+    rows = [(str(n), float(w)) for n, w in zip(names, weights, strict=True)]
+    top = spark.createDataFrame(rows, "feature string, coefficient double").orderBy(F.abs("coefficient").desc(), "feature").limit(k)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.abs("coefficient").desc(), "feature")))  # k rows
 
 
 def fit_logistic(rows: DataFrame, features: list[str], label: str):

@@ -10,17 +10,25 @@ from tessella.operators.checks import require_columns, with_column_if_absent
 
 
 def harmonise(m: DataFrame, manual: dict[str, str] | None = None) -> DataFrame:
-    """Long measurements with clean and canonical name, unit, category, numeric and converted value."""
+    """Long measurements with clean and canonical name, unit, category, numeric and converted value.
+
+    Names and units repeat in nearly every row, so the rules are applied to the
+    distinct ones, which are joined back.
+    """
     require_columns(m, "subject_id", "study_id", "measurement", "result")
     m = with_column_if_absent(with_column_if_absent(m, "unit", F.lit(None).cast("string")), "measurement_description", F.lit(None).cast("string"))
-    out = m.withColumns({
-        "measurement_clean": text.norm_text(F.col("measurement")), "description_clean": text.norm_text(F.col("measurement_description")),
-        "unit_norm": text.norm_unit(F.col("unit")), "result_numeric": text.try_double(F.col("result")),
+    names = m.select(F.struct("measurement", "measurement_description", "unit").alias("_name")).distinct()
+    names = names.withColumns({
+        "measurement_clean": text.norm_text(F.col("_name.measurement")), "description_clean": text.norm_text(F.col("_name.measurement_description")), "unit_norm": text.norm_unit(F.col("_name.unit")),
     })
-    named = text.canonical_name(F.col("measurement_clean"), F.col("description_clean"), manual)
-    out = out.withColumn("_c", named).withColumns({"canonical_measurement": F.col("_c.canonical"), "canonical_source": F.col("_c.source")}).drop("_c")
-    unit = F.col("unit_norm")
-    return out.withColumns({"unit_category": text.unit_category(unit), "canonical_value_unit": text.canonical_unit(unit), "result_canonical": F.col("result_numeric") * text.unit_factor(unit)})
+    named, unit = text.canonical_name(F.col("measurement_clean"), F.col("description_clean"), manual), F.col("unit_norm")
+    names = names.withColumn("_c", named).withColumns({
+        "canonical_measurement": F.col("_c.canonical"), "canonical_source": F.col("_c.source"), "unit_category": text.unit_category(unit), "canonical_value_unit": text.canonical_unit(unit), "_factor": text.unit_factor(unit),
+    }).drop("_c")
+    # a struct with nulls in its fields is equal to itself
+    out = m.withColumn("_name", F.struct("measurement", "measurement_description", "unit")).join(names, "_name")
+    number = text.try_double(F.col("result"))
+    return out.withColumns({"result_numeric": number, "result_canonical": number * F.col("_factor")}).drop("_name", "_factor")
 
 
 def top_counts(df: DataFrame, keys: list[str], column: str, limit: int, name: str) -> DataFrame:
@@ -126,3 +134,9 @@ def task_metadata(panel: DataFrame, tasks: DataFrame, n_studies: int) -> DataFra
 
 def supported(metadata: DataFrame, min_studies: int, min_subjects: int) -> DataFrame:
     return metadata.withColumn("supported", (F.col("n_studies_with_value") >= min_studies) & (F.col("n_subjects_with_value") >= min_subjects))
+
+
+def unpivot(wide: DataFrame, key: str, columns: list[str], prefix: str = "") -> DataFrame:
+    """``key, task_col, y`` of the values that a wide table has; ``prefix`` is cut from the names."""
+    long = wide.unpivot(key, columns, "task_col", "y").filter(F.col("y").isNotNull())
+    return long.withColumn("task_col", F.substr("task_col", F.lit(len(prefix) + 1)))

@@ -6,6 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def target_summary(df: DataFrame, value: str, *keys: str) -> DataFrame:
+    """Values, median and interquartile range by key."""
+    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    out = df.groupBy(*keys).agg(F.count(value).alias("n"), q.alias("_q"))
+    return out.select(*keys, "n", F.col("_q")[1].alias("median"), (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"))
+
+
 def regression(df: DataFrame, *keys: str) -> DataFrame:
     """MAE, RMSE, R2 (null below two rows or without spread), IQR of the target, and MAE over IQR, by key."""
     e = F.col("y") - F.col("pred")

@@ -31,6 +31,11 @@ def gains(df: DataFrame, new: str, old: str, column: str, k: int, key: str) -> D
     return df.withColumn("gain", F.col(f"{new}_{column}") - F.col(f"{old}_{column}")).orderBy(F.desc_nulls_last("gain"), key).limit(k)
 
 
+def best_configuration(df: DataFrame, name: str, metric: str, preferred: str) -> DataFrame:
+    """One row: the preferred configuration where there is one, else that of the largest metric (null is least, then the first name)."""
+    return df.orderBy((F.col(name) == preferred).desc(), F.desc_nulls_last(metric), name).limit(1)
+
+
 def skip_reason(df: DataFrame, least: dict[str, int]) -> DataFrame:
     """The first part that has too few values, and whether the task runs; ``least`` maps columns to minima in order."""
     reason = F.lit("")

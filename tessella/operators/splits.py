@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,24 +35,30 @@ def _split_by_rank(train: float, val: float):
     return F.when(n == 1, "train").when(n == 2, F.when(r == 1, "train").otherwise("test")).otherwise(many)
 
 
-def stratified_split(subjects: DataFrame, label: str, seed: int | str, train: float = 0.7, val: float = 0.15) -> DataFrame:
-    """Subjects of each class dealt to the splits in a stable pseudo-random order."""
-    order = Window.partitionBy(label).orderBy(numeric.tie_key(F.col("subject_id"), seed))
-    ranked = subjects.select("subject_id", label).distinct().withColumn("r", F.row_number().over(order)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(label)))
-    return ranked.select("subject_id", label, _split_by_rank(train, val).alias("split"))
+def _ranked(keyed: DataFrame, by: list[str]) -> DataFrame:
+    """``r``, the place of each row in the order of its hash ``k``, and ``n``, within the groups of ``by``.
 
+    The first byte of the hash deals rows to buckets that are ranked apart; only
+    the counts of the buckets meet.
+    """
+    keyed = keyed.withColumn("b", F.substring("k", 1, 2))
+    counts = keyed.groupBy(*by, "b").agg(F.count(F.lit(1)).alias("c"))
+    group = Window.partitionBy(*by)  # 256 rows a group at most
+    before = counts.select(*by, "b", (F.sum("c").over(group.orderBy("b")) - F.col("c")).alias("before"), F.sum("c").over(group).alias("n"))
+    ranked = keyed.withColumn("i", F.row_number().over(Window.partitionBy(*by, "b").orderBy("k", "subject_id")))
+    return ranked.join(before.withColumnsRenamed({c: f"_{c}" for c in [*by, "b"]}), reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, "b"]])).withColumn("r", F.col("before") + F.col("i"))
 
-def shuffle_split(subjects: DataFrame, seed: int | str, train: float = 0.7, val: float = 0.15, buckets: int = 256) -> DataFrame:
-    """Exact shares of all subjects in a stable pseudo-random order.
 
-    The order is that of a hash, so its first byte deals subjects to buckets
-    that are ranked apart; only the bucket counts meet in one place.
-    """
-    keyed = subjects.select("subject_id").distinct().withColumn("k", numeric.tie_key(F.col("subject_id"), seed)).withColumn("b", F.substring("k", 1, 2))
-    counts = keyed.groupBy("b").agg(F.count(F.lit(1)).alias("c"))
-    all_ = Window.orderBy("b")
-    before = counts.select("b", (F.sum("c").over(all_) - F.col("c")).alias("before"), F.sum("c").over(Window.partitionBy()).alias("n"))  # 256 rows
-    ranked = keyed.withColumn("i", F.row_number().over(Window.partitionBy("b").orderBy("k"))).join(F.broadcast(before), "b").withColumn("r", F.col("before") + F.col("i"))
+def stratified_split(subjects: DataFrame, label: str, seed: int | str, train: float = 0.7, val: float = 0.15) -> DataFrame:
+    """Subjects of each class dealt to the splits in a stable pseudo-random order; null is a class."""
+    keyed = subjects.select("subject_id", label).distinct().withColumn("k", numeric.tie_key(F.col("subject_id"), seed))
+    return _ranked(keyed, [label]).select("subject_id", label, _split_by_rank(train, val).alias("split"))
+
+
+def shuffle_split(subjects: DataFrame, seed: int | str, train: float = 0.7, val: float = 0.15) -> DataFrame:
+    """Exact shares of all subjects in a stable pseudo-random order, that of a hash."""
+    keyed = subjects.select("subject_id").distinct().withColumn("k", numeric.tie_key(F.col("subject_id"), seed))
+    ranked = _ranked(keyed, [])
     cut = F.floor(F.col("n") * F.lit(train)), F.floor(F.col("n") * F.lit(train)) + F.floor(F.col("n") * F.lit(val))
     return ranked.select("subject_id", F.when(F.col("r") <= cut[0], "train").when(F.col("r") <= cut[1], "val").otherwise("test").alias("split"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import arrays
@@ -15,6 +15,20 @@ def merge_batches(batches: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [b.withColumn("batch", F.lit(i)) for i, b in enumerate(batches)])
 
 
+def read_batches(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """The batches that exist; a folder that is missing is skipped."""
+    fs = lambda p: p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return [spark.read.parquet(path) for path, p in zip(paths, found, strict=True) if fs(p).exists(p)]
+
+
+def batch_offsets(merged: DataFrame, batch: str = "batch") -> DataFrame:
+    """Rows of each batch, and the number of rows in the batches before it."""
+    sizes = merged.groupBy(batch).agg(F.count(F.lit(1)).alias("n_rows"))  # a row for each batch
+    before = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.withColumn("first_row", F.coalesce(F.sum("n_rows").over(before), F.lit(0)))
+
+
 def pool(df: DataFrame, key: str, vector: str = "embedding", how: str = "mean") -> DataFrame:
     """Element-wise mean or maximum of the vectors of each key, with their number and the result's length.
 

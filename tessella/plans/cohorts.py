@@ -21,19 +21,23 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY score,
 _SELECTED = _RANKED + ", sel AS (SELECT * FROM ranked WHERE rn <= 1 ORDER BY score, tie LIMIT 200)"
 
 
-def _select(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Up to ``sel``, the selected studies.
+COHORT = cte("records", "studies") + _SELECTED
+
+
+def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.select_cohort(view(spark, sf_dir, "records"), view(spark, sf_dir, "studies"), 2, 8, 200)
 
 
 @query(cte("records", "studies") + _SELECTED + " SELECT subject_id, study_id, n_dicoms, CAST(score AS DOUBLE) AS score, tie FROM sel")
 def cohort_select(spark, sf_dir):
-    return _select(spark, sf_dir).select("subject_id", "study_id", "n_dicoms", "score", "tie")
+    return selected(spark, sf_dir).select("subject_id", "study_id", "n_dicoms", "score", "tie")
 
 
 @query(cte("records", "studies") + _SELECTED + """ SELECT subject_id, study_id, ltrim(dicom_filepath, '/') AS relative_path, replace(ltrim(dicom_filepath, '/'), 'files/', '') AS object_path,
 concat('gs://bucket/root/', ltrim(dicom_filepath, '/')) AS url FROM records WHERE (subject_id, study_id) IN (SELECT (subject_id, study_id) FROM sel)""")
 def cohort_records(spark, sf_dir):
-    return cohort.records_of(view(spark, sf_dir, "records"), _select(spark, sf_dir), "gs://bucket/root/")
+    return cohort.records_of(view(spark, sf_dir, "records"), selected(spark, sf_dir), "gs://bucket/root/")
 
 
 @query(cte("records", "studies") + _BASE + """, r AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY md5(concat(CAST(study_id AS STRING), '-7'))) AS rn FROM base WHERE n_dicoms BETWEEN 1 AND 99 AND measurement_id IS NOT NULL)
@@ -101,7 +105,7 @@ def note_link_probe(spark, sf_dir):
     return s.agg(F.count(F.lit(1)).alias("n_rows"), F.count("note_id").alias("n_notes"), F.countDistinct(F.when(F.col("note_id").isNotNull(), F.col("subject_id"))).alias("n_subjects"), F.count_if(F.col("measurement_id").isNull()).alias("n_unmeasured"))
 
 
-@query("""WITH n AS (SELECT event_id AS note_id, user_id AS subject_id, ts AS note_datetime FROM events), s AS (SELECT o_custkey AS subject_id, o_orderkey AS study_id, o_orderdate + INTERVAL 9500 DAY AS study_datetime FROM orders WHERE o_custkey <= 150),
+@query("""WITH n AS (SELECT event_id AS note_id, user_id AS subject_id, ts AS note_datetime FROM events), s AS (SELECT o_custkey AS subject_id, o_orderkey AS study_id, o_orderdate + INTERVAL 9500 DAY AS study_datetime FROM orders),
 p AS (SELECT study_id, note_id, abs(epoch_us(study_datetime) - epoch_us(note_datetime)) AS gap, note_datetime FROM s JOIN n USING (subject_id) WHERE abs(epoch_us(study_datetime) - epoch_us(note_datetime)) <= 30 * 86400000000),
 b AS (SELECT *, row_number() OVER (PARTITION BY study_id ORDER BY gap, note_datetime, note_id) AS rn FROM p) SELECT s.study_id, b.note_id, b.gap AS gap_us FROM s LEFT JOIN b ON b.study_id = s.study_id AND rn = 1""")
 def nearest_note_in_time(spark, sf_dir):
@@ -113,7 +117,7 @@ def nearest_note_in_time(spark, sf_dir):
 @query(cte("records", "studies", "measurements") + _SELECTED + """, w AS (SELECT subject_id, study_id, measurement_id FROM sel)
 SELECT w.subject_id, w.study_id, w.measurement_id, m.measurement, m.result, m.unit, m.test_type FROM w LEFT JOIN measurements m ON m.subject_id = w.subject_id AND m.measurement_id = w.measurement_id""")
 def export_measurements(spark, sf_dir):
-    return cohort.measurements_of(_select(spark, sf_dir), view(spark, sf_dir, "measurements")).select("subject_id", "study_id", "measurement_id", "measurement", "result", "unit", "test_type")
+    return cohort.measurements_of(selected(spark, sf_dir), view(spark, sf_dir, "measurements")).select("subject_id", "study_id", "measurement_id", "measurement", "result", "unit", "test_type")
 
 
 _COMPLETE = """, e AS (SELECT subject_id, study_id, count(dicom_filepath) AS expected_dicoms FROM records GROUP BY 1, 2),

@@ -79,6 +79,10 @@ def _panel(spark, sf_dir):
     return measurements.panel_long(h, measurements.preferred_units(h))
 
 
+def wide(spark, sf_dir, base):
+    return measurements.panel_wide(_panel(spark, sf_dir), base, _TASKS)
+
+
 @query(_HARMONISED + " SELECT DISTINCT measurement, measurement_clean, description_clean, canonical_measurement, canonical_source, unit, unit_norm, unit_category FROM h")
 def registry_mapping_distinct(spark, sf_dir):
     return measurements.mapping(_h(spark, sf_dir))
@@ -121,13 +125,13 @@ def panel_long(spark, sf_dir):
 )
 def panel_wide(spark, sf_dir):
     base = view(spark, sf_dir, "measurements").select("study_id").distinct()
-    return measurements.panel_wide(_panel(spark, sf_dir), base, _TASKS).withColumns({t: F.round(t, 6) for t in _TASKS})
+    return wide(spark, sf_dir, base).withColumns({t: F.round(t, 6) for t in _TASKS})
 
 
 @query(
     _PANEL
     + """, t AS (SELECT canonical_measurement, preferred_unit FROM pref UNION ALL SELECT 'no_such_task', 'mm'), st AS (SELECT canonical_measurement, count(DISTINCT study_id) AS ns, count(DISTINCT subject_id) AS nj, CAST(sum(n_rows_used) AS BIGINT) AS nr, quantile_cont(task_value, 0.05) AS p05, quantile_cont(task_value, 0.5) AS p50, quantile_cont(task_value, 0.95) AS p95 FROM panel GROUP BY 1)
-SELECT canonical_measurement, preferred_unit, coalesce(ns, 0) AS n_studies_with_value, coalesce(nj, 0) AS n_subjects_with_value, coalesce(nr, 0) AS n_rows_with_value, round(coalesce(ns, 0) / 10000.0, 6) AS study_coverage_with_value, round(1 - coalesce(ns, 0) / 10000.0, 6) AS missing_rate, round(p05, 6) AS p05, round(p50, 6) AS p50, round(p95, 6) AS p95,
+SELECT canonical_measurement, preferred_unit, coalesce(ns, 0) AS n_studies_with_value, coalesce(nj, 0) AS n_subjects_with_value, coalesce(nr, 0) AS n_rows_with_value, round(coalesce(ns, 0) / (SELECT count(DISTINCT study_id) FROM measurements), 6) AS study_coverage_with_value, round(1 - coalesce(ns, 0) / (SELECT count(DISTINCT study_id) FROM measurements), 6) AS missing_rate, round(p05, 6) AS p05, round(p50, 6) AS p50, round(p95, 6) AS p95,
 coalesce(ns, 0) >= 2000 AND coalesce(nj, 0) >= 500 AS supported FROM t LEFT JOIN st USING (canonical_measurement)"""
 )
 def panel_task_metadata(spark, sf_dir):
@@ -149,14 +153,14 @@ _LEAK = "(" + "|".join(text.LEAKAGE_PATTERNS).replace("'", "''") + ")"
 @query(
     _HARMONISED
     + f""", f AS (SELECT measurement_clean AS feature, count(DISTINCT study_id) AS n_studies FROM h WHERE result_numeric IS NOT NULL GROUP BY 1)
-SELECT feature, n_studies, round(n_studies / 14743.0, 6) AS coverage, regexp_matches(lower(trim(feature)), '{_LEAK}') AS leakage, NOT regexp_matches(lower(trim(feature)), '{_LEAK}') AND n_studies / 14743.0 >= 0.25 AS kept FROM f"""
+SELECT feature, n_studies, round(n_studies / (SELECT count(DISTINCT study_id) FROM measurements), 6) AS coverage, regexp_matches(lower(trim(feature)), '{_LEAK}') AS leakage, NOT regexp_matches(lower(trim(feature)), '{_LEAK}') AND n_studies / (SELECT count(DISTINCT study_id) FROM measurements) >= 0.25 AS kept FROM f"""
 )
 def feature_coverage(spark, sf_dir):
     long = _h(spark, sf_dir).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
     return features.coverage(long, "feature", _n_studies(spark, sf_dir), 0.25).withColumn("coverage", F.round("coverage", 6))
 
 
-@query(_HARMONISED + ", f AS (SELECT DISTINCT study_id, measurement_clean FROM h WHERE result_numeric IS NOT NULL) SELECT count(DISTINCT measurement_clean) AS n_features, count(*) AS n_cells, round(1 - count(*) / (count(DISTINCT measurement_clean) * 14743.0), 6) AS missing_rate FROM f")
+@query(_HARMONISED + ", f AS (SELECT DISTINCT study_id, measurement_clean FROM h WHERE result_numeric IS NOT NULL) SELECT count(DISTINCT measurement_clean) AS n_features, count(*) AS n_cells, round(1 - count(*) / (count(DISTINCT measurement_clean) * (SELECT count(DISTINCT study_id) FROM measurements)), 6) AS missing_rate FROM f")
 def feature_missing_rate(spark, sf_dir):
     long = _h(spark, sf_dir).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
     return features.missing_rate(long, "feature", _n_studies(spark, sf_dir)).withColumn("missing_rate", F.round("missing_rate", 6))

@@ -24,7 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from tessella.plans import cohorts, panels, studies  # noqa: F401  they register theirs
+    from tessella.plans import cohorts, panels, reports, studies  # noqa: F401  they register theirs
 
     return dict(_queries)
 

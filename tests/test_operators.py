@@ -217,19 +217,55 @@ def test_nearest_note_query_asks_for_all_subjects(spark, tmp_path):
     assert [tuple(r) for r in registry.queries()["nearest_note_in_time"](spark, str(tmp_path)).collect()] == [(5, 7, 86_400_000_000)]
 
 
-@pytest.mark.parametrize("name, constant", [("feature_coverage", "14743.0"), ("feature_missing_rate", "14743.0"), ("panel_task_metadata", "10000.0")])
-def test_shares_are_of_the_studies_of_the_table(spark, name, constant):
-    """The query's SQL, which divides by a constant, with the number of studies of the smallest table in its place."""
-    import duckdb
-
-    from tessella.plans import registry
-
-    sf, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("lineitem", "orders", "part"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    n = con.execute("SELECT count(DISTINCT l_orderkey) FROM lineitem").fetchone()[0]
-    cursor = con.execute(registry.oracle_sql()[name].replace(constant, f"{n}.0"))
-    names, want = [d[0] for d in cursor.description], cursor.fetchall()
-    got = [tuple(r) for r in registry.queries()[name](spark, sf).select(*names).collect()]
-    plain = lambda rows: sorted(str([float(v) if isinstance(v, (int, float)) else v for v in r]) for r in rows)
-    assert f"{n}.0" != constant and plain(got) == plain(want)
+def _regression_rows(spark, n=400, p=16):
+    rng = np.random.default_rng(4)
+    x = rng.normal(100, 3, (n, p))  # far from zero, so that sums that are not centred would cancel
+    y = x @ rng.normal(0, 1, p) + rng.normal(0, 0.1, n)
+    rows = [(f"t{i % 3 % 2}", i, "train" if i % 4 else "test", float(y[i]), x[i].tolist()) for i in range(n)]
+    return x, y, spark.createDataFrame(rows, "task_col string, study_id long, split string, y double, embedding array<double>").repartition(5)
+
+
+def test_ridge_equals_the_closed_form(spark):
+    x, y, rows = _regression_rows(spark)
+    names = [f"f{i}" for i in range(x.shape[1])]
+    w, b = features.ridge(rows.select("split", "y", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)]), names, "y", 2.0)
+    train = np.arange(len(x)) % 4 > 0
+    z, t = x[train] - x[train].mean(axis=0), y[train] - y[train].mean()
+    want = np.linalg.solve(z.T @ z + 2.0 * np.eye(len(names)), z.T @ t)
+    assert np.allclose(w, want, atol=1e-8) and abs(b - (y[train].mean() - x[train].mean(axis=0) @ want)) < 1e-6
+    top = features.top_coefficients(names, w, spark, 5).collect()
+    assert [r["feature"] for r in top] == [names[i] for i in np.argsort(-np.abs(want))[:5]] and [r["rank"] for r in top] == [1, 2, 3, 4, 5]
+
+
+def test_ridge_by_task_equals_the_closed_form(spark):
+    x, y, rows = _regression_rows(spark)
+    got = {r["study_id"]: r["pred"] for r in features.ridge_by_task(rows, "embedding").collect()}
+    task, train = np.arange(len(x)) % 3 % 2, np.arange(len(x)) % 4 > 0
+    for k in (0, 1):
+        fit = (task == k) & train
+        mean, sd = x[fit].mean(axis=0), x[fit].std(axis=0)
+        z = (x - mean) / sd
+        w = np.linalg.solve(z[fit].T @ z[fit] + np.eye(x.shape[1]), z[fit].T @ (y[fit] - y[fit].mean()))
+        assert np.allclose([got[i] for i in np.flatnonzero(task == k)], (z @ w + y[fit].mean())[task == k], atol=1e-6)
+
+
+def test_harmonised_rows_keep_nulls_and_number(spark):
+    m = spark.createDataFrame([(1, 1, None, None, "5", None), (1, 2, None, None, "6", None), (2, 3, "LVEF", None, "x", "%")], "subject_id long, study_id long, measurement string, measurement_description string, result string, unit string")
+    got = sorted((r["study_id"], r["measurement_clean"], r["unit_norm"], r["result_canonical"]) for r in measurements.harmonise(m).collect())
+    assert got == [(1, "", "unknown", 5.0), (2, "", "unknown", 6.0), (3, "lvef", "%", None)]
+
+
+def test_checked_choices(spark, tmp_path):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k long, v string")
+    assert checks.exactly(a.orderBy("k"), 2).count() == 2
+    with pytest.raises(ValueError, match="fewer than 3"):
+        checks.exactly(a, 3)
+    with pytest.raises(ValueError, match="not unique"):
+        checks.join_one_to_one(a, a.union(a), "k")
+    assert checks.join_one_to_one(a, a.withColumn("w", F.lit(1)), "k").columns == ["k", "v", "w"]
+    assert checks.columns_with_prefix(a, "v") == ["v"]
+    with pytest.raises(ValueError):
+        checks.columns_with_prefix(a, "task__")
+    a.write.parquet(f"{tmp_path}/there")
+    assert [b.count() for b in vectors.read_batches(spark, [f"{tmp_path}/there", f"{tmp_path}/missing"])] == [2]
+    assert values(spark, numeric.seed_of, ["abc", None]) == [int("ba7816bf", 16), None]
