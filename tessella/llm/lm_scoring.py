@@ -9,62 +9,83 @@ expectation-maximisation on counts that were held out of the estimates (a tenth
 of the training documents); then both parts are counted together.
 
 All n-grams of all words are counted; none is dropped or merged.  The corpus is
-cut into slices of bounded text.  Each slice gives its distinct n-grams, by hash,
-with their counts, so an n-gram has one row a slice at most, however frequent it
-is.  The rows of an n-gram meet by its hash; sums go back only to the slices of
-n-grams that occur in several, as the others are known where they occur.  A
-context's total is the count of the n-gram that it is.
+cut into slices of bounded text, and the distinct n-grams of each slice meet
+those of the others in two rounds, by ranges of their hash:
+
+1.  Short fingerprints tell which n-grams may occur in several slices.  An
+    n-gram whose fingerprint no other has is known where it occurs.
+2.  The others are sent with their whole 64-bit hash and their counts, and the
+    sums go back to each slice, in the order in which it sent them.
+
+So an n-gram has one entry a slice at most, however frequent it is.  A context's
+total is the count of the n-gram that it is.
 """
 
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import fold, map_slices, materialize, release, texts_of
+from tessella.llm.common import SLICE_BYTES, fold, map_slices, materialize, release, slices
+from tessella.llm.words import words_of
 
-#: HOT_WORDS is the number of words whose hash a Python worker remembers.
-HOT_WORDS, ORDER, BUCKETS, EM_STEPS, HELD_OUT = 100_000, 3, 32, 6, 10
+ORDER, BUCKETS, EM_STEPS, HELD_OUT = 3, 32, 6, 10
 #: What a document is used for.
 SCORED, ESTIMATED, HELD = 0, 1, 2
+#: Text of a slice, n-grams of a range, bits of a fingerprint beyond those that number all n-grams, events worked on at a time.
+CORPUS_SLICE, RANGE, SPARE_BITS, EVENTS = 2 * SLICE_BYTES, 1_500_000, 3, 400_000
 _START = np.uint64(0x9E3779B97F4A7C15)
 _TAGS = [np.uint64(t) for t in (0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03)]
 #: The estimates that a bucket's contexts have: all have the floor and unigrams.
 _HALF = BUCKETS // 2
 _AVAILABLE = np.ones((BUCKETS, ORDER + 1))
 _AVAILABLE[0, 2:] = _AVAILABLE[:_HALF, 3] = 0
+#: The end of a text; no word has white space.
+END = np.uint64(xxhash.xxh64_intdigest(b"\n"))
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words in lower case (A-Z only) between ASCII white space; ``bytes`` has exactly these rules."""
-    return text.encode().lower().split()
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned whole numbers in the fewest bytes that hold the largest, byte by byte of all, compressed."""
+    values = np.ascontiguousarray(values, np.uint64)
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    planes = values.view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+    return bytes([width]) + len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-@lru_cache(maxsize=HOT_WORDS)
-def word_key(word: bytes) -> int:
-    """A signed 64-bit hash, the same on every machine."""
-    h = xxhash.xxh64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+def unpacked(data: bytes) -> np.ndarray:
+    width, n = data[0], int.from_bytes(data[1:9], "little")
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(pa.decompress(data[9:], width * n, codec="zstd"), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view(np.uint64)
 
 
-#: The end of a text; no word has white space.
-END = word_key(b"\n")
+def ascending(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of values of so many bits, and the values in it."""
+    shift = max(len(values) - 1, 1).bit_length()
+    if bits + shift <= 64:  # the place fits beside the value: sorting values is quicker than sorting places
+        both = np.sort(values << np.uint64(shift) | np.arange(len(values), dtype=np.uint64))
+        return (both & np.uint64((1 << shift) - 1)).astype(np.int64), both >> np.uint64(shift)
+    order = np.argsort(values)
+    return order, values[order]
 
 
-def symbols_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The word keys of all texts, an end after each, and the number of symbols of each text."""
-    words = [[*tokens(t), b"\n"] for t in texts]
-    coded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
-    keys = np.array([word_key(w) for w in coded.dictionary.to_pylist()], np.int64)
-    return keys[coded.indices.to_numpy()], np.array([len(ws) for ws in words], np.int64)
+def distinct(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in ascending order, and the place of each value among them."""
+    order, ordered = ascending(values, bits)
+    edge = np.ones(len(values), bool)
+    edge[1:] = ordered[1:] != ordered[:-1]
+    at = np.empty(len(values), np.int64)
+    at[order] = np.cumsum(edge) - 1
+    return ordered[edge], at
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -82,25 +103,31 @@ def _before(values: np.ndarray, n: np.ndarray, first) -> np.ndarray:
     return out
 
 
-def _hashes(flat: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (event x order) of the n-grams that end at each symbol and of their contexts."""
-    event = flat.astype(np.int64).view(np.uint64)
-    one = _before(event, n, _START)
-    two = _before(one, n, _START)
-    contexts = np.empty((len(event), ORDER), np.uint64)
-    contexts[:, 0] = _TAGS[0]
-    contexts[:, 1] = _mix(np.full_like(event, _TAGS[1]), one)
-    contexts[:, 2] = _mix(_mix(np.full_like(event, _TAGS[2]), two), one)
-    return _mix(contexts, event[:, None]).view(np.int64), contexts.view(np.int64)
-
-
-def ngram_keys(symbols: list[list[int]]) -> np.ndarray:
-    """The n-grams (event x order) that end at each symbol, as pairs of hashes: context, whole."""
-    n = np.array([len(s) for s in symbols], np.int64)
-    keys, contexts = _hashes(np.fromiter((x for s in symbols for x in s), np.int64, int(n.sum())), n)
-    out = np.empty(keys.shape, [("context", np.int64), ("key", np.int64)])
-    out["context"], out["key"] = contexts, keys
-    return out
+def _hash(order: int, context: np.ndarray, event: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of their contexts (for a unigram 0) and the last word; the lowest bit marks unigrams."""
+    h = _mix(context ^ _TAGS[order - 1], event)
+    return h | np.uint64(1) if order == 1 else h & ~np.uint64(1)
+
+
+def ngrams(codes: np.ndarray, n: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the distinct n-grams, by order and then as they come, and which of these end at each symbol (event x order).
+
+    ``codes`` are places in ``words``, the keys of distinct words; ``n`` is the
+    number of symbols of each text.
+    """
+    start = len(words)
+    base, event = np.uint64(start + 1), codes.astype(np.uint64)
+    keys, bits = np.append(words, _START), int(start + 1).bit_length()
+    two, at_two = distinct(_before(event, n, np.uint64(start)) * base + event, 2 * bits)
+    context, last = (two // base).astype(np.int64), (two % base).astype(np.int64)
+    hash_two = _hash(2, keys[context], keys[last])
+    # the bigram before; a text begins with two marks
+    before = _before(at_two, n, len(two)).astype(np.uint64)
+    three, at_three = distinct(before * base + event, int(len(two) + 1).bit_length() + bits)
+    contexts = np.append(hash_two, _START)[(three // base).astype(np.int64)]
+    hash_three = _hash(3, contexts, keys[(three % base).astype(np.int64)])
+    hashes = np.concatenate([_hash(1, np.zeros_like(words), words), hash_two, hash_three])
+    return hashes, np.stack([codes.astype(np.int64), start + at_two, start + len(two) + at_three], axis=1)
 
 
 def mixed(counts: np.ndarray, totals: np.ndarray, unknown: float, uniform: float) -> tuple[np.ndarray, np.ndarray]:
@@ -133,152 +160,231 @@ def first_weights() -> np.ndarray:
     return _AVAILABLE / _AVAILABLE.sum(axis=1, keepdims=True)
 
 
-class Mixture:
-    """The same mixture over a table of n-grams in memory."""
+def cut(docs: DataFrame, train_mod: int, scored: int) -> DataFrame:
+    """``slice, n_tokens, payload``: bounded parts of the corpus as word keys and codes, packed."""
+    schema = pa.schema([("slice", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, made = [], 0, 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal made
+            table = pa.Table.from_batches(held).combine_chunks()
+            doc_id, part, text = (table.column(i).combine_chunks() for i in range(3))
+            coded, n = words_of(text)
+            keys = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+            payload = [pc.fill_null(doc_id, 0).to_numpy().view(np.uint64), doc_id.is_valid().to_numpy(zero_copy_only=False), part.to_numpy(), n, keys, coded.indices.to_numpy()]
+            made += 1
+            row = [[TaskContext.get().partitionId() << 32 | made], [int(n.sum()) + len(n)], [_joined([packed(v) for v in payload])]]
+            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, n_symbols: int):
-        order = np.argsort(keys["key"])
-        self.keys, self.counts = keys["key"][order], counts[order].astype(float)
-        self.contexts, at = np.unique(keys["context"][order], return_inverse=True)
-        self.totals = np.bincount(at, self.counts, len(self.contexts))
-        self.uniform, self.weights = 1 / n_symbols, first_weights()
+        for batch in batches:
+            for part in slices(batch, limit=CORPUS_SLICE):
+                here = part.column(2).nbytes
+                if held and size + here > CORPUS_SLICE:
+                    yield flush()
+                    held, size = [], 0
+                held.append(part)
+                size += here
+        if held:
+            yield flush()
 
-    @staticmethod
-    def _get(table: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return np.where(table[at] == keys, values[at], 0.0)
+    part = F.when(fold("doc_id", train_mod) == scored, SCORED).when(fold("doc_id", train_mod * HELD_OUT) >= train_mod, ESTIMATED).otherwise(HELD)
+    return docs.select("doc_id", part.cast("int").alias("part"), "text").mapInArrow(run, "slice long, n_tokens long, payload binary")
 
-    def estimates(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return mixed(self._get(self.keys, self.counts, keys["key"]), self._get(self.contexts, self.totals, keys["context"]), 0, self.uniform)
 
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        return log10_of(*self.estimates(keys), self.weights)
+def _joined(parts: list[bytes]) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
-    def posterior(self, keys: np.ndarray) -> np.ndarray:
-        return uses_of(*self.estimates(keys), self.weights)
 
+def _parted(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 8], "little")
+        out.append(data[at + 8 : at + 8 + n])
+        at += 8 + n
+    return out
 
-def cut(docs: DataFrame, train_mod: int, scored: int) -> DataFrame:
-    """``slice, payload``: bounded parts of the corpus, packed."""
 
-    def pack(batch: pa.RecordBatch) -> dict:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_batch(pa.RecordBatch.from_arrays([c.take(pa.array(range(len(c)), pa.int64())) for c in batch.columns], schema=batch.schema))
-        pack.made += 1
-        return {"slice": [TaskContext.get().partitionId() << 32 | pack.made], "payload": [sink.getvalue().to_pybytes()]}
+class Slice:
+    """The n-grams of one slice in the order of their fingerprints, and their counts in its two training parts."""
+
+    def __init__(self, payload: bytes, bits: int, ranges: int):
+        doc_id, known, part, n, words, codes = (unpacked(p) for p in _parted(payload))
+        self.doc_id = pa.array(doc_id.view(np.int64), mask=known == 0)
+        self.part, self.n = part.astype(np.int64), n.astype(np.int64) + 1
+        flat = np.full(int(self.n.sum()), len(words), np.int64)
+        own = np.ones(len(flat), bool)
+        own[np.cumsum(self.n) - 1] = False
+        flat[own] = codes
+        hashes, at = ngrams(flat, self.n, np.append(words, END))
+        self.n_words = len(words) + 1
+        self.order, finger = ascending(hashes >> np.uint64(64 - bits), bits)
+        self.keys, self.finger = hashes[self.order], finger
+        place = np.empty(len(hashes), np.int64)
+        place[self.order] = np.arange(len(hashes))
+        self.at = place[at]
+        edges = [(r << bits) // ranges for r in range(ranges)]
+        self.ends = np.append(np.searchsorted(finger, np.array(edges[1:], np.uint64)), len(finger)).astype(np.int64)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        part = np.repeat(self.part, self.n)
+        return tuple(np.bincount(self.at[part == p].ravel(), minlength=len(self.keys)) for p in (ESTIMATED, HELD))
 
-    pack.made = 0
-    part = F.when(fold("doc_id", train_mod) == scored, SCORED).when(fold("doc_id", train_mod * HELD_OUT) >= train_mod, ESTIMATED).otherwise(HELD)
-    return map_slices(docs.select("doc_id", part.cast("int").alias("part"), "text"), pack, "slice long, payload binary")
+    def by_range(self) -> Iterator[tuple[int, int, int]]:
+        """The number, begin and end of each range that has n-grams."""
+        begin = 0
+        for r, end in enumerate(self.ends.tolist()):
+            if end > begin:
+                yield r, begin, end
+            begin = end
 
 
-class Slice:
-    """The n-grams of one slice and their counts in its two training parts."""
-
-    def __init__(self, payload: bytes):
-        batch = pa.ipc.open_stream(payload).read_next_batch()
-        self.doc_id, self.part = batch.column(0), batch.column(1).to_numpy()
-        flat, self.n = symbols_of(texts_of(batch))
-        hashes = _hashes(flat, self.n)[0]
-        self.keys, at = np.unique(hashes.ravel(), return_inverse=True)
-        self.at = at.reshape(hashes.shape)
-        part = np.repeat(self.part, self.n)
-        self.n_est, self.n_held = (np.bincount(self.at[part == p].ravel(), minlength=len(self.keys)) for p in (ESTIMATED, HELD))
+def _deltas(values: np.ndarray) -> np.ndarray:
+    return np.diff(values, prepend=np.uint64(0))
 
 
-def shared_counts(slices: DataFrame) -> DataFrame:
-    """``slice, key, n_est, n_held, owner``: counts in all slices, for each n-gram and slice of those that have several."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+_PARTS = "range long, slice long, data binary"
+_ANSWER = "slice long, range long, kind int, data binary, types long, once long, types_est long, once_est long"
+_STATE = ("types", "once", "types_est", "once_est")
 
-    schema = "key long, slice long, n_est long, n_held long"
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def count(batches):
-        for batch in batches:
-            for i, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = Slice(payload.as_py())
-                out = pa.RecordBatch.from_arrays([pa.array(c) for c in (s.keys, np.full(len(s.keys), i), s.n_est, s.n_held)], schema=arrow)
-                for start in range(0, len(out), 1 << 16):
-                    yield out.slice(start, 1 << 16)
-
-    one = Window.partitionBy("key")
-    return (
-        slices.mapInArrow(count, schema)
-        .select("slice", "key", *[F.sum(c).over(one).alias(c) for c in ("n_est", "n_held")], F.count("slice").over(one).alias("n"), (F.min("slice").over(one) == F.col("slice")).alias("owner"))
-        .filter("n > 1")
-        .drop("n")
-    )
+def _answer(slice_: list[int], range_: int, kind: int, data: list[bytes], state: list[int]) -> pa.Table:
+    n = len(data)
+    columns = [pa.array(slice_, pa.int64()), pa.array([range_] * n, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array(data, pa.binary())]
+    columns += [pa.array([int(x)] + [0] * (n - 1), pa.int64()) for x in state]
+    return pa.table(columns, names=["slice", "range", "kind", "data", *_STATE])
 
 
-def look_up(slices: DataFrame, shared: DataFrame) -> DataFrame:
-    """Each document with the counts of its n-grams, ``c1, c2, c3`` of all training documents.
+def shared_ngrams(corpus: DataFrame, bits: int, ranges: int) -> DataFrame:
+    """For each slice and range the n-grams (bits in their order) whose fingerprint occurs more than once in all slices."""
 
-    Held training documents have those of the estimating part too, ``e1, e2,
-    e3``.  The first row of a slice has the numbers of types, and of types seen
-    once, that no other slice reports.
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = Slice(payload.as_py(), bits, ranges)
+                found = [(r, packed(_deltas(s.finger[a:b]))) for r, a, b in s.by_range()]
+                yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.int64()), pa.array([i] * len(found), pa.int64()), pa.array([d for _, d in found], pa.binary())], ["range", "slice", "data"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        finger = [np.cumsum(unpacked(d.as_py()), dtype=np.uint64) for d in table.column("data")]
+        n = np.cumsum([len(f) for f in finger])
+        order, ordered = ascending(np.concatenate(finger), bits)
+        same = ordered[1:] == ordered[:-1]
+        several = np.zeros(len(order), bool)
+        several[order[1:][same]] = several[order[:-1][same]] = True
+        data = [np.packbits(b).tobytes() for b in np.split(several, n[:-1])]
+        return _answer(table.column("slice").to_pylist(), table.column("range")[0].as_py(), 0, data, [0] * 4)
+
+    return corpus.select("slice", "payload").mapInArrow(send, _PARTS).groupBy("range").applyInArrow(meet, _ANSWER)
+
+
+def _flags(s: Slice, rows: pa.Table) -> np.ndarray:
+    """Which n-grams of a slice are shared, from its answers of kind 0."""
+    bits = {r: d for r, k, d in zip(rows.column("range").to_pylist(), rows.column("kind").to_pylist(), rows.column("data"), strict=True) if k == 0}
+    parts = [np.unpackbits(np.frombuffer(bits[r].as_py(), np.uint8), count=b - a) for r, a, b in s.by_range()]
+    return np.concatenate(parts).astype(bool)
+
+
+def summed_counts(corpus: DataFrame, flags: DataFrame, bits: int, ranges: int) -> DataFrame:
+    """For each slice and range the counts of its shared n-grams in all slices, in their order."""
+
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        s = Slice(left.column("payload")[0].as_py(), bits, ranges)
+        shared, counts = _flags(s, right), s.counts()
+        found = []
+        for r, a, b in s.by_range():
+            mine = a + np.flatnonzero(shared[a:b])
+            if len(mine):
+                found.append((r, _joined([packed(_deltas(s.keys[mine])), *(packed(c[mine]) for c in counts)])))
+        return pa.table([pa.array([r for r, _ in found], pa.int64()), pa.array([left.column("slice")[0].as_py()] * len(found), pa.int64()), pa.array([d for _, d in found], pa.binary())], names=["range", "slice", "data"])
+
+    def total(table: pa.Table) -> pa.Table:
+        parts = [_parted(d.as_py()) for d in table.column("data")]
+        keys = [np.cumsum(unpacked(p[0]), dtype=np.uint64) for p in parts]
+        n = np.cumsum([len(k) for k in keys])
+        all_keys, at = distinct(np.concatenate(keys), 64)
+        est, held = (np.bincount(at, np.concatenate([unpacked(p[j]) for p in parts]), len(all_keys)).astype(np.int64) for j in (1, 2))
+        word = (all_keys & np.uint64(1)).astype(bool)
+        both = est + held
+        state = [(word & (c > 0)).sum() if some else (word & (c == 1)).sum() for c in (both, est) for some in (True, False)]
+        data = [_joined([packed(est[i]), packed(held[i])]) for i in np.split(at, n[:-1])]
+        return _answer(table.column("slice").to_pylist(), table.column("range")[0].as_py(), 1, data, state)
+
+    sent = corpus.select("slice", "payload").groupBy("slice").cogroup(flags.groupBy("slice")).applyInArrow(send, _PARTS)
+    return sent.groupBy("range").applyInArrow(total, _ANSWER)
+
+
+def look_up(corpus: DataFrame, answers: DataFrame, bits: int, ranges: int) -> DataFrame:
+    """One row per slice: its documents with the counts of their n-grams in all training documents.
+
+    ``held`` has the counts in the estimating part, for the held training
+    documents.  The numbers of types, and of types seen once, add up to those of
+    the corpus; ``docs`` and ``tokens`` are of training documents.
     """
-    counts = [*(f"c{k + 1}" for k in range(ORDER)), *(f"e{k + 1}" for k in range(ORDER))]
-    numbers = ("types", "once", "types_est", "once_est")
-    schema = "doc_id long, part int, n_tokens long, n_known long, base double, " + ", ".join([*(f"{c} array<long>" for c in counts), *(f"{c} long" for c in numbers)])
 
     def fill(left: pa.Table, right: pa.Table) -> pa.Table:
-        s = Slice(left.column("payload")[0].as_py())
-        owner = np.ones(len(s.keys), bool)
-        at = np.searchsorted(s.keys, right.column("key").to_numpy())
-        s.n_est[at], s.n_held[at] = right.column("n_est").to_numpy(), right.column("n_held").to_numpy()
-        owner[at] = right.column("owner").to_numpy(zero_copy_only=False)
-        every = s.n_est + s.n_held
-        word = np.zeros(len(s.keys), bool)
-        word[s.at[:, 0]] = True
-        own = owner & word
-        c, begin = every[s.at], np.cumsum(s.n) - s.n
-        held = s.part == HELD
-        e = s.n_est[s.at[np.repeat(held, s.n)]]
-        ends, held_ends = np.concatenate([[0], np.cumsum(s.n)]), np.concatenate([[0], np.cumsum(np.where(held, s.n, 0))])
-        lists = [pa.ListArray.from_arrays(pa.array(o, pa.int32()), pa.array(np.ascontiguousarray(v[:, k]))) for o, v in ((ends, c), (held_ends, e)) for k in range(ORDER)]
-        said = [(own & (every > 0)).sum(), (own & (every == 1)).sum(), (own & (s.n_est > 0)).sum(), (own & (s.n_est == 1)).sum()]
-        columns = [
-            s.doc_id,
-            pa.array(s.part, pa.int32()),
-            pa.array(s.n),
-            pa.array(np.add.reduceat((c[:, 0] > 0).astype(np.int64), begin)),
-            pa.array(np.add.reduceat(np.log10(c[:, 0] + 1.0), begin)),
-            *lists,
-            *[pa.array([int(x)] + [0] * (len(s.n) - 1), pa.int64()) for x in said],
-        ]
-        return pa.table(columns, names=["doc_id", "part", "n_tokens", "n_known", "base", *counts, *numbers])
-
-    return slices.groupBy("slice").cogroup(shared.groupBy("slice")).applyInArrow(fill, schema)
-
-
-def _numbers(batch: pa.RecordBatch, first: int, n_docs: int, n_all: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts and context totals (event x order) of a batch's documents, and the length of each."""
-    lists = [batch.column(first + k) for k in range(ORDER)]
-    n = pc.list_value_length(lists[0]).to_numpy().astype(np.int64)
-    counts = np.stack([v.flatten().to_numpy() for v in lists], axis=1)
-    totals = np.empty_like(counts)
-    totals[:, 0] = n_all
-    for k in range(1, ORDER):
-        totals[:, k] = _before(counts[:, k - 1], n, n_docs)
-    return counts, totals, n
+        s = Slice(left.column("payload")[0].as_py(), bits, ranges)
+        shared = _flags(s, right)
+        est, held = s.counts()
+        back = {r: _parted(d.as_py()) for r, k, d in zip(right.column("range").to_pylist(), right.column("kind").to_pylist(), right.column("data"), strict=True) if k == 1}
+        for r, a, b in s.by_range():
+            if r in back:
+                mine = a + np.flatnonzero(shared[a:b])
+                est[mine], held[mine] = (unpacked(d).astype(np.int64) for d in back[r])
+        own = (s.keys & np.uint64(1)).astype(bool) & ~shared
+        both = est + held
+        state = [(own & (c > 0)).sum() if some else (own & (c == 1)).sum() for c in (both, est) for some in (True, False)]
+        state = [int(x) + int(pc.sum(right.column(name)).as_py() or 0) for x, name in zip(state, _STATE, strict=True)]
+        counts, begin = both[s.at], np.cumsum(s.n) - s.n
+        known, base = np.add.reduceat((counts[:, 0] > 0).astype(np.int64), begin), np.add.reduceat(np.log10(counts[:, 0] + 1.0), begin)
+        is_held = s.part == HELD
+        apart = est[s.at[np.repeat(is_held, s.n)]]
+        scored = _joined([packed(v) for v in (s.doc_id.fill_null(0).to_numpy().view(np.uint64), s.doc_id.is_valid().to_numpy(zero_copy_only=False), s.part == SCORED, s.n, known, base.view(np.uint64), *counts.T)])
+        out = _joined([packed(v) for v in (s.n[is_held], *apart.T)])
+        train = {p: (int((s.part == p).sum()), int(s.n[s.part == p].sum())) for p in (ESTIMATED, HELD)}
+        numbers = [*state, train[ESTIMATED][0] + train[HELD][0], train[ESTIMATED][1] + train[HELD][1], *train[ESTIMATED]]
+        return pa.table([pa.array([scored], pa.binary()), pa.array([out], pa.binary()), *(pa.array([x], pa.int64()) for x in numbers)], names=["scored", "held", *_NUMBERS])
+
+    schema = "scored binary, held binary, " + ", ".join(f"{c} long" for c in _NUMBERS)
+    return corpus.select("slice", "payload").groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(fill, schema)
+
+
+_NUMBERS = (*_STATE, "docs", "tokens", "docs_est", "tokens_est")
+
+
+def _numbers(n: np.ndarray, counts: np.ndarray, n_docs: int, n_all: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Counts and context totals (event x order) of runs of documents with a bounded number of events, if no text is longer."""
+    ends, first = np.cumsum(n), 0
+    while first < len(n):
+        done = int(ends[first - 1]) if first else 0
+        upto = max(int(np.searchsorted(ends, done + EVENTS)), first + 1)
+        here = counts[done : ends[upto - 1]]
+        totals = np.empty_like(here)
+        totals[:, 0] = n_all
+        for k in range(1, ORDER):
+            totals[:, k] = _before(here[:, k - 1], n[first:upto], n_docs)
+        yield slice(first, upto), here, totals
+        first = upto
 
 
 def fit(looked: DataFrame, n_docs: int, n_all: int, unknown: int, types: int) -> np.ndarray:
     """The weights by bucket, from the held documents; the numbers are of the estimating part."""
     weights = first_weights()
-    held = looked.filter(F.col("part") == HELD).select("e1", "e2", "e3")
     for _ in range(EM_STEPS):
 
         def expect(batch: pa.RecordBatch, weights=weights) -> dict:
-            counts, totals, _ = _numbers(batch, 0, n_docs, n_all)
-            return {"uses": [uses_of(*mixed(counts, totals, unknown, 1 / (types + 1)), weights).ravel().tolist()]}
-
-        sums = map_slices(held, expect, "uses array<double>", "e1").agg(F.array(*[F.sum(F.col("uses")[i]) for i in range(BUCKETS * (ORDER + 1))])).first()
-        if sums[0][0] is None:  # nothing was held out
+            uses = np.zeros((BUCKETS, ORDER + 1))
+            for row in batch.column(0):
+                n, *counts = (unpacked(p).astype(np.int64) for p in _parted(row.as_py()))
+                for _, here, totals in _numbers(n, np.stack(counts, axis=1), n_docs, n_all):
+                    uses += uses_of(*mixed(here, totals, unknown, 1 / (types + 1)), weights)
+            return {"uses": [uses.ravel().tolist()]}
+
+        sums = map_slices(looked.select("held"), expect, "uses array<double>", "held").agg(F.array(*[F.sum(F.col("uses")[i]) for i in range(BUCKETS * (ORDER + 1))])).first()
+        uses = np.array([x or 0.0 for x in sums[0]]).reshape(BUCKETS, ORDER + 1)
+        if not uses.any():  # nothing was held out
             break
-        uses = np.array(sums[0]).reshape(BUCKETS, ORDER + 1)
         # a bucket with little evidence leans to the weights of all
         uses += 10 * uses.sum(axis=0) / max(uses.sum(), 1e-9) + 1e-6
         uses *= _AVAILABLE
@@ -293,28 +399,39 @@ def score(docs: DataFrame, train_mod: int = 7, scored: int = 2) -> DataFrame:
     held out, all others train.  ``base_score`` is the add-one unigram score,
     ``score`` the model's; both are log10 probabilities of the whole text.  Null
     text is empty: its one token is the end.  A null doc_id counts as the empty
-    text in the fold.  Repeated rows are scored each.  Other columns are
+    text in the fold.  Repeated rows are scored each, and count each where they
+    train.  A text longer than a slice is a slice of its own.  Other columns are
     ignored.  An empty table gives no rows; without training documents all words
     are unknown and the model is uniform.
     """
-    slices = materialize(cut(docs, train_mod, scored), "slices")
-    looked = materialize(look_up(slices, shared_counts(slices)), "looked")
-    release(slices)
-    sums = looked.agg(
-        *[F.sum(c).alias(c) for c in ("types", "once", "types_est", "once_est")],
-        *[F.sum(F.when(F.col("part").isin(parts), c).otherwise(0)).alias(n) for n, c, parts in (("n", F.col("n_tokens"), [ESTIMATED, HELD]), ("n_est", F.col("n_tokens"), [ESTIMATED]), ("docs", F.lit(1), [ESTIMATED, HELD]), ("docs_est", F.lit(1), [ESTIMATED]))],
-    ).first()
-    types, once, types_est, once_est, total, n_est, n_docs, docs_est = (x or 0 for x in sums)
+    corpus = materialize(cut(docs, train_mod, scored), "corpus", "none")
+    n_tokens = corpus.agg(F.sum("n_tokens")).first()[0] or 1
+    # every token ends three n-grams; ranges and fingerprints follow their number
+    bits, ranges = min(40, (ORDER * n_tokens).bit_length() + SPARE_BITS), -(-ORDER * n_tokens // (2 * RANGE))
+    flags = materialize(shared_ngrams(corpus, bits, ranges), "flags", "none")
+    sums = materialize(summed_counts(corpus, flags, bits, ranges), "sums", "none")
+    looked = materialize(look_up(corpus, flags.unionByName(sums), bits, ranges), "looked", "none")
+    for table in (corpus, flags, sums):
+        release(table)
+    sums = looked.agg(*[F.sum(c) for c in _NUMBERS]).first()
+    types, once, types_est, once_est, n_docs, total, docs_est, n_est = (x or 0 for x in sums)
     weights = fit(looked, docs_est, n_est, max(once_est, 1), types_est)
 
     def evaluate(batch: pa.RecordBatch) -> dict:
-        counts, totals, n = _numbers(batch, 4, n_docs, total)
-        lp = log10_of(*mixed(counts, totals, max(once, 1), 1 / (types + 1)), weights)
-        return {c: batch.column(i) for i, c in enumerate(("doc_id", "held_out", "n_tokens", "n_known"))} | {"base": batch.column(7), "score": np.add.reduceat(lp, np.cumsum(n) - n)}
+        out: dict[str, list] = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base", "score")}
+        for row in batch.column(0):
+            doc_id, valid, held_out, n, known, base, *counts = (unpacked(p) for p in _parted(row.as_py()))
+            n, scores = n.astype(np.int64), np.empty(len(n))
+            for at, here, totals in _numbers(n, np.stack([c.astype(np.int64) for c in counts], axis=1), n_docs, total):
+                lp = log10_of(*mixed(here, totals, max(once, 1), 1 / (types + 1)), weights)
+                scores[at] = np.add.reduceat(lp, np.cumsum(n[at]) - n[at])
+            values = (pa.array(doc_id.view(np.int64), mask=valid == 0), pa.array(held_out.astype(bool)), pa.array(n), pa.array(known.astype(np.int64)), pa.array(base.view(float)), pa.array(scores))
+            for c, v in zip(out, values, strict=True):
+                out[c].append(v)
+        return {c: pa.concat_arrays(v) for c, v in out.items()}
 
-    source = looked.select("doc_id", (F.col("part") == SCORED).alias("held_out"), "n_tokens", "n_known", "c1", "c2", "c3", "base")
     floor = float(np.log10(total + types + 1))
-    return map_slices(source, evaluate, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double", "c1").select(
+    return map_slices(looked.select("scored"), evaluate, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double", "scored").select(
         "doc_id",
         "held_out",
         "n_tokens",

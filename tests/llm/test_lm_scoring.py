@@ -32,13 +32,17 @@ def check(rows, texts):
 
 def test_base_score_and_gain(docs, monkeypatch):
     texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    for hot in (300, L.HOT_WORDS):  # with and without words that need the join
-        monkeypatch.setattr(L, "HOT_WORDS", hot)
+    scores = []
+    for corpus_slice, n_range in ((20_000, 5_000), (L.CORPUS_SLICE, L.RANGE)):  # many slices and ranges, and one
+        monkeypatch.setattr(L, "CORPUS_SLICE", corpus_slice)
+        monkeypatch.setattr(L, "RANGE", n_range)
         rows = L.score(docs).collect()
         check(rows, texts)
         held = [r for r in rows if r["held_out"]]
         assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
         assert all(r["score"] < 0 for r in rows)
+        scores.append([r["score"] for r in sorted(rows, key=lambda r: r["doc_id"])])
+    assert np.allclose(*scores, rtol=1e-9)
 
 
 def test_odd_rows(odd, none):
@@ -47,31 +51,70 @@ def test_odd_rows(odd, none):
     assert L.score(none).collect() == []
 
 
+def table_of(sequences):
+    counts = Counter()
+    for s in sequences:
+        k = [-1, -1, *s]
+        for i in range(2, len(k)):
+            counts.update([(k[i],), tuple(k[i - 1 : i + 1]), tuple(k[i - 2 : i + 1])])
+    return counts
+
+
+def features(counts, sequences, uniform):
+    c, t = [], []
+    for s in sequences:
+        k = [-1, -1, *s]
+        for i in range(2, len(k)):
+            grams = [tuple(k[i - o : i + 1]) for o in range(3)]
+            c.append([counts[g] for g in grams])
+            t.append([sum(n for g, n in counts.items() if len(g) == o + 1 and g[:-1] == grams[o][:-1]) for o in range(3)])
+    return L.mixed(np.array(c), np.array(t), 0, uniform)
+
+
 def test_probabilities_of_all_symbols_sum_to_one():
-    sequences = [[3, 4, 3, 2], [4, 4, 1, 2], [3, 2]] * 3
-    keys, counts = np.unique(L.ngram_keys(sequences).ravel(), return_counts=True)
-    m = L.Mixture(keys, counts, 5)
+    counts = table_of([[3, 4, 3, 2], [4, 4, 1, 2], [3, 2]] * 3)
     for before in ([3, 4], [4, 1], [4, 4]):
-        # every symbol but START can follow; END's estimate counts with it
-        p = sum(10 ** m.log10(L.ngram_keys([[*before, s]]))[-1] for s in range(5))
-        assert abs(p - 1) < 1e-9
+        p, bucket = features(counts, [[*before, s] for s in range(5)], 1 / 5)
+        assert abs((10 ** L.log10_of(p, bucket, L.first_weights()))[2::3].sum() - 1) < 1e-9
 
 
 def test_em_raises_held_out_likelihood():
     rng = np.random.default_rng(0)
     make = lambda n: [[*(3 + np.cumsum(rng.integers(0, 2, 30)) % 6), 2] for _ in range(n)]
-    keys, counts = np.unique(L.ngram_keys(make(200)).ravel(), return_counts=True)
-    m, held = L.Mixture(keys, counts, 9), L.ngram_keys(make(50))
-    before = m.log10(held).sum()
+    p, bucket = features(table_of(make(60)), make(15), 1 / 9)
+    weights = L.first_weights()
+    before = L.log10_of(p, bucket, weights).sum()
     for _ in range(4):
-        uses = m.posterior(held) + 1e-9
-        m.weights = uses / uses.sum(axis=1, keepdims=True)
-        assert m.log10(held).sum() >= before - 1e-6
-        before = m.log10(held).sum()
-
-
-def test_scores_use_every_ngram(spark):
-    """The scores against the same mixture over all words and n-grams of the corpus in plain Python; a small share of all is enough to count."""
+        uses = L.uses_of(p, bucket, weights) + 1e-9
+        weights = uses / uses.sum(axis=1, keepdims=True)
+        assert L.log10_of(p, bucket, weights).sum() >= before - 1e-6
+        before = L.log10_of(p, bucket, weights).sum()
+
+
+def test_ngrams_of_texts_that_share_words():
+    rng = np.random.default_rng(2)
+    words = rng.integers(1, 1 << 63, 6).astype(np.uint64)
+    texts = [[*rng.integers(0, 5, rng.integers(0, 12)), 5] for _ in range(80)]
+    hashes, at = L.ngrams(np.concatenate(texts), np.array([len(t) for t in texts]), words)
+    assert len(np.unique(hashes)) == len(hashes)
+    seen = {}
+    for k, row in zip([t[max(0, i - o) : i + 1] if i >= o else [-1] * (o - i) + t[: i + 1] for t in [list(map(int, t)) for t in texts] for i in range(len(t)) for o in range(3)], at.ravel(), strict=True):
+        assert seen.setdefault(tuple(k), row) == row
+    assert len(seen) == len(set(seen.values())) == len(hashes)
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(3)
+    for values in (np.zeros(0, np.uint64), np.array([0, 5], np.uint64), rng.integers(0, 1 << 63, 999).astype(np.uint64), np.array([(1 << 64) - 1], np.uint64)):
+        assert (L.unpacked(L.packed(values)) == values).all()
+    order, ordered = L.ascending(values := rng.integers(0, 1 << 63, 999).astype(np.uint64), 63)
+    assert (values[order] == ordered).all() and (np.sort(values) == ordered).all()
+
+
+def test_scores_use_every_ngram(spark, monkeypatch):
+    """The scores against the same mixture over all words and n-grams of the corpus in plain Python."""
+    monkeypatch.setattr(L, "CORPUS_SLICE", 3_000)
+    monkeypatch.setattr(L, "RANGE", 2_000)
     rng = np.random.default_rng(1)
     texts = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) if x < 10**6)) for i in range(300)]
     part = lambda d: 0 if L.crc_fold(d, 7) == 2 else 1 if L.crc_fold(d, 70) >= 7 else 2
