@@ -161,6 +161,13 @@ def _float(data: bytes, at: int, end: int) -> float:
 
 def parse(data: bytes) -> Media:
     """Tracks, packets and cues of a file; ``ValueError`` where it is malformed."""
+    try:
+        return _parse(data)
+    except (IndexError, struct.error, UnicodeDecodeError, ZeroDivisionError, OverflowError) as e:
+        raise ValueError(f"the file ends early or has a value out of range: {e}") from e
+
+
+def _parse(data: bytes) -> Media:
     media = Media()
     for top, a, b in elements(data, 0, len(data)):
         if top == EBML:
@@ -288,20 +295,29 @@ def store(docs: DataFrame) -> DataFrame:
 
 
 def packets(media: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The packet table of a column ``media``: one row per packet with track, timestamp and byte range."""
+    """The packet table of a column ``media``: one row per packet with track, timestamp and byte range.
+
+    Null has no packets.  A file that cannot be parsed has one row, with its
+    ``error`` and nothing else; no file fails the others.  Files are parsed
+    whole, one at a time if they are large.
+    """
     kind = media.schema[key].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> dict:
-        keys, found = [], []
+        keys, found, errors = [], [], []
         for k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if data is not None:
-                p = parse(data).packets
-                found += p
-                keys += [k] * len(p)
-        columns = {c: [getattr(p, c) for p in found] for c in ("track", "timestamp", "keyframe", "lacing", "start", "end")}
-        return {key: keys} | columns
+            error = None
+            try:
+                p = parse(data).packets if data is not None else []
+            except ValueError as e:
+                p, error = [None], str(e)
+            found += p
+            keys += [k] * len(p)
+            errors += [error] * len(p)
+        columns = {c: [getattr(p, c) if p else None for p in found] for c in ("track", "timestamp", "keyframe", "lacing", "start", "end")}
+        return {key: keys} | columns | {"error": errors}
 
-    return map_slices(media.select(key, "media"), run, f"{key} {kind}, track int, timestamp long, keyframe boolean, lacing int, start long, end long", "media")
+    return map_slices(media.select(key, "media"), run, f"{key} {kind}, track int, timestamp long, keyframe boolean, lacing int, start long, end long, error string", "media")
 
 
 def describe(media: bytes) -> tuple[bytes, str]:
@@ -327,8 +343,8 @@ def media_columns(docs: DataFrame) -> DataFrame:
 
     One row per document: ``doc_id, n_bytes, payload_bytes, payload_sha256,
     tail_crc32, media_bytes, media_sha256, feature``; all but doc_id depend on
-    the text alone.  Null text is empty (64 zero bytes).  Repeated rows and null
-    ids are rows of their own.  Other columns are ignored.  An empty table gives
+    the text alone.  Null text is empty (64 zero bytes).  A text of any length
+    is one file.  Repeated rows and null ids are rows of their own.  Other columns are ignored.  An empty table gives
     no rows.
     """
     stored = materialize(store(docs), "media")

@@ -40,7 +40,14 @@ def test_block_groups_and_unknown_sizes():
     assert m.clusters == 2
 
 
-@pytest.mark.parametrize("bad", [b"\x00abc", b"\x1a\x45\xdf\xa3\x90ab", M.write(M.payload_of("abc"))[:-3]])
+def _segment(block):
+    return M.element(M.EBML, M.element(M.DOC_TYPE, b"webm")) + M.element(M.SEGMENT, M.element(M.CLUSTER, M.element(M.SIMPLE_BLOCK, block)))
+
+
+BAD = [b"\x00abc", b"\x1a\x45\xdf\xa3\x90ab", M.write(M.payload_of("abc"))[:-3], b"\x1a\x45\xdf\xa3", _segment(b"\x81\x00"), _segment(b"\x81\x00\x00\x02"), _segment(b"\x81\x00\x00\x02\x05\xff")]
+
+
+@pytest.mark.parametrize("bad", BAD)
 def test_malformed_files_are_refused(bad):
     with pytest.raises(ValueError):
         M.parse(bad)
@@ -55,6 +62,20 @@ def test_query(docs, odd, none):
     assert M.media_columns(none).collect() == []
 
 
+def test_a_bad_file_fails_alone(spark):
+    good = M.write(M.payload_of("abc"))
+    rows = M.packets(spark.createDataFrame([(i, b) for i, b in enumerate([*BAD, good, None])], "doc_id long, media binary").repartition(2)).collect()
+    assert sorted((r["doc_id"], r["error"] is None) for r in rows) == [*((i, False) for i in range(len(BAD))), (len(BAD), True)]
+
+
+def test_features_are_of_the_stored_file():
+    payload, feature = M.describe(M.write(M.payload_of("ab" * 5000)))
+    n, mean = len(payload) // 64, sum(payload) / len(payload)
+    said = dict(p.split("=") for p in feature.split(";"))
+    assert (int(said["packets"]), said["codec"], said["duration_ms"], said["mean"]) == (n, "A_PCM/INT/LIT", str(len(payload) // 8), f"{mean:.4f}")
+    assert sum(map(int, said["lacing"].split("/"))) == n and said["clusters"] == said["cues"]
+
+
 def test_packet_table(odd, none):
     rows = M.packets(M.store(odd.filter("doc_id = 1"))).collect()
     assert [(r["start"] < r["end"], r["track"]) for r in rows] == [(True, 1)]
