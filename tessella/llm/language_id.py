@@ -8,7 +8,9 @@ language of least cross-entropy per character.  Words are scored once per
 worker, so a text costs a look-up for each word.
 
 The models are fitted on a bounded sample: at most ``SAMPLE`` rows of each
-language, those whose hashed id is smallest.  A fifth of the sample calibrates:
+language, those whose hashed id is smallest, and of these the first ones that
+hold the language's share of ``SAMPLE_BYTES`` (one row at least).  Every
+language that has a labelled row is learned.  A fifth of the sample calibrates:
 how sharply differences of cross-entropy decide (``score``), and how large the
 cross-entropy of accepted texts is (``rejected``).
 """
@@ -25,9 +27,9 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import claim_worker, filter_slices, fold, map_slices, texts_of
 
-#: Rows of each language that are fitted on, at most; languages, by their number of rows, at most.
-SAMPLE, LANGUAGES = 1000, 256
-ORDER, DISCOUNT, CACHE_ENTRIES, WORDS_AT_ONCE, UNDETERMINED = 4, 0.75, 200_000, 10_000, "und"
+#: Rows of each language that are fitted on, at most; bytes of text of all languages together.
+SAMPLE, SAMPLE_BYTES = 1000, 256 << 20
+ORDER, DISCOUNT, CACHE_ENTRIES, CHARACTERS_AT_ONCE, LONG, UNDETERMINED = 4, 0.75, 200_000, 100_000, 64, "und"
 #: Rejection: this many calibrated deviations above the mean cross-entropy and nearer to that of random letters, for texts of some length.
 REJECT_DEVIATIONS, LEAST_CHARACTERS = 6.0, 40
 _WORD = re.compile(r"[^\W\d_]+")
@@ -92,13 +94,39 @@ class KneserNey:
         return np.where((table[at] == keys)[:, None], values[at], default)
 
     def log2(self, words: list[str]) -> np.ndarray:
-        """log2 of each word's probability (word x language)."""
+        """log2 of each word's probability (word x language), by a bounded number of characters at a time."""
+        out, group, size = [], [], 0
+        for w in words:
+            if group and size + len(w) > CHARACTERS_AT_ONCE:
+                out.append(self._log2(group))
+                group, size = [], 0
+            if len(w) <= CHARACTERS_AT_ONCE:
+                group.append(w)
+                size += len(w)
+            else:
+                out.append(self._log2_of_long(w))
+        return np.concatenate([*out, self._log2(group)] if group or not out else out)
+
+    def _log2_of_long(self, word: str) -> np.ndarray:
+        """One word part by part; each part follows the characters that its first n-grams reach back to."""
+        total = np.zeros((1, self.n))
+        for at in range(0, len(word), CHARACTERS_AT_ONCE):
+            back, end = min(at, ORDER - 1), at + CHARACTERS_AT_ONCE
+            events = self._log2_of_events([word[at - back : end]])[0]
+            total += events[back : None if end >= len(word) else -1].sum(axis=0)
+        return total
+
+    def _log2(self, words: list[str]) -> np.ndarray:
+        logs, own = self._log2_of_events(words)
+        return np.stack([np.bincount(own, logs[:, j], len(words)) for j in range(self.n)], 1)
+
+    def _log2_of_events(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """log2 of the probability of each character and word end, and its word."""
         grams, contexts, own = _events(words)
         p = np.full((len(grams), self.n), self.uniform)
         for k in range(ORDER):
             p = self._rows(self.grams[k], self.prob[k], grams[:, k], 0.0) + self._rows(self.contexts[k], self.backoff[k], contexts[:, k], 1.0) * p
-        logs = np.log2(p)
-        return np.stack([np.bincount(own, logs[:, j], len(words)) for j in range(self.n)], 1)
+        return np.log2(p), own
 
 
 class Identifier:
@@ -140,16 +168,20 @@ class Identifier:
         if len(memory) > CACHE_ENTRIES:
             memory.clear()
             self.table = np.zeros((0, self.model.n))
-        new = list({w for p in parts for w in p} - memory.keys())
-        table = self.__dict__.get("table", np.zeros((0, self.model.n)))
+        # long words come last, so that they can be given up again
+        new = sorted({w for p in parts for w in p} - memory.keys(), key=lambda w: len(w) > LONG)
+        table, n_known = self.__dict__.get("table", np.zeros((0, self.model.n))), len(memory)
         if new:
             memory.update(zip(new, range(len(table), len(table) + len(new)), strict=True))
-            table = np.concatenate([table, *(self.model.log2(new[i : i + WORDS_AT_ONCE]) for i in range(0, len(new), WORDS_AT_ONCE))])
-        if "table" in self.__dict__:
-            self.table = table
+            table = np.concatenate([table, self.model.log2(new)])
         size = np.array([sum(map(len, p)) + len(p) for p in parts], np.int64)
         sums = np.array([table[list(map(memory.__getitem__, p))].sum(axis=0) if p else np.zeros(self.model.n) for p in parts]).reshape(len(parts), self.model.n)
-        letters = [any(w.isalpha() for w in p) or any(c.isalpha() for w in p for c in w) or any(c.isalpha() for c in t) for p, t in zip(parts, texts, strict=True)]
+        letters = [bool(p) or any(c.isalpha() for c in t) for p, t in zip(parts, texts, strict=True)]
+        n_long = sum(len(w) > LONG for w in new)
+        for w in new[len(new) - n_long :]:
+            del memory[w]
+        if "table" in self.__dict__:
+            self.table = table[: n_known + len(new) - n_long].copy() if n_long else table
         return -sums / np.maximum(size, 1)[:, None], size, letters
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
@@ -171,17 +203,21 @@ class Identifier:
 
 
 def fit(docs: DataFrame) -> Identifier:
-    """Models from at most ``SAMPLE`` labelled rows of each of at most ``LANGUAGES`` languages outside the held-out fold."""
+    """Models from a bounded sample of the labelled rows of each language outside the held-out fold."""
     source = docs.filter((fold() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = source.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    sizes = {r["lang"]: r["count"] for r in sizes}
+    sizes = {r["lang"]: r["count"] for r in source.groupBy("lang").count().collect()}  # a row for each language
+    if not sizes:
+        return Identifier([], [])
     # a share of ids that leaves about twice the sample of each language, so that few rows are ranked
-    wanted = F.lit(False)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    for lang, n in sizes.items():
-        wanted |= (F.col("lang") == lang) & (draw <= F.lit(int((1 << 30) * min(1.0, 2 * SAMPLE / n))))
-    ranked = source.filter(wanted).withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id", "text"))).filter(F.col("_n") <= SAMPLE)
-    rows = ranked.select("lang", "text").orderBy("lang", "_n").toArrow().to_pylist() if sizes else []
+    large = {k: int((1 << 30) * 2 * SAMPLE / n) for k, n in sizes.items() if n > 2 * SAMPLE}
+    share = F.create_map(*[F.lit(x) for kv in large.items() for x in kv])[F.col("lang")] if large else F.lit(None)
+    some = source.filter(share.isNull() | (draw <= share))
+    order = Window.partitionBy("lang").orderBy(draw, "doc_id", "text")
+    ranked = some.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= SAMPLE)
+    held = ranked.withColumn("_bytes", F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)))
+    bounded = held.filter(F.coalesce("_bytes", F.lit(0)) < SAMPLE_BYTES // len(sizes))
+    rows = bounded.select("lang", "text").orderBy("lang", "_n").toArrow().to_pylist()
     languages = sorted(sizes)
     return Identifier(languages, [[r["text"] for r in rows if r["lang"] == x] for x in languages])
 
@@ -193,8 +229,9 @@ def identify(docs: DataFrame, fitted: Identifier | None = None) -> DataFrame:
     fold (``crc32(doc_id as text) mod 3 = 1``); predictions see the text only.
     A null text, or one without a letter, is ``und`` with score 0 and rejected.
     A text is rejected too where its cross-entropy is far above that of its
-    language's sample.  Without any labelled row all texts are ``und``.
-    Repeated rows are predicted each.  Other columns are ignored.  An empty
+    language's sample.  Without any labelled row all texts are ``und``.  Of
+    languages that are equally likely the alphabetically first is taken.  A text
+    of any length is read whole.  Repeated rows are predicted each.  Other columns are ignored.  An empty
     table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(fitted or fit(docs))  # bounded by the sample
@@ -208,6 +245,9 @@ def identify(docs: DataFrame, fitted: Identifier | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without rejected texts; one pass, the other columns travel along."""
+    """``docs`` without rejected texts (null ones, ones without a letter, and ones unlike any language).
+
+    One pass; repeated rows are judged each, the other columns travel along.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
     return filter_slices(docs, lambda b: [not p[3] for p in sent.value.predict(b.column(b.schema.get_field_index("text")).to_pylist())])
