@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import claim_worker, filter_slices, fold, map_slices, materialize, texts_of
 
-#: Labelled rows fitted on, voters, and features of the classifier, at most each.
+#: Labelled documents fitted on, at most.  The sizes of the two models, their strongest voters and features, are
+#: parameters of the classifier; they do not depend on the size of the table.
 SAMPLE, VOTERS, FEATURES = 12_000, 160, 700
 #: A voter marks this many toxic rows of the sample and this share of the rows it marks is toxic, at least.
 LEAST_ROWS, LEAST_SHARE, THRESHOLD, EM_STEPS = 4, 0.7, 0.7, 30
@@ -139,14 +140,16 @@ class Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
-    """A classifier from at most ``SAMPLE`` labelled rows outside the held-out fold.
+    """A classifier from at most ``SAMPLE`` labelled documents outside the held-out fold.
 
-    Without toxic rows in the sample nothing is ever toxic (score 0).
+    Of rows that repeat a labelled doc_id the smallest text is learned from, so
+    the sample is bounded whatever repeats.  Without toxic rows in the sample nothing is ever toxic (score 0).
     """
     draw = F.xxhash64("doc_id")
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold() != 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     drawn = known.orderBy(draw, "doc_id").limit(SAMPLE)
-    sample = materialize(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"), "labelled")  # SAMPLE rows of labels
+    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # SAMPLE rows of labels
+    sample = materialize(rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"), "labelled")
 
     def count(batch: pa.RecordBatch) -> dict:
         sums = {0: Counter(), 1: Counter()}
@@ -156,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         return {"feature": names, "toxic": [sums[1][f] for f in names], "clean": [sums[0][f] for f in names]}
 
     found = map_slices(sample.select("doc_id", "text", "toxic"), count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    found = found.filter(F.col("t") + F.col("c") >= LEAST_ROWS)
+    found = materialize(found.filter(F.col("t") + F.col("c") >= LEAST_ROWS), "features")
     n_toxic, n_clean = sample.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
     if not n_toxic:
         return Scorer([], np.zeros(0), -40.0)
@@ -185,7 +188,8 @@ def score(docs: DataFrame, labels: DataFrame, fitted: Scorer | None = None) -> D
     Labels are learned from the rows outside the held-out fold
     (``crc32(doc_id as text) mod 3 = 1``); scores see the text only.  Null text
     counts as empty and has the score of a text without features.  Repeated rows
-    are scored each; of repeated labels the largest counts.  Other columns are
+    are scored each; of repeated labels the largest counts.  A score equal to
+    the threshold is toxic.  A text of any length is read whole.  Other columns are
     ignored.  An empty table gives no rows; without usable labels all scores
     are 0.
     """
@@ -199,6 +203,10 @@ def score(docs: DataFrame, labels: DataFrame, fitted: Scorer | None = None) -> D
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the texts predicted toxic; one pass, the other columns travel along."""
+    """``docs`` without the texts predicted toxic.
+
+    One pass; null text is judged as empty, repeated rows are judged each, the
+    other columns travel along.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     return filter_slices(docs, lambda b: [s < THRESHOLD for s in sent.value.scores(b)])

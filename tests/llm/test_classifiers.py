@@ -66,6 +66,51 @@ def _probability(model, grams, contexts, j):
     return float(p[0, j])
 
 
+def test_scores_equal_plain_kneser_ney():
+    """The word probabilities against the recursion written out over counts of strings."""
+    counts = [Counter({"abab": 3, "abc": 2, "b": 1, "bab": 4}), Counter({"cab": 2, "acca": 5})]
+    model = G.KneserNey(counts)
+
+    def grams(words, k):  # n-grams of order k + 1 that end at each character or word end
+        return Counter(g for w, n in words.items() for _ in range(n) for s in ["^" * G.ORDER + w + "$"] for i in range(G.ORDER, len(s)) for g in [s[i - k : i + 1]])
+
+    def p(words, context, c, k):
+        lower = model.uniform if k == 0 else p(words, context, c, k - 1)
+        full = grams(words, k)
+        if k < G.ORDER - 1:  # continuation counts: by different characters before, a mark counts as one
+            full = Counter(g[1:] for g in grams(words, k + 1))
+        ctx = context[len(context) - k :]
+        total = sum(n for g, n in full.items() if g[:-1] == ctx)
+        kinds = sum(1 for g in full if g[:-1] == ctx)
+        if not total:
+            return lower
+        return max(full[ctx + c] - G.DISCOUNT, 0) / total + G.DISCOUNT * kinds / total * lower
+
+    for word in ("abab", "cab", "zz", "b"):
+        got = model.log2([word])[0]
+        for j, words in enumerate(counts):
+            s = "^" * G.ORDER + word + "$"
+            want = sum(math.log2(p(words, s[i - G.ORDER + 1 : i], s[i], G.ORDER - 1)) for i in range(G.ORDER, len(s)))
+            assert abs(got[j] - want) < 1e-9
+
+
+def test_long_words_in_parts(monkeypatch):
+    model = G.KneserNey([Counter({"abab": 3, "abc": 2}), Counter({"cab": 2})])
+    word = "abcab" * 50
+    whole = model.log2([word, "abc"])
+    monkeypatch.setattr(G, "CHARACTERS_AT_ONCE", 7)
+    assert np.allclose(model.log2([word, "abc"]), whole)
+    fitted = G.Identifier(["x", "y"], [["abab abba baab"] * 20, ["cdcd dccd cddc"] * 20])
+    fitted.predict(["abba " + "ab" * 5000, "cd" * 90])
+    assert all(len(w) <= G.LONG for w in fitted.memory) and len(fitted.table) == len(fitted.memory)
+
+
+def test_every_language_is_learned(spark):
+    rows = [(3 * i + j, f"{chr(0x4E00 + i) * 4} {chr(0x4E00 + i)}", f"l{i:03}") for i in range(300) for j in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    assert len(G.fit(table).languages) == len({lang for d, _, lang in rows if zlib.crc32(str(d).encode()) % 3 != 1}) > 256
+
+
 def test_cross_entropy_prefers_the_language():
     fitted = G.Identifier(["x", "y"], [["abab abba baab"] * 20, ["cdcd dccd cddc"] * 20])
     assert [p[0] for p in fitted.predict(["abba", "dcdc", None, "123"])] == ["x", "y", "und", "und"]
@@ -112,6 +157,26 @@ def test_label_model_finds_accuracies():
     assert (model.posterior[two] > 0.5).mean() > 0.9 and model.posterior[~votes.any(axis=1)].max() < 0.1
 
 
+def test_logistic_is_the_minimum_of_the_penalised_loss():
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 2, (300, 4)).astype(np.float32), rng.random(300)
+    w, b = T.logistic(x, y)
+
+    def loss(w, b):
+        z = x @ w + b
+        return (np.logaddexp(0, z) - y * z).sum() + 0.25 * (w**2).sum() + 0.0005 * b * b
+
+    assert all(loss(w, b) <= loss(w + d[:4], b + d[4]) + 1e-9 for d in rng.normal(0, 1e-3, (50, 5)))
+
+
+def test_scores_equal_the_weights_written_out():
+    names = ["bad", "ugl*", "ugl**", "good"]
+    scorer = T.Scorer(names, np.array([2.0, 1.0, 0.5, -1.5]), -1.0)
+    for text in ("", "Bad good", "ugly uglier day", "uglies", "bad " * 3000 + "uglier"):
+        z = -1.0 + sum(w for f, w in zip(names, [2.0, 1.0, 0.5, -1.5], strict=True) if f in T.features_of(text))
+        assert abs(scorer.score(text) - 1 / (1 + math.exp(-z))) < 1e-12
+
+
 def test_logistic_separates():
     x = np.array([[0, 1], [0, 0], [1, 0], [1, 1]] * 50, np.float32)
     w, b = T.logistic(x, x[:, 0].astype(float))

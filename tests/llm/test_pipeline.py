@@ -3,6 +3,9 @@
 import re
 
 import corpus_pipeline as C
+import numpy as np
+
+from tessella.llm import language_id
 from tessella.llm import toxicity as T
 from tests.llm.test_duplicates import brute_components
 from tests.llm.test_tokens import check_packing
@@ -12,6 +15,7 @@ def test_stages_and_run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns, seen = docs.columns, {r["doc_id"]: r["text"] for r in docs.collect()}
     for name, stage in C.STAGES[:-1]:
+        given = docs
         docs = C.materialize(stage(spark, docs, sf_dir), name)
         assert docs.columns == columns
         kept = {r["doc_id"]: r["text"] for r in docs.collect()}
@@ -21,7 +25,18 @@ def test_stages_and_run(spark, sf_dir):
             toxic = {r["doc_id"] for r in T.score(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).filter("predicted = 1").collect()}
             assert seen.keys() - kept.keys() == toxic
         elif name == "language":
-            assert all(not any(c.isalpha() for c in seen[d]) for d in seen.keys() - kept.keys()) or len(seen) - len(kept) <= 2
+            # the stage's rule, written out over the fitted models and its own input
+            before = list(seen)
+            fitted = language_id.fit(given)
+            bits, size, letters = fitted.bits([seen[d] or "" for d in before])
+            random = -np.log2(fitted.model.uniform)
+            rejected = set()
+            for d, row, n, any_letter in zip(before, bits, size.tolist(), letters, strict=True):
+                j = int(row.argmin())
+                limit = max(fitted.mean[j] + 6 * fitted.deviation[j], (fitted.mean[j] + random) / 2)
+                if not any_letter or (row[j] > limit and n >= 40):
+                    rejected.add(d)
+            assert seen.keys() - kept.keys() == rejected
         elif name == "exact_dedup":
             first = {}
             for d in sorted(seen):
