@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, where ``docs`` is what the stage
 before kept, read from Parquet, and works on all of it.  All but the last
-return the columns of ``documents``.
+return the columns of ``documents``, whatever other columns there are.  Null
+text counts as empty, rows without a doc_id are judged by their text, repeated
+rows are judged each, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -14,22 +16,22 @@ from tessella.llm.common import materialize, release
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts predicted toxic go; labels come from the ``labels`` table."""
+    """Texts predicted toxic go (a score at the threshold too); labels come from the ``labels`` table."""
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, or unlike any language learned, go."""
+    """Null texts, texts without a letter, and texts unlike any language learned, go."""
     return language_id.keep_identified(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal up to white space the smallest doc_id stays."""
+    """Of texts equal up to white space one row stays, that of the smallest doc_id; an id with several texts keeps them."""
     return exact_dedup.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by shared shingles the smallest doc_id stays."""
+    """Of texts linked by shared shingles the smallest doc_id stays; rows without one, and without words, stay."""
     return jaccard.keep_representatives(docs)
 
 
