@@ -2,10 +2,10 @@
 
 Documents are range-partitioned by doc_id; each task encodes its range and
 writes shards of about ``SHARD_TOKENS`` ids.  A shard is compressed by Re-Pair:
-in each round the most frequent adjacent pairs become nonterminals and all
-their occurrences are replaced, until a round gains little.  Pairs never cross
-the end of a document, so any document is decoded by itself from the shard's
-index.  A shard (see :func:`write_shard`) holds, little-endian:
+in each round every pair that is more frequent than the pairs it overlaps with
+becomes a nonterminal there, the most frequent pair of all everywhere, until no
+pair occurs twice.  Pairs never cross the end of a document, so any document is
+decoded by itself from the shard's index.  A shard (see :func:`write_shard`) holds, little-endian:
 
     magic "RPG1", n_docs u32, n_rules u32, base u32, n_symbols u64, start u64
     doc_id i64[n_docs], has_id u8[n_docs]
@@ -29,58 +29,92 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialize, slices, texts_of
+from tessella.llm.common import SLICE_BYTES, materialize, slices
 from tessella.llm.pretokens import encoder
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
-SHARD_TOKENS, PAIRS_A_ROUND, LEAST_COUNT, ROUNDS, LEAST_GAIN = 1 << 20, 4096, 8, 6, 0.04
+SHARD_TOKENS = 1 << 18
 _HEAD = struct.Struct("<4sIIIQQ")
 
 
+def _groups(key: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
+    """The number of each key among the distinct ones in ascending order, and how many these are."""
+    shift = max(len(key) - 1, 1).bit_length()
+    if bits + shift <= 64:  # the place fits beside the key: sorting values is quicker than sorting places
+        packed = np.sort(key << np.uint64(shift) | np.arange(len(key), dtype=np.uint64))
+        order, ordered = (packed & np.uint64((1 << shift) - 1)).astype(np.int64), packed >> np.uint64(shift)
+    else:
+        order = np.argsort(key)
+        ordered = key[order]
+    edge = np.ones(len(key), bool)
+    edge[1:] = ordered[1:] != ordered[:-1]
+    group = np.empty(len(key), np.int64)
+    group[order] = np.cumsum(edge) - 1
+    return group, int(edge.sum())
+
+
 def compress(symbols: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``symbols, last, rules`` after Re-Pair; ``last`` marks the final symbol of each document."""
-    rules = np.zeros((0, 2), np.uint32)
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        key = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        inside = ~last[:-1]
-        ordered = np.sort(key[inside])
-        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
-        count = np.diff(np.append(edge, len(ordered)))
-        often = count >= LEAST_COUNT
-        pairs, count = ordered[edge[often]], count[often]
-        if len(pairs) > PAIRS_A_ROUND:
-            pairs = np.sort(pairs[np.argsort(-count, kind="stable")[:PAIRS_A_ROUND]])
-        if not len(pairs):
+    """``symbols, last, rules`` after Re-Pair; ``last`` marks the final symbol of each document.
+
+    A pair that occurs once will never occur more often, so each round looks at
+    the pairs alone that occurred more often or are new.
+    """
+    symbols, last, rules, n_rules = symbols.astype(np.uint64), last.copy(), [], 0
+    open_ = ~last
+    while len(at := np.flatnonzero(open_)):
+        left, right = symbols[at], symbols[at + 1]
+        bits = (base + n_rules).bit_length()
+        group, n = _groups(left << np.uint64(bits) | right, 2 * bits)
+        # of a run of one symbol every other pair counts, from the left
+        counted = np.ones(len(at), bool)
+        if (same := left == right).any():
+            twin = np.flatnonzero(same)
+            begin = np.ones(len(twin), bool)
+            begin[1:] = (at[twin[1:]] != at[twin[:-1]] + 1) | (left[twin[1:]] != left[twin[:-1]])
+            counted[twin] = (np.arange(len(twin)) - np.maximum.accumulate(np.where(begin, np.arange(len(twin)), 0))) % 2 == 0
+        count = np.bincount(group[counted], minlength=n)
+        count = count[group]
+        often = count > 1
+        open_[at[~often]] = False
+        rank = np.zeros(len(symbols) + 1, np.int64)
+        rank[at] = np.where(often & counted, count * n + n - group, 0)
+        mine = rank[at]
+        chosen = (mine > rank[at - 1]) & (mine > rank[at + 1])
+        chosen &= (np.bincount(group[chosen], minlength=n) > 1)[group]
+        if not chosen.any():
             break
-        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
-        hit = (pairs[at] == key) & inside
-        # of overlapping hits every other one is replaced, from the left of each run
-        where = np.flatnonzero(hit)
-        run = np.flatnonzero(hit & ~np.concatenate([[False], hit[:-1]]))
-        where = where[(where - run[np.searchsorted(run, where, side="right") - 1]) % 2 == 0]
-        symbols, last = symbols.copy(), last.copy()
-        symbols[where] = base + len(rules) + at[where]
+        where, group = at[chosen], group[chosen]
+        first, number = np.full(n, -1, np.int64), np.empty(n, np.int64)
+        first[group] = np.arange(len(group))
+        used = np.flatnonzero(first >= 0)
+        first = first[used]
+        number[used] = base + n_rules + np.arange(len(used))
+        rules.append(np.stack([symbols[where[first]], symbols[where[first] + 1]], 1).astype(np.uint32))
+        n_rules += len(used)
+        symbols[where] = number[group]
         last[where] = last[where + 1]
+        open_[where] = ~last[where]
+        open_[where[where > 0] - 1] = ~last[where[where > 0] - 1]
         keep = np.ones(len(symbols), bool)
         keep[where + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        rules = np.concatenate([rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)])
-        if len(where) < LEAST_GAIN * len(keep):
-            break
-    return symbols, last, rules
-
-
-def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for; one pass for each level of the grammar."""
-    while len(symbols) and (deep := symbols >= base).any():
-        out = np.repeat(symbols, 1 + deep)
-        first = (np.cumsum(1 + deep) - 1 - deep)[deep]
-        pair = rules[symbols[deep] - base]
-        out[first], out[first + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+        symbols, last, open_ = symbols[keep], last[keep], open_[keep]
+    return symbols.astype(np.uint32), last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray) -> np.ndarray:
+    """The ids that ``symbols`` stand for: each gets its place, then nonterminals are replaced there level by level."""
+    sizes = np.concatenate([np.ones(base, np.int64), lengths.astype(np.int64)])
+    size = sizes[symbols]
+    out = np.empty(int(size.sum()), np.uint32)
+    at = np.cumsum(size) - size
+    out[at] = symbols
+    at = at[symbols >= base]
+    while len(at):
+        pair = rules[out[at] - base]
+        right = at + sizes[pair[:, 0]]
+        out[at], out[right] = pair[:, 0], pair[:, 1]
+        at = np.concatenate([at[pair[:, 0] >= base], right[pair[:, 1] >= base]])
+    return out
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -95,17 +129,15 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return out
 
 
-def write_shard(doc_ids: list[int | None], ids: list[bytes], start: int) -> bytes:
-    """The file of some documents, in the order given."""
-    n = np.array([len(i) // 4 for i in ids], np.int64)
-    flat = np.frombuffer(b"".join(ids), "<u4")
+def write_shard(doc_ids: list[int | None], flat: np.ndarray, token_end: np.ndarray, start: int) -> bytes:
+    """The file of some documents with ids each, in the order given."""
     last = np.zeros(len(flat), bool)
-    last[np.cumsum(n) - 1] = True
+    last[token_end - 1] = True
     base = int(flat.max()) + 1
     symbols, ends, rules = compress(flat, last, base)
-    head = _HEAD.pack(b"RPG1", len(ids), len(rules), base, len(symbols), start)
+    head = _HEAD.pack(b"RPG1", len(doc_ids), len(rules), base, len(symbols), start)
     arrays = (
-        np.array([d or 0 for d in doc_ids], "<i8"), np.array([d is not None for d in doc_ids], "u1"), (np.flatnonzero(ends) + 1).astype("<u8"), np.cumsum(n).astype("<u8"),
+        np.array([d or 0 for d in doc_ids], "<i8"), np.array([d is not None for d in doc_ids], "u1"), (np.flatnonzero(ends) + 1).astype("<u8"), token_end.astype("<u8"),
         rules.astype("<u4"), expansion_lengths(rules, base).astype("<u4"), symbols.astype("<u4"),
     )
     return head + b"".join(a.tobytes() for a in arrays)
@@ -134,7 +166,7 @@ class Shard:
 
     def document(self, i: int) -> np.ndarray:
         """The ids of the document at position ``i``; no other document is decoded."""
-        return expand(self.symbols[self.symbol_end[i - 1] if i else 0 : self.symbol_end[i]], self.rules, self.base)
+        return expand(self.symbols[self.symbol_end[i - 1] if i else 0 : self.symbol_end[i]], self.rules, self.base, self.expansion_length)
 
     def token(self, i: int, position: int) -> int:
         """One id of a document, found by expansion lengths."""
@@ -149,34 +181,43 @@ class Shard:
         return symbol
 
     def ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        return expand(self.symbols, self.rules, self.base, self.expansion_length)
 
 
 def write_token_shards(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """``task, shard, n_docs, n_tokens, file``: shards in ascending order of (task, shard)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, end = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
-        doc_ids, ids, held, start, shard = [], [], 0, 0, 0
+        task = TaskContext.get().partitionId()
+        doc_ids, ids, ends, held, start, shard = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            row = [[task], [shard], [len(ids)], [held], [write_shard(doc_ids, ids, start)]]
+            file = write_shard(doc_ids, np.concatenate(ids), np.concatenate(ends), start)
+            row = [[task], [shard], [len(doc_ids)], [held], [file]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["task", "shard", "n_docs", "n_tokens", "file"])
 
         for batch in batches:
-            for part in slices(batch):
-                for doc_id, encoded in zip(part.column(0).to_pylist(), encoder(path).of_texts(texts_of(part)), strict=True):
-                    doc_ids.append(doc_id)
-                    ids.append(encoded + end)
-                    held += len(ids[-1]) // 4
+            for part in slices(batch, limit=2 * SLICE_BYTES):
+                names = part.column(0).to_pylist()
+                new, new_ends = encoder(path).of_column(part.column(1), end_id)
+                at, done = 0, 0
+                while at < len(names):
+                    # documents up to the one that fills the shard
+                    upto = min(int(np.searchsorted(new_ends, done + SHARD_TOKENS - held)) + 1, len(names))
+                    doc_ids += names[at:upto]
+                    ids.append(new[done : new_ends[upto - 1]])
+                    ends.append(held + new_ends[at:upto] - done)
+                    held += len(ids[-1])
+                    at, done = upto, int(new_ends[upto - 1])
                     if held >= SHARD_TOKENS:
                         yield flush()
-                        doc_ids, ids, held, start, shard = [], [], 0, start + held, shard + 1
-        if ids:
+                        doc_ids, ids, ends, held, start, shard = [], [], [], 0, start + held, shard + 1
+        if doc_ids:
             yield flush()
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows that share an id, or have none, are dealt by their text
+    ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     return ordered.mapInArrow(run, "task long, shard long, n_docs long, n_tokens long, file binary")
 
 
@@ -209,8 +250,9 @@ def token_output(docs: DataFrame, path: str | None = None, end_id: int = END_ID)
 
     One row per document: ``doc_id, start, n_tokens, ids_crc32``.  Null text is
     empty and has the end id alone.  Null ids come first, repeated ids are
-    ordered by text; each row has ids of its own.  Other columns are ignored.
-    An empty table writes no shard and gives no rows.
+    ordered by a hash of their text; each row has ids of its own.  A text longer
+    than a shard has one of its own.  Other columns are ignored.  An empty table
+    writes no shard and gives no rows.
     """
     path = path or public_tokenizers.path(TOKENIZER)
     return read_token_shards(materialize(write_token_shards(docs, path, end_id), "token_shards"))

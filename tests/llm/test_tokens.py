@@ -6,9 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from tessella.llm import pretokens
 from tessella.llm.packing import best_fit, fractional_cover, pack, placements, plan_sequences
 from tessella.llm.pretokens import encoder
 from tessella.llm.token_counts import counter, token_counts
@@ -33,8 +35,25 @@ def test_cached_ids_equal_the_library(path):
     texts += ["", " ", "\n\nx", "x   y    \n  z", "a" * 3000, "aaaa " * 40, "it's  we're\r\n"]
     want = library_ids(path, texts)
     assert [np.frombuffer(b, "<u4").tolist() for b in encoder(path).of_texts(texts)] == want
+    texts += [None, "漢字" * 3000, "a\u00a0 b", "a \u3000\u2003 b"]
+    want += library_ids(path, [t or "" for t in texts[-4:]])
+    for at in range(0, len(texts), 250):
+        ids, ends = encoder(path).of_column(pa.array(["x y", *texts[at : at + 250]]).slice(1), 2)
+        assert [i.tolist() for i in np.split(ids, ends[:-1])] == [[*w, 2] for w in want[at : at + 250]]
     if path == WORD:
-        assert counter(path).of_texts(texts) == [len(w) for w in want]
+        assert counter(path).of_texts([t or "" for t in texts]) == [len(w) for w in want]
+
+
+@pytest.mark.parametrize("limit", [40, 400])
+def test_a_full_cache_keeps_what_recurs(monkeypatch, docs, limit):
+    monkeypatch.setattr(pretokens, "CACHED_PIECES", limit)
+    monkeypatch.setattr(pretokens, "GENERATION", limit)
+    column, cached = pa.array([r["text"] for r in docs.collect()]), pretokens.CachedEncoder(WORD)
+    want = library_ids(WORD, column.to_pylist())
+    for at in range(0, len(column), 20):
+        ids, ends = cached.of_column(column.slice(at, 20))
+        assert [i.tolist() for i in np.split(ids, ends[:-1])] == want[at : at + 20]
+        assert all(len(p) <= pretokens.LONG for p in cached.table.rows)
 
 
 def check_packing(rows, texts):
@@ -101,6 +120,30 @@ def test_best_fit_and_lp_bound_of_a_hard_histogram():
     assert n >= bound - 1e-6 and n == 107
 
 
+def test_the_program_packs_small_histograms_too():
+    # best fit by itself needs 4 sequences of these pieces: 500 + 300 + 224 and 400 + 324 + 300 are full
+    counts = {500: 1, 300: 2, 224: 1, 400: 1, 324: 1}
+    amounts, bound = fractional_cover(counts, 1024)
+    covered = Counter()
+    for config, x in amounts.items():
+        for n, a in config:
+            covered[n] += a * x
+    assert all(covered[n] >= c - 1e-6 for n, c in counts.items()) and 1.9 < bound <= 2 + 1e-6
+    assert sum(t for _, t in plan_sequences(counts)) == 2
+
+
+def test_the_cover_is_near_its_bound_with_every_length():
+    counts = {n: 40 for n in range(1, 1024)}
+    amounts, bound = fractional_cover(counts, 1024)
+    covered = Counter()
+    for config, x in amounts.items():
+        assert sum(n * a for n, a in config) <= 1024
+        for n, a in config:
+            covered[n] += a * x
+    assert all(covered[n] >= c - 1e-6 for n, c in counts.items())
+    assert bound <= sum(amounts.values()) <= 1.1 * bound
+
+
 def check_output(rows, texts):
     want = library_ids(WORD, [t or "" for _, t in texts], [2])
     start = 0
@@ -117,28 +160,48 @@ def test_token_output(docs, odd, none):
     assert token_output(none).collect() == []
 
 
+def shard_of(doc_ids, ids, start):
+    return write_shard(doc_ids, np.concatenate(ids).astype(np.uint32), np.cumsum([len(i) for i in ids]), start)
+
+
 def test_shard_random_access_and_compression(docs):
     texts = [r["text"] for r in docs.limit(60).collect()]
-    ids = [np.asarray(i, "<u4").tobytes() for i in library_ids(WORD, texts, [2])]
-    data = write_shard(list(range(len(ids))), ids, 5)
+    ids = library_ids(WORD, texts, [2])
+    data = shard_of(list(range(len(ids))), ids, 5)
     shard = Shard(data)
     assert (len(shard), shard.start) == (60, 5)
-    assert len(data) < sum(map(len, ids))
+    assert len(data) < 4 * sum(map(len, ids))
     for i in range(60):
-        assert shard.document(i).tobytes() == ids[i]
-    whole = np.frombuffer(ids[9], "<u4")
-    assert [shard.token(9, k) for k in range(len(whole))] == whole.tolist()
+        assert shard.document(i).tolist() == ids[i]
+    assert [shard.token(9, k) for k in range(len(ids[9]))] == ids[9]
 
 
 @pytest.mark.parametrize("seed", range(5))
 def test_shard_round_trip_of_runs(seed):
     rng = np.random.default_rng(seed)
-    ids = [np.append(rng.integers(0, 3, rng.integers(0, 400)), 2).astype("<u4").tobytes() for _ in range(40)]
-    shard = Shard(write_shard([None, *range(39)], ids, 0))
-    assert shard.ids().astype("<u4").tobytes() == b"".join(ids)
+    ids = [np.append(rng.integers(0, 3, rng.integers(0, 400)), 2) for _ in range(40)]
+    shard = Shard(shard_of([None, *range(39)], ids, 0))
+    assert shard.ids().tolist() == np.concatenate(ids).tolist()
     assert shard.has_id.tolist() == [0] + [1] * 39
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_no_pair_is_left_twice(seed, docs):
+    rng = np.random.default_rng(seed)
+    ids = library_ids(WORD, [r["text"] for r in docs.limit(40).collect()], [2]) if not seed else [np.append(rng.integers(0, 2 + seed, rng.integers(0, 300)), 2) for _ in range(30)]
+    shard, pairs = Shard(shard_of(list(range(len(ids))), ids, 0)), Counter()
+    begin = 0
+    for end in shard.symbol_end.tolist():
+        symbols, begin, k = shard.symbols[begin:end].tolist(), end, 0
+        while k + 1 < len(symbols):
+            pairs[symbols[k], symbols[k + 1]] += 1
+            # of a run every other pair
+            k += 2 if symbols[k] == symbols[k + 1] and symbols[k + 1 : k + 3] == [symbols[k]] * 2 else 1
+    assert max(pairs.values(), default=0) <= 1
+    uses = Counter(shard.symbols.tolist()) + Counter(shard.rules.ravel().tolist())
+    assert all(uses[shard.base + k] for k in range(len(shard.rules)))
+
+
 def test_shards_are_in_order(docs):
     shards = write_token_shards(docs, WORD).orderBy("task", "shard").collect()
     ids = np.concatenate([Shard(bytes(r["file"])).doc_id for r in shards])
