@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,12 +31,19 @@ def regression(df: DataFrame, *keys: str) -> DataFrame:
 def classification(df: DataFrame, *keys: str, threshold: float = 0.5) -> DataFrame:
     """ROC-AUC (null for one class), average precision, F1, prevalence and predicted rate, by key.
 
-    Rows are first counted by score, so windows run over distinct scores.
+    Rows are first counted by score.  Scores are ranked within 1024 ranges of
+    [0, 1]; only the sums of the ranges meet.
     """
     hit = F.col("prob") >= threshold
-    scores = df.filter(F.col("label").isNotNull() & F.col("prob").isNotNull()).groupBy(*keys, "prob").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
-    down = Window.partitionBy(*keys).orderBy(F.desc("prob")).rowsBetween(Window.unboundedPreceding, 0)
-    s = scores.withColumns({"tp": F.sum("pos").over(down), "above": F.sum("n").over(down)}).withColumn("neg", F.col("n") - F.col("pos"))
+    band = F.when(F.isnan("prob"), F.lit(1023)).otherwise(F.greatest(F.lit(0), F.least(F.lit(1023), F.floor(F.col("prob") * 1024)))).cast("int")
+    scores = df.filter(F.col("label").isNotNull() & F.col("prob").isNotNull()).groupBy(*keys, "prob").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).withColumn("_band", band)
+    names = [*keys, "_band"]
+    higher = Window.partitionBy(*keys).orderBy(F.desc("_band")).rowsBetween(Window.unboundedPreceding, -1)  # 1024 rows a key at most
+    bands = scores.groupBy(*names).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    before = bands.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"_{c}_before") for c in ("pos", "n")])
+    down = Window.partitionBy(*names).orderBy(F.desc("prob")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = scores.join(before, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(names)]))
+    s = placed.withColumns({"tp": F.sum("pos").over(down) + F.col("_pos_before"), "above": F.sum("n").over(down) + F.col("_n_before")}).withColumn("neg", F.col("n") - F.col("pos"))
     # a negative loses to all positives above it, and half to those of its score
     won = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2))
     out = s.groupBy(*keys).agg(

@@ -190,10 +190,10 @@ def batch_assign(spark, sf_dir):
 _SCORE = "CAST(('0x' || substr(sha256(concat('seed:', CAST(c_custkey AS STRING))), 1, 15)) AS UBIGINT)::DOUBLE / 1152921504606846976.0"
 
 
-@query(f"SELECT subject_id, round(s, 9) AS split_score, CASE WHEN s < 0.7 THEN 'train' WHEN s < 0.85 THEN 'val' ELSE 'test' END AS split FROM (SELECT c_custkey AS subject_id, {_SCORE} AS s FROM customer)")
+@query(f"SELECT subject_id, round(s, 9) AS split_score, CASE WHEN s < 0.7 THEN 'train' WHEN s < 0.85 THEN 'val' ELSE 'test' END AS split, 'v1' AS split_version, 'seed' AS seed_string, CAST(0.7 AS DOUBLE) AS train_frac, CAST(0.15 AS DOUBLE) AS val_frac FROM (SELECT c_custkey AS subject_id, {_SCORE} AS s FROM customer)")
 def split_hash(spark, sf_dir):
     out = splits.hash_split(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject_id")), "seed")
-    return out.select("subject_id", F.round("split_score", 9).alias("split_score"), "split")
+    return out.withColumn("split_score", F.round("split_score", 9))
 
 
 @query("""WITH r AS (SELECT c_custkey AS subject_id, c_mktsegment AS label, row_number() OVER (PARTITION BY c_mktsegment ORDER BY md5(concat(CAST(c_custkey AS STRING), '-11'))) AS r, count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer)
