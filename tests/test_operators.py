@@ -269,3 +269,23 @@ def test_checked_choices(spark, tmp_path):
     a.write.parquet(f"{tmp_path}/there")
     assert [b.count() for b in vectors.read_batches(spark, [f"{tmp_path}/there", f"{tmp_path}/missing"])] == [2]
     assert values(spark, numeric.seed_of, ["abc", None]) == [int("ba7816bf", 16), None]
+
+
+def test_logistic_and_pca_against_plain_numpy(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (300, 3)) @ np.array([[2.0, 0.3, 0.1], [0.0, 1.0, 0.2], [0.0, 0.0, 0.4]])
+    y = (x @ [1.0, -1.0, 0.5] + rng.normal(0, 1, 300) > 0.5).astype(float)
+    rows = spark.createDataFrame([(*map(float, r), float(t), "train") for r, t in zip(x, y, strict=True)], "a double, b double, c double, label double, split string")
+    weights = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    model = features.fit_logistic(rows, ["a", "b", "c"], "label").stages[-1]
+    w, b = np.zeros(3), 0.0
+    for _ in range(40):  # Newton steps of the balanced loss with the same penalty
+        z = np.column_stack([x, np.ones(300)])
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        ridge = np.diag([1.0, 1.0, 1.0, 0.0]) * weights.sum() / len(y)
+        step = np.linalg.solve((z * (weights * p * (1 - p))[:, None]).T @ z + ridge, z.T @ (weights * (y - p)) - ridge @ np.append(w, 0))
+        w, b = w + step[:3], b + step[3]
+    assert np.allclose(model.coefficients.toArray(), w, atol=1e-3) and abs(model.intercept - b) < 1e-3
+    _, s, v = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    pca = features.fit_pca(rows, ["a", "b", "c"], 2).stages[-1]
+    assert np.allclose(pca.explainedVariance.toArray(), (s**2 / (s**2).sum())[:2]) and np.allclose(np.abs(pca.pc.toArray()), np.abs(v[:2].T), atol=1e-6)
