@@ -20,7 +20,8 @@ block every class looks for its partners by DivideSkip (pass 4).
     What is found joins the component and leaves the lists, so a dense group is
     scanned once, not once per member.  A block of more than ``BLOCK`` classes
     is cut into chunks: every class is first compared with the block's most
-    central one, then those that are not its partners search each chunk.
+    central one, then those that are not its partners search each chunk, in
+    groups of bounded size.
 
 Sets are compared as 64-bit hashes of their shingles.
 """
@@ -38,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import attach_groups, claim_worker, map_slices, materialize, release, reread, texts_of
+from tessella.llm.common import attach_groups, map_slices, materialize, release, reread
+from tessella.llm.words import words_of
 
 SHINGLE, PERCENT, EXTENSION, BLOCK = 5, 80, 0.1, 2000
 _MASK = (1 << 48) - 1
@@ -53,23 +55,14 @@ def linked(shared: int, n: int, m: int) -> bool:
     return 100 * shared >= PERCENT * (n + m - shared) and shared > 0
 
 
-_words: dict[bytes, int] = {}
-
-
-def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """The distinct shingle hashes of each text in ascending order (unsigned 64-bit).
 
-    Words are lower-cased (A-Z) and lie between ASCII white space, as ``bytes``
-    splits them.
+    Words are lower-cased (A-Z) and lie between ASCII white space.
     """
-    claim_worker("jaccard", _words.clear)
-    if len(_words) > 400_000:
-        _words.clear()
-    parts = [t.encode().lower().split() for t in texts]
-    for w in {w for p in parts for w in p} - _words.keys():
-        _words[w] = xxhash.xxh64_intdigest(w)
-    n = np.array([len(p) for p in parts], np.int64)
-    words = np.fromiter((_words[w] for p in parts for w in p), np.uint64, int(n.sum()))
+    coded, n = words_of(texts)
+    keys = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    words = keys[coded.indices.to_numpy()]
     sets, at = [], 0
     with np.errstate(over="ignore"):
         # every window of five, also those across two texts, which are not used
@@ -93,15 +86,19 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return sets
 
 
+def _text_hash():
+    return F.xxhash64("text").alias("text_hash")
+
+
 def _prefixes(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n, digest, need, sure, prefix`` of each document.
+    """``doc_id, text_hash, n, digest, need, sure, alone, lead`` of each document.
 
     ``sure`` counts prefix shingles that another set of the same slice has;
     the slice's first set with such a shingle carries it in ``prefix`` for all.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
-        sets = shingle_sets(texts_of(batch))
+        sets = shingle_sets(batch.column(2))
         digest = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
         first = {d: i for i, d in reversed(list(enumerate(digest)))}
         n = [len(s) for s in sets]
@@ -118,38 +115,42 @@ def _prefixes(docs: DataFrame) -> DataFrame:
         order = np.cumsum([0, *(len(c) for c in cut)])
         alone = [flat[a:b][~shared[a:b]].astype(np.int64).tolist() for a, b in zip(order, order[1:], strict=False)]
         lead = [flat[a:b][shared[a:b] & leader[a:b]].astype(np.int64).tolist() for a, b in zip(order, order[1:], strict=False)]
-        return {"doc_id": batch.column(0), "n": n, "digest": digest, "need": need, "sure": sure, "alone": alone, "lead": lead}
+        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "n": n, "digest": digest, "need": need, "sure": sure, "alone": alone, "lead": lead}
 
-    return map_slices(docs.select("doc_id", "text"), run, "doc_id long, n long, digest binary, need int, sure int, alone array<long>, lead array<long>")
+    return map_slices(docs.select("doc_id", _text_hash(), "text"), run, "doc_id long, text_hash long, n long, digest binary, need int, sure int, alone array<long>, lead array<long>")
 
 
 def _survivors(table: DataFrame) -> DataFrame:
-    """Class digests that pass 1 leaves."""
+    """Class digests that pass 1 leaves, each with the row whose text stands for it."""
     rows = table.filter("n > 0")
     alone = rows.select("digest", F.explode("alone").alias("h"), F.lit(False).alias("many"))
     lead = rows.select("digest", F.explode("lead").alias("h"), F.lit(True).alias("many"))
-    w = Window.partitionBy("h")
+    w = Window.partitionBy("h")  # a shingle has one row a slice
     seen = alone.unionByName(lead).withColumn("shared", (F.count(F.lit(1)).over(w) > 1) | F.max("many").over(w))
     counts = seen.filter("shared AND NOT many").groupBy("digest").agg(F.count(F.lit(1)).alias("elsewhere"))
     # a class may occur in several slices; the largest number of the sure ones holds
-    sets = rows.groupBy("digest").agg(F.max("need").alias("need"), F.max("sure").alias("sure"), F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    return sets.join(counts, "digest", "left").filter(F.col("sure") + F.coalesce("elsewhere", F.lit(0)) >= F.col("need")).select("digest", "doc_id", "n")
+    sets = rows.groupBy("digest").agg(F.max("need").alias("need"), F.max("sure").alias("sure"), F.min("n").alias("n"), F.min(F.struct("doc_id", "text_hash")).alias("row"))
+    found = sets.join(counts, "digest", "left").filter(F.col("sure") + F.coalesce("elsewhere", F.lit(0)) >= F.col("need"))
+    found = found.select("digest", "row.doc_id", "row.text_hash", "n")
+    # a class is named by its doc_id, which takes little room, or by its digest where an id has several texts
+    one = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("of_id"))
+    return found.join(one, "doc_id").select(F.when(F.col("of_id") == 1, F.col("doc_id")).otherwise(F.xxhash64("digest")).alias("node"), "digest", "doc_id", "text_hash", "n")
 
 
 def _shared_sets(docs: DataFrame, survivors: DataFrame) -> DataFrame:
-    """``doc_id, n, shared``: the shingles of each class that others have too, the rarest first, where they reach T."""
+    """``node, n, shared``: the shingles of each class that others have too, the rarest first, where they reach T."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        sets = shingle_sets(texts_of(batch))
-        return {"doc_id": batch.column(0), "sets": [s.view(np.int64) for s in sets]}
+        return {"node": batch.column(0), "sets": [s.view(np.int64) for s in shingle_sets(batch.column(1))]}
 
-    texts = docs.select("doc_id", "text").join(survivors.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    sets = map_slices(texts, run, "doc_id long, sets array<long>")
-    rows = sets.select("doc_id", F.size("sets").cast("long").alias("n"), F.explode("sets").alias("h"))
+    wanted = survivors.select("node", "doc_id", "text_hash")
+    texts = docs.select("doc_id", _text_hash(), "text").join(wanted, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash", "node").agg(F.min("text").alias("text"))
+    sets = map_slices(texts.select("node", "text"), run, "node long, sets array<long>")
+    rows = sets.select("node", F.size("sets").cast("long").alias("n"), F.explode("sets").alias("h"))
     counted = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("df > 1")
-    gathered = counted.groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
+    gathered = counted.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
     return gathered.filter(F.size("s") >= least_overlap_column(F.col("n"))).select(
-        "doc_id", "n", F.col("s.h").alias("shared"), F.aggregate("s", F.lit(0.0), lambda a, x: a + x["df"]).alias("central")
+        "node", "n", F.col("s.h").alias("shared"), F.aggregate("s", F.lit(0.0), lambda a, x: a + x["df"]).alias("central")
     )
 
 
@@ -245,6 +246,28 @@ class Lists:
         return found
 
 
+class Forest:
+    """Joined names, as edges to one name of each tree."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        up = self.up
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up[y] = up.setdefault(y, y)
+            x = up[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+    def edges(self) -> list[tuple[int, int]]:
+        return [(x, self.find(x)) for x in list(self.up)]
+
+
 def block_components(ids: list[int], sets: list[np.ndarray], sizes: list[int], central: list[float]) -> dict[int, int]:
     """Smallest id of each member's component, by search from the most central members on."""
     lists, out = Lists(sets, sizes), {}
@@ -266,72 +289,88 @@ def block_components(ids: list[int], sets: list[np.ndarray], sizes: list[int], c
 
 def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     """``a, b``: edges whose components are those of all links."""
-    members = materialize(sets.join(blocks.withColumnsRenamed({"node": "doc_id", "component": "block"}), "doc_id"), "blocks")
-    sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct((F.col("central") / F.col("n")).alias("c"), (-F.col("doc_id")).alias("d"))).alias("top"))
+    members = materialize(sets.join(blocks.withColumnRenamed("component", "block"), "node"), "blocks")
+    sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct((F.col("central") / F.col("n")).alias("c"), (-F.col("node")).alias("d"))).alias("top"))
     large = sizes.filter(F.col("members") > BLOCK).select("block", "members", (-F.col("top.d")).alias("pivot"))
     large = materialize(large, "large_blocks")
 
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = block_components(pdf["doc_id"].tolist(), list(pdf["shared"]), pdf["n"].tolist(), pdf["central"].tolist())
+        found = block_components(pdf["node"].tolist(), list(pdf["shared"]), pdf["n"].tolist(), pdf["central"].tolist())
         return pd.DataFrame({"a": list(found), "b": list(found.values())})
 
     edges = members.join(large.select("block"), "block", "left_anti").groupBy("block").applyInPandas(whole, "a long, b long")
     if large.isEmpty():
         return edges
     pieces = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    chunked = members.join(large, "block").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), pieces)).withColumn("pieces", pieces)
+    chunked = members.join(large, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), pieces)).withColumn("pieces", pieces)
     chunked = materialize(chunked.drop("members"), "chunks")
 
     def near(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Members of one chunk linked with queries; a query that finds itself has no link by that."""
-        lists, pairs = Lists(list(left["shared"]), left["n"].tolist()), []
-        names = left["doc_id"].tolist()
+        """A forest over the links between members of one chunk and queries; a query that finds itself has no link by that."""
+        lists, forest = Lists(list(left["shared"]), left["n"].tolist()), Forest()
+        names = left["node"].tolist()
         for q, n, s in zip(right["query"], right["n"], right["shared"], strict=True):
-            pairs += [(names[i], int(q)) for i in lists.search(s, int(n))]
-        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+            for i in lists.search(s, int(n)):
+                forest.join(names[i], int(q))
+        return pd.DataFrame(forest.edges(), columns=["a", "b"]).astype("int64")
 
     def ask(queries: DataFrame) -> DataFrame:
-        """Each query goes to every chunk of its block."""
-        sent = queries.select("block", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("chunk"), F.col("doc_id").alias("query"), "n", "shared")
-        return reread(chunked).groupBy("block", "chunk").cogroup(sent.groupBy("block", "chunk")).applyInPandas(near, "a long, b long")
+        """Each query meets every chunk of its block; queries come in groups of a bounded size, each in a task of its own."""
+        groups = queries.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("groups"))
+        dealt = queries.join(groups, "block").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("groups")))
+        sent = dealt.select("block", "part", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("chunk"), F.col("node").alias("query"), "n", "shared")
+        asked = reread(chunked).join(groups, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+        return asked.groupBy("block", "chunk", "part").cogroup(sent.groupBy("block", "chunk", "part")).applyInPandas(near, "a long, b long")
 
-    star = materialize(ask(chunked.filter("doc_id = pivot")), "star")
-    rest = chunked.join(star.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
-    return edges.unionByName(star).unionByName(ask(rest)).unionByName(chunked.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")))
+    star = materialize(ask(chunked.filter("node = pivot")), "star")
+    rest = chunked.join(star.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_anti")
+    return edges.unionByName(star).unionByName(ask(rest)).unionByName(chunked.select(F.col("node").alias("a"), F.col("node").alias("b")))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+    """One row per document: ``doc_id, n_shingles, component_id, text_hash`` (of the raw text).
 
     Two documents link where ``100 * intersection >= 80 * union`` of their sets
     of distinct five-word shingles (a shorter text has one, its whole sequence).
     Null text, and a text without words, has the empty set and links with
     nothing.  A row without a doc_id is compared with nothing and has a null
-    component.  Repeated rows share their component; doc_ids are taken as unique
-    otherwise, and of different texts under one id the smallest is searched.
-    Other columns are ignored.  An empty table gives no rows.
+    component.  Repeated rows share their component; rows that repeat a doc_id
+    with other texts are compared each, and each has the component of its text.
+    Very long texts are compared whole.  Other columns are ignored.  An empty
+    table gives no rows.
     """
     table = materialize(_prefixes(docs.filter(F.col("doc_id").isNotNull())), "prefixes")
     survivors = materialize(_survivors(table), "survivors")
-    slim = materialize(table.select("doc_id", "n", "digest"), "sets")
+    slim = materialize(table.select("doc_id", "text_hash", "n", "digest"), "slim")
     release(table)
     sets = materialize(_shared_sets(docs, survivors), "shared")
     m, t = F.size("shared"), least_overlap_column(F.col("n")).cast("int")
-    rare = sets.select("doc_id", F.explode(F.slice("shared", 1, m - t + 1)).alias("h"))
-    star = rare.join(rare.groupBy("h").agg(F.min("doc_id").alias("b")), "h").select(F.col("doc_id").alias("a"), "b").distinct()
+    rare = sets.select("node", F.explode(F.slice("shared", 1, m - t + 1)).alias("h"))
+    star = rare.join(rare.groupBy("h").agg(F.min("node").alias("b")), "h").select(F.col("node").alias("a"), "b").distinct()
     blocks = connected_components(star)
     components = materialize(connected_components(_links(sets, blocks)), "components")
     n_rows = slim.count()
-    classes = slim.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    labelled = classes.join(components, "node", "left").select("digest", "copies", F.coalesce("component", "node").alias("component_id"))
-    full = attach_groups(slim.filter("n > 0"), labelled, "digest", "copies", n_rows).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    bare = slim.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    nameless = docs.filter(F.col("doc_id").isNull()).select("doc_id", "text")
-    lone = map_slices(nameless, lambda b: {"doc_id": b.column(0), "n_shingles": [len(s) for s in shingle_sets(texts_of(b))], "component_id": b.column(0)}, "doc_id long, n_shingles long, component_id long")
+    classes = slim.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    found = classes.join(survivors.select("digest", "node"), "digest", "left").join(components, "node", "left")
+    labelled = materialize(found.select("digest", "low", "copies", F.coalesce("component", "node", F.xxhash64("digest")).alias("component")), "labelled")
+    # a component has the smallest doc_id of its classes
+    groups = labelled.groupBy("component").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("classes"))
+    named = attach_groups(labelled.select("digest", "copies", "component"), groups, "component", "classes", n_rows).select("digest", "copies", "component_id")
+    full = attach_groups(slim.filter("n > 0"), named, "digest", "copies", n_rows).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash")
+    bare = slim.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash")
+    nameless = docs.filter(F.col("doc_id").isNull()).select("doc_id", _text_hash(), "text")
+    schema = "doc_id long, n_shingles long, component_id long, text_hash long"
+    lone = map_slices(nameless, lambda b: {"doc_id": b.column(0), "n_shingles": [len(s) for s in shingle_sets(b.column(2))], "component_id": b.column(0), "text_hash": b.column(1)}, schema)
     return full.unionByName(bare).unionByName(lone)
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, the smallest doc_id; rows without an id stay."""
-    gone = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """``docs`` with one document of each component, that of the smallest doc_id.
+
+    Rows without an id stay, and so do all rows that repeat the doc_id that
+    stands for their component.  Rows that share a doc_id and have different
+    texts are judged each.  Other columns travel along, whatever their names.
+    """
+    gone = jaccard_components(docs).filter("doc_id <> component_id").select("doc_id", "text_hash").distinct()
+    whole = docs.select(F.struct("*").alias("row"), "doc_id", _text_hash())
+    return whole.join(gone, ["doc_id", "text_hash"], "left_anti").select("row.*")

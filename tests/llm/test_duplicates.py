@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessella.llm import exact_dedup as D
 from tessella.llm import jaccard as J
@@ -49,6 +50,22 @@ def test_keep_first(odd):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 2, 5, 6, 7, None, 9, 10]))
 
 
+def test_keep_first_by_id_and_text(spark):
+    rows = [(1, "alpha", 1), (1, "beta", 2), (2, "gamma", 3), (3, "beta", 4), (1, "alpha", 5), (None, "delta", 6), (None, "delta", 6), (None, "beta", 7)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _n int").repartition(3)
+    kept = D.keep_first(table)
+    assert kept.columns == table.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, [(1, "alpha"), (1, "beta"), (2, "gamma"), (None, "delta")]))
+
+
+def test_the_look_up_decides(docs, monkeypatch):
+    want = sorted(map(tuple, D.exact_dedup(docs).collect()))
+    assert any(r[5] for r in want) and not all(r[5] for r in want)
+    monkeypatch.setattr(D, "find_slots", lambda keys, sizes, bitmap: np.full(len(keys), -1))
+    blind = sorted(map(tuple, D.exact_dedup(docs).collect()))
+    assert [r[:4] for r in blind] != [r[:4] for r in want]
+
+
 def test_perfect_hash_is_minimal_and_refuses_strangers():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 256, (5000, 32), np.uint8)
@@ -116,7 +133,7 @@ def test_join_against_brute_force(spark, monkeypatch, seed, block):
 
 def test_join_of_documents(docs):
     texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert {tuple(r) for r in J.jaccard_components(docs).collect()} == brute_components(texts)
+    assert {tuple(r)[:3] for r in J.jaccard_components(docs).collect()} == brute_components(texts)
 
 
 def test_join_of_odd_rows(odd, none):
@@ -129,6 +146,17 @@ def test_join_of_odd_rows(odd, none):
     assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 3, 5, 6, 7, None, 9, 10]))
 
 
+def test_an_id_with_two_texts_keeps_its_links(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "a short text"), (1, text), (2, text + " more"), (5, "x y z"), (5, text), (4, "x y z"), (1, text)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(7)).repartition(3)
+    kept = J.keep_representatives(table)
+    assert kept.columns == table.columns
+    assert sorted((r["doc_id"], r["text"][:7]) for r in kept.collect()) == [(1, "a short"), (1, "w0 w1 w"), (1, "w0 w1 w"), (4, "x y z")]
+    got = J.jaccard_components(table).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == [(1, 1, 1), (1, 56, 1), (1, 56, 1), (2, 57, 1), (4, 1, 4), (5, 1, 4), (5, 56, 1)]
+
+
 def test_divide_skip_equals_counting():
     rnd = random.Random(5)
     sets = [np.array(sorted(rnd.sample(range(60), rnd.randint(3, 40))), np.int64) for _ in range(200)]
@@ -142,6 +170,22 @@ def test_divide_skip_equals_counting():
     assert all(i >= 100 for i in lists.search(sets[3], sizes[3]))
 
 
+def test_forest():
+    f = J.Forest()
+    for a, b in [(5, 3), (9, 7), (3, 9), (4, 4), (12, 11)]:
+        f.join(a, b)
+    assert sorted(f.edges()) == [(3, 3), (4, 4), (5, 3), (7, 3), (9, 3), (11, 11), (12, 11)]
+
+
+def test_a_dense_block_without_a_centre(spark, monkeypatch):
+    """A chain in which each text is linked with its neighbours only, so that one pivot covers little."""
+    monkeypatch.setattr(J, "BLOCK", 25)
+    words = [f"w{i}" for i in range(400)]
+    texts = [(1000 - i, " ".join(words[4 * i : 4 * i + 60])) for i in range(80)]
+    rows = J.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()
+    assert {tuple(r)[:3] for r in rows} == brute_components(texts) and len({r["component_id"] for r in rows}) == 1
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 200, 1) if i != 90] + [(500, 500)], "a long, b long")
     got = {r["node"]: r["component"] for r in J.connected_components(edges).collect()}
