@@ -44,23 +44,58 @@ CANONICAL_RULES = [
 
 # Spellings of each unit.
 UNIT_SPELLINGS = {
-    "%": ["percent", "percentage", "%"],
-    "mm": ["mm", "millimeter", "millimeters"],
-    "cm": ["cm", "centimeter", "centimeters"],
-    "m": ["m", "meter", "meters"],
-    "mmhg": ["mmhg", "mm hg"],
-    "cmh2o": ["cmh2o", "cm h2o"],
-    "ml": ["ml", "milliliter", "milliliters"],
-    "l": ["l", "liter", "liters"],
-    "m/s": ["m/s", "m / s", "m per s", "m per sec", "m/sec", "m second", "m s", "m sec"],
-    "cm/s": ["cm/s", "cm / s", "cm per s", "cm per sec", "cm/sec", "cm second", "cm s", "cm sec"],
-    "m2": ["m2", "m^2"],
-    "cm2": ["cm2", "cm^2"],
-    "ml/m2": ["ml/m2", "ml/m^2"],
-    "bpm": ["bpm", "beats/min"],
-    "ms": ["ms"],
-    "s": ["s", "sec", "seconds"],
-    "ratio": ["ratio", "unitless"],
+    "percent": "%",
+    "percentage": "%",
+    "%": "%",
+    "mm": "mm",
+    "millimeter": "mm",
+    "millimeters": "mm",
+    "cm": "cm",
+    "centimeter": "cm",
+    "centimeters": "cm",
+    "m": "m",
+    "meter": "m",
+    "meters": "m",
+    "mmhg": "mmhg",
+    "mm hg": "mmhg",
+    "cmh2o": "cmh2o",
+    "cm h2o": "cmh2o",
+    "ml": "ml",
+    "milliliter": "ml",
+    "milliliters": "ml",
+    "l": "l",
+    "liter": "l",
+    "liters": "l",
+    "m/s": "m/s",
+    "m / s": "m/s",
+    "m per s": "m/s",
+    "m per sec": "m/s",
+    "m/sec": "m/s",
+    "m second": "m/s",
+    "m s": "m/s",
+    "m sec": "m/s",
+    "cm/s": "cm/s",
+    "cm / s": "cm/s",
+    "cm per s": "cm/s",
+    "cm per sec": "cm/s",
+    "cm/sec": "cm/s",
+    "cm second": "cm/s",
+    "cm s": "cm/s",
+    "cm sec": "cm/s",
+    "m2": "m2",
+    "m^2": "m2",
+    "cm2": "cm2",
+    "cm^2": "cm2",
+    "ml/m2": "ml/m2",
+    "ml/m^2": "ml/m2",
+    "bpm": "bpm",
+    "beats/min": "bpm",
+    "ms": "ms",
+    "s": "s",
+    "sec": "s",
+    "seconds": "s",
+    "ratio": "ratio",
+    "unitless": "ratio",
 }
 
 # Category, canonical unit and factor of each unit.
@@ -119,7 +154,7 @@ def norm_unit(c: Column) -> Column:
     t = F.translate(F.lower(F.trim(c)), "μµ", "uu")
     t = F.trim(F.regexp_replace(F.regexp_replace(t, r"[^a-z0-9/%^.\s]", " "), r"\s+", " "))
     t = reduce(lambda x, ab: F.replace(x, F.lit(ab[0]), F.lit(ab[1])), UNIT_REWRITES, t)
-    known = _map({s: u for u, spellings in UNIT_SPELLINGS.items() for s in spellings})
+    known = _map(UNIT_SPELLINGS)
     return F.when(F.coalesce(t, F.lit("")) == "", F.lit("unknown")).otherwise(F.coalesce(F.element_at(known, t), F.when(t.contains("%"), F.lit("%")), t))
 
 

@@ -21,7 +21,7 @@ def _unit() -> str:
     return t
 
 
-_PAIRS = ", ".join(f"('{s}', '{u}')" for u, spellings in text.UNIT_SPELLINGS.items() for s in spellings)
+_PAIRS = ", ".join(f"('{s}', '{u}')" for s, u in text.UNIT_SPELLINGS.items())
 _UNITS = ", ".join(f"('{u}', '{c}', '{k}', {f})" for u, (c, k, f) in text.UNITS.items())
 _RULES = "\n".join("WHEN regexp_matches(hay, '{}') THEN '{}'".format(p.replace("'", "''"), c) for p, c in text.CANONICAL_RULES)
 _NUMBER = r"'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$'"
