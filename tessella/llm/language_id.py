@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import claim_worker, filter_slices, fold, map_slices, texts_of
+from tessella.llm.common import claim_worker, filter_slices, fold, map_slices
 
 #: Rows of each language that are fitted on, at most; bytes of text of all languages together.
 SAMPLE, SAMPLE_BYTES = 1000, 256 << 20

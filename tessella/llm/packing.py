@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import SLICE_BYTES, map_slices, materialize, release
+from tessella.llm.common import SLICE_BYTES, map_slices, materialize
 from tessella.llm.pretokens import encoder
 
 TOKENIZER, END_ID, CAPACITY = "byte_bpe_50k.json", 2, 1024
