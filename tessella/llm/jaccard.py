@@ -167,7 +167,6 @@ def connected_components(edges: DataFrame, steps: int = 60) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nodes = materialize(both.select(F.col("a").alias("node")).distinct(), "nodes")
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
     for _ in range(steps):
         # large star: neighbours above u go to the smallest of u and its neighbours
         sides = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -177,12 +176,11 @@ def connected_components(edges: DataFrame, steps: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         following = materialize(small, "edges")
-        state = following.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        settled = following.join(reread(now), ["u", "v"], "left_anti").isEmpty() and reread(now).join(following, ["u", "v"], "left_anti").isEmpty()
         release(now)
         now = following
-        if state == before:
+        if settled:
             break
-        before = state
     else:
         raise RuntimeError("the components did not settle")
     return nodes.join(now.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
@@ -302,7 +300,8 @@ def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     if large.isEmpty():
         return edges
     pieces = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    chunked = members.join(large, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), pieces)).withColumn("pieces", pieces)
+    # the two sides of a cogroup are dealt by the hash of their keys, so the keys need one type
+    chunked = members.join(large, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), pieces).cast("int")).withColumn("pieces", pieces)
     chunked = materialize(chunked.drop("members"), "chunks")
 
     def near(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -317,10 +316,13 @@ def _links(sets: DataFrame, blocks: DataFrame) -> DataFrame:
     def ask(queries: DataFrame) -> DataFrame:
         """Each query meets every chunk of its block; queries come in groups of a bounded size, each in a task of its own."""
         groups = queries.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("groups"))
-        dealt = queries.join(groups, "block").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("groups")))
+        dealt = queries.join(groups, "block").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("groups")).cast("int"))
         sent = dealt.select("block", "part", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("chunk"), F.col("node").alias("query"), "n", "shared")
         asked = reread(chunked).join(groups, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-        return asked.groupBy("block", "chunk", "part").cogroup(sent.groupBy("block", "chunk", "part")).applyInPandas(near, "a long, b long")
+        keys = ["block", "chunk", "part"]
+        if [asked.schema[k].dataType for k in keys] != [sent.schema[k].dataType for k in keys]:
+            raise TypeError("chunks and queries are dealt by keys of different types")
+        return asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(near, "a long, b long")
 
     star = materialize(ask(chunked.filter("node = pivot")), "star")
     rest = chunked.join(star.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_anti")
