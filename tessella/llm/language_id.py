@@ -36,8 +36,14 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case."""
-    return _WORD.findall(text.lower())
+    """Runs of letters in lower case; numerals that are no decimal digits part words too."""
+    out: list[str] = []
+    for w in _WORD.findall(text.lower()):
+        if w.isalpha():
+            out.append(w)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in w).split()
+    return out
 
 
 def _events(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,7 +233,7 @@ def identify(docs: DataFrame, fitted: Identifier | None = None) -> DataFrame:
 
     Learns from text and non-null ``lang`` of the rows outside the held-out
     fold (``crc32(doc_id as text) mod 3 = 1``); predictions see the text only.
-    A null text, or one without a letter, is ``und`` with score 0 and rejected.
+    A null text, or one without a letter (``str.isalpha`` of a character), is ``und`` with score 0 and rejected.
     A text is rejected too where its cross-entropy is far above that of its
     language's sample.  Without any labelled row all texts are ``und``.  Of
     languages that are equally likely the alphabetically first is taken.  A text

@@ -202,3 +202,12 @@ def test_a_worker_keeps_one_operators_caches():
     assert two and not one
     claim_worker("one", one.clear)
     assert not two
+
+
+def test_numerals_are_no_letters():
+    odd = ["½", "²³", "①", "Ⅷ", "123 ½", "٣", "_", "\u0301"]
+    assert [G.words_of(t) for t in odd] == [[] for _ in odd]
+    assert G.words_of("x²y Ⅷa 漢字 Straße½") == ["x", "y", "a", "漢字", "straße"]
+    fitted = G.Identifier(["x", "y"], [["abba abab"] * 9, ["dcdc ccdd"] * 9])
+    assert [p[0] for p in fitted.predict(odd)] == ["und"] * len(odd)
+    assert fitted.predict(["abba ½"])[0][0] == "x"
