@@ -157,10 +157,10 @@ def exact_dedup(docs: DataFrame, cut: int | None = None) -> DataFrame:
     rows = materialize(digests(docs).withColumn("old", F.coalesce(F.col("doc_id") <= F.lit(cut), F.lit(False))), "digests")
     # counted per task before any digest is shuffled
     groups = materialize(rows.groupBy("digest", "old").agg(F.min("doc_id").alias("winner"), F.count(F.lit(1)).alias("size")), "groups")
-    history = groups.filter("old")
-    n_history = history.count()
-    index = materialize(build_index(history, n_history), "index", "none")
-    found = materialize(look_up(groups, index, n_history), "found")
+    # shards are sized by all groups, since new digests meet the history's in the same tasks
+    n_groups = groups.count()
+    index = materialize(build_index(groups.filter("old"), n_groups), "index", "none")
+    found = materialize(look_up(groups, index, n_groups), "found")
     release(index)
     # what new members add to a slot; a slot has one new group at most
     added = found.filter("NOT old AND slot IS NOT NULL").groupBy("shard", "slot").agg(F.sum("size").alias("added"))

@@ -66,6 +66,17 @@ def test_the_look_up_decides(docs, monkeypatch):
     assert [r[:4] for r in blind] != [r[:4] for r in want]
 
 
+def test_many_rows_beside_a_short_history(spark, monkeypatch):
+    monkeypatch.setattr(D, "SHARD_DIGESTS", 50)
+    table = spark.range(2000).selectExpr("CASE WHEN id < 3 THEN id END AS doc_id", "concat('text ', id div 2) AS text")
+    texts = [(r["doc_id"], r["text"]) for r in table.collect()]
+    shards = []
+    look_up = D.look_up
+    monkeypatch.setattr(D, "look_up", lambda groups, index, n: shards.append(n) or look_up(groups, index, n))
+    check_dedup(D.exact_dedup(table).collect(), texts)
+    assert shards == [1000]  # not the two digests of the history
+
+
 def test_perfect_hash_is_minimal_and_refuses_strangers():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 256, (5000, 32), np.uint8)
@@ -177,13 +188,30 @@ def test_forest():
     assert sorted(f.edges()) == [(3, 3), (4, 4), (5, 3), (7, 3), (9, 3), (11, 11), (12, 11)]
 
 
-def test_a_dense_block_without_a_centre(spark, monkeypatch):
-    """A chain in which each text is linked with its neighbours only, so that one pivot covers little."""
-    monkeypatch.setattr(J, "BLOCK", 25)
-    words = [f"w{i}" for i in range(400)]
-    texts = [(1000 - i, " ".join(words[4 * i : 4 * i + 60])) for i in range(80)]
-    rows = J.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()
-    assert {tuple(r)[:3] for r in rows} == brute_components(texts) and len({r["component_id"] for r in rows}) == 1
+def chain(n):
+    """Texts of which each is linked with its neighbours only, so that one pivot covers little."""
+    words = [f"w{i}" for i in range(4 * n + 60)]
+    return [(10 * n - i, " ".join(words[4 * i : 4 * i + 60])) for i in range(n)]
+
+
+@pytest.mark.parametrize(("partitions", "coalesce", "block"), [(4, "false", 4), (4, "true", 25), (211, "false", 25), (16, "false", 200)])
+def test_large_blocks_however_they_are_dealt(spark, monkeypatch, partitions, coalesce, block):
+    """No link may depend on which partition a chunk and its queries come to."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(held, (str(partitions), coalesce), strict=True):
+        spark.conf.set(k, v)
+    try:
+        n = 80 if block < 200 else 450
+        rows = J.jaccard_components(spark.createDataFrame(chain(n), "doc_id long, text string").repartition(4)).collect()
+        assert len(rows) == n and {r["component_id"] for r in rows} == {9 * n + 1}
+        texts = families(7, 150) if partitions == 4 else []
+        if texts:
+            rows = J.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()
+            assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows} == brute_components(texts)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
 
 
 def test_components_of_a_long_chain(spark):
