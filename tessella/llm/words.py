@@ -43,10 +43,23 @@ def _after(ends: np.ndarray, n: int) -> np.ndarray:
     return first[first < np.minimum(ends, n)]
 
 
-def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """The words of all texts, A-Z in lower case, and the number of words of each text."""
+def lower_case(data: np.ndarray) -> np.ndarray:
+    """The bytes of UTF-8 text with A-Z in lower case."""
+    return _LOWER[data]
+
+
+def outside(inside: str) -> np.ndarray:
+    """Which bytes part words, if words are of the bytes that ``inside`` names and of all beyond ASCII."""
+    parts = np.ones(256, bool)
+    parts[128:] = False
+    parts[[ord(c) for c in inside]] = False
+    return parts
+
+
+def words_of(texts: pa.Array, space: np.ndarray = _SPACE) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts, A-Z in lower case, and the number of words of each text; ``space`` tells which bytes part them."""
     data, ends = bytes_of(texts)
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     begin = _after(ends, len(data))
