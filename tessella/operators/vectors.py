@@ -1,4 +1,4 @@
-"""Vectors on rows: batch unions, pooling, frame choice and neighbours."""
+"""Vectors on rows: batch unions, pooling and frame choice."""
 
 from __future__ import annotations
 
@@ -64,47 +64,3 @@ def choose_frame(scores: DataFrame, key: str, by: str, largest: bool = True) ->
 
 def middle_frame(scores: DataFrame, key: str) -> DataFrame:
     return scores.groupBy(key).agg(F.floor(F.count(F.lit(1)) / 2).cast("int").alias("selected_index"))
-
-
-def _packed(df: DataFrame, ident: str, columns: list[str], rows: int) -> DataFrame:
-    """Runs of at most ``rows`` rows as one row each: ids, unit vectors, and further numbers, as bytes."""
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        for pdf in batches:
-            for at in range(0, len(pdf), rows):
-                part = pdf.iloc[at : at + rows]
-                v = np.stack(part["embedding"].to_numpy()).astype(float)
-                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-                out = {f"{ident}s": [part[ident].to_numpy(np.int64).tobytes()], f"{ident}_vectors": [v.tobytes()]}
-                yield pd.DataFrame(out | {c: [part[c].to_numpy(float).tobytes()] for c in columns})
-
-    schema = ", ".join(f"{c} binary" for c in (f"{ident}s", f"{ident}_vectors", *columns))
-    return df.select(ident, "embedding", *[F.col(c).cast("double").alias(c) for c in columns]).mapInPandas(run, schema)
-
-
-def nearest(queries: DataFrame, bank: DataFrame, k: int, block: int = 512, chunk: int = 4096) -> DataFrame:
-    """The mean label of the ``k`` bank vectors of largest cosine to each query; the smaller id at ties.
-
-    The stated queries meet the bank in blocks: every block of queries with every
-    chunk of the bank, as rows of packed vectors.  A pair of them gives ``k``
-    candidates a query, so only these are shuffled, and nothing is collected.
-    """
-    import numpy as np
-    import pandas as pd
-
-    def search(batches):
-        for pdf in batches:
-            for q_ids, q, b_ids, b, label in zip(pdf["query_ids"], pdf["query_id_vectors"], pdf["bank_ids"], pdf["bank_id_vectors"], pdf["label"], strict=True):
-                q_ids, b_ids, label = np.frombuffer(q_ids, np.int64), np.frombuffer(b_ids, np.int64), np.frombuffer(label)
-                order = np.argsort(b_ids)
-                b_ids, label = b_ids[order], label[order]
-                cos = (np.frombuffer(q).reshape(len(q_ids), -1) @ np.frombuffer(b).reshape(len(b_ids), -1)[order].T).round(9)
-                top = np.argsort(-cos, axis=1, kind="stable")[:, :k]
-                yield pd.DataFrame({"query_id": np.repeat(q_ids, top.shape[1]), "bank_id": b_ids[top].ravel(), "cosine": np.take_along_axis(cos, top, 1).ravel(), "label": label[top].ravel()})
-
-    pairs = _packed(bank, "bank_id", ["label"], chunk).crossJoin(_packed(queries, "query_id", [], block))
-    found = pairs.mapInPandas(search, "query_id long, bank_id long, cosine double, label double")
-    w = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "bank_id")
-    return found.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).groupBy("query_id").agg(F.avg("label").alias("predicted"), F.max("cosine").alias("best_cosine"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.functions import arrays, numeric
-from tessella.operators import features, labels, metrics, reporting, vectors
+from tessella.operators import features, labels, metrics, neighbours, reporting, vectors
 from tessella.plans.registry import query
 from tessella.sources.views import cte, table, view
 
@@ -93,13 +93,40 @@ def softmax_top3(spark, sf_dir):
     return t.select("vec_id", "place", F.col("s.i").alias("class"), F.round("s.p", 6).alias("p"))
 
 
-@query("""WITH n AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings), c AS (SELECT q.vec_id AS query_id, b.vec_id AS bank_id, b.label, round(list_dot_product(q.v, b.v) / greatest(sqrt(list_dot_product(q.v, q.v)), 1e-12) / greatest(sqrt(list_dot_product(b.v, b.v)), 1e-12), 9) AS cosine FROM n q JOIN n b ON q.vec_id % 10 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, bank_id) AS rn FROM c) SELECT query_id, avg(label) AS predicted FROM r WHERE rn <= 5 GROUP BY 1""")
-def nearest_labels(spark, sf_dir):
-    """Predicts labels of a stated query set from the five nearest vectors."""
+_NEAREST = """WITH n AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings), c AS (SELECT q.vec_id AS query_id, b.vec_id AS bank_id, b.label, round(list_dot_product(q.v, b.v) / greatest(sqrt(list_dot_product(q.v, q.v)), 1e-12) / greatest(sqrt(list_dot_product(b.v, b.v)), 1e-12), 9) AS cosine FROM n q JOIN n b ON q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, bank_id) AS rn FROM c)"""
+
+
+def _bank_and_queries(spark, sf_dir):
+    """All vectors, and as queries those whose id is divisible by 100."""
     e = table(spark, sf_dir, "embeddings")
-    bank = e.select(F.col("vec_id").alias("bank_id"), "embedding", "label")
-    return vectors.nearest(e.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), bank, 5).select("query_id", "predicted")
+    return e.select(F.col("vec_id").alias("bank_id"), "embedding", "label"), e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query(_NEAREST + " SELECT query_id, avg(label) AS predicted FROM r WHERE rn <= 5 GROUP BY 1")
+def nearest_labels(spark, sf_dir):
+    """Predicts labels of the queries from the five nearest vectors."""
+    bank, queries = _bank_and_queries(spark, sf_dir)
+    return neighbours.nearest(queries, bank, 5).select("query_id", "predicted")
+
+
+@query(_NEAREST + " SELECT query_id, list(bank_id ORDER BY rn) AS nearest FROM r WHERE rn <= 10 GROUP BY 1")
+def nearest_exact(spark, sf_dir):
+    """The ten nearest vectors by the index's cells and their bounds."""
+    bank, queries = _bank_and_queries(spark, sf_dir)
+    found = neighbours.search_exact(neighbours.build(bank), queries, 10)
+    return found.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "bank_id"))), lambda s: s["bank_id"]).alias("nearest"))
+
+
+@query("SELECT count(*) FILTER (WHERE vec_id % 100 = 0) AS n_queries, 10 * count(*) FILTER (WHERE vec_id % 100 = 0) AS n_neighbours, true AS recall_at_least_09 FROM embeddings")
+def nearest_recall(spark, sf_dir):
+    """What the probed cells find of the ten nearest vectors; the index holds every row."""
+    bank, queries = _bank_and_queries(spark, sf_dir)
+    index = neighbours.build(bank)
+    exact = neighbours.search_exact(index, queries, 10).select("query_id", "bank_id")
+    found = neighbours.search(index, queries, 10).select("query_id", "bank_id", F.lit(1).alias("hit"))
+    joined = exact.join(found, ["query_id", "bank_id"], "left")
+    return joined.agg(F.countDistinct("query_id").alias("n_queries"), F.count(F.lit(1)).alias("n_neighbours"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_at_least_09"))
 
 
 @query(cte("scored") + """, t AS (SELECT median(y) AS my, median(pred) AS mp FROM scored WHERE split = 'train' AND study_id % 9 <> 0), f AS (SELECT study_id, split, coalesce(CASE WHEN study_id % 9 <> 0 THEN y END, (SELECT my FROM t)) AS a, coalesce(CASE WHEN study_id % 9 <> 0 THEN pred END, (SELECT mp FROM t)) AS b FROM scored),

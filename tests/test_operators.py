@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import arrays, numeric, text
-from tessella.operators import checks, cohort, completeness, features, measurements, metrics, splits, vectors
+from tessella.operators import checks, cohort, completeness, features, measurements, metrics, neighbours, splits, vectors
 from tessella.sources import readers
 from tessella.streaming.ingest import ingest
 
@@ -114,8 +114,8 @@ def test_pooling_and_neighbours(spark):
     assert [r["embedding"] for r in vectors.pool(df.filter("study_id = 1"), "study_id", how="max").collect()] == [[3.0, 2.0]]
     bank = spark.createDataFrame([(i, [float(i), 1.0], i) for i in range(6)], "bank_id long, embedding array<float>, label int")
     q = bank.select(F.col("bank_id").alias("query_id"), "embedding").filter("bank_id = 5")
-    assert vectors.nearest(q, bank, 2).collect()[0]["predicted"] == 4.5
-    assert vectors.nearest(q.limit(0), bank, 2).collect() == []
+    assert neighbours.nearest(q, bank, 2).collect()[0]["predicted"] == 4.5
+    assert neighbours.nearest(q.limit(0), bank, 2).collect() == []
 
 
 def test_batches_and_checks(spark):
