@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import numeric, text
+from tessella.operators.quantiles import attach, exact_median, exact_quantiles
+from tessella.sources.scratch import stored
 
 
 def per_study(records: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def select_cohort(
         base = base.filter(F.col("measurement_id").isNotNull())
     if need_note:
         base = base.filter(F.col("note_id").isNotNull())
-    middle = base.agg(F.median("n_dicoms").alias("median_n"))  # one row
+    middle = exact_median(base, [], "n_dicoms", "median_n")  # one row
     scored = base.crossJoin(F.broadcast(middle)).withColumn("score", F.abs(F.col("n_dicoms") - F.col("median_n"))).withColumn("tie", numeric.tie_key(F.col("study_id"), seed))
     order = [F.col("score"), F.col("tie")]
     out = rank_by_subject(scored, order, cap).drop("median_n")
@@ -87,11 +89,12 @@ def manifest(records: DataFrame, studies: DataFrame, measurements: DataFrame) ->
 
 def manifest_summary(m: DataFrame) -> DataFrame:
     """Sizes, percentiles of files per study and link rates in one row."""
-    q = F.percentile("n_dicoms", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    return m.agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("study_id").alias("n_studies"), F.countDistinct("subject_id").alias("n_subjects"), F.avg("n_dicoms").alias("mean_n"), q.alias("_q"), F.max("n_dicoms").alias("max_n"),
+    m = stored(m.select("study_id", "subject_id", "n_dicoms", "has_measurement_link", "has_note_link"), "manifest")
+    whole = m.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("study_id").alias("n_studies"), F.countDistinct("subject_id").alias("n_subjects"), F.avg("n_dicoms").alias("mean_n"), F.max("n_dicoms").alias("max_n"),
         F.avg(F.col("has_measurement_link").cast("int")).alias("measurement_rate"), F.avg(F.col("has_note_link").cast("int")).alias("note_rate"),
-    ).select("*", F.col("_q")[0].alias("p10_n"), F.col("_q")[1].alias("median_n"), F.col("_q")[2].alias("p90_n")).drop("_q")
+    )
+    return attach(whole, exact_quantiles(m, [], "n_dicoms", [0.1, 0.5, 0.9], "_q"), []).select("*", F.col("_q")[0].alias("p10_n"), F.col("_q")[1].alias("median_n"), F.col("_q")[2].alias("p90_n")).drop("_q")
 
 
 def value_counts(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:

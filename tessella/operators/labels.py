@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import numeric, text
+from tessella.operators.quantiles import exact_median
 
 
 def median_labels(measurements: DataFrame, name: str, threshold: float) -> DataFrame:
     """Median value of one measurement per subject and measurement id, with a binary and a four-class label."""
     value = text.try_double(F.col("result"))
-    m = measurements.filter(F.col("measurement") == name).withColumn("_v", value).filter(F.col("_v").isNotNull())
-    out = m.groupBy("subject_id", "measurement_id").agg(F.median("_v").alias("value"))
+    out = exact_median(measurements.filter(F.col("measurement") == name), ["subject_id", "measurement_id"], value, "value")
     return out.select("*", (F.col("value") < threshold).cast("int").alias("reduced"), numeric.severity(F.col("value")).alias("class4"))
 
 

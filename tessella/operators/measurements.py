@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text
 from tessella.operators.checks import require_columns, with_column_if_absent
+from tessella.operators.quantiles import attach, exact_quantiles
+from tessella.sources.scratch import stored
 
 
 def harmonise(m: DataFrame, manual: dict[str, str] | None = None) -> DataFrame:
@@ -45,16 +47,24 @@ def _known(column: str) -> Column:
     return F.array_sort(F.collect_set(F.when(F.col(column) != "unknown", F.col(column))))
 
 
+def _distinct(h: DataFrame, key: str, column: str, name: str, with_result: str) -> DataFrame:
+    """Distinct values of ``column`` by ``key``, of all rows and of those with a number; each pair is counted once before the key's rows meet."""
+    pairs = h.groupBy(key, column).agg(F.max(F.col("result_numeric").isNotNull().cast("int")).alias("_has"))
+    own = F.col(column).isNotNull()
+    return pairs.groupBy(key).agg(F.count(column).alias(name), F.count_if(own & (F.col("_has") == 1)).alias(with_result))
+
+
 def raw_profile(h: DataFrame) -> DataFrame:
     """One row per raw name (null a group too): rows, numeric rows and rate, studies and subjects, unit categories."""
-    has = F.col("result_numeric").isNotNull()
+    h = stored(h.select("measurement", "study_id", "subject_id", "result_numeric", "unit_category"), "measurements")
     categories = F.array_join(_known("unit_category"), ",")
-    return h.groupBy("measurement").agg(
+    base = h.groupBy("measurement").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("result_numeric").alias("n_result_rows"), F.round(F.count("result_numeric") / F.count(F.lit(1)), 4).alias("result_rate"),
-        F.countDistinct("study_id").alias("n_studies_any"), F.countDistinct(F.when(has, F.col("study_id"))).alias("n_studies_with_result"),
-        F.countDistinct("subject_id").alias("n_subjects_any"), F.countDistinct(F.when(has, F.col("subject_id"))).alias("n_subjects_with_result"),
         F.when(categories == "", "unknown").otherwise(categories).alias("unit_categories"),
     )
+    for c, what in (("study_id", "studies"), ("subject_id", "subjects")):
+        base = attach(base, _distinct(h, "measurement", c, f"n_{what}_any", f"n_{what}_with_result"), ["measurement"])
+    return base
 
 
 def preferred_units(h: DataFrame, key: str = "canonical_measurement", unit: str = "canonical_value_unit") -> DataFrame:
@@ -66,16 +76,17 @@ def preferred_units(h: DataFrame, key: str = "canonical_measurement", unit: str
 
 def canonical_profile(h: DataFrame, n_reference: int) -> DataFrame:
     """One row per canonical name: counts, coverage of ``n_reference`` studies, units, and percentiles in the preferred unit."""
-    has = F.col("result_numeric").isNotNull()
+    h = stored(h.select("measurement", "canonical_measurement", "study_id", "subject_id", "result_numeric", "result_canonical", "unit_category", "unit_norm", "canonical_value_unit"), "measurements")
     base = h.groupBy("canonical_measurement").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("result_numeric").alias("n_result_rows"), F.round(F.count("result_numeric") / F.count(F.lit(1)), 4).alias("result_rate"),
-        F.countDistinct("study_id").alias("n_studies_any"), F.countDistinct(F.when(has, F.col("study_id"))).alias("n_studies_with_result"),
-        F.countDistinct(F.when(has, F.col("subject_id"))).alias("n_subjects_with_result"), F.countDistinct("measurement").alias("n_original_measurements"),
         F.size(F.collect_set(F.when(F.col("unit_category") != "unknown", F.col("unit_category")))).alias("n_unit_categories"),
-    ).withColumn("study_coverage_with_result", F.round(F.col("n_studies_with_result") / F.lit(max(n_reference, 1)), 4))
+    )
+    for c, a, b in (("study_id", "n_studies_any", "n_studies_with_result"), ("subject_id", "_any", "n_subjects_with_result"), ("measurement", "n_original_measurements", "_with")):
+        base = base.join(_distinct(h, "canonical_measurement", c, a, b), "canonical_measurement").drop("_any", "_with")
+    base = base.withColumn("study_coverage_with_result", F.round(F.col("n_studies_with_result") / F.lit(max(n_reference, 1)), 4))
     preferred = preferred_units(h)
     same = h.join(preferred, "canonical_measurement").filter((F.col("preferred_unit") == "unknown") | (F.col("canonical_value_unit") == F.col("preferred_unit")))
-    q = same.groupBy("canonical_measurement", "preferred_unit").agg(F.percentile("result_canonical", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("q"))
+    q = attach(preferred, exact_quantiles(same, ["canonical_measurement"], "result_canonical", [0.05, 0.5, 0.95]), ["canonical_measurement"])
     q = q.select("canonical_measurement", "preferred_unit", *[F.round(F.col("q")[i], 4).alias(f"{n}_canonical") for i, n in enumerate(("p05", "p50", "p95"))])
     units = top_counts(h, ["canonical_measurement"], "unit_norm", 10, "unit_norm_top10")
     return base.join(q, "canonical_measurement", "left").join(units, "canonical_measurement").withColumn("preferred_unit", F.coalesce("preferred_unit", F.lit("unknown")))
@@ -122,10 +133,11 @@ def panel_wide(panel: DataFrame, base: DataFrame, columns: list[str]) -> DataFra
 
 def task_metadata(panel: DataFrame, tasks: DataFrame, n_studies: int) -> DataFrame:
     """Support and percentiles of every task; tasks without a value stay."""
-    q = F.percentile("task_value", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    stats = panel.groupBy("canonical_measurement").agg(
-        F.countDistinct("study_id").alias("n_studies_with_value"), F.countDistinct("subject_id").alias("n_subjects_with_value"), F.sum("n_rows_used").alias("n_rows_with_value"), q.alias("_q")
-    )
+    panel = stored(panel, "panel").withColumn("result_numeric", F.col("task_value"))
+    stats = panel.groupBy("canonical_measurement").agg(F.sum("n_rows_used").alias("n_rows_with_value"))
+    for c, name in (("study_id", "n_studies_with_value"), ("subject_id", "n_subjects_with_value")):
+        stats = stats.join(_distinct(panel, "canonical_measurement", c, "_any", name), "canonical_measurement").drop("_any")
+    stats = stats.join(exact_quantiles(panel, ["canonical_measurement"], "task_value", [0.05, 0.5, 0.95], "_q"), "canonical_measurement")
     out = tasks.select("canonical_measurement", "preferred_unit").join(stats, "canonical_measurement", "left")
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_studies_with_value", "n_subjects_with_value", "n_rows_with_value")}
     coverage = F.col("n_studies_with_value") / F.lit(max(n_studies, 1))

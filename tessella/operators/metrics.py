@@ -8,23 +8,25 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.operators.quantiles import attach, exact_quantiles
+
 
 def target_summary(df: DataFrame, value: str, *keys: str) -> DataFrame:
     """Values, median and interquartile range by key."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.groupBy(*keys).agg(F.count(value).alias("n"), q.alias("_q"))
+    out = attach(df.groupBy(*keys).agg(F.count(value).alias("n")), exact_quantiles(df, list(keys), value, [0.25, 0.5, 0.75], "_q"), list(keys))
     return out.select(*keys, "n", F.col("_q")[1].alias("median"), (F.col("_q")[2] - F.col("_q")[0]).alias("iqr"))
 
 
-def regression(df: DataFrame, *keys: str) -> DataFrame:
-    """MAE, RMSE, R2 (null below two rows or without spread), IQR of the target, and MAE over IQR, by key."""
+def regression(df: DataFrame, *keys: str, spread: bool = True) -> DataFrame:
+    """MAE, RMSE, R2 (null below two rows or without spread) and, with ``spread``, IQR of the target and MAE over IQR, by key."""
     e = F.col("y") - F.col("pred")
-    q = F.percentile("y", F.array(F.lit(0.25), F.lit(0.75)))
-    out = df.filter(F.col("y").isNotNull() & F.col("pred").isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e * e).alias("_mse"), F.var_pop("y").alias("_var"), q.alias("_q")
-    )
-    iqr = F.col("_q")[1] - F.col("_q")[0]
+    usable = df.filter(F.col("y").isNotNull() & F.col("pred").isNotNull())
+    out = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e * e).alias("_mse"), F.var_pop("y").alias("_var"))
     r2 = F.when((F.col("n") >= 2) & (F.col("_var") > 1e-12), 1 - F.col("_mse") / F.col("_var"))
+    if not spread:
+        return out.select(*keys, "n", "mae", "rmse", r2.alias("r2"))
+    out = attach(out, exact_quantiles(usable, list(keys), "y", [0.25, 0.75], "_q"), list(keys))
+    iqr = F.col("_q")[1] - F.col("_q")[0]
     return out.select(*keys, "n", "mae", "rmse", r2.alias("r2"), iqr.alias("iqr"), F.when(iqr > 0, F.col("mae") / iqr).alias("mae_norm_iqr"))
 
 

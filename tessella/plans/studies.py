@@ -212,7 +212,7 @@ def _compared(spark, sf_dir):
     s = view(spark, sf_dir, "scored").withColumnRenamed("subject_id", "task")
     tables = {}
     for n, shift in _SHIFT.items():
-        m = metrics.regression(s.withColumn("pred", F.col("pred") + F.lit(shift)), "task")
+        m = metrics.regression(s.withColumn("pred", F.col("pred") + F.lit(shift)), "task", spread=False)
         tables[n] = m.select("task", F.round("mae", 4).alias("mae"), F.round("r2", 4).alias("r2"))
     out = reporting.compare(tables, "task", ["mae", "r2"])
     return reporting.with_winner(reporting.with_winner(out, _NAMES, "r2", "best_by_r2"), _NAMES, "mae", "best_by_mae", largest=False)
