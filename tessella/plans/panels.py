@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.functions import text
-from tessella.operators import features, measurements
+from tessella.operators import features, measurements, sketches
 from tessella.plans.registry import query
+from tessella.sources.scratch import stored
 from tessella.sources.views import cte, view
 
 
@@ -142,6 +143,26 @@ def panel_task_metadata(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("study_coverage_with_value", "missing_rate", "p05", "p50", "p95")})
 
 
+@query(_HARMONISED + " SELECT canonical_measurement, count(*) AS n_rows, true AS studies_within, true AS subjects_within, CASE WHEN count(result_numeric) > 0 THEN true END AS p05_within, CASE WHEN count(result_numeric) > 0 THEN true END AS p50_within, CASE WHEN count(result_numeric) > 0 THEN true END AS p95_within FROM h GROUP BY 1")
+def sketch_profile_error(spark, sf_dir):
+    """Sketches kept by test type and merged: whether counts and percentiles are within the stated errors of the exact ones."""
+    key = ["canonical_measurement"]
+    h = stored(_h(spark, sf_dir).select(*key, "test_type", "study_id", "subject_id", "result_numeric"), "measurements")
+    kept = stored(sketches.sketch_parts(h, key, "test_type", ["study_id", "subject_id"], ["result_numeric"]), "sketches")
+    merged = sketches.merge_parts(kept, key)
+    ids = {"studies_within": "study_id", "subjects_within": "subject_id"}
+    ps = {"p05": 0.05, "p50": 0.5, "p95": 0.95}
+    found = stored(merged.select(*key, "n_rows", *[sketches.distinct_estimate(c).alias(c) for c in ids.values()], *[sketches.quantile_estimate("result_numeric", p).alias(n) for n, p in ps.items()]), "estimates")
+    out = found.select(*key, "n_rows")
+    for name, c in ids.items():
+        exact = h.filter(F.col(c).isNotNull()).groupBy(*key, c).agg(F.lit(1).alias("_one")).groupBy(*key).agg(F.count(F.lit(1)).alias("_exact"))
+        near = F.abs(F.col(c) - F.col("_exact")) <= F.ceil(sketches.COUNT_ERROR * F.col("_exact"))
+        out = out.join(found.join(exact, key).select(*key, near.alias(name)), key, "left")
+    for n, p in ps.items():
+        out = out.join(sketches.rank_within(h, key, "result_numeric", found, n, p, f"{n}_within"), key, "left")
+    return out
+
+
 @query(_HARMONISED + " SELECT measurement, min(canonical_measurement) AS canonical_measurement FROM h GROUP BY 1")
 def panel_mapping_dedupe(spark, sf_dir):
     return measurements.one_canonical(_h(spark, sf_dir))
