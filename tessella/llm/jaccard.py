@@ -39,10 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import attach_groups, map_slices, materialize, release, reread
+from tessella.llm.common import attach_groups, filter_slices, map_slices, materialize, release, reread
 from tessella.llm.words import words_of
 
 SHINGLE, PERCENT, EXTENSION, BLOCK = 5, 80, 0.1, 2000
+#: Bits of the filter that texts pass before a shuffle (8 MB); a text that passes in vain costs its transfer only.
+BITMAP_BITS = 1 << 26
 _MASK = (1 << 48) - 1
 
 
@@ -91,7 +93,7 @@ def _text_hash():
 
 
 def _prefixes(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, n, digest, need, sure, alone, lead`` of each document.
+    """``row, doc_id, text_hash, n, digest, need, sure, alone, lead`` of each document.
 
     ``sure`` counts prefix shingles that another set of the same slice has;
     the slice's first set with such a shingle carries it in ``prefix`` for all.
@@ -115,28 +117,51 @@ def _prefixes(docs: DataFrame) -> DataFrame:
         order = np.cumsum([0, *(len(c) for c in cut)])
         alone = [flat[a:b][~shared[a:b]].astype(np.int64).tolist() for a, b in zip(order, order[1:], strict=False)]
         lead = [flat[a:b][shared[a:b] & leader[a:b]].astype(np.int64).tolist() for a, b in zip(order, order[1:], strict=False)]
-        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "n": n, "digest": digest, "need": need, "sure": sure, "alone": alone, "lead": lead}
+        return {"row": batch.column(3), "doc_id": batch.column(0), "text_hash": batch.column(1), "n": n, "digest": digest, "need": need, "sure": sure, "alone": alone, "lead": lead}
 
-    return map_slices(docs.select("doc_id", _text_hash(), "text"), run, "doc_id long, text_hash long, n long, digest binary, need int, sure int, alone array<long>, lead array<long>")
+    rows = docs.select("doc_id", _text_hash(), "text", F.monotonically_increasing_id().alias("row"))
+    return map_slices(rows, run, "row long, doc_id long, text_hash long, n long, digest binary, need int, sure int, alone array<long>, lead array<long>")
 
 
 def _survivors(table: DataFrame) -> DataFrame:
     """Class digests that pass 1 leaves, each with the row whose text stands for it."""
     rows = table.filter("n > 0")
-    alone = rows.select("digest", F.explode("alone").alias("h"), F.lit(False).alias("many"))
-    lead = rows.select("digest", F.explode("lead").alias("h"), F.lit(True).alias("many"))
+    # the shingles travel with row numbers, which take less room than digests
+    alone = rows.select("row", F.explode("alone").alias("h"), F.lit(False).alias("many"))
+    lead = rows.select("row", F.explode("lead").alias("h"), F.lit(True).alias("many"))
     w = Window.partitionBy("h")  # a shingle has one row a slice
     seen = alone.unionByName(lead).withColumn("shared", (F.count(F.lit(1)).over(w) > 1) | F.max("many").over(w))
-    counts = seen.filter("shared AND NOT many").groupBy("digest").agg(F.count(F.lit(1)).alias("elsewhere"))
+    counts = seen.filter("shared AND NOT many").groupBy("row").agg(F.count(F.lit(1)).alias("elsewhere"))
     # a class may occur in several slices; the largest number of the sure ones holds
-    sets = rows.groupBy("digest").agg(F.max("need").alias("need"), F.max("sure").alias("sure"), F.min("n").alias("n"), F.min(F.struct("doc_id", "text_hash")).alias("row"))
-    found = sets.join(counts, "digest", "left").filter(F.col("sure") + F.coalesce("elsewhere", F.lit(0)) >= F.col("need"))
-    found = found.select("digest", "row.doc_id", "row.text_hash", "n")
+    sets = rows.select("row", "digest", "need", "sure", "n", "doc_id", "text_hash").join(counts, "row", "left").groupBy("digest").agg(
+        F.max("need").alias("need"), F.max("sure").alias("sure"), F.coalesce(F.sum("elsewhere"), F.lit(0)).alias("elsewhere"), F.min("n").alias("n"), F.min(F.struct("doc_id", "text_hash")).alias("least")
+    )
+    found = sets.filter(F.col("sure") + F.col("elsewhere") >= F.col("need")).select("digest", "least.doc_id", "least.text_hash", "n")
     # a class is named by its doc_id, which takes little room, or by its digest where an id has several texts
     one = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("of_id"))
     return found.join(one, "doc_id").select(F.when(F.col("of_id") == 1, F.col("doc_id")).otherwise(F.xxhash64("digest")).alias("node"), "digest", "doc_id", "text_hash", "n")
 
 
+def _bitmap(survivors: DataFrame) -> np.ndarray:
+    """A bit for each text hash of a survivor, modulo ``BITMAP_BITS``; of fixed size, whatever the number of them."""
+    place = F.col("text_hash").bitwiseAND(BITMAP_BITS - 1)
+    words = survivors.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(text_hash & 63 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros(BITMAP_BITS // 64, np.int64)
+    out[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    return out.view(np.uint64)
+
+
+def _may_survive(texts: DataFrame, survivors: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose bit is set, among them all survivors, so that few other texts are shuffled."""
+    sent = texts.sparkSession.sparkContext.broadcast(_bitmap(survivors))
+
+    def keep(batch: pa.RecordBatch) -> list[bool]:
+        place = batch.column(1).to_numpy().view(np.uint64) & np.uint64(BITMAP_BITS - 1)
+        return (sent.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool).tolist()
+
+    return filter_slices(texts, keep)
+
+
 def _shared_sets(docs: DataFrame, survivors: DataFrame) -> DataFrame:
     """``node, n, shared``: the shingles of each class that others have too, the rarest first, where they reach T."""
 
@@ -144,7 +169,7 @@ def _shared_sets(docs: DataFrame, survivors: DataFrame) -> DataFrame:
         return {"node": batch.column(0), "sets": [s.view(np.int64) for s in shingle_sets(batch.column(1))]}
 
     wanted = survivors.select("node", "doc_id", "text_hash")
-    texts = docs.select("doc_id", _text_hash(), "text").join(wanted, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash", "node").agg(F.min("text").alias("text"))
+    texts = _may_survive(docs.select("doc_id", _text_hash(), "text"), wanted).join(wanted, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash", "node").agg(F.min("text").alias("text"))
     sets = map_slices(texts.select("node", "text"), run, "node long, sets array<long>")
     rows = sets.select("node", F.size("sets").cast("long").alias("n"), F.explode("sets").alias("h"))
     counted = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("df > 1")
