@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import text
+from tessella.operators.quantiles import exact_median
+from tessella.sources.scratch import stored
 
 
 def coverage(long: DataFrame, name: str, n_studies: int, least: float) -> DataFrame:
@@ -28,11 +30,15 @@ def missing_rate(long: DataFrame, name: str, n_studies: int) -> DataFrame:
 def impute_and_scale(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Medians, means and population deviations of the train rows applied to all; a constant feature has scale 1.
 
-    A feature without any train value is left out.
+    A feature without any train value is left out; without any train row all
+    features stay and are null.
     """
     train = rows.filter("split = 'train'")
-    middle = train.agg(*[F.median(c).alias(c) for c in columns]).first()
-    used = [c for c in columns if middle[c] is not None]
+    cells = train.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    middle = {r["column"]: r["m"] for r in exact_median(cells, ["column"], "value", "m").collect()}  # a row for each column
+    if not middle and train.isEmpty():
+        return rows.withColumns({c: F.lit(None).cast("double") for c in columns})
+    used = [c for c in columns if c in middle]
     filled = rows.withColumns({c: F.coalesce(F.col(c), F.lit(float(middle[c]))) for c in used}).drop(*set(columns) - set(used))
     stats = filled.filter("split = 'train'").agg(*[F.avg(c).alias(f"m_{c}") for c in used], *[F.stddev_pop(c).alias(f"s_{c}") for c in used]).first() if used else None
     return filled.withColumns({c: (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0) for c in used})
@@ -122,8 +128,16 @@ def top_coefficients(names: list[str], weights, spark, k: int = 20) -> DataFrame
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.abs("coefficient").desc(), "feature")))  # k rows
 
 
+def _nothing(rows: DataFrame, column: str, kind: str):
+    """A fitted pipeline that adds a null column, for no train rows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+
+    return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, CAST(NULL AS {kind}) AS {column} FROM __THIS__")]).fit(rows)
+
+
 def fit_logistic(rows: DataFrame, features: list[str], label: str):
-    """Balanced logistic regression of standardised features; a fitted ``pyspark.ml`` pipeline."""
+    """Balanced logistic regression of standardised features; a fitted ``pyspark.ml`` pipeline, whose ``prediction`` is null without train rows."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
@@ -131,18 +145,23 @@ def fit_logistic(rows: DataFrame, features: list[str], label: str):
     train = rows.filter(F.col("split") == "train")
     counts = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}
     n = sum(counts.values())
+    if not n:
+        return _nothing(rows, "prediction", "DOUBLE")
     weight = F.coalesce(*[F.when(F.col(label) == v, F.lit(n / (len(counts) * c))) for v, c in counts.items()])
     stages = [VectorAssembler(inputCols=features, outputCol="features"), LogisticRegression(labelCol=label, weightCol="_w", regParam=1.0 / max(n, 1), standardization=False)]
     return Pipeline(stages=stages).fit(train.withColumn("_w", weight))
 
 
 def fit_pca(rows: DataFrame, features: list[str], k: int):
-    """``max(2, min(k, n - 1, p))`` principal components of centred features; a fitted ``pyspark.ml`` pipeline."""
+    """``max(2, min(k, n - 1, p))`` principal components of centred features; a fitted ``pyspark.ml`` pipeline, whose ``components`` are null below two train rows."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 
     train = rows.filter(F.col("split") == "train")
-    size = max(2, min(k, train.count() - 1, len(features)))
+    n = train.count()
+    if n < 2:
+        return _nothing(rows, "components", "ARRAY<DOUBLE>")
+    size = max(2, min(k, n - 1, len(features)))
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_raw"), StandardScaler(withMean=True, withStd=False, inputCol="_raw", outputCol="_centred"), PCA(k=size, inputCol="_centred", outputCol="components")]).fit(train)
 
 
@@ -152,6 +171,87 @@ def leave_one_out(wide: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select("study_id", "split", F.explode(F.array(*rows)).alias("_t")).select("study_id", "split", "_t.*").filter(F.col("y").isNotNull())
 
 
+def masked_moments(rows: DataFrame, x: list[str], y: list[str]) -> DataFrame:
+    """``target, n, mean, gram`` of each of ``y`` over the rows that have it: means of ``x`` and the target, and their centred products.
+
+    One pass over the rows, which are not copied for each target: a task of
+    Spark adds up all targets at once and passes on one row for each.  These
+    meet in two steps, so that no group grows with the number of tasks.
+    """
+    p = len(x)
+    schema = "target int, n long, mean array<double>, gram array<double>, bucket int"
+
+    def merge(a, b):
+        n = a[0] + b[0]
+        step = b[1] - a[1]
+        return n, a[1] + step * (b[0] / n), a[2] + b[2] + np.outer(step, step) * (a[0] * b[0] / n)
+
+    def frame(sums: dict, bucket: int) -> pd.DataFrame:
+        return pd.DataFrame([(t, n, mean, gram.ravel(), bucket) for t, (n, mean, gram) in sums.items()], columns=["target", "n", "mean", "gram", "bucket"])
+
+    def add_up(batches):
+        from pyspark import TaskContext
+
+        sums: dict = {}
+        for pdf in batches:
+            values, targets = pdf[x].to_numpy(float), pdf[y].to_numpy(float)
+            for t in range(len(y)):
+                has = ~np.isnan(targets[:, t])
+                if has.any():
+                    z = np.column_stack([values[has], targets[has, t]])
+                    mean = z.mean(axis=0)
+                    new = (len(z), mean, (z - mean).T @ (z - mean))
+                    sums[t] = merge(sums[t], new) if t in sums else new
+        yield frame(sums, TaskContext.get().partitionId() % 64)
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [(n, np.asarray(mean), np.asarray(gram).reshape(p + 1, p + 1)) for n, mean, gram in zip(pdf["n"], pdf["mean"], pdf["gram"], strict=True)]
+        return frame({pdf["target"].iloc[0]: reduce(merge, parts)}, 0)
+
+    added = rows.select(*[F.col(c).cast("double").alias(c) for c in (*x, *y)]).mapInPandas(add_up, schema)
+    met = added.groupBy("target", "bucket").applyInPandas(meet, schema).groupBy("target").applyInPandas(meet, schema)
+    return met.drop("bucket")
+
+
+def leave_one_out_ridge(wide: DataFrame, tasks: list[str], alpha: float = 1.0) -> DataFrame:
+    """``task_col, study_id, split, y, pred``: every task predicted from all others by a ridge model of the train studies that have it.
+
+    ``wide`` has ``study_id, split`` and a column for each task.  Missing
+    features get the train median of their column; each model standardises by
+    its own rows.  The features of a task are all columns but its own, a
+    sub-block of its moments.  A task of fewer than two train values, or a
+    single task, has no prediction (null).  An empty table gives no rows.
+    """
+    p = len(tasks)
+    shape = "task_col string, study_id long, split string, y double, pred double"
+    y = [f"_y{i}" for i in range(p)]
+    targets = wide.withColumns({b: F.col(a).cast("double") for a, b in zip(tasks, y, strict=True)})
+    scaled = impute_and_scale(targets, tasks) if p else targets
+    x = [t for t in tasks if t in scaled.columns]
+    full = stored(scaled.select("study_id", "split", *x, *y), "features")
+    weights, bias = np.zeros((p, len(x))), np.full(p, np.nan)
+    for r in masked_moments(full.filter("split = 'train'"), x, y).collect() if x else []:  # a row for each task, of a number for each pair of columns
+        t, mean, gram = r["target"], np.array(r["mean"]), np.array(r["gram"]).reshape(len(x) + 1, -1)
+        others = np.array([i for i, c in enumerate(x) if c != tasks[t]], int)
+        if r["n"] < 2 or not len(others):
+            continue
+        sd = np.sqrt(np.maximum(np.diag(gram)[others], 0) / r["n"])
+        sd = np.where(sd > 1e-12, sd, 1)
+        block = gram[np.ix_(others, others)] / np.outer(sd, sd)
+        weights[t, others] = np.linalg.solve(block + alpha * np.eye(len(others)), gram[others, -1] / sd) / sd
+        bias[t] = mean[-1] - weights[t] @ mean[:-1]
+    names = np.array(tasks, object)
+
+    def predict(batches):
+        for pdf in batches:
+            known = pdf[y].to_numpy(float)
+            pred = pdf[x].to_numpy(float) @ weights.T + bias
+            row, task = np.nonzero(~np.isnan(known))
+            yield pd.DataFrame({"task_col": names[task], "study_id": pdf["study_id"].to_numpy()[row], "split": pdf["split"].to_numpy(object)[row], "y": known[row, task], "pred": pred[row, task]})
+
+    return full.mapInPandas(predict, shape)
+
+
 def concat_modalities(a: DataFrame, b: DataFrame, key: str = "study_id") -> DataFrame:
     """Studies of both tables with their feature arrays joined end to end."""
     return a.join(b.select(key, F.col("features").alias("_more")), key).withColumn("features", F.concat("features", "_more")).drop("_more")

@@ -58,7 +58,14 @@ _PANEL = (
 panel AS (SELECT subject_id, study_id, canonical_measurement, preferred_unit, median(CAST(val AS DOUBLE)) AS task_value, count(*) AS n_rows_used,
   concat('task__', regexp_replace(regexp_replace(regexp_replace(canonical_measurement, '[^a-zA-Z0-9_]+', '_', 'g'), '_+', '_', 'g'), '^_|_$', '', 'g')) AS task_col FROM v WHERE val IS NOT NULL GROUP BY 1, 2, 3, 4)"""
 )
-_TASKS = ["task__left_ventricular_ejection_fraction", "task__left_atrial_volume", "task__left_ventricular_mass", "task__heart_rate"]
+#: Studies and subjects with a value that a task of the wide panel needs, and the tasks that the test tables have (for SQL, which has to name its columns).
+_STUDIES, _SUBJECTS = 50, 50
+_TASKS = [
+    f"task__{t}" for t in (
+        "aortic_root_diameter", "aortic_valve_mean_gradient", "global_longitudinal_strain", "heart_rate", "left_atrial_volume", "left_atrial_volume_index", "left_ventricular_ejection_fraction",
+        "left_ventricular_mass", "mitral_e_velocity", "tricuspid_annular_plane_systolic_excursion", "unknown_measurement",
+    )
+]
 
 
 def _h(spark, sf_dir):
@@ -81,7 +88,13 @@ def _panel(spark, sf_dir):
 
 
 def wide(spark, sf_dir, base):
-    return measurements.panel_wide(_panel(spark, sf_dir), base, _TASKS)
+    """The wide panel of all supported tasks, and their columns in order."""
+    h = _h(spark, sf_dir)
+    units = measurements.preferred_units(h)
+    panel = stored(measurements.panel_long(h, units), "panel")
+    found = measurements.supported(measurements.task_metadata(panel, units, _n_studies(spark, sf_dir)), _STUDIES, _SUBJECTS).filter("supported")
+    tasks = sorted({r["c"] for r in found.select(text.column_name(F.col("canonical_measurement")).alias("c")).collect()})  # columns of one table
+    return measurements.panel_wide(panel, base, tasks), tasks
 
 
 @query(_HARMONISED + " SELECT DISTINCT measurement, measurement_clean, description_clean, canonical_measurement, canonical_source, unit, unit_norm, unit_category FROM h")
@@ -116,17 +129,16 @@ def panel_long(spark, sf_dir):
 
 @query(
     _PANEL
-    + ", w AS (SELECT study_id, "
+    + f", sup AS (SELECT canonical_measurement FROM panel GROUP BY 1 HAVING count(DISTINCT study_id) >= {_STUDIES} AND count(DISTINCT subject_id) >= {_SUBJECTS}), w AS (SELECT study_id, count(*) AS n, "
     + ", ".join(f"round(max(task_value) FILTER (WHERE task_col = '{t}'), 6) AS {t}" for t in _TASKS)
-    + " FROM panel GROUP BY 1) SELECT b.study_id, "
+    + " FROM panel JOIN sup USING (canonical_measurement) GROUP BY 1) SELECT b.study_id, "
     + ", ".join(_TASKS)
-    + ", "
-    + " + ".join(f"CAST({t} IS NOT NULL AS INT)" for t in _TASKS)
-    + " AS n_tasks_available FROM (SELECT DISTINCT study_id FROM measurements) b LEFT JOIN w USING (study_id)"
+    + ", CAST(coalesce(n, 0) AS INT) AS n_tasks_available FROM (SELECT DISTINCT study_id FROM measurements) b LEFT JOIN w USING (study_id)"
 )
 def panel_wide(spark, sf_dir):
     base = view(spark, sf_dir, "measurements").select("study_id").distinct()
-    return wide(spark, sf_dir, base).withColumns({t: F.round(t, 6) for t in _TASKS})
+    found, tasks = wide(spark, sf_dir, base)
+    return found.withColumns({t: F.round(t, 6) for t in tasks})
 
 
 @query(

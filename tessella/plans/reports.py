@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.functions import numeric
-from tessella.operators import checks, features, measurements, metrics, reporting, vectors
+from tessella.operators import checks, features, metrics, reporting, vectors
 from tessella.plans import cohorts, panels
 from tessella.plans.registry import query
+from tessella.sources.scratch import stored
 from tessella.sources.views import cte, table, view
 
 
@@ -59,7 +60,8 @@ def _embedded(spark, sf_dir):
 @query()
 def top_coefficients(spark, sf_dir):
     rows = _embedded(spark, sf_dir)
-    p = len(rows.first()["embedding"])
+    first = rows.first()
+    p = len(first["embedding"]) if first else 0
     names = [f"dim{i:03}" for i in range(p)]
     wide = rows.select("split", "y", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
     weights, _ = features.ridge(wide, names, "y")
@@ -70,11 +72,6 @@ def top_coefficients(spark, sf_dir):
 def multitask_tabular(spark, sf_dir):
     """Each task from the others: imputed and scaled on train studies, a ridge model per task, metrics by split."""
     base = view(spark, sf_dir, "measurements").select("study_id").distinct()
-    wide = panels.wide(spark, sf_dir, base)
-    tasks = checks.columns_with_prefix(wide, "task__")
-    split = wide.withColumn("split", numeric.split_of(numeric.split_score("v1", F.col("study_id")), 0.7, 0.15))
-    scaled = features.impute_and_scale(split.select("study_id", "split", *tasks), tasks)
-    targets = split.select("study_id", *[F.col(t).cast("double").alias(f"y_{t}") for t in tasks])
-    used = [t for t in tasks if t in scaled.columns]
-    rows = features.leave_one_out(scaled, used).drop("y").join(measurements.unpivot(targets, "study_id", [f"y_{t}" for t in used], "y_"), ["study_id", "task_col"])
-    return metrics.regression(features.ridge_by_task(rows, "features"), "task_col", "split").drop("mae_norm_iqr")
+    wide, tasks = panels.wide(spark, sf_dir, base)
+    split = stored(wide.withColumn("split", numeric.split_of(numeric.split_score("v1", F.col("study_id")), 0.7, 0.15)), "wide")
+    return metrics.regression(features.leave_one_out_ridge(split, tasks), "task_col", "split", spread=False)

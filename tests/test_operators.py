@@ -289,3 +289,51 @@ def test_logistic_and_pca_against_plain_numpy(spark):
     _, s, v = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
     pca = features.fit_pca(rows, ["a", "b", "c"], 2).stages[-1]
     assert np.allclose(pca.explainedVariance.toArray(), (s**2 / (s**2).sum())[:2]) and np.allclose(np.abs(pca.pc.toArray()), np.abs(v[:2].T), atol=1e-6)
+
+
+def test_leave_one_out_ridge_equals_the_closed_form(spark):
+    """Every task from the others, fitted on its own train rows; a hot split, missing cells, a constant and an empty task."""
+    rng = np.random.default_rng(8)
+    n, tasks = 300, ["a", "b", "c", "d", "gone"]
+    z = rng.normal(size=(n, 4))
+    z[:, 2] += 2 * z[:, 0]
+    z[:, 3] = 5.0
+    z[rng.random((n, 4)) < 0.3] = np.nan
+    split = np.where(np.arange(n) % 4 == 0, "test", "train")
+    rows = [(i, str(s), *[None if np.isnan(v) else float(v) for v in r], None) for i, (s, r) in enumerate(zip(split, z, strict=True))]
+    wide = spark.createDataFrame(rows, "study_id long, split string, a double, b double, c double, d double, gone double").repartition(7)
+    got = {(r["task_col"], r["study_id"]): (r["y"], r["pred"]) for r in features.leave_one_out_ridge(wide, tasks, 0.7).collect()}
+    assert len(got) == np.isfinite(z).sum()
+    train = split == "train"
+    filled = np.where(np.isnan(z), np.nanmedian(z[train], axis=0), z)
+    for t in range(4):
+        has, others = ~np.isnan(z[:, t]), [j for j in range(4) if j != t]
+        fit = has & train
+        x = filled[:, others]
+        # columns of the whole train part are scaled first; the model standardises again by its own rows
+        mean, sd = x[fit].mean(axis=0), x[fit].std(axis=0)
+        x = (x - mean) / np.where(sd > 1e-12, sd, 1)
+        y = z[fit, t]
+        w = np.linalg.solve(x[fit].T @ x[fit] + 0.7 * np.eye(3), x[fit].T @ (y - y.mean()))
+        want = x @ w + y.mean()
+        for i in np.flatnonzero(has):
+            assert np.allclose(got[tasks[t], i], (z[i, t], want[i]), atol=1e-8)
+
+
+def test_leave_one_out_ridge_of_little(spark):
+    shape = "study_id long, split string, a double, b double"
+    one = spark.createDataFrame([(1, "train", 1.0, 2.0), (2, "test", None, 3.0)], shape)
+    got = [(r["task_col"], r["y"], r["pred"]) for r in features.leave_one_out_ridge(one, ["a", "b"]).collect()]
+    assert sorted(got) == [("a", 1.0, None), ("b", 2.0, None), ("b", 3.0, None)]
+    assert features.leave_one_out_ridge(one.limit(0), ["a", "b"]).collect() == [] == features.leave_one_out_ridge(one, []).collect()
+    single = features.leave_one_out_ridge(spark.createDataFrame([(i, "train", float(i), None) for i in range(4)], shape), ["a"])
+    assert [r["pred"] for r in single.collect()] == [None] * 4
+
+
+def test_models_of_no_rows(spark):
+    none = spark.createDataFrame([], "split string, a double, b double, label double")
+    assert features.impute_and_scale(none, ["a", "b"]).columns == none.columns
+    rows = spark.createDataFrame([("test", 1.0, 2.0, 1.0)], none.schema)
+    for table in (none, rows):
+        assert all(r["prediction"] is None for r in features.fit_logistic(table, ["a", "b"], "label").transform(table).collect())
+        assert all(r["components"] is None for r in features.fit_pca(table, ["a", "b"], 2).transform(table).collect())
