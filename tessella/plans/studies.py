@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessella.functions import arrays, numeric
-from tessella.operators import features, labels, metrics, neighbours, reporting, vectors
+from tessella.operators import features, labels, metrics, neighbours, perceptron, reporting, vectors
 from tessella.plans.registry import query
 from tessella.sources.views import cte, table, view
 
@@ -160,6 +160,26 @@ def logistic_fit(spark, sf_dir):
     return features.fit_logistic(scaled, ["y", "pred", "prob"], "label").transform(scaled).select("study_id", "prediction")
 
 
+def _clip_rows(spark, sf_dir):
+    c = view(spark, sf_dir, "clips").withColumn("split", F.when(F.col("clip_id") % 5 == 0, "test").otherwise("train"))
+    return c.select("clip_id", "split", F.col("embedding").alias("features"), F.col("label").cast("double").alias("y"))
+
+
+@query()
+def perceptron_regression(spark, sf_dir):
+    """Labels of clips from their vectors, by a perceptron with two hidden layers and early stopping."""
+    rows = _clip_rows(spark, sf_dir)
+    model = perceptron.fit(rows, "clip_id", batches=2, epochs=8, rate=0.01, patience=3)
+    return metrics.regression(model.predict(rows), "split", spread=False)
+
+
+@query()
+def perceptron_classification(spark, sf_dir):
+    rows = _clip_rows(spark, sf_dir).withColumn("y", (F.col("y") >= 5).cast("double"))
+    model = perceptron.fit(rows, "clip_id", "classification", batches=2, epochs=8, rate=0.01, patience=3)
+    return metrics.classification(model.predict(rows, name="prob").withColumn("label", F.col("y").cast("int")), "split")
+
+
 @query()
 def pca_fit(spark, sf_dir):
     rows = view(spark, sf_dir, "scored")

@@ -23,15 +23,16 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """``df`` written as Parquet and read back: evaluated once, and no longer dependent on any executor's shuffle files.
 
     Values that depend on how rows were dealt, such as a partition's number, are
-    the same for all who read the table.  It is deleted when the driver ends.
+    the same for all who read the table; folders by ``partition_by`` let readers
+    skip the others.  It is deleted when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tessella-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
