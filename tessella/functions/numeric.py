@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessella.functions.fingerprint import fingerprint64
+
 
 def split_score(seed: str, ident: Column) -> Column:
     """A number in [0, 1) from 60 bits of SHA-256 of ``seed:id``."""
@@ -16,6 +18,12 @@ def tie_key(ident: Column, seed: int | str) -> Column:
     return F.md5(F.concat(ident.cast("string"), F.lit(f"-{seed}")))
 
 
+def fingerprint_key(ident: Column, seed: int | str) -> Column:
+    """The order by the fingerprint of ``id-seed``, of 16 bytes at most; longer ones are an error."""
+    text = F.concat(ident.cast("string"), F.lit(f"-{seed}"))
+    return F.when(F.octet_length(text) > 16, F.raise_error(F.lit("id and seed are longer than 16 bytes")).cast("long")).otherwise(fingerprint64(text, 16))
+
+
 def seed_of(c: Column) -> Column:
     """A 32-bit seed: the first eight hexadecimal digits of the SHA-256 of a text."""
     return F.conv(F.substring(F.sha2(c.cast("string"), 256), 1, 8), 16, 10).cast("long")

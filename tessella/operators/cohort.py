@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,25 +32,26 @@ def rank_by_subject(df: DataFrame, order: list[Column], cap: int) -> DataFrame:
 
 
 def select_cohort(
-    records: DataFrame, studies: DataFrame, low: int, high: int, n: int | None, cap: int = 1, seed: int | str = 1337, need_measurement: bool = True, need_note: bool = False
-) -> DataFrame:
-    """Studies of median size first: filter, distance to the median, stable tie-break, cap per subject, the first ``n``."""
+    records: DataFrame, studies: DataFrame, low: int, high: int, n: int | None, cap: int = 1, seed: int | str = 1337, need_measurement: bool = True, need_note: bool = False,
+    tie: Callable[[Column, int | str], Column] = numeric.tie_key,
+) -> DataFrame:
+    """Studies of median size first: filter, distance to the median, stable tie-break (``tie``), cap per subject, the first ``n``."""
     base = candidates(records, studies).filter(F.col("n_dicoms").between(low, high))
     if need_measurement:
         base = base.filter(F.col("measurement_id").isNotNull())
     if need_note:
         base = base.filter(F.col("note_id").isNotNull())
     middle = exact_median(base, [], "n_dicoms", "median_n")  # one row
-    scored = base.crossJoin(F.broadcast(middle)).withColumn("score", F.abs(F.col("n_dicoms") - F.col("median_n"))).withColumn("tie", numeric.tie_key(F.col("study_id"), seed))
+    scored = base.crossJoin(F.broadcast(middle)).withColumn("score", F.abs(F.col("n_dicoms") - F.col("median_n"))).withColumn("tie", tie(F.col("study_id"), seed))
     order = [F.col("score"), F.col("tie")]
     out = rank_by_subject(scored, order, cap).drop("median_n")
     return out.orderBy(*order).limit(n) if n else out
 
 
-def select_by_hash(records: DataFrame, studies: DataFrame, low: int, high: int, cap: int = 1, seed: int | str = 1337) -> DataFrame:
-    """All eligible studies, one (or ``cap``) of each subject by a stable order."""
+def select_by_hash(records: DataFrame, studies: DataFrame, low: int, high: int, cap: int = 1, seed: int | str = 1337, tie: Callable[[Column, int | str], Column] = numeric.tie_key) -> DataFrame:
+    """All eligible studies, one (or ``cap``) of each subject by a stable order (``tie``)."""
     base = candidates(records, studies).filter(F.col("n_dicoms").between(low, high) & F.col("measurement_id").isNotNull())
-    return rank_by_subject(base.withColumn("tie", numeric.tie_key(F.col("study_id"), seed)), [F.col("tie")], cap)
+    return rank_by_subject(base.withColumn("tie", tie(F.col("study_id"), seed)), [F.col("tie")], cap)
 
 
 def records_of(records: DataFrame, selected: DataFrame, base_url: str) -> DataFrame:

@@ -40,6 +40,49 @@ def cohort_records(spark, sf_dir):
     return cohort.records_of(view(spark, sf_dir, "records"), selected(spark, sf_dir), "gs://bucket/root/")
 
 
+_M64 = "18446744073709551616::UHUGEINT"
+
+
+def _get(at: str, size: int) -> str:
+    """``size`` bytes of ``s`` from the place ``at`` (from 1), the first one lowest."""
+    return " + ".join(f"ascii(substr(s, {at} + {i}, 1))::UHUGEINT * {1 << 8 * i}::UHUGEINT" for i in range(size))
+
+
+def _times(a: str, b: str) -> str:
+    return f"(({a}) * ({b})) % {_M64}"
+
+
+def _fold(a: str) -> str:
+    return f"xor({a}, {a} // 140737488355328::UHUGEINT)"
+
+
+def _fingerprints(table: str, ident: str, seed: int) -> str:
+    """CTEs up to ``fp(id, fp)``: signed fingerprints of ``id-seed``, of 4 to 16 ASCII bytes."""
+    k2 = f"{0x9AE16A3B2F90404F}::UHUGEINT"
+    rotated = lambda v, r: f"(({v}) // {1 << r}::UHUGEINT + (({v}) % {1 << r}::UHUGEINT) * {1 << 64 - r}::UHUGEINT)"
+    return f""", fp0 AS (SELECT DISTINCT {ident} AS id, concat(CAST({ident} AS VARCHAR), '-{seed}') AS s FROM {table}), fp1 AS (SELECT *, length(s) AS n, ({k2} + (2 * length(s))::UHUGEINT) % {_M64} AS m FROM fp0),
+fp2 AS (SELECT *, CASE WHEN n >= 8 THEN ({_get("1", 8)} + {k2}) % {_M64} ELSE n::UHUGEINT + 8::UHUGEINT * ({_get("1", 4)}) END AS a, CASE WHEN n >= 8 THEN {_get("(n - 7)", 8)} ELSE {_get("(n - 3)", 4)} END AS b FROM fp1),
+fp3 AS (SELECT *, CASE WHEN n >= 8 THEN ({_times(rotated("b", 37), "m")} + a) % {_M64} ELSE a END AS u, CASE WHEN n >= 8 THEN {_times("(" + rotated("a", 25) + " + b) % " + _M64, "m")} ELSE b END AS v FROM fp2),
+fp4 AS (SELECT *, {_times("xor(u, v)", "m")} AS c FROM fp3), fp5 AS (SELECT *, {_times("xor(v, " + _fold("c") + ")", "m")} AS e FROM fp4), fp6 AS (SELECT id, {_times(_fold("e"), "m")} AS f FROM fp5),
+fp AS (SELECT id, CASE WHEN f >= 9223372036854775808::UHUGEINT THEN CAST(f::HUGEINT - 18446744073709551616::HUGEINT AS BIGINT) ELSE CAST(f AS BIGINT) END AS fp FROM fp6)"""
+
+
+@query("WITH x AS (SELECT 1)" + _fingerprints("orders", "o_orderkey", 1337) + " SELECT id AS study_id, fp FROM fp")
+def fingerprint_keys(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("study_id"), numeric.fingerprint_key(F.col("o_orderkey"), 1337).alias("fp")).distinct()
+
+
+@query(
+    cte("records", "studies") + _BASE + _fingerprints("orders", "o_orderkey", 1337)
+    + """, f AS (SELECT base.*, fp.fp AS tie FROM base JOIN fp ON study_id = id WHERE n_dicoms BETWEEN 2 AND 8 AND measurement_id IS NOT NULL), scored AS (SELECT *, abs(n_dicoms - (SELECT median(n_dicoms) FROM f)) AS score FROM f),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY score, tie) AS rn FROM scored) SELECT subject_id, study_id, CAST(score AS DOUBLE) AS score, tie FROM ranked WHERE rn <= 1 ORDER BY score, tie LIMIT 200"""
+)
+def cohort_select_fingerprint(spark, sf_dir):
+    """The first 200 studies in the order of the fingerprint."""
+    found = cohort.select_cohort(view(spark, sf_dir, "records"), view(spark, sf_dir, "studies"), 2, 8, 200, tie=numeric.fingerprint_key)
+    return found.select("subject_id", "study_id", "score", "tie")
+
+
 @query(cte("records", "studies") + _BASE + """, r AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY md5(concat(CAST(study_id AS STRING), '-7'))) AS rn FROM base WHERE n_dicoms BETWEEN 1 AND 99 AND measurement_id IS NOT NULL)
 SELECT subject_id, study_id, n_dicoms FROM r WHERE rn <= 1""")
 def cohort_all_hash_order(spark, sf_dir):
@@ -215,10 +258,11 @@ def split_frozen_join(spark, sf_dir):
     return splits.frozen_split(studies, frozen).select("study_id", "split")
 
 
-@query(cte("scored") + ", f AS (SELECT DISTINCT subject_id, 'train' AS frozen FROM scored WHERE subject_id < 30) SELECT count(*) AS n_rows, count(*) FILTER (WHERE frozen IS NULL) AS n_missing, count(*) FILTER (WHERE frozen <> split) AS n_mismatch FROM scored LEFT JOIN f USING (subject_id)")
+@query(cte("scored") + f", f AS (SELECT subject_id, CASE WHEN s < 0.7 THEN 'train' WHEN s < 0.85 THEN 'val' ELSE 'test' END AS frozen FROM (SELECT c_custkey AS subject_id, {_SCORE} AS s FROM customer)) SELECT count(*) AS n_rows, count(*) FILTER (WHERE frozen IS NULL) AS n_missing, count(*) FILTER (WHERE frozen <> split) AS n_mismatch FROM scored LEFT JOIN f USING (subject_id)")
 def split_map_audit(spark, sf_dir):
     s = view(spark, sf_dir, "scored")
-    return completeness.split_mismatch(s, s.filter("subject_id < 30").select("subject_id", F.lit("train").alias("split")))
+    frozen = splits.hash_split(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject_id")), "seed")
+    return completeness.split_mismatch(s, frozen.select("subject_id", "split"))
 
 
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, coalesce(CAST(json_extract(props, '$.absent.deep') AS BIGINT), -1) AS absent FROM events""")
