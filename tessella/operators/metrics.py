@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.operators.quantiles import attach, exact_quantiles
+from tessella.operators.quantiles import attach, exact_quantiles, number_rows
 
 
 def target_summary(df: DataFrame, value: str, *keys: str) -> DataFrame:
@@ -30,26 +30,32 @@ def regression(df: DataFrame, *keys: str, spread: bool = True) -> DataFrame:
     return out.select(*keys, "n", "mae", "rmse", r2.alias("r2"), iqr.alias("iqr"), F.when(iqr > 0, F.col("mae") / iqr).alias("mae_norm_iqr"))
 
 
-def classification(df: DataFrame, *keys: str, threshold: float = 0.5) -> DataFrame:
-    """ROC-AUC (null for one class), average precision, F1, prevalence and predicted rate, by key.
+def _placed(scores: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``scores`` (one row for each key and ``prob``, with ``pos`` and ``n``) with ``tp`` and ``above``: positives and rows of at least this score.
 
-    Rows are first counted by score.  Scores are ranked within 1024 ranges of
-    [0, 1]; only the sums of the ranges meet.
+    Scores are ranked within 1024 ranges of [0, 1]; only the sums of the ranges meet.
     """
-    hit = F.col("prob") >= threshold
     band = F.when(F.isnan("prob"), F.lit(1023)).otherwise(F.greatest(F.lit(0), F.least(F.lit(1023), F.floor(F.col("prob") * 1024)))).cast("int")
-    scores = df.filter(F.col("label").isNotNull() & F.col("prob").isNotNull()).groupBy(*keys, "prob").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).withColumn("_band", band)
-    names = [*keys, "_band"]
+    scores, names = scores.withColumn("_band", band), [*keys, "_band"]
     higher = Window.partitionBy(*keys).orderBy(F.desc("_band")).rowsBetween(Window.unboundedPreceding, -1)  # 1024 rows a key at most
     bands = scores.groupBy(*names).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     before = bands.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"_{c}_before") for c in ("pos", "n")])
     down = Window.partitionBy(*names).orderBy(F.desc("prob")).rowsBetween(Window.unboundedPreceding, 0)
     placed = scores.join(before, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(names)]))
-    s = placed.withColumns({"tp": F.sum("pos").over(down) + F.col("_pos_before"), "above": F.sum("n").over(down) + F.col("_n_before")}).withColumn("neg", F.col("n") - F.col("pos"))
-    # a negative loses to all positives above it, and half to those of its score
-    won = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") + F.col("pos") / 2))
-    out = s.groupBy(*keys).agg(
-        F.sum("n").alias("n"), F.sum("pos").alias("_p"), won.alias("_won"), F.sum(F.col("pos") * F.col("tp") / F.col("above")).alias("_ap"),
+    return placed.withColumns({"tp": F.sum("pos").over(down) + F.col("_pos_before"), "above": F.sum("n").over(down) + F.col("_n_before")})
+
+
+def _won():
+    """A negative loses to all positives above it, and half to those of its score."""
+    return F.sum((F.col("n") - F.col("pos")) * (F.col("tp") - F.col("pos") + F.col("pos") / 2))
+
+
+def classification(df: DataFrame, *keys: str, threshold: float = 0.5) -> DataFrame:
+    """ROC-AUC (null for one class), average precision, F1, prevalence and predicted rate, by key; rows are first counted by score."""
+    hit = F.col("prob") >= threshold
+    scores = df.filter(F.col("label").isNotNull() & F.col("prob").isNotNull()).groupBy(*keys, "prob").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
+    out = _placed(scores, keys).groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum("pos").alias("_p"), _won().alias("_won"), F.sum(F.col("pos") * F.col("tp") / F.col("above")).alias("_ap"),
         F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("_tp"), F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("_hit"),
     )
     p, neg = F.col("_p"), F.col("n") - F.col("_p")
@@ -60,26 +66,29 @@ def classification(df: DataFrame, *keys: str, threshold: float = 0.5) -> DataFra
     )
 
 
+def bootstrap_draws(spark: SparkSession, n: int, replicates: int, seed: int | str) -> DataFrame:
+    """``rep, row, w``: how often each of ``n`` row numbers is among the ``n`` draws of a replicate.
+
+    The ``i``-th draw of a replicate is a hash of seed, replicate and ``i``, so
+    draws are made wherever they are needed, and the same again after a failure.
+    """
+    draws = spark.range(replicates * n).select(F.expr(f"CAST(id DIV {max(n, 1)} AS INT)").alias("rep"), (F.col("id") % max(n, 1)).alias("i"))
+    h = F.conv(F.substring(F.md5(F.concat_ws("-", F.col("rep").cast("string"), F.col("i").cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+    return draws.groupBy("rep", (h % max(n, 1)).alias("row")).agg(F.count(F.lit(1)).alias("w"))
+
+
 def bootstrap_auc(df: DataFrame, replicates: int, seed: int | str, key: str = "study_id") -> DataFrame:
-    """2.5 and 97.5 percentiles of AUC over Poisson resamples by a stable hash; one-class resamples are skipped.
+    """Mean, 2.5, 50 and 97.5 percentiles of AUC over resamples of as many rows with replacement; one-class resamples are skipped.
 
-    A row's weight in a replicate is a Poisson(1) draw from its hash, so a
-    resample needs no join and no row numbers.
+    Rows are numbered in the order of ``key``, and met by the numbers drawn.
+    Scores of a replicate are ranked by bands, so no group is a whole replicate.
+    Rows without label or score take no part.
     """
-    h = F.conv(F.substring(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.col("rep").cast("string"), F.lit(str(seed)))), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    cuts, total, term = [], 0.0, 0.36787944117144233
-    for k in range(8):
-        total += term
-        cuts.append(total)
-        term /= k + 1
-    weight = F.lit(8)
-    for k in range(7, -1, -1):
-        weight = F.when(h < cuts[k], F.lit(k)).otherwise(weight)
-    drawn = df.select(key, "label", "prob", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep")).withColumn("w", weight).filter("w > 0")
+    rows, n = number_rows(df.filter(F.col("label").isNotNull() & F.col("prob").isNotNull()).select(key, "label", "prob"), [key, "prob", "label"])
+    drawn = bootstrap_draws(df.sparkSession, n, replicates, seed).join(rows.select("row", "label", "prob"), "row")
     scores = drawn.groupBy("rep", "prob").agg(F.sum(F.col("w") * F.col("label")).alias("pos"), F.sum("w").alias("n"))
-    down = Window.partitionBy("rep").orderBy(F.desc("prob")).rowsBetween(Window.unboundedPreceding, 0)
-    s = scores.withColumn("tp", F.sum("pos").over(down))
-    neg = F.col("n") - F.col("pos")
-    auc = s.groupBy("rep").agg(F.sum("pos").alias("p"), F.sum(neg).alias("m"), F.sum(neg * (F.col("tp") - F.col("pos") + F.col("pos") / 2)).alias("won")).filter("p > 0 AND m > 0")
-    q = auc.select((F.col("won") / (F.col("p") * F.col("m"))).alias("auc")).agg(F.count(F.lit(1)).alias("replicates"), F.percentile("auc", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975))).alias("q"))
-    return q.select("replicates", F.col("q")[0].alias("low"), F.col("q")[1].alias("middle"), F.col("q")[2].alias("high"))
+    auc = _placed(scores, ("rep",)).groupBy("rep").agg(F.sum("pos").alias("p"), F.sum(F.col("n") - F.col("pos")).alias("m"), _won().alias("won")).filter("p > 0 AND m > 0")
+    q = auc.select((F.col("won") / (F.col("p") * F.col("m"))).alias("auc")).agg(  # a row for each replicate
+        F.count(F.lit(1)).alias("replicates"), F.avg("auc").alias("mean"), F.percentile("auc", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975))).alias("q")
+    )
+    return q.select("replicates", "mean", F.col("q")[0].alias("low"), F.col("q")[1].alias("middle"), F.col("q")[2].alias("high"))

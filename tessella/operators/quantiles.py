@@ -54,6 +54,21 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str | Column, probs:
     return found.select(*[F.col("k")[c].alias(c) for c in keys], F.array(*map(between, places)).alias(name))
 
 
+def number_rows(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    """``df`` with its rows' numbers from 0 in ``row``, in the order of columns, and their count.
+
+    Rows are dealt by ranges, numbered within theirs, and only the ranges'
+    counts meet.  Of rows that are equal in ``order`` any may come first.
+    """
+    rows = stored(df, "rows")
+    n = rows.count()
+    dealt = stored(rows.repartitionByRange(max(1, -(-n // RANGE_ROWS)), *order).withColumn("_r", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range
+    starts = counts.select("_r", F.coalesce(F.sum("_n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_r").orderBy(*order))
+    return dealt.withColumn("_own", own).join(starts, "_r").withColumn("row", F.col("_start") + F.col("_own") - 1).drop("_r", "_own", "_start"), n
+
+
 def exact_median(df: DataFrame, keys: list[str], value: str | Column, name: str) -> DataFrame:
     return exact_quantiles(df, keys, value, [0.5], "_q").select(*keys, F.col("_q")[0].alias(name))
 

@@ -201,17 +201,14 @@ def metrics_classification(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("auc", "average_precision", "f1", "prevalence", "predicted_rate")})
 
 
-_H = "CAST(('0x' || substr(md5(concat(CAST(study_id AS STRING), '-', CAST(rep AS STRING), '-17')), 1, 8)) AS UBIGINT)::DOUBLE / 4294967296.0"
-_CUTS = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.999916758850712, 0.9999897508033253]
-
-
-@query(cte("scored") + f""", d AS (SELECT label, prob, rep, {_H} AS h FROM scored, range(0, 40) t(rep) WHERE split <> 'train'), w AS (SELECT *, CASE {" ".join(f"WHEN h < {c!r} THEN {k}" for k, c in enumerate(_CUTS))} ELSE 8 END AS w FROM d),
-g AS (SELECT rep, prob, sum(w * label) AS pos, sum(w) AS n FROM w WHERE w > 0 GROUP BY 1, 2), c AS (SELECT *, sum(pos) OVER (PARTITION BY rep ORDER BY prob DESC) AS tp FROM g),
+@query(cte("scored") + """, r AS (SELECT label, prob, row_number() OVER (ORDER BY study_id) - 1 AS i, count(*) OVER () AS n FROM scored WHERE split <> 'train'),
+d AS (SELECT rep, CAST(('0x' || substr(md5(concat(CAST(rep AS STRING), '-', CAST(i AS STRING), '-17')), 1, 15)) AS BIGINT) % n AS i FROM r, range(0, 40) t(rep)),
+g AS (SELECT rep, prob, sum(label) AS pos, count(*) AS n FROM d JOIN r ON d.i = r.i GROUP BY 1, 2), c AS (SELECT *, sum(pos) OVER (PARTITION BY rep ORDER BY prob DESC) AS tp FROM g),
 a AS (SELECT rep, sum((n - pos) * (tp - pos + pos / 2)) / (sum(pos) * sum(n - pos)) AS auc FROM c GROUP BY 1 HAVING sum(pos) > 0 AND sum(n - pos) > 0)
-SELECT count(*) AS replicates, round(quantile_cont(auc, 0.025), 6) AS low, round(quantile_cont(auc, 0.5), 6) AS middle, round(quantile_cont(auc, 0.975), 6) AS high FROM a""")
+SELECT count(*) AS replicates, round(avg(auc), 6) AS mean, round(quantile_cont(auc, 0.025), 6) AS low, round(quantile_cont(auc, 0.5), 6) AS middle, round(quantile_cont(auc, 0.975), 6) AS high FROM a""")
 def bootstrap_auc_ci(spark, sf_dir):
     out = metrics.bootstrap_auc(view(spark, sf_dir, "scored").filter("split <> 'train'"), 40, 17)
-    return out.select("replicates", *[F.round(c, 6).alias(c) for c in ("low", "middle", "high")])
+    return out.select("replicates", *[F.round(c, 6).alias(c) for c in ("mean", "low", "middle", "high")])
 
 
 _NAMES = ["vision", "tabular", "fusion"]
