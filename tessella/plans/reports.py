@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessella.functions import numeric
 from tessella.operators import checks, features, metrics, reporting, vectors
 from tessella.plans import cohorts, panels
 from tessella.plans.registry import query
-from tessella.sources.scratch import stored
+from tessella.sources.scratch import shared_folder, stored
 from tessella.sources.views import cte, table, view
+from tessella.streaming import ingest
 
 
 @query(cohorts.COHORT + " SELECT subject_id, study_id, tie FROM sel ORDER BY score, tie LIMIT 50")
@@ -75,3 +78,15 @@ def multitask_tabular(spark, sf_dir):
     wide, tasks = panels.wide(spark, sf_dir, base)
     split = stored(wide.withColumn("split", numeric.split_of(numeric.split_score("v1", F.col("study_id")), 0.7, 0.15)), "wide")
     return metrics.regression(features.leave_one_out_ridge(split, tasks), "task_col", "split", spread=False)
+
+
+@query("SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def ingest_events(spark, sf_dir):
+    """The events taken in by batches of files, each once."""
+    work = f"{shared_folder(spark)}/tessella-{uuid.uuid4().hex}"
+    schema = table(spark, sf_dir, "events").schema
+    run = lambda: ingest.ingest(spark, f"{sf_dir}/events.parque[t]", schema, f"{work}/events", f"{work}/state", files_per_batch=8, key="event_id").awaitTermination()
+    run()
+    run()  # finds nothing new
+    events = ingest.read_ingested(spark, f"{work}/events", schema)
+    return events.select("event_id", "user_id", F.get_json_object("props", "$.k").cast("long").alias("k"))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tessella.functions import arrays, numeric, text
 from tessella.operators import checks, cohort, completeness, features, measurements, metrics, neighbours, splits, vectors
 from tessella.sources import readers
-from tessella.streaming.ingest import ingest
 
 
 def values(spark, expression, inputs, kind="string"):
@@ -149,18 +148,6 @@ def test_readers(spark, tmp_path):
     assert readers.list_files(spark, str(tmp_path), "*.npz").count() == 1
 
 
-def test_incremental_ingest(spark, tmp_path):
-    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    spark.range(5).write.parquet(f"{source}/a")
-    run = lambda: ingest(spark, f"{source}/*", "id long", target, state, key="id").awaitTermination()
-    run()
-    run()
-    assert spark.read.parquet(target).count() == 5
-    spark.range(3, 8).write.parquet(f"{source}/b")
-    run()
-    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(8))
-
-
 def test_small_helpers(spark, tmp_path):
     assert values(spark, lambda c: text.swap_suffix(c, ".npz"), ["a/b.dcm", "x"]) == ["a/b.npz", "x.npz"]
     assert values(spark, lambda c: text.frame_name(c, F.lit(7)), ["a/b.npz"]) == ["b_f007.png"]
