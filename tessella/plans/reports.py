@@ -6,10 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tessella.functions import numeric
+from tessella.functions import arrays, numeric
 from tessella.operators import checks, features, metrics, reporting, vectors
 from tessella.plans import cohorts, panels
 from tessella.plans.registry import query
+from tessella.sources import npz
 from tessella.sources.scratch import shared_folder, stored
 from tessella.sources.views import cte, table, view
 from tessella.streaming import ingest
@@ -90,3 +91,16 @@ def ingest_events(spark, sf_dir):
     run()  # finds nothing new
     events = ingest.read_ingested(spark, f"{work}/events", schema)
     return events.select("event_id", "user_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("SELECT vec_id, len(embedding) AS dims, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 5) AS norm FROM embeddings")
+def array_round_trip(spark, sf_dir):
+    """The vectors written as NPZ files by several tasks and read back in ranges."""
+    spark.dataSource.register(npz.NpzSource)
+    path = f"{shared_folder(spark)}/tessella-{uuid.uuid4().hex}/vectors"
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("values"))
+    rows.repartition(4).write.format("npz").option("fileRows", 500).mode("overwrite").save(path)
+    read = lambda **o: spark.read.format("npz").options(**o).load(path)
+    ids = read(array="ids", ndim=1, type="long").select("path", "entry", F.col("values")[0].alias("vec_id"))
+    found = read().join(ids, ["path", "entry"])
+    return found.select("vec_id", F.size("values").cast("long").alias("dims"), F.round(arrays.l2_norm(F.col("values")), 5).alias("norm"))
