@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions import numeric, text
-from tessella.operators import checks, cohort, completeness, splits
+from tessella.operators import checks, cohort, completeness, intervals, splits
 from tessella.plans.registry import query
 from tessella.sources.views import cte, table, view
 
@@ -157,6 +157,44 @@ def nearest_note_in_time(spark, sf_dir):
     return cohort.nearest_note(studies, notes, 30).select("study_id", "note_id", "gap_us")
 
 
+_ADMISSIONS = """WITH a AS (SELECT o_custkey AS subject_id, o_orderkey AS interval_id, o_orderdate + INTERVAL 9500 DAY AS first, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + INTERVAL 9500 DAY + to_days(CAST(o_orderkey % 41 AS INT)) END AS last FROM orders),
+n AS (SELECT event_id AS note_id, user_id AS subject_id, ts AS moment FROM events), s AS (SELECT o_custkey AS subject_id, o_orderkey AS study_id, o_orderdate + INTERVAL 9502 DAY AS moment FROM orders),
+"""
+
+
+def _within(table: str, ident: str) -> str:
+    return f"""{table}_in AS (SELECT {table}.{ident}, {table}.moment, interval_id FROM {table} LEFT JOIN a ON {table}.subject_id = a.subject_id AND moment >= first AND (last IS NULL OR moment <= last)
+QUALIFY row_number() OVER (PARTITION BY {table}.{ident} ORDER BY first DESC, interval_id) = 1)"""
+
+
+def _admissions(spark, sf_dir):
+    """Stays of up to forty days from orders, some still open, with events as notes."""
+    begin = F.col("o_orderdate") + F.expr("INTERVAL 9500 DAY")
+    o = table(spark, sf_dir, "orders")
+    stays = o.select(
+        F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("interval_id"), begin.alias("start"),
+        F.when(F.col("o_orderkey") % 50 != 0, begin + F.make_dt_interval((F.col("o_orderkey") % 41).cast("int"))).alias("end"),
+    )
+    studies = o.select(F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").alias("study_id"), (F.col("o_orderdate") + F.expr("INTERVAL 9502 DAY")).alias("study_datetime"))
+    return stays, studies, table(spark, sf_dir, "events").select(F.col("event_id").alias("note_id"), F.col("user_id").alias("subject_id"), F.col("ts").alias("note_datetime"))
+
+
+@query(_ADMISSIONS + _within("n", "note_id") + " SELECT note_id, interval_id FROM n_in")
+def admission_of_note(spark, sf_dir):
+    stays, _, notes = _admissions(spark, sf_dir)
+    return intervals.interval_of(notes.withColumnRenamed("note_datetime", "at"), stays).select("note_id", "interval_id")
+
+
+@query(
+    _ADMISSIONS + _within("n", "note_id") + ", " + _within("s", "study_id")
+    + """, p AS (SELECT study_id, note_id, n_in.moment, abs(epoch_us(s_in.moment) - epoch_us(n_in.moment)) AS gap FROM s_in JOIN n_in USING (interval_id)),
+b AS (SELECT * FROM p WHERE gap <= 20 * 86400000000 QUALIFY row_number() OVER (PARTITION BY study_id ORDER BY gap, moment, note_id) = 1) SELECT s_in.study_id, interval_id AS admission_id, b.note_id, b.gap AS gap_us FROM s_in LEFT JOIN b USING (study_id)"""
+)
+def note_by_admission(spark, sf_dir):
+    stays, studies, notes = _admissions(spark, sf_dir)
+    return intervals.note_by_admission(studies, notes, stays, 20).select("study_id", "admission_id", "note_id", "gap_us")
+
+
 @query(cte("records", "studies", "measurements") + _SELECTED + """, w AS (SELECT subject_id, study_id, measurement_id FROM sel)
 SELECT w.subject_id, w.study_id, w.measurement_id, m.measurement, m.result, m.unit, m.test_type FROM w LEFT JOIN measurements m ON m.subject_id = w.subject_id AND m.measurement_id = w.measurement_id""")
 def export_measurements(spark, sf_dir):
