@@ -251,11 +251,13 @@ def top_gains(spark, sf_dir):
     return reporting.gains(_compared(spark, sf_dir), "fusion", "vision", "r2", 10, "task").select("task", F.round("gain", 4).alias("gain"))
 
 
-@query(_COMPARED + " SELECT name, round(avg(r2), 6) AS mean_r2, round(median(r2), 6) AS median_r2, round(avg(mae), 6) AS mean_mae FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS name, {n}_r2 AS r2, {n}_mae AS mae FROM cmp" for n in _NAMES) + ") GROUP BY 1")
+@query(_COMPARED + " SELECT name, CAST(sum(CAST(round(r2 * 10000) AS BIGINT)) AS DOUBLE) / (10000.0 * count(r2)) AS mean_r2, round(median(r2), 6) AS median_r2, CAST(sum(CAST(round(mae * 10000) AS BIGINT)) AS DOUBLE) / (10000.0 * count(mae)) AS mean_mae FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS name, {n}_r2 AS r2, {n}_mae AS mae FROM cmp" for n in _NAMES) + ") GROUP BY 1")
 def macro_summary(spark, sf_dir):
     c = _compared(spark, sf_dir)
     long = c.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"{n}_r2").alias("r2"), F.col(f"{n}_mae").alias("mae")) for n in _NAMES])).alias("s")).select("s.*")
-    return long.groupBy("name").agg(F.round(F.avg("r2"), 6).alias("mean_r2"), F.round(F.median("r2"), 6).alias("median_r2"), F.round(F.avg("mae"), 6).alias("mean_mae"))
+    # whole numbers, so that the mean does not depend on the order of the sum
+    mean = lambda c: F.sum(F.round(F.col(c) * 10000).cast("long")).cast("double") / (F.lit(10000.0) * F.count(c))
+    return long.groupBy("name").agg(mean("r2").alias("mean_r2"), F.round(F.median("r2"), 6).alias("median_r2"), mean("mae").alias("mean_mae"))
 
 
 @query(cte("scored") + """, c AS (SELECT subject_id AS task, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'val') AS val, count(*) FILTER (WHERE split = 'test') AS test FROM scored GROUP BY 1)
