@@ -27,7 +27,7 @@ from tessella.llm.common import claim_worker, filter_slices, fold, map_slices, m
 SAMPLE, VOTERS, FEATURES = 12_000, 160, 700
 #: A voter marks this many toxic rows of the sample and this share of the rows it marks is toxic, at least.
 LEAST_ROWS, LEAST_SHARE, THRESHOLD, EM_STEPS = 4, 0.7, 0.7, 30
-PREFIXES, CACHE_ENTRIES = (3, 4, 5, 6, 7), 300_000
+PREFIXES, CACHE_ENTRIES, ROWS_AT_ONCE = (3, 4, 5, 6, 7), 300_000, 1000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -82,15 +82,18 @@ class LabelModel:
 
 
 def logistic(x: np.ndarray, target: np.ndarray, penalty: float = 0.5, steps: int = 12) -> tuple[np.ndarray, float]:
-    """Weights and intercept for soft targets, by Newton steps with an L2 penalty."""
-    xb = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    w = np.zeros(xb.shape[1])
+    """Weights and intercept for soft targets, by Newton steps with an L2 penalty; wide numbers are held for some rows at a time."""
+    w = np.zeros(x.shape[1] + 1)
     ridge = np.full(len(w), penalty)
     ridge[-1] = 1e-3
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(xb @ w, -30, 30)))
-        grad = xb.T @ (target - p) - ridge * w
-        hess = (xb * (p * (1 - p))[:, None]).T @ xb + np.diag(ridge)
+        grad, hess = -ridge * w, np.diag(ridge)
+        for at in range(0, len(x), ROWS_AT_ONCE):
+            part = x[at : at + ROWS_AT_ONCE]
+            xb = np.hstack([part.astype(float), np.ones((len(part), 1))])
+            p = 1 / (1 + np.exp(-np.clip(xb @ w, -30, 30)))
+            grad += xb.T @ (target[at : at + ROWS_AT_ONCE] - p)
+            hess += xb.T @ (xb * (p * (1 - p))[:, None])
         w = w + np.linalg.solve(hess, grad)
     return w[:-1], float(w[-1])
 
@@ -175,8 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     sent = docs.sparkSession.sparkContext.broadcast(blank)
     rows = map_slices(sample.select("doc_id", "text"), lambda b: {"doc_id": b.column(0), "hits": [sorted(sent.value.hits(t)) for t in texts_of(b)]}, "doc_id long, hits array<int>").toArrow()
     x = np.zeros((rows.num_rows, len(names)), np.float32)
-    for i, hits in enumerate(rows.column("hits").to_pylist()):
-        x[i, hits] = 1
+    hits = rows.column("hits").combine_chunks()
+    x[np.repeat(np.arange(rows.num_rows), hits.value_lengths().to_numpy()), hits.flatten().to_numpy()] = 1
     model = LabelModel(x[:, : len(voters)], n_toxic / (n_toxic + n_clean))
     weights, intercept = logistic(x, model.posterior)
     return Scorer(names, weights, intercept)
