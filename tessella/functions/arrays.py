@@ -25,6 +25,14 @@ def affine(v: Column, mean: float, sd: float) -> Column:
     return F.transform(v, lambda x: (x.cast("double") - mean) / sd)
 
 
+def affine_channels(v: Column, means: list[float], sds: list[float]) -> Column:
+    """Values whose last axis is the channel, each by its channel's mean and deviation."""
+    n, at = len(means), lambda values, i: F.element_at(F.array(*map(F.lit, values)), (i % len(values) + 1).cast("int"))
+    if n != len(sds) or not n:
+        raise ValueError("give a mean and a deviation for each channel")
+    return F.transform(v, lambda x, i: (x.cast("double") - at(means, i)) / at(sds, i))
+
+
 def one_hot(index: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (i == index).cast("double"))
 

@@ -204,6 +204,18 @@ def as_boolean(c: Column) -> Column:
     return F.coalesce(F.lower(F.trim(c)).isin("1", "true", "yes", "y", "t"), F.lit(False))
 
 
+def boolean_or_error(c: Column) -> Column:
+    """The same words and their opposites; any other text is an error, null stays."""
+    t = F.lower(F.trim(c))
+    other = F.raise_error(F.concat(F.lit("no boolean: "), c)).cast("boolean")
+    return F.when(t.isin("1", "true", "yes", "y", "t"), F.lit(True)).when(t.isin("0", "false", "no", "n", "f"), F.lit(False)).when(c.isNotNull(), other)
+
+
+def listed_bytes(c: Column) -> Column:
+    """The bytes of a storage listing's total line, ``<bytes>  gs://...``; null for any other line."""
+    return F.regexp_extract(c, r"^\s*(\d+)\s+gs://", 1).try_cast("long")
+
+
 def relative_path(c: Column) -> Column:
     return F.regexp_replace(c, "^/+", "")
 

@@ -42,6 +42,20 @@ def join_one_to_one(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
     return a.join(b.select(*keys, *[c for c in b.columns if c not in a.columns]), list(keys))
 
 
+def join_many_to_one(a: DataFrame, b: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """A join on keys that may occur once in ``b``, without the columns of ``b`` that ``a`` has too."""
+    require_unique(b, *keys)
+    return a.join(b.select(*keys, *[c for c in b.columns if c not in a.columns]), list(keys), how)
+
+
+def gather(rows: DataFrame, matrix: DataFrame, index: str) -> DataFrame:
+    """``rows`` with the row of ``matrix`` that their ``index`` names; an error where one names none, or two rows share an index."""
+    outside = rows.select(index).join(matrix.select(index), index, "left_anti").limit(5).collect()
+    if outside:
+        raise IndexError(f"no rows for {index}: {', '.join(str(r[index]) for r in outside)}")
+    return join_many_to_one(rows, matrix, index)
+
+
 def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
     """Names that begin with ``prefix``, in the order of the table; an error where there is none."""
     found = [c for c in df.columns if c.startswith(prefix)]

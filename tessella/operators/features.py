@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import text
+from tessella.operators.checks import require_unique
 from tessella.operators.quantiles import exact_median
 from tessella.sources.scratch import stored
 
@@ -214,20 +215,25 @@ def masked_moments(rows: DataFrame, x: list[str], y: list[str]) -> DataFrame:
 
 
 def leave_one_out_ridge(wide: DataFrame, tasks: list[str], alpha: float = 1.0) -> DataFrame:
-    """``task_col, study_id, split, y, pred``: every task predicted from all others by a ridge model of the train studies that have it.
+    """:func:`ridge_for_tasks` of every task from all others."""
+    return ridge_for_tasks(wide, tasks, tasks, alpha)
 
-    ``wide`` has ``study_id, split`` and a column for each task.  Missing
-    features get the train median of their column; each model standardises by
-    its own rows.  The features of a task are all columns but its own, a
-    sub-block of its moments.  A task of fewer than two train values, or a
-    single task, has no prediction (null).  An empty table gives no rows.
+
+def ridge_for_tasks(wide: DataFrame, tasks: list[str], inputs: list[str], alpha: float = 1.0) -> DataFrame:
+    """``task_col, study_id, split, y, pred``: every task predicted from ``inputs`` by a ridge model of the train studies that have it.
+
+    ``wide`` has ``study_id, split`` and a column for each task and input.
+    Missing inputs get the train median of their column; each model standardises
+    by its own rows.  The inputs of a task are all but its own column, a
+    sub-block of its moments.  A task of fewer than two train values, or
+    without inputs, has no prediction (null).  An empty table gives no rows.
     """
     p = len(tasks)
     shape = "task_col string, study_id long, split string, y double, pred double"
     y = [f"_y{i}" for i in range(p)]
     targets = wide.withColumns({b: F.col(a).cast("double") for a, b in zip(tasks, y, strict=True)})
-    scaled = impute_and_scale(targets, tasks) if p else targets
-    x = [t for t in tasks if t in scaled.columns]
+    scaled = impute_and_scale(targets, inputs) if p and inputs else targets
+    x = [c for c in inputs if c in scaled.columns]
     full = stored(scaled.select("study_id", "split", *x, *y), "features")
     weights, bias = np.zeros((p, len(x))), np.full(p, np.nan)
     for r in masked_moments(full.filter("split = 'train'"), x, y).collect() if x else []:  # a row for each task, of a number for each pair of columns
@@ -253,5 +259,6 @@ def leave_one_out_ridge(wide: DataFrame, tasks: list[str], alpha: float = 1.0) -
 
 
 def concat_modalities(a: DataFrame, b: DataFrame, key: str = "study_id") -> DataFrame:
-    """Studies of both tables with their feature arrays joined end to end."""
+    """Studies of both tables with their feature arrays joined end to end; an error where ``b`` has a study twice."""
+    require_unique(b, key)
     return a.join(b.select(key, F.col("features").alias("_more")), key).withColumn("features", F.concat("features", "_more")).drop("_more")

@@ -54,7 +54,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str | Column, probs:
     return found.select(*[F.col("k")[c].alias(c) for c in keys], F.array(*map(between, places)).alias(name))
 
 
-def number_rows(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+def number_rows(df: DataFrame, order: list[str | Column]) -> tuple[DataFrame, int]:
     """``df`` with its rows' numbers from 0 in ``row``, in the order of columns, and their count.
 
     Rows are dealt by ranges, numbered within theirs, and only the ranges'

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import numeric
+from tessella.operators.quantiles import number_rows
 
 
 def compare(tables: dict[str, DataFrame], key: str, columns: list[str]) -> DataFrame:
@@ -50,9 +51,40 @@ def markdown_rows(df: DataFrame, order: list[str]) -> DataFrame:
     return df.orderBy(*order).select(*order, F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
 
 
+def ordered(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` in mixed directions with its ``place`` from 1: ``-name`` is descending; null and NaN come last either way.
+
+    Places are taken by ranges, so the table may be of any size.
+    """
+    keys, shown = [], df
+    for i, c in enumerate(by):
+        name = c.removeprefix("-")
+        value = F.when(~F.isnan(name), F.col(name)) if dict(df.dtypes)[name] in ("double", "float") else F.col(name)
+        shown = shown.withColumns({f"_m{i}": value.isNull(), f"_v{i}": value})
+        keys += [F.col(f"_m{i}").asc(), F.desc(f"_v{i}") if c.startswith("-") else F.asc(f"_v{i}")]
+    rows, _ = number_rows(shown, keys)
+    return rows.select(*df.columns, (F.col("row") + 1).alias("place"))
+
+
+def write_summary(manifest: DataFrame) -> DataFrame:
+    """One row of a run's writes: rows asked for, written, skipped, failed, studies, and bytes in all.
+
+    ``manifest`` has ``study_id, write_ok, status, output_size_bytes``; a null
+    ``write_ok`` is a failure.
+    """
+    ok = F.coalesce(F.col("write_ok"), F.lit(False))
+    return manifest.agg(
+        F.count(F.lit(1)).alias("requested_rows"), F.count_if(ok & (F.col("status") == "written")).alias("successful_writes"), F.count_if(ok & (F.col("status") == "skipped_existing")).alias("skipped_existing"),
+        F.count_if(ok).alias("successful_total"), F.count_if(~ok).alias("failed_writes"), F.countDistinct(F.when(ok, F.col("study_id"))).alias("n_studies"),
+        F.coalesce(F.sum(F.when(ok, F.col("output_size_bytes"))), F.lit(0)).alias("total_output_size_bytes"),
+    )
+
+
 def to_markdown(df: DataFrame, order: list[str], limit: int = 200) -> str:
-    """A whole small table; reports only."""
-    rows = markdown_rows(df, order).limit(limit).collect()
+    """A whole small table, for reports; one of more than ``limit`` rows is an error."""
+    rows = markdown_rows(df, order).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"the table has more than {limit} rows")
     if not rows:
         return "No rows"
     return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns), *[r["line"] for r in rows]])

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tessella.functions import arrays, numeric
+from tessella.functions import arrays, numeric, text
 from tessella.operators import checks, features, metrics, reporting, vectors
 from tessella.plans import cohorts, panels
 from tessella.plans.registry import query
@@ -72,13 +72,121 @@ def top_coefficients(spark, sf_dir):
     return features.top_coefficients(names, weights, spark, 20).withColumn("coefficient", F.round("coefficient", 9))
 
 
+def _tasks_and_vectors(spark, sf_dir):
+    """Studies with a split and the wide panel, the names of tasks, and of the 64 columns of a study's vector (null without one)."""
+    base = view(spark, sf_dir, "measurements").select("study_id").distinct()
+    wide, tasks = panels.wide(spark, sf_dir, base)
+    names = [f"dim{i:03}" for i in range(64)]
+    vectors_ = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("study_id"), *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
+    joined = checks.join_many_to_one(wide, vectors_, "study_id", how="left")
+    return stored(joined.withColumn("split", numeric.split_of(numeric.split_score("v1", F.col("study_id")), 0.7, 0.15)), "wide"), tasks, names
+
+
 @query()
 def multitask_tabular(spark, sf_dir):
     """Each task from the others: imputed and scaled on train studies, a ridge model per task, metrics by split."""
-    base = view(spark, sf_dir, "measurements").select("study_id").distinct()
-    wide, tasks = panels.wide(spark, sf_dir, base)
-    split = stored(wide.withColumn("split", numeric.split_of(numeric.split_score("v1", F.col("study_id")), 0.7, 0.15)), "wide")
-    return metrics.regression(features.leave_one_out_ridge(split, tasks), "task_col", "split", spread=False)
+    wide, tasks, _ = _tasks_and_vectors(spark, sf_dir)
+    return metrics.regression(features.leave_one_out_ridge(wide, tasks), "task_col", "split", spread=False)
+
+
+@query()
+def multitask_vision(spark, sf_dir):
+    """Each task from the study's vector, over the studies that have one."""
+    wide, tasks, names = _tasks_and_vectors(spark, sf_dir)
+    return metrics.regression(features.ridge_for_tasks(wide.filter(F.col(names[0]).isNotNull()), tasks, names), "task_col", "split", spread=False)
+
+
+@query()
+def multitask_fusion(spark, sf_dir):
+    """Each task from the study's vector and the other tasks."""
+    wide, tasks, names = _tasks_and_vectors(spark, sf_dir)
+    return metrics.regression(features.ridge_for_tasks(wide.filter(F.col(names[0]).isNotNull()), tasks, [*names, *tasks]), "task_col", "split", spread=False)
+
+
+@query()
+def multitask_compare(spark, sf_dir):
+    """Test metrics of the three runs side by side over the same studies, and which is best, in report order."""
+    wide, tasks, names = _tasks_and_vectors(spark, sf_dir)
+    both = stored(wide.filter(F.col(names[0]).isNotNull()), "both")
+    runs = {"vision": names, "tabular": tasks, "fusion": [*names, *tasks]}
+    found = {n: stored(metrics.regression(features.ridge_for_tasks(both, tasks, x), "task_col", "split", spread=False).filter("split = 'test'"), n) for n, x in runs.items()}
+    out = reporting.compare({n: t.withColumn("n", F.col("n").cast("long")) for n, t in found.items()}, "task_col", ["n", "mae", "r2"])
+    return reporting.ordered(reporting.with_winner(out, list(runs), "r2", "best_by_r2"), "best_by_r2", "-fusion_r2", "task_col")
+
+
+@query("""WITH e AS (SELECT vec_id, vec_id % 50 AS study_id, embedding FROM embeddings), x AS (SELECT study_id, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM e),
+p AS (SELECT study_id, i, avg(CAST(x AS DOUBLE)) AS v, count(*) AS n FROM x GROUP BY 1, 2), v AS (SELECT study_id, max(n) AS n_clips, round(sqrt(sum(v * v)), 5) AS norm FROM p GROUP BY 1),
+l AS (SELECT doc_id % 60 AS study_id, median(quality) AS value, max(toxic) AS label, count(*) AS n_rows FROM labels GROUP BY 1)
+SELECT v.study_id, v.n_clips, v.norm, l.value, CAST(l.label AS BIGINT) AS label, l.n_rows FROM v JOIN l USING (study_id)""")
+def study_vectors_labels(spark, sf_dir):
+    """Pooled study vectors with their rolled-up labels, a study once on either side."""
+    pooled = vectors.pool(view(spark, sf_dir, "clips"), "study_id").select("study_id", "n_clips", F.round("embedding_l2_norm", 5).alias("norm"))
+    rows = table(spark, sf_dir, "labels").withColumn("study_id", F.col("doc_id") % 60)
+    rolled = rows.groupBy("study_id").agg(F.median("quality").alias("value"), F.max("toxic").cast("long").alias("label"), F.count(F.lit(1)).alias("n_rows"))
+    return checks.join_one_to_one(pooled, rolled, "study_id")
+
+
+@query("""SELECT e.vec_id, e.label AS study_id, l.toxic, coalesce(CAST(l.quality AS VARCHAR), 'NA') AS quality FROM embeddings e LEFT JOIN (SELECT doc_id, toxic, quality FROM labels) l ON l.doc_id = e.vec_id""")
+def keyframe_labels(spark, sf_dir):
+    """Frames with the label of their study, many frames to a study; NA where there is none."""
+    frames = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("study_id"))
+    known = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"), "toxic", "quality")
+    return checks.join_many_to_one(frames, known, "vec_id", how="left").withColumn("quality", F.coalesce(F.col("quality").cast("string"), F.lit("NA")))
+
+
+@query("SELECT c_custkey AS row_id, c_custkey % (SELECT count(*) FROM embeddings) AS vec_id, e.label, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 5) AS norm FROM customer JOIN embeddings e ON e.vec_id = c_custkey % (SELECT count(*) FROM embeddings)")
+def matrix_gather(spark, sf_dir):
+    """Rows of the matrix by their index, with a check of bounds."""
+    matrix = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.round(arrays.l2_norm(F.col("embedding")), 5).alias("norm"))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"), (F.col("c_custkey") % matrix.count()).alias("vec_id"))
+    return checks.gather(rows, matrix, "vec_id").select("row_id", "vec_id", "label", "norm")
+
+
+@query("""WITH s AS (SELECT source, CASE WHEN count(*) % 3 = 0 THEN 'skipped' ELSE 'ok' END AS status, CASE WHEN count(*) % 4 > 0 THEN count(*) END AS n, max(n_chars) AS longest FROM documents GROUP BY 1)
+SELECT source, status, n, longest, row_number() OVER (ORDER BY status, n DESC NULLS LAST, longest DESC NULLS LAST, source) AS place FROM s""")
+def report_order(spark, sf_dir):
+    """Rows of a report in mixed directions, missing values last."""
+    n = F.count(F.lit(1))
+    s = table(spark, sf_dir, "documents").groupBy("source").agg(F.when(n % 3 == 0, "skipped").otherwise("ok").alias("status"), F.when(n % 4 > 0, n).alias("n"), F.max("n_chars").alias("longest"))
+    return reporting.ordered(s, "status", "-n", "-longest", "source")
+
+
+@query("""SELECT count(*) AS requested_rows, count(*) FILTER (WHERE doc_id % 7 > 0 AND doc_id % 5 > 0 AND doc_id % 3 > 0) AS successful_writes, count(*) FILTER (WHERE doc_id % 7 > 0 AND doc_id % 5 > 0 AND doc_id % 3 = 0) AS skipped_existing,
+count(*) FILTER (WHERE doc_id % 7 > 0 AND doc_id % 5 > 0) AS successful_total, count(*) FILTER (WHERE doc_id % 7 = 0 OR doc_id % 5 = 0) AS failed_writes, count(DISTINCT source) FILTER (WHERE doc_id % 7 > 0 AND doc_id % 5 > 0) AS n_studies,
+CAST(sum(strlen(text)) FILTER (WHERE doc_id % 7 > 0 AND doc_id % 5 > 0) AS BIGINT) AS total_output_size_bytes FROM documents""")
+def write_summary(spark, sf_dir):
+    """Counts and bytes of a run that wrote every document, some before and some not."""
+    d = table(spark, sf_dir, "documents")
+    ok = F.when(F.col("doc_id") % 7 > 0, F.col("doc_id") % 5 > 0)
+    status = F.when(F.col("doc_id") % 3 > 0, "written").otherwise("skipped_existing")
+    return reporting.write_summary(d.select(F.col("source").alias("study_id"), ok.alias("write_ok"), status.alias("status"), F.octet_length("text").cast("long").alias("output_size_bytes")))
+
+
+@query(r"""WITH t AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN concat('  ', CAST(strlen(html) AS VARCHAR), '   gs://b/', url) WHEN 1 THEN concat('about ', url) END AS line, CASE page_id % 4 WHEN 0 THEN ' Yes' WHEN 1 THEN 'F' WHEN 2 THEN '1' END AS flag FROM pages)
+SELECT page_id, TRY_CAST(nullif(regexp_extract(line, '^\s*(\d+)\s+gs://', 1), '') AS BIGINT) AS n_bytes, CASE page_id % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true END AS flag FROM t""")
+def listed_sizes(spark, sf_dir):
+    """Bytes from the lines of a storage listing, and flags that must be booleans."""
+    p, i = table(spark, sf_dir, "pages"), F.col("page_id")
+    line = F.when(i % 3 == 0, F.concat(F.lit("  "), F.octet_length("html").cast("string"), F.lit("   gs://b/"), "url")).when(i % 3 == 1, F.concat(F.lit("about "), "url"))
+    flag = F.when(i % 4 == 0, " Yes").when(i % 4 == 1, "F").when(i % 4 == 2, "1")
+    return p.select("page_id", text.listed_bytes(line).alias("n_bytes"), text.boolean_or_error(flag).alias("flag"))
+
+
+_Z = "CASE WHEN stddev_pop({c}) OVER w < 1e-8 THEN 0.0 ELSE ({c} - avg({c}) OVER w) / stddev_pop({c}) OVER w END"
+
+
+@query("""WITH s AS (SELECT user_id, event_id, CAST(floor(value) AS DOUBLE) AS focus, CAST(floor(value) % 7 AS DOUBLE) AS contrast, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS idx FROM events),
+m0 AS (SELECT *, abs(focus - lag(focus) OVER (PARTITION BY user_id ORDER BY event_id)) AS m FROM s), m AS (SELECT *, coalesce(m, lead(m) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS motion FROM m0),
+z AS (SELECT user_id, idx, round(""" + _Z.format(c="focus") + " + 0.5 * " + _Z.format(c="contrast") + " - 0.5 * " + _Z.format(c="motion") + """, 6) AS combo FROM m WINDOW w AS (PARTITION BY user_id))
+SELECT user_id, arg_max(idx, {'a': combo, 'b': -idx}) AS combo_index, round(max(combo), 5) AS combo, count(*) // 2 AS middle_index FROM z GROUP BY 1""")
+def frame_choice_combo(spark, sf_dir):
+    """The frame that is sharp and still, and the one in the middle, of each clip."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.floor("value").cast("double").alias("focus"), (F.floor("value") % 7).cast("double").alias("contrast"))
+    s = vectors.frame_scores(e, "user_id", "event_id", "focus", "contrast").withColumn("combo", F.round("combo", 6))
+    best = vectors.choose_frame(s, "user_id", "combo").select("user_id", F.col("selected_index").cast("long").alias("combo_index"))
+    top = s.groupBy("user_id").agg(F.round(F.max("combo"), 5).alias("combo"))
+    middle = vectors.middle_frame(s, "user_id").select("user_id", F.col("selected_index").cast("long").alias("middle_index"))
+    return best.join(top, "user_id").join(middle, "user_id")
 
 
 @query("SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")

@@ -76,6 +76,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_csv(df: DataFrame, path: str, max_rows: int | None = None) -> tuple[int, bool]:
+    """Write a result as CSV, its first ``max_rows`` rows if given; the rows written, and whether there were more.
+
+    Without an order in ``df`` any rows may be the first; nothing is cut in silence.
+    """
+    write_csv(df if max_rows is None else df.limit(max_rows), path)
+    n = df.sparkSession.read.option("header", True).csv(path).count()
+    return n, max_rows is not None and n == max_rows and df.limit(max_rows + 1).count() > max_rows
+
+
+def append_log(spark: SparkSession, path: str, step: str, status: str, detail: str) -> None:
+    """Add a line ``at, step, status, detail`` to a log of steps; a line is a file, so runs may write at once."""
+    row = spark.createDataFrame([(step, status, detail)], "step string, status string, detail string")
+    out = row.select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("at"), *[F.coalesce(log_text(F.col(c)), F.lit("")).alias(c) for c in row.columns])
+    out.coalesce(1).write.mode("append").option("header", True).csv(path)
+
+
 def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).filter("value IS NOT NULL").write.mode("overwrite").text(path)
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import arrays, numeric, text
-from tessella.operators import checks, cohort, completeness, features, measurements, metrics, neighbours, splits, vectors
+from tessella.operators import checks, cohort, completeness, features, measurements, metrics, neighbours, reporting, splits, vectors
 from tessella.sources import readers
 
 
@@ -324,3 +324,76 @@ def test_models_of_no_rows(spark):
     for table in (none, rows):
         assert all(r["prediction"] is None for r in features.fit_logistic(table, ["a", "b"], "label").transform(table).collect())
         assert all(r["components"] is None for r in features.fit_pca(table, ["a", "b"], 2).transform(table).collect())
+
+
+def test_checked_joins_and_gathers(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (3, "w")], "k long, v string")
+    b = spark.createDataFrame([(1, "p", 10), (2, "q", 20)], "k long, v string, n long")
+    got = {(r["k"], r["v"], r["n"]) for r in checks.join_many_to_one(a, b, "k", how="left").collect()}
+    assert got == {(1, "x", 10), (1, "y", 10), (2, "z", 20), (3, "w", None)}
+    with pytest.raises(ValueError):
+        checks.join_many_to_one(a, b.unionByName(b), "k")
+    assert checks.gather(a.filter("k < 3"), b, "k").count() == 3
+    with pytest.raises(IndexError, match="3"):
+        checks.gather(a, b, "k")
+    twice = spark.createDataFrame([(1, [1.0]), (1, [2.0])], "study_id long, features array<double>")
+    with pytest.raises(ValueError):
+        features.concat_modalities(twice.limit(1), twice)
+
+
+def test_mixed_directions_with_missing_values_last(spark, monkeypatch):
+    from tessella.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "RANGE_ROWS", 2)
+    rows = [("ok", 0.5, 1), ("ok", None, 9), ("ok", float("nan"), 2), ("ok", 0.9, 3), ("skipped", 1.0, 4), ("ok", 0.5, 7), (None, 2.0, 5)]
+    df = spark.createDataFrame(rows, "status string, r2 double, n long").repartition(3)
+    got = [(r["place"], r["status"], r["n"]) for r in reporting.ordered(df, "status", "-r2", "-n").orderBy("place").collect()]
+    assert got == [(1, "ok", 3), (2, "ok", 7), (3, "ok", 1), (4, "ok", 9), (5, "ok", 2), (6, "skipped", 4), (7, None, 5)]
+    assert reporting.ordered(df.limit(0), "-n").collect() == []
+
+
+def test_reports_and_logs_cut_nothing_in_silence(spark, tmp_path):
+    df = spark.range(5)
+    assert reporting.to_markdown(df, ["id"], 5).count("\n") == 6
+    with pytest.raises(ValueError):
+        reporting.to_markdown(df, ["id"], 4)
+    assert readers.export_csv(df, str(tmp_path / "all")) == (5, False) == readers.export_csv(df, str(tmp_path / "five"), 5)
+    assert readers.export_csv(df.orderBy("id"), str(tmp_path / "two"), 2) == (2, True)
+    assert readers.export_csv(df.limit(0), str(tmp_path / "none"), 2) == (0, False)
+    for detail in ("a,b\nc", None):
+        readers.append_log(spark, str(tmp_path / "log"), "probe", "ok", detail)
+    log = spark.read.option("header", True).csv(str(tmp_path / "log")).collect()
+    assert sorted(str(r["detail"]) for r in log) == ["None", "a;b c"] and all(r["at"] and r["status"] == "ok" for r in log)
+    empty = reporting.write_summary(spark.createDataFrame([], "study_id long, write_ok boolean, status string, output_size_bytes long")).first()
+    assert tuple(empty) == (0,) * 7
+
+
+def test_more_text_and_arrays(spark):
+    assert values(spark, text.boolean_or_error, ["Yes", " f", "0", None]) == [True, False, False, None]
+    with pytest.raises(Exception, match="no boolean: maybe"):
+        values(spark, text.boolean_or_error, ["maybe"])
+    assert values(spark, text.listed_bytes, [" 12  gs://b/x", "x 12 gs://b", "99999999999999999999 gs://b", "", None]) == [12, None, None, None, None]
+    got = values(spark, lambda c: arrays.affine_channels(c, [1.0, 2.0], [2.0, 4.0]), [[1.0, 2.0, 3.0, 6.0], []], "array<float>")
+    assert got == [[0.0, 0.0, 1.0, 1.0], []]
+
+
+def test_vision_and_fusion_models_equal_the_closed_form(spark):
+    rng = np.random.default_rng(12)
+    n = 200
+    x, z = rng.normal(size=(n, 3)), rng.normal(size=(n, 2))
+    z[:, 0] += x @ [1, -1, 2] + z[:, 1]
+    z[rng.random((n, 2)) < 0.2] = np.nan
+    rows = [(i, "test" if i % 5 == 0 else "train", *map(float, x[i]), *[None if np.isnan(v) else float(v) for v in z[i]]) for i in range(n)]
+    wide = spark.createDataFrame(rows, "study_id long, split string, v0 double, v1 double, v2 double, a double, b double").repartition(4)
+    train = np.arange(n) % 5 > 0
+    filled = np.where(np.isnan(z), np.nanmedian(z[train], axis=0), z)
+    for inputs in (["v0", "v1", "v2"], ["v0", "v1", "v2", "a", "b"]):
+        got = {(r["task_col"], r["study_id"]): r["pred"] for r in features.ridge_for_tasks(wide, ["a", "b"], inputs).collect()}
+        for t, name in enumerate("ab"):
+            full = np.column_stack([x, filled[:, [1 - t]]]) if "a" in inputs else x
+            has = ~np.isnan(z[:, t])
+            fit = has & train
+            s = (full - full[fit].mean(axis=0)) / full[fit].std(axis=0)
+            y = z[fit, t]
+            want = s @ np.linalg.solve(s[fit].T @ s[fit] + np.eye(s.shape[1]), s[fit].T @ (y - y.mean())) + y.mean()
+            assert np.allclose([got[name, i] for i in np.flatnonzero(has)], want[has], atol=1e-8)
