@@ -4,10 +4,10 @@ Only the histogram of piece lengths (as many numbers as a sequence has tokens)
 reaches the driver.  The configuration LP asks for the fewest sequences whose
 length multisets ("configurations") cover the histogram.  It is solved by
 multiplicative weights: each length has a price, a knapsack dynamic program
-finds the configurations of highest price, these are used, and the prices of the
-lengths they cover fall, until all are covered and the dual bound is near.  The
-fractional solution is rounded down, the rest is solved again, and the last few
-pieces are placed best-fit.  This holds at every size of the table.
+finds the configurations of highest price, these are used until a length is used
+up, and from turn to turn the weights of lengths that were placed with room to
+spare grow, until the cover is near the dual bound.  The fractional solution is
+rounded, the rest is solved again, and the last few pieces are placed best-fit.  This holds at every size of the table.
 
 Pieces learn their sequence from their length and their rank among the pieces
 of that length.  A task numbers its own pieces; the counts by task and length
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -59,36 +60,77 @@ def fill(lengths: np.ndarray, take: np.ndarray, room: int) -> Counter:
     return out
 
 
-def fractional_cover(counts: dict[int, int], capacity: int, turns: int = 8, rate: float = 0.5, gap: float = 0.002, at_once: int = 64) -> tuple[dict[tuple, float], float]:
-    """Configurations with amounts that cover ``counts``, and a lower bound on the number of sequences.
+def dual_prices(lengths: np.ndarray, capacity: int, thresholds: int = 24) -> Iterator[np.ndarray]:
+    """Prices whose total is known to be near the least number of sequences.
 
-    Turn by turn each length is covered once more, by the configuration of
-    highest price that holds it; prices fall with what is covered, and are
-    computed anew after ``at_once`` configurations.  The bound is the best LP
-    dual seen: the total price of all pieces over the highest price of a
-    configuration.  The mean of the turns covers everything; turns end when it
-    is within ``gap`` of the bound.
+    They are a piece's share of a sequence; the share rounded down to ``k``-ths
+    as ``k + 1`` pieces would have them, by itself and in the mean with the share;
+    and the share with pieces under a threshold for nothing, and those that
+    leave less room than it for a whole sequence.
     """
+    share = lengths / capacity
+    yield share
+    for k in range(1, 9):
+        steps = np.floor((k + 1) * (lengths - 0.5) / capacity) / k
+        yield steps
+        yield (share + steps) / 2
+    for t in np.unique(np.linspace(1, capacity // 2, thresholds).astype(int)):
+        yield np.where(lengths > capacity - t, 1.0, np.where(lengths >= t, share, 0.0))
+
+
+def dual_bound(counts: dict[int, int], capacity: int) -> float:
+    """A lower bound on the number of sequences: for any prices, that of all pieces over the highest of a configuration."""
     lengths = np.array(sorted(counts), np.int64)
     need = np.array([counts[i] for i in lengths], float)
-    covered, amounts, bound, turn = np.zeros(len(lengths)), Counter(), 0.0, 0
-    size = lengths / capacity
-    while turn < turns and not (turn and sum(amounts.values()) <= turn * bound * (1 + gap)):
-        turn += 1
-        while len(low := np.flatnonzero(covered < turn - 1e-9)):
+    return max(float(p @ need) / best for p in dual_prices(lengths, capacity) if (best := price_configurations(lengths, p, capacity)[0][capacity]) > 0)
+
+
+def fractional_cover(counts: dict[int, int], capacity: int, turns: int = 6, rate: float = 0.5, gap: float = 0.002, at_once: int = 64) -> tuple[dict[tuple, float], float]:
+    """Configurations with amounts that cover ``counts`` exactly, and a lower bound on the number of sequences.
+
+    A turn covers all pieces: the configuration of highest price that holds a
+    length is used until one of its lengths is used up, which then has no price;
+    prices are computed anew after ``at_once`` configurations.  Between turns
+    the weight of a length grows by the factor ``exp(rate * room)`` of the room
+    that its configurations left, so that lengths that are hard to place come
+    earlier.  The bound is the best dual seen, of :func:`dual_prices` and of the
+    weights at the beginning of each turn.  Turns end when a cover is within
+    ``gap`` of it, and the best cover is taken.
+    """
+    lengths = np.array(sorted(counts), np.int64)
+    need = np.array([counts[i] for i in lengths], float)
+    size, weight, bound = lengths / capacity, np.zeros(len(lengths)), dual_bound(counts, capacity) if turns > 1 else 0.0  # one turn needs no bound to end
+    best_cover: Counter = Counter()
+    for _ in range(turns):
+        left, room, amounts, first = need.copy(), np.zeros(len(lengths)), Counter(), True
+        while len(low := np.flatnonzero(left > 0)):
+            some = lengths[low]
             # long pieces are worth a little more than their share: short ones fill gaps later
-            prices = size * (1 + size / 10) * np.exp(-rate * (covered - covered.min()))
-            best, take = price_configurations(lengths, prices, capacity)
-            bound = max(bound, float(prices @ need) / best[capacity])
-            for i in low[np.argsort(-prices[low], kind="stable")][:at_once].tolist():
-                if covered[i] < turn - 1e-9:
-                    config = fill(lengths, take, capacity - int(lengths[i]))
-                    config[i] += 1
-                    step = (turn - covered[i]) * need[i] / config[i]
-                    amounts[tuple(sorted(config.items()))] += step
-                    for j, a in config.items():
-                        covered[j] += step * a / need[j]
-    return {tuple((int(lengths[i]), a) for i, a in key): v / turn for key, v in amounts.items()}, bound
+            prices = size[low] * (1 + size[low] / 10) * np.exp(weight[low])
+            best, take = price_configurations(some, prices, capacity)
+            if first:
+                bound, first = max(bound, float(prices @ need) / best[capacity]), False
+            for i in np.argsort(-prices, kind="stable")[:at_once].tolist():
+                if not left[low[i]]:
+                    continue
+                config = fill(some, take, capacity - int(some[i]))
+                config[i] += 1
+                step = min(left[low[j]] / a for j, a in config.items())
+                if not step:
+                    continue
+                amounts[tuple(sorted((int(some[j]), a) for j, a in config.items()))] += step
+                spare = 1 - sum(int(some[j]) * a for j, a in config.items()) / capacity
+                for j, a in config.items():
+                    at = low[j]
+                    left[at] = rest if (rest := left[at] - step * a) > 1e-9 else 0
+                    room[at] += step * a * spare
+        if not best_cover or sum(amounts.values()) < sum(best_cover.values()):
+            best_cover = amounts
+        if sum(best_cover.values()) <= bound * (1 + gap):
+            break
+        weight += rate * room / need
+        weight -= weight.min()
+    return dict(best_cover), bound
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Counter:
@@ -119,11 +161,11 @@ def best_fit(counts: dict[int, int], capacity: int) -> Counter:
     return out
 
 
-def rounded(amounts: dict[tuple, float], left: dict[int, int], capacity: int, up: float) -> tuple[list[tuple[tuple, int]], dict[int, int]]:
-    """Full configurations as often as their amount plus ``up``, rounded down, and the pieces that are left."""
+def rounded(amounts: dict[tuple, float], left: dict[int, int], least: int, up: float) -> tuple[list[tuple[tuple, int]], dict[int, int]]:
+    """Configurations of ``least`` tokens or more as often as their amount plus ``up``, rounded down, and the pieces that are left."""
     left, plan = dict(left), []
-    full = {c: x for c, x in amounts.items() if sum(n * a for n, a in c) == capacity}
-    for config, x in sorted(full.items(), key=lambda kv: (max(n for n, _ in kv[0]), kv[1]), reverse=True):
+    used = {c: x for c, x in amounts.items() if sum(n * a for n, a in c) >= least}
+    for config, x in sorted(used.items(), key=lambda kv: (max(n for n, _ in kv[0]), kv[1]), reverse=True):
         times = min([int(x + up + 1e-9), *(left.get(n, 0) // a for n, a in config)])
         if times > 0:
             plan.append((config, times))
@@ -135,17 +177,18 @@ def rounded(amounts: dict[tuple, float], left: dict[int, int], capacity: int, up
 def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY, passes: int = 3) -> list[tuple[tuple, int]]:
     """``(configuration, times)`` that use each piece of the histogram exactly once.
 
-    The amounts of the first solution are rounded in three ways, of which the
-    one with the fewest sequences is taken.  Pieces that a rounding leaves are
-    solved for again where it was downwards, and at last placed best-fit.
+    The amounts of the first solution are rounded in several ways, all
+    configurations or the full ones alone, of which the one with the fewest
+    sequences is taken.  Pieces that a rounding leaves are solved for again
+    where it was downwards, and at last placed best-fit.
     """
     left, plans = {k: int(v) for k, v in counts.items() if v}, []
     whole = [(((capacity, 1),), left.pop(capacity))] if left.get(capacity) else []
     first = fractional_cover(left, capacity)[0] if left else {}
-    for up in (0.0, 0.5, 1 - 1e-6):
-        plan, rest = rounded(first, left, capacity, up)
+    for least, up in ((0, 0.0), (0, 0.5), (capacity, 0.0), (capacity, 0.5), (capacity, 1 - 1e-6)):
+        plan, rest = rounded(first, left, least, up)
         for _ in range(passes - 1 if not up else 0):
-            more, rest = rounded(fractional_cover(rest, capacity)[0], rest, capacity, up) if rest else ([], rest)
+            more, rest = rounded(fractional_cover(rest, capacity, turns=1)[0], rest, least, up) if rest else ([], rest)
             plan += more
         plans.append([*whole, *plan, *best_fit(rest, capacity).items()])
     return min(plans, key=lambda p: sum(n for _, n in p))
