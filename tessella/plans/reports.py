@@ -178,15 +178,14 @@ _Z = "CASE WHEN stddev_pop({c}) OVER w < 1e-8 THEN 0.0 ELSE ({c} - avg({c}) OVER
 @query("""WITH s AS (SELECT user_id, event_id, CAST(floor(value) AS DOUBLE) AS focus, CAST(floor(value) % 7 AS DOUBLE) AS contrast, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS idx FROM events),
 m0 AS (SELECT *, abs(focus - lag(focus) OVER (PARTITION BY user_id ORDER BY event_id)) AS m FROM s), m AS (SELECT *, coalesce(m, lead(m) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS motion FROM m0),
 z AS (SELECT user_id, idx, round(""" + _Z.format(c="focus") + " + 0.5 * " + _Z.format(c="contrast") + " - 0.5 * " + _Z.format(c="motion") + """, 6) AS combo FROM m WINDOW w AS (PARTITION BY user_id))
-SELECT user_id, arg_max(idx, {'a': combo, 'b': -idx}) AS combo_index, round(max(combo), 5) AS combo, count(*) // 2 AS middle_index FROM z GROUP BY 1""")
+SELECT user_id, arg_max(idx, {'a': combo, 'b': -idx}) AS combo_index, count(*) // 2 AS middle_index FROM z GROUP BY 1""")
 def frame_choice_combo(spark, sf_dir):
     """The frame that is sharp and still, and the one in the middle, of each clip."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", F.floor("value").cast("double").alias("focus"), (F.floor("value") % 7).cast("double").alias("contrast"))
     s = vectors.frame_scores(e, "user_id", "event_id", "focus", "contrast").withColumn("combo", F.round("combo", 6))
     best = vectors.choose_frame(s, "user_id", "combo").select("user_id", F.col("selected_index").cast("long").alias("combo_index"))
-    top = s.groupBy("user_id").agg(F.round(F.max("combo"), 5).alias("combo"))
     middle = vectors.middle_frame(s, "user_id").select("user_id", F.col("selected_index").cast("long").alias("middle_index"))
-    return best.join(top, "user_id").join(middle, "user_id")
+    return best.join(middle, "user_id")
 
 
 @query("SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
