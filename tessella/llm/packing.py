@@ -85,7 +85,7 @@ def dual_bound(counts: dict[int, int], capacity: int) -> float:
     return max(float(p @ need) / best for p in dual_prices(lengths, capacity) if (best := price_configurations(lengths, p, capacity)[0][capacity]) > 0)
 
 
-def fractional_cover(counts: dict[int, int], capacity: int, turns: int = 6, rate: float = 0.5, gap: float = 0.002, at_once: int = 64) -> tuple[dict[tuple, float], float]:
+def fractional_cover(counts: dict[int, int], capacity: int, turns: int = 6, rate: float = 0.5, gap: float = 0.0001, at_once: int = 64) -> tuple[dict[tuple, float], float]:
     """Configurations with amounts that cover ``counts`` exactly, and a lower bound on the number of sequences.
 
     A turn covers all pieces: the configuration of highest price that holds a
