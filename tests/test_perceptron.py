@@ -9,7 +9,7 @@ from tessella.operators import perceptron as P
 SIZES = [3, 5, 4, 1]
 
 
-def rows(spark, n=400, kind="regression", partitions=6):
+def rows(spark, n=400, kind="regression", partitions=3):
     rng = np.random.default_rng(2)
     x = rng.normal(3, 2, (n, 3))
     y = np.sin(x[:, 0]) + 0.5 * x[:, 1] if kind == "regression" else (x[:, 0] * x[:, 1] > 9).astype(float)
@@ -75,7 +75,7 @@ def test_it_stops_by_validation_loss(spark):
     df = rows(spark, partitions=2)
     model = P.fit(df, "id", hidden=(4,), batches=1, epochs=30, patience=2, tolerance=10.0, rate=0.01)
     assert len(model.losses) == 3  # the first epoch is the only one that is better by so much
-    model = P.fit(df, "id", hidden=(16,), batches=2, epochs=12, rate=0.05)
+    model = P.fit(df, "id", hidden=(16,), batches=2, epochs=7, rate=0.08)
     assert model.losses[-1] < 0.5 * model.losses[0]
     # the weights kept are the best ones
     held = P.deal(df, "id", 2, 0.15).filter("part = -1").toPandas()
