@@ -194,7 +194,7 @@ def chain(n):
     return [(10 * n - i, " ".join(words[4 * i : 4 * i + 60])) for i in range(n)]
 
 
-@pytest.mark.parametrize(("partitions", "coalesce", "block"), [(4, "false", 4), (4, "true", 25), (211, "false", 25), (16, "false", 200)])
+@pytest.mark.parametrize(("partitions", "coalesce", "block"), [(4, "false", 4), (97, "false", 25), (16, "false", 200)])
 def test_large_blocks_however_they_are_dealt(spark, monkeypatch, partitions, coalesce, block):
     """No link may depend on which partition a chunk and its queries come to."""
     monkeypatch.setattr(J, "BLOCK", block)
