@@ -170,9 +170,11 @@ def _shared_sets(docs: DataFrame, survivors: DataFrame) -> DataFrame:
 
     wanted = survivors.select("node", "doc_id", "text_hash")
     texts = _may_survive(docs.select("doc_id", _text_hash(), "text"), wanted).join(wanted, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash", "node").agg(F.min("text").alias("text"))
-    sets = map_slices(texts.select("node", "text"), run, "node long, sets array<long>")
+    sets = materialize(map_slices(texts.select("node", "text"), run, "node long, sets array<long>"), "sets")
     rows = sets.select("node", F.size("sets").cast("long").alias("n"), F.explode("sets").alias("h"))
-    counted = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("df > 1")
+    # counted in part by the tasks that hold them; a join splits what meets a very common one
+    often = reread(sets).select(F.explode("sets").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    counted = rows.join(often, "h")
     gathered = counted.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
     return gathered.filter(F.size("s") >= least_overlap_column(F.col("n"))).select(
         "node", "n", F.col("s.h").alias("shared"), F.aggregate("s", F.lit(0.0), lambda a, x: a + x["df"]).alias("central")
