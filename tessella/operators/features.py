@@ -25,7 +25,7 @@ def coverage(long: DataFrame, name: str, n_studies: int, least: float) -> DataFr
 def missing_rate(long: DataFrame, name: str, n_studies: int) -> DataFrame:
     """The share of empty cells of the study by feature matrix."""
     cells = long.filter(F.col("value").isNotNull()).select("study_id", name).distinct()
-    return cells.agg(F.countDistinct(name).alias("n_features"), F.count(F.lit(1)).alias("n_cells")).select("*", (1 - F.col("n_cells") / (F.col("n_features") * F.lit(max(n_studies, 1)))).alias("missing_rate"))
+    return cells.agg(F.countDistinct(name).alias("n_features"), F.count(F.lit(1)).alias("n_cells")).select("*", (1 - F.try_divide(F.col("n_cells"), F.col("n_features") * F.lit(max(n_studies, 1)))).alias("missing_rate"))
 
 
 def impute_and_scale(rows: DataFrame, columns: list[str]) -> DataFrame:

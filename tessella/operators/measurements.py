@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import text
-from tessella.operators.checks import require_columns, with_column_if_absent
+from tessella.operators.checks import join_many_to_one, require_columns, with_column_if_absent
 from tessella.operators.quantiles import attach, exact_quantiles
 from tessella.sources.scratch import stored
 
@@ -111,6 +111,20 @@ def one_canonical(h: DataFrame) -> DataFrame:
     return h.groupBy("measurement").agg(F.min("canonical_measurement").alias("canonical_measurement"))
 
 
+def map_names(m: DataFrame, names: DataFrame, wanted: list[str] | None = None) -> DataFrame:
+    """Measurements with the canonical name that a mapping (each raw name once) gives; empty where it has none.
+
+    With ``wanted``, only rows of these names.  A null raw name meets nothing.
+    """
+    out = join_many_to_one(m, names, "measurement", how="left").withColumn("canonical_measurement", F.coalesce("canonical_measurement", F.lit("")))
+    return out.filter(F.col("canonical_measurement").isin(wanted)) if wanted is not None else out
+
+
+def with_subjects(rows: DataFrame, studies: DataFrame) -> DataFrame:
+    """Rows with the subject of their study; null where the study is not listed, an error where one has two subjects."""
+    return join_many_to_one(rows, studies.select("study_id", "subject_id").distinct(), "study_id", how="left")
+
+
 def panel_long(h: DataFrame, tasks: DataFrame) -> DataFrame:
     """Median per study and task over values in the task's unit; ``tasks`` has ``canonical_measurement, preferred_unit``."""
     joined = h.join(tasks.select("canonical_measurement", "preferred_unit"), "canonical_measurement")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,20 @@ def compare(tables: dict[str, DataFrame], key: str, columns: list[str]) -> DataF
     return out
 
 
+def tagged_union(parts: dict[str, DataFrame], tag: str, schema: str | None = None) -> DataFrame:
+    """The parts one below the other with their names in ``tag``; columns that a part lacks are null.
+
+    Without any part, an empty table of ``schema`` and the tag; an error if there is no schema either.
+    """
+    if not parts:
+        if schema is None:
+            raise ValueError("without parts a schema is needed")
+        from pyspark.sql import SparkSession
+
+        return SparkSession.active().createDataFrame([], schema).withColumn(tag, F.lit(None).cast("string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn(tag, F.lit(name)) for name, df in parts.items()])
+
+
 def with_winner(df: DataFrame, names: list[str], column: str, out: str, largest: bool = True) -> DataFrame:
     return df.withColumn(out, numeric.best_of(names, [F.col(f"{n}_{column}") for n in names], largest))
 

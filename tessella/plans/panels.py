@@ -8,7 +8,7 @@ from tessella.functions import text
 from tessella.operators import features, measurements, sketches
 from tessella.plans.registry import query
 from tessella.sources.scratch import stored
-from tessella.sources.views import cte, view
+from tessella.sources.views import cte, table, view
 
 
 def _text(c: str) -> str:
@@ -180,6 +180,22 @@ def panel_mapping_dedupe(spark, sf_dir):
     return measurements.one_canonical(_h(spark, sf_dir))
 
 
+@query(_HARMONISED + """, o AS (SELECT measurement, min(canonical_measurement) AS c FROM h WHERE measurement <> 'lvef' GROUP BY 1)
+SELECT coalesce(o.c, '') AS canonical_measurement, count(*) AS n_rows FROM measurements m LEFT JOIN o ON m.measurement = o.measurement WHERE coalesce(o.c, '') IN ('', 'heart_rate', 'left_ventricular_mass') GROUP BY 1""")
+def panel_mapping_join(spark, sf_dir):
+    """Rows by the canonical name of a mapping that lacks one raw name, of three wanted names."""
+    names = measurements.one_canonical(_h(spark, sf_dir)).filter("measurement <> 'lvef'")
+    out = measurements.map_names(view(spark, sf_dir, "measurements"), names, ["", "heart_rate", "left_ventricular_mass"])
+    return out.groupBy("canonical_measurement").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("SELECT vec_id AS study_id, o_custkey AS subject_id FROM embeddings LEFT JOIN orders ON o_orderkey = vec_id")
+def study_subject_lookup(spark, sf_dir):
+    """Studies with their subjects, those that are not listed too."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("study_id"))
+    return measurements.with_subjects(rows, table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("study_id"), F.col("o_custkey").alias("subject_id")))
+
+
 _LEAK = "(" + "|".join(text.LEAKAGE_PATTERNS).replace("'", "''") + ")"
 
 

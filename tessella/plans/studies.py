@@ -153,6 +153,14 @@ def ridge_per_task(spark, sf_dir):
     return metrics.regression(features.ridge_by_task(rows, "embedding"), "task_col", "split")
 
 
+@query(cte("scored") + " SELECT study_id, pred, CASE WHEN split = 'train' THEN 'fitted' ELSE split END AS part, CASE WHEN split <> 'train' THEN prob END AS prob FROM scored")
+def split_predictions(spark, sf_dir):
+    """Predictions of the parts one below the other, with the part's name; the fitted part has no probabilities."""
+    s = view(spark, sf_dir, "scored")
+    parts = {("fitted" if p == "train" else p): s.filter(F.col("split") == p).select("study_id", "pred", *["prob"] * (p != "train")) for p in ("train", "val", "test")}
+    return reporting.tagged_union(parts, "part").select("study_id", "pred", "part", "prob")
+
+
 @query()
 def logistic_fit(spark, sf_dir):
     rows = view(spark, sf_dir, "scored").withColumn("label", F.col("label").cast("double"))

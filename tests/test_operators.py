@@ -397,3 +397,19 @@ def test_vision_and_fusion_models_equal_the_closed_form(spark):
             y = z[fit, t]
             want = s @ np.linalg.solve(s[fit].T @ s[fit] + np.eye(s.shape[1]), s[fit].T @ (y - y.mean())) + y.mean()
             assert np.allclose([got[name, i] for i in np.flatnonzero(has)], want[has], atol=1e-8)
+
+
+def test_unions_and_look_ups(spark):
+    a, b = spark.createDataFrame([(1, 2.0)], "k long, x double"), spark.createDataFrame([(3,)], "k long")
+    assert sorted(map(str, (tuple(r) for r in reporting.tagged_union({"a": a, "b": b}, "part").select("k", "x", "part").collect()))) == ["(1, 2.0, 'a')", "(3, None, 'b')"]
+    assert reporting.tagged_union({}, "part", "k long").columns == ["k", "part"]
+    with pytest.raises(ValueError):
+        reporting.tagged_union({}, "part")
+    m = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "measurement string, study_id long")
+    names = spark.createDataFrame([("a", "A")], "measurement string, canonical_measurement string")
+    assert sorted((r["study_id"], r["canonical_measurement"]) for r in measurements.map_names(m, names).collect()) == [(1, "A"), (2, ""), (3, "")]
+    assert measurements.map_names(m, names, ["A"]).count() == 1
+    studies = spark.createDataFrame([(1, 9), (1, 9), (2, 8)], "study_id long, subject_id long")
+    assert sorted((r["study_id"], r["subject_id"]) for r in measurements.with_subjects(m, studies).collect()) == [(1, 9), (2, 8), (3, None)]
+    with pytest.raises(ValueError):
+        measurements.with_subjects(m, studies.unionByName(spark.createDataFrame([(2, 7)], studies.schema)))
