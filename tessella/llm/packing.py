@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import SLICE_BYTES, map_slices, materialize
+from tessella.llm.common import map_slices, materialize
 from tessella.llm.pretokens import encoder
 
 TOKENIZER, END_ID, CAPACITY = "byte_bpe_50k.json", 2, 1024
@@ -85,7 +85,7 @@ def dual_bound(counts: dict[int, int], capacity: int) -> float:
     return max(float(p @ need) / best for p in dual_prices(lengths, capacity) if (best := price_configurations(lengths, p, capacity)[0][capacity]) > 0)
 
 
-def fractional_cover(counts: dict[int, int], capacity: int, turns: int = 6, rate: float = 0.5, gap: float = 0.0001, at_once: int = 64) -> tuple[dict[tuple, float], float]:
+def fractional_cover(counts: dict[int, int], capacity: int, turns: int = 6, rate: float = 0.5, gap: float = 0.0004, at_once: int = 64) -> tuple[dict[tuple, float], float]:
     """Configurations with amounts that cover ``counts`` exactly, and a lower bound on the number of sequences.
 
     A turn covers all pieces: the configuration of highest price that holds a
@@ -239,7 +239,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> Data
         return {"doc_id": batch.column(0).take(pa.array(own)), "piece": piece, "start": start, "length": length, "ids_crc32": crc, "task": np.full(len(own), here[1]), "task_rank": rank}
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, task_rank long"
-    return map_slices(docs.select("doc_id", "text"), cut, schema, limit=2 * SLICE_BYTES)
+    return map_slices(docs.select("doc_id", "text"), cut, schema)
 
 
 def pack(docs: DataFrame, path: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -26,7 +26,7 @@ from tessella.llm.words import PieceTable, pieces_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Entries of a cache of pre-tokens; of an encoder's pieces with their ids, and of each of its two generations of pre-tokens.
-CACHE_ENTRIES, CACHED_PIECES, CACHED_IDS, GENERATION = 700_000, 450_000, 2_500_000, 120_000
+CACHE_ENTRIES, CACHED_PIECES, CACHED_IDS, GENERATION = 700_000, 600_000, 3_500_000, 120_000
 #: Longer keys leave the caches after their batch.
 LONG = 64
 
@@ -181,27 +181,34 @@ class CachedEncoder(Cached):
     def of_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece; pre-tokens met lately are not encoded again."""
         texts = [p.decode() for p in pieces]
-        parts: list[list[str]] = [[]] * len(texts)
-        plain = list(map(str.isascii, texts))
-        groups = [[i for i, p in enumerate(plain) if p], [i for i, p in enumerate(plain) if not p]]
-        if not _QUICK.fullmatch("".join(texts[i] for i in groups[1])):
-            groups[1:] = [[i for i in groups[1] if _QUICK.fullmatch(texts[i])], [i for i in groups[1] if not _QUICK.fullmatch(texts[i])]]
+        # a piece of letters, with or without a space before them, is one pre-token
+        words = [t[1:] if t[:1] == " " else t for t in texts]
+        if self.normalizer:
+            alone = [w.lower() if w.isascii() and w.isalpha() else None for w in words]
+        else:
+            alone = [t if w.isalpha() else None for t, w in zip(texts, words, strict=True)]
+        others = [i for i, a in enumerate(alone) if a is None]
+        parts: dict[int, list[str]] = {}
+        plain = [i for i in others if texts[i].isascii()]
+        wide = [i for i in others if not texts[i].isascii()]
+        groups = [plain, wide] if _QUICK.fullmatch("".join(texts[i] for i in wide)) else [plain, [i for i in wide if _QUICK.fullmatch(texts[i])], [i for i in wide if not _QUICK.fullmatch(texts[i])]]
         for group in groups:
-            for i, part in zip(group, self._splits([texts[i] for i in group]), strict=True):
-                parts[i] = part
-        pretokens = list(chain.from_iterable(parts))
+            parts.update(zip(group, self._splits([texts[i] for i in group]), strict=True))
         if len(self.cache) > GENERATION:
             self.cache, self.older = {}, self.cache
-        missing = [p for p in dict.fromkeys(pretokens) if p not in self.cache]
+        wanted = dict.fromkeys(alone)
+        wanted.pop(None, None)
+        wanted.update(dict.fromkeys(chain.from_iterable(parts.values())))
+        missing = [p for p in wanted if p not in self.cache]
         if self.older:
             self.cache.update((p, self.older[p]) for p in missing if p in self.older)
             missing = [p for p in missing if p not in self.older]
         self.cache.update(zip(missing, self.ids(missing), strict=True))
-        found = map(self.cache.__getitem__, pretokens)
-        out = [b"".join(islice(found, len(p))) for p in parts]
+        known = self.cache
+        out = [b"".join([known[p] for p in parts[i]]) if a is None else known[a] for i, a in enumerate(alone)]
         for p in missing:
             if len(p) > LONG:
-                del self.cache[p]
+                del known[p]
         return out
 
     def of_column(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:

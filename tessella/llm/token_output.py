@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import SLICE_BYTES, materialize, slices
+from tessella.llm.common import materialize, slices
 from tessella.llm.pretokens import encoder
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
@@ -197,7 +197,7 @@ def write_token_shards(docs: DataFrame, path: str, end_id: int = END_ID) -> Data
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["task", "shard", "n_docs", "n_tokens", "file"])
 
         for batch in batches:
-            for part in slices(batch, limit=2 * SLICE_BYTES):
+            for part in slices(batch):
                 names = part.column(0).to_pylist()
                 new, new_ends = encoder(path).of_column(part.column(1), end_id)
                 at, done = 0, 0

@@ -8,6 +8,7 @@ white space alone), so that the pieces of a text make it up again.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -156,19 +157,17 @@ class PieceTable:
         if len(self.rows) > self.entries or self.n_flat > self.ids:
             self._forget()
         names = coded.dictionary.to_pylist()
-        at = list(map(self.rows.get, names))
+        rows = np.fromiter(map(self.rows.get, names, repeat(-1)), np.int64, len(names))
         # long pieces come last, so that their rows can be given up again
         long: list[bytes] = []
-        if None in at:
-            gaps = [i for i, r in enumerate(at) if r is None]
-            short = [names[i] for i in gaps if len(names[i]) <= self.long]
-            long = [names[i] for i in gaps if len(names[i]) > self.long]
-            self._add(short, encode(short))
-            kept = self.n_flat
-            self._add(long, encode(long))
-            for i in gaps:
-                at[i] = self.rows[names[i]]
-        rows, codes = np.array(at, np.int64), coded.indices.to_numpy()
+        if len(gaps := np.flatnonzero(rows < 0)):
+            is_long = pc.binary_length(coded.dictionary).to_numpy()[gaps] > self.long
+            for some in (gaps[~is_long], gaps[is_long]):
+                kept, first = self.n_flat, len(self.rows)
+                long = [names[i] for i in some.tolist()]
+                self._add(long, encode(long))
+                rows[some] = first + np.arange(len(some))
+        codes = coded.indices.to_numpy()
         self.hits[rows] += 1
         size = self.size[rows][codes]
         ends = np.concatenate([[0], np.cumsum(size)])
