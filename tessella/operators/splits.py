@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import numeric
@@ -22,11 +23,16 @@ def hash_split(subjects: DataFrame, seed: str, train: float = 0.7, val: float =
     )
 
 
+def _share(part: float) -> Column:
+    """``part`` of the ``n`` rows, rounded down; in decimals, since 0.7 of 90,000 is below 63,000 in binary fractions."""
+    return F.floor(F.col("n") * F.lit(Decimal(str(part)))).cast("long")
+
+
 def _split_by_rank(train: float, val: float):
     """Split of rank ``r`` (from 1) among ``n``: one goes to train, of two one to test, else one at least to each."""
     n, r = F.col("n"), F.col("r")
-    n_train = F.greatest(F.lit(1), F.floor(n * F.lit(train)))
-    n_val = F.greatest(F.lit(1), F.floor(n * F.lit(val)))
+    n_train = F.greatest(F.lit(1), _share(train))
+    n_val = F.greatest(F.lit(1), _share(val))
     # the test part takes a row from val, and from train where val has one only
     short = F.greatest(F.lit(0), 1 - (n - n_train - n_val))
     from_val = F.least(short, n_val - 1)
@@ -59,7 +65,7 @@ def shuffle_split(subjects: DataFrame, seed: int | str, train: float = 0.7, val:
     """Exact shares of all subjects in a stable pseudo-random order, that of a hash."""
     keyed = subjects.select("subject_id").distinct().withColumn("k", numeric.tie_key(F.col("subject_id"), seed))
     ranked = _ranked(keyed, [])
-    cut = F.floor(F.col("n") * F.lit(train)), F.floor(F.col("n") * F.lit(train)) + F.floor(F.col("n") * F.lit(val))
+    cut = _share(train), _share(train) + _share(val)
     return ranked.select("subject_id", F.when(F.col("r") <= cut[0], "train").when(F.col("r") <= cut[1], "val").otherwise("test").alias("split"))
 
 

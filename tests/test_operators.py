@@ -67,6 +67,13 @@ def test_stratified_sizes(spark, n, want):
     assert tuple(got.count(s) for s in splits.SPLITS) == want
 
 
+def test_shares_are_exact(spark):
+    got = {r["split"]: r["count"] for r in splits.shuffle_split(spark.range(90_000).withColumnRenamed("id", "subject_id"), 5).groupBy("split").count().collect()}
+    assert got == {"train": 63_000, "val": 13_500, "test": 13_500}  # 90,000 * 0.7 is 62,999.99... in binary fractions
+    one = spark.range(90_000).select(F.col("id").alias("subject_id"), F.lit("x").alias("label"))
+    assert splits.stratified_split(one, "label", 5).filter("split = 'train'").count() == 63_000
+
+
 def test_frozen_split_refuses(spark):
     df = spark.createDataFrame([(1,), (2,)], "subject_id long")
     good = [(1, " Train "), (2, "test")]
