@@ -74,6 +74,28 @@ def test_shares_are_exact(spark):
     assert splits.stratified_split(one, "label", 5).filter("split = 'train'").count() == 63_000
 
 
+@pytest.fixture
+def static(spark):
+    """Plans as they are made, with no table known to be small but those whose size is known."""
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_checksums_are_dealt_by_path_once(static):
+    from tessella.plans import registry
+
+    static.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # two joins of the records and the two sides of the match
+    assert shuffles(registry.queries()["checksum_match"](static, "/root/testdata/sf0.001")) == 6
+
+
 def test_frozen_split_refuses(spark):
     df = spark.createDataFrame([(1,), (2,)], "subject_id long")
     good = [(1, " Train "), (2, "test")]
