@@ -85,8 +85,12 @@ def manifest(records: DataFrame, studies: DataFrame, measurements: DataFrame) ->
     grouped = records.groupBy("study_id").agg(
         F.min("subject_id").alias("subject_id"), F.count("dicom_filepath").alias("n_dicoms"), F.min("acquisition_datetime").alias("first_acquisition_datetime"), F.max("acquisition_datetime").alias("last_acquisition_datetime")
     )
-    kinds = measurements.select("measurement_id", "test_type").distinct()
-    linked = grouped.join(studies.withColumnRenamed("subject_id", "subject_id_study"), "study_id", "left").join(kinds, "measurement_id", "left")
+    # dealt out before it is made distinct, so that the task of a join below does not hold groups too
+    kinds = measurements.select("measurement_id", "test_type").filter("measurement_id IS NOT NULL").repartition("measurement_id").distinct()
+    linked = grouped.join(studies.withColumnRenamed("subject_id", "subject_id_study"), "study_id", "left")
+    # studies without a measurement meet nothing; by their own id they are dealt to all tasks, not to that of null
+    spread = F.when(F.col("measurement_id").isNull(), F.xxhash64("study_id")).otherwise(F.xxhash64("measurement_id"))
+    linked = linked.withColumn("_spread", spread).join(kinds.withColumn("_spread", F.xxhash64("measurement_id")), ["measurement_id", "_spread"], "left").drop("_spread")
     return linked.withColumns({"has_measurement_link": F.col("measurement_id").isNotNull(), "has_note_link": F.col("note_id").isNotNull()})
 
 

@@ -96,6 +96,17 @@ def test_checksums_are_dealt_by_path_once(static):
     assert shuffles(registry.queries()["checksum_match"](static, "/root/testdata/sf0.001")) == 6
 
 
+def test_studies_without_a_measurement_are_dealt_to_all_tasks(static):
+    static.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    ids = static.range(400)
+    records = ids.select(F.col("id").alias("study_id"), F.lit(1).alias("subject_id"), F.lit("f").alias("dicom_filepath"), F.lit(0).alias("acquisition_datetime"))
+    studies = ids.select(F.lit(1).alias("subject_id"), F.col("id").alias("study_id"), F.when(F.col("id") < 4, F.col("id")).alias("measurement_id"), F.lit(None).cast("long").alias("note_id"))
+    kinds = static.createDataFrame([(0, "TTE"), (0, "TEE"), (1, "TTE"), (1, "TTE"), (None, "TTE")], "measurement_id long, test_type string")
+    got = cohort.manifest(records, studies, kinds).select("study_id", "test_type", F.spark_partition_id().alias("p")).collect()
+    assert len(got) == 401 and sorted((r["study_id"], r["test_type"]) for r in got if r["test_type"]) == [(0, "TEE"), (0, "TTE"), (1, "TTE")]
+    assert len({r["p"] for r in got if r["study_id"] >= 4}) == 4
+
+
 def test_frozen_split_refuses(spark):
     df = spark.createDataFrame([(1,), (2,)], "subject_id long")
     good = [(1, " Train "), (2, "test")]
