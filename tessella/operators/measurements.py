@@ -11,14 +11,12 @@ from tessella.operators.quantiles import attach, exact_quantiles
 from tessella.sources.scratch import stored
 
 
-def harmonise(m: DataFrame, manual: dict[str, str] | None = None) -> DataFrame:
-    """Long measurements with clean and canonical name, unit, category, numeric and converted value.
+def harmonised_names(m: DataFrame, manual: dict[str, str] | None = None) -> DataFrame:
+    """``_name`` (each raw name, description and unit once) with clean and canonical name, unit, category and ``_factor``.
 
-    Names and units repeat in nearly every row, so the rules are applied to the
-    distinct ones, which are joined back.
+    It is written, and so a table of known size: a small one is broadcast, and
+    what it is joined to is not dealt out by few hot names.
     """
-    require_columns(m, "subject_id", "study_id", "measurement", "result")
-    m = with_column_if_absent(with_column_if_absent(m, "unit", F.lit(None).cast("string")), "measurement_description", F.lit(None).cast("string"))
     names = m.select(F.struct("measurement", "measurement_description", "unit").alias("_name")).distinct()
     names = names.withColumns({
         "measurement_clean": text.norm_text(F.col("_name.measurement")), "description_clean": text.norm_text(F.col("_name.measurement_description")), "unit_norm": text.norm_unit(F.col("_name.unit")),
@@ -27,8 +25,20 @@ def harmonise(m: DataFrame, manual: dict[str, str] | None = None) -> DataFrame:
     names = names.withColumn("_c", named).withColumns({
         "canonical_measurement": F.col("_c.canonical"), "canonical_source": F.col("_c.source"), "unit_category": text.unit_category(unit), "canonical_value_unit": text.canonical_unit(unit), "_factor": text.unit_factor(unit),
     }).drop("_c")
+    return stored(names, "names")
+
+
+def harmonise(m: DataFrame, manual: dict[str, str] | None = None) -> DataFrame:
+    """Long measurements with clean and canonical name, unit, category, numeric and converted value.
+
+    Names and units repeat in nearly every row, so the rules are applied to the
+    distinct ones, which are joined back.  ``m`` is read twice and should be a
+    stored table.
+    """
+    require_columns(m, "subject_id", "study_id", "measurement", "result")
+    m = with_column_if_absent(with_column_if_absent(m, "unit", F.lit(None).cast("string")), "measurement_description", F.lit(None).cast("string"))
     # a struct with nulls in its fields is equal to itself
-    out = m.withColumn("_name", F.struct("measurement", "measurement_description", "unit")).join(names, "_name")
+    out = m.withColumn("_name", F.struct("measurement", "measurement_description", "unit")).join(harmonised_names(m, manual), "_name")
     number = text.try_double(F.col("result"))
     return out.withColumns({"result_numeric": number, "result_canonical": number * F.col("_factor")}).drop("_name", "_factor")
 
@@ -71,7 +81,8 @@ def preferred_units(h: DataFrame, key: str = "canonical_measurement", unit: str
     """The most frequent known unit of each name, ``unknown`` only where there is no other."""
     counts = h.filter(F.col("result_numeric").isNotNull()).groupBy(key, unit).agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(key).orderBy((F.col(unit) == "unknown").cast("int"), F.desc("_n"), unit)
-    return counts.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").select(key, F.col(unit).alias("preferred_unit"))
+    found = counts.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").select(key, F.col(unit).alias("preferred_unit"))
+    return stored(found, "units")  # a row for each name, of known size
 
 
 def canonical_profile(h: DataFrame, n_reference: int) -> DataFrame:
@@ -130,7 +141,9 @@ def panel_long(h: DataFrame, tasks: DataFrame) -> DataFrame:
     joined = h.join(tasks.select("canonical_measurement", "preferred_unit"), "canonical_measurement")
     value = F.when(F.col("preferred_unit") == "unknown", F.col("result_numeric")).when(F.col("canonical_value_unit") == F.col("preferred_unit"), F.col("result_canonical"))
     usable = joined.withColumn("_v", value).filter(F.col("_v").isNotNull() & F.col("study_id").isNotNull())
-    return usable.groupBy("subject_id", "study_id", "canonical_measurement", "preferred_unit").agg(F.median("_v").alias("task_value"), F.count(F.lit(1)).alias("n_rows_used")).withColumn(
+    # bare values take less room on the way than the states of medians
+    dealt = usable.select("subject_id", "study_id", "canonical_measurement", "preferred_unit", "_v").repartition("study_id")
+    return dealt.groupBy("subject_id", "study_id", "canonical_measurement", "preferred_unit").agg(F.median("_v").alias("task_value"), F.count(F.lit(1)).alias("n_rows_used")).withColumn(
         "task_col", text.column_name(F.col("canonical_measurement"))
     )
 
@@ -146,8 +159,8 @@ def panel_wide(panel: DataFrame, base: DataFrame, columns: list[str]) -> DataFra
 
 
 def task_metadata(panel: DataFrame, tasks: DataFrame, n_studies: int) -> DataFrame:
-    """Support and percentiles of every task; tasks without a value stay."""
-    panel = stored(panel, "panel").withColumn("result_numeric", F.col("task_value"))
+    """Support and percentiles of every task; tasks without a value stay.  ``panel`` is read several times and should be a stored table."""
+    panel = panel.withColumn("result_numeric", F.col("task_value"))
     stats = panel.groupBy("canonical_measurement").agg(F.sum("n_rows_used").alias("n_rows_with_value"))
     for c, name in (("study_id", "n_studies_with_value"), ("subject_id", "n_subjects_with_value")):
         stats = stats.join(_distinct(panel, "canonical_measurement", c, "_any", name), "canonical_measurement").drop("_any")

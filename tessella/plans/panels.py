@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions import text
@@ -68,18 +69,28 @@ _TASKS = [
 ]
 
 
-def _h(spark, sf_dir):
-    return measurements.harmonise(view(spark, sf_dir, "measurements"))
+#: Columns of measurements that harmonised names and values need.
+_NAMED = ["measurement", "measurement_description", "unit"]
+_VALUED = ["subject_id", "study_id", *_NAMED, "result"]
 
 
-def _n_studies(spark: SparkSession, sf_dir: str) -> int:
+def _measured(spark, sf_dir, *columns: str) -> DataFrame:
+    """Columns of the measurements, joined once for all that read them."""
+    return stored(view(spark, sf_dir, "measurements").select(*(columns or _VALUED)), "measured")
+
+
+def _h(spark, sf_dir, *more: str):
+    return measurements.harmonise(_measured(spark, sf_dir, *_VALUED, *more))
+
+
+def _n_studies(m: DataFrame) -> int:
     """The studies of the table, with or without a usable value."""
-    return view(spark, sf_dir, "measurements").agg(F.countDistinct("study_id")).first()[0]
+    return m.agg(F.countDistinct("study_id")).first()[0]
 
 
 def _profile(spark, sf_dir):
-    n = view(spark, sf_dir, "measurements").select("study_id").distinct().count()
-    return measurements.canonical_profile(_h(spark, sf_dir), n)
+    m = _measured(spark, sf_dir)
+    return measurements.canonical_profile(measurements.harmonise(m), m.select("study_id").distinct().count())
 
 
 def _panel(spark, sf_dir):
@@ -87,14 +98,15 @@ def _panel(spark, sf_dir):
     return measurements.panel_long(h, measurements.preferred_units(h))
 
 
-def wide(spark, sf_dir, base):
-    """The wide panel of all supported tasks, and their columns in order."""
-    h = _h(spark, sf_dir)
+def wide(spark, sf_dir):
+    """The wide panel of all studies and supported tasks, and their columns in order."""
+    m = _measured(spark, sf_dir)
+    h = measurements.harmonise(m)
     units = measurements.preferred_units(h)
     panel = stored(measurements.panel_long(h, units), "panel")
-    found = measurements.supported(measurements.task_metadata(panel, units, _n_studies(spark, sf_dir)), _STUDIES, _SUBJECTS).filter("supported")
+    found = measurements.supported(measurements.task_metadata(panel, units, _n_studies(m)), _STUDIES, _SUBJECTS).filter("supported")
     tasks = sorted({r["c"] for r in found.select(text.column_name(F.col("canonical_measurement")).alias("c")).collect()})  # columns of one table
-    return measurements.panel_wide(panel, base, tasks), tasks
+    return measurements.panel_wide(panel, m.select("study_id").distinct(), tasks), tasks
 
 
 @query(_HARMONISED + " SELECT DISTINCT measurement, measurement_clean, description_clean, canonical_measurement, canonical_source, unit, unit_norm, unit_category FROM h")
@@ -136,8 +148,7 @@ def panel_long(spark, sf_dir):
     + ", CAST(coalesce(n, 0) AS INT) AS n_tasks_available FROM (SELECT DISTINCT study_id FROM measurements) b LEFT JOIN w USING (study_id)"
 )
 def panel_wide(spark, sf_dir):
-    base = view(spark, sf_dir, "measurements").select("study_id").distinct()
-    found, tasks = wide(spark, sf_dir, base)
+    found, tasks = wide(spark, sf_dir)
     return found.withColumns({t: F.round(t, 6) for t in tasks})
 
 
@@ -148,10 +159,11 @@ SELECT canonical_measurement, preferred_unit, coalesce(ns, 0) AS n_studies_with_
 coalesce(ns, 0) >= 2000 AND coalesce(nj, 0) >= 500 AS supported FROM t LEFT JOIN st USING (canonical_measurement)"""
 )
 def panel_task_metadata(spark, sf_dir):
-    h = _h(spark, sf_dir)
+    m = _measured(spark, sf_dir)
+    h = measurements.harmonise(m)
     tasks = measurements.preferred_units(h)
     more = tasks.unionByName(spark.createDataFrame([("no_such_task", "mm")], "canonical_measurement string, preferred_unit string"))
-    out = measurements.supported(measurements.task_metadata(measurements.panel_long(h, tasks), more, _n_studies(spark, sf_dir)), 2000, 500)
+    out = measurements.supported(measurements.task_metadata(stored(measurements.panel_long(h, tasks), "panel"), more, _n_studies(m)), 2000, 500)
     return out.withColumns({c: F.round(c, 6) for c in ("study_coverage_with_value", "missing_rate", "p05", "p50", "p95")})
 
 
@@ -159,7 +171,7 @@ def panel_task_metadata(spark, sf_dir):
 def sketch_profile_error(spark, sf_dir):
     """Sketches kept by test type and merged: whether counts and percentiles are within the stated errors of the exact ones."""
     key = ["canonical_measurement"]
-    h = stored(_h(spark, sf_dir).select(*key, "test_type", "study_id", "subject_id", "result_numeric"), "measurements")
+    h = stored(_h(spark, sf_dir, "test_type").select(*key, "test_type", "study_id", "subject_id", "result_numeric"), "measurements")
     kept = stored(sketches.sketch_parts(h, key, "test_type", ["study_id", "subject_id"], ["result_numeric"]), "sketches")
     merged = sketches.merge_parts(kept, key)
     ids = {"studies_within": "study_id", "subjects_within": "subject_id"}
@@ -184,8 +196,10 @@ def panel_mapping_dedupe(spark, sf_dir):
 SELECT coalesce(o.c, '') AS canonical_measurement, count(*) AS n_rows FROM measurements m LEFT JOIN o ON m.measurement = o.measurement WHERE coalesce(o.c, '') IN ('', 'heart_rate', 'left_ventricular_mass') GROUP BY 1""")
 def panel_mapping_join(spark, sf_dir):
     """Rows by the canonical name of a mapping that lacks one raw name, of three wanted names."""
-    names = measurements.one_canonical(_h(spark, sf_dir)).filter("measurement <> 'lvef'")
-    out = measurements.map_names(view(spark, sf_dir, "measurements"), names, ["", "heart_rate", "left_ventricular_mass"])
+    m = _measured(spark, sf_dir, *_NAMED)
+    known = measurements.harmonised_names(m).select("_name.measurement", "canonical_measurement")
+    names = stored(measurements.one_canonical(known).filter("measurement <> 'lvef'"), "canonical")  # a row for each raw name
+    out = measurements.map_names(m, names, ["", "heart_rate", "left_ventricular_mass"])
     return out.groupBy("canonical_measurement").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -205,14 +219,16 @@ _LEAK = "(" + "|".join(text.LEAKAGE_PATTERNS).replace("'", "''") + ")"
 SELECT feature, n_studies, round(n_studies / (SELECT count(DISTINCT study_id) FROM measurements), 6) AS coverage, regexp_matches(lower(trim(feature)), '{_LEAK}') AS leakage, NOT regexp_matches(lower(trim(feature)), '{_LEAK}') AND n_studies / (SELECT count(DISTINCT study_id) FROM measurements) >= 0.25 AS kept FROM f"""
 )
 def feature_coverage(spark, sf_dir):
-    long = _h(spark, sf_dir).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
-    return features.coverage(long, "feature", _n_studies(spark, sf_dir), 0.25).withColumn("coverage", F.round("coverage", 6))
+    m = _measured(spark, sf_dir)
+    long = measurements.harmonise(m).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
+    return features.coverage(long, "feature", _n_studies(m), 0.25).withColumn("coverage", F.round("coverage", 6))
 
 
 @query(_HARMONISED + ", f AS (SELECT DISTINCT study_id, measurement_clean FROM h WHERE result_numeric IS NOT NULL) SELECT count(DISTINCT measurement_clean) AS n_features, count(*) AS n_cells, round(1 - count(*) / (count(DISTINCT measurement_clean) * (SELECT count(DISTINCT study_id) FROM measurements)), 6) AS missing_rate FROM f")
 def feature_missing_rate(spark, sf_dir):
-    long = _h(spark, sf_dir).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
-    return features.missing_rate(long, "feature", _n_studies(spark, sf_dir)).withColumn("missing_rate", F.round("missing_rate", 6))
+    m = _measured(spark, sf_dir)
+    long = measurements.harmonise(m).select("study_id", F.col("measurement_clean").alias("feature"), F.col("result_numeric").alias("value"))
+    return features.missing_rate(long, "feature", _n_studies(m)).withColumn("missing_rate", F.round("missing_rate", 6))
 
 
 @query(cte("measurements") + rf""" SELECT DISTINCT p_type AS raw, {_text("p_type")} AS v1, trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(p_type)), '[_/]+', ' ', 'g'), '[^a-z0-9%+\-\s]', ' ', 'g'), '\s+', ' ', 'g')) AS v2 FROM part

@@ -74,8 +74,7 @@ def top_coefficients(spark, sf_dir):
 
 def _tasks_and_vectors(spark, sf_dir):
     """Studies with a split and the wide panel, the names of tasks, and of the 64 columns of a study's vector (null without one)."""
-    base = view(spark, sf_dir, "measurements").select("study_id").distinct()
-    wide, tasks = panels.wide(spark, sf_dir, base)
+    wide, tasks = panels.wide(spark, sf_dir)
     names = [f"dim{i:03}" for i in range(64)]
     vectors_ = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("study_id"), *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
     joined = checks.join_many_to_one(wide, vectors_, "study_id", how="left")

@@ -107,6 +107,14 @@ def test_studies_without_a_measurement_are_dealt_to_all_tasks(static):
     assert len({r["p"] for r in got if r["study_id"] >= 4}) == 4
 
 
+def test_harmonised_rows_are_not_dealt_by_name(static, tmp_path):
+    rows = [(i % 7, i, ("LVEF", "TAPSE")[i % 2], None, "50", "%") for i in range(60)]
+    static.createDataFrame(rows, "subject_id long, study_id long, measurement string, measurement_description string, result string, unit string").write.parquet(f"{tmp_path}/m")
+    h = measurements.harmonise(static.read.parquet(f"{tmp_path}/m"))
+    assert h.count() == 60 and shuffles(h) == 0
+    assert shuffles(measurements.panel_long(h, measurements.preferred_units(h))) == 1  # by study
+
+
 def test_frozen_split_refuses(spark):
     df = spark.createDataFrame([(1,), (2,)], "subject_id long")
     good = [(1, " Train "), (2, "test")]
