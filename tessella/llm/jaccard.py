@@ -191,9 +191,11 @@ def connected_components(edges: DataFrame, steps: int = 60) -> DataFrame:
     Large-star and small-star steps in turn; both keep the components and end
     in stars.  Each round is a table, so lineage stays short.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    nodes = materialize(both.select(F.col("a").alias("node")).distinct(), "nodes")
-    now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    # read twice, so what makes them, a search perhaps, must not run twice
+    links = materialize(edges.select("a", "b"), "links")
+    nodes = materialize(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    now = materialize(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    release(links)
     for _ in range(steps):
         # large star: neighbours above u go to the smallest of u and its neighbours
         sides = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

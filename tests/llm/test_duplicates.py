@@ -218,3 +218,32 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 200, 1) if i != 90] + [(500, 500)], "a long, b long")
     got = {r["node"]: r["component"] for r in J.connected_components(edges).collect()}
     assert got == {i: 0 if i <= 90 else 91 for i in range(201)} | {500: 500}
+
+
+@pytest.mark.parametrize("block", [2000, 4])
+def test_each_block_is_searched_once(spark, monkeypatch, tmp_path, block):
+    """The search makes the links, which the components read more than once."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    search, links, folder = J.block_components, J._links, str(tmp_path)
+
+    def noted(ids, *others):
+        with open(f"{folder}/{min(ids)}", "a") as f:
+            f.write(".")
+        return search(ids, *others)
+
+    def links_noted(*tables):
+        def seen(pdf):  # the rows of one link
+            with open(f"{folder}/link-{pdf['a'][0]}-{pdf['b'][0]}", "a") as f:
+                f.write(".")
+            return pdf
+
+        return links(*tables).groupBy("a", "b").applyInPandas(seen, "a long, b long")
+
+    monkeypatch.setattr(J, "block_components", noted)
+    monkeypatch.setattr(J, "_links", links_noted)
+    texts = families(4, 120)
+    rows = J.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows} == brute_components(texts)
+    found = {p.name: p.read_text() for p in tmp_path.iterdir()}
+    assert any(k.startswith("link-") for k in found) and not all(k.startswith("link-") for k in found)
+    assert set(found.values()) == {"."}
